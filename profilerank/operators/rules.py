@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import date_parse_strict, months_cal
+from ..functions.text import strip
 from ..schema import ID
 
 # --- fixed values: patterns of a founding year, the first that matches decides ---
@@ -95,8 +96,8 @@ def rules_flag(pool: DataFrame, reference_date: str, keep: tuple[str, ...] = (ID
     skill_reasons = F.flatten(F.transform("skills", lambda s: F.array_compact(F.array(
         F.when((F.lower(s["proficiency"]) == "expert") & (s["duration_months"] <= 1), EXPERT_ZERO),
         F.when(s["duration_months"] > MAX_SKILL_MONTHS, SKILL_OVER_MAX)))))
-    no_headline = F.trim(F.coalesce("headline", F.lit(""))) == ""
-    short_summary = F.length(F.trim(F.coalesce("summary", F.lit("")))) < MIN_SUMMARY
+    no_headline = strip(F.coalesce("headline", F.lit(""))) == ""
+    short_summary = F.length(strip(F.coalesce("summary", F.lit("")))) < MIN_SUMMARY
     reasons = F.concat(
         F.flatten(F.transform("roles", role_reasons)),
         _once(MULTI_CURRENT, F.size(F.filter("roles", lambda r: r["current"])) > 1),
