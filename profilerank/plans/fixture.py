@@ -133,11 +133,17 @@ def _skills(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def _mean_cents(value: Column) -> Column:
+    """The mean in whole cents, by integer division, so that it does not depend on the order of a sum."""
+    cents = F.round(value * 100).cast("bigint")
+    return F.floor(F.try_divide(F.sum(cents), F.count(value))) / F.lit(100.0)
+
+
 def _activity(events: DataFrame) -> DataFrame:
     return events.groupBy(F.col("user_id").alias("record")).agg(
         F.count("*").alias("n_events"), F.max("ts").alias("last_ts"),
-        F.round(F.avg("value"), 2).alias("avg_value"),
-        *[F.round(F.avg(F.when(F.col("event_type") == t, F.col("value"))), 2).alias(f"avg_{t}") for t in ASSESSMENTS],
+        _mean_cents(F.col("value")).alias("avg_value"),
+        *[_mean_cents(F.when(F.col("event_type") == t, F.col("value"))).alias(f"avg_{t}") for t in ASSESSMENTS],
     )
 
 
@@ -235,8 +241,11 @@ def _pool_sql() -> str:
     def cert(i: int) -> str:
         return f"{{'name': {_sql_pick(f'k + {i}', CERTS)}, 'issuer': {_sql_pick(f'k + {i}', ISSUERS)}, 'year': (2010 + (k + {i}) % 14)::INT}}"
 
+    def mean(x: str) -> str:
+        return f"floor(sum(round(({x}) * 100)::BIGINT)::BIGINT // nullif(count({x}), 0)) / 100.0::DOUBLE"
+
     averages = ", ".join(
-        f"round(avg(CASE WHEN event_type = '{t}' THEN value END), 2) AS avg_{t}" for t in ASSESSMENTS
+        f"{mean(f"CASE WHEN event_type = '{t}' THEN value END")} AS avg_{t}" for t in ASSESSMENTS
     )
     scores = ", ".join(f"{{'name': '{n}', 'score': avg_{t}}}" for t, n in ASSESSMENTS.items())
     return f"""
@@ -270,7 +279,7 @@ skill_rows AS (
   FROM lines),
 skill_lists AS (SELECT record, list(r ORDER BY l_orderkey, slot) AS skills FROM skill_rows GROUP BY record),
 activity AS (
-  SELECT user_id AS record, count(*) AS n_events, max(ts) AS last_ts, round(avg(value), 2) AS avg_value, {averages}
+  SELECT user_id AS record, count(*) AS n_events, max(ts) AS last_ts, {mean('value')} AS avg_value, {averages}
   FROM events GROUP BY user_id),
 base AS (
   SELECT c_custkey AS k, * FROM customer

@@ -57,18 +57,20 @@ def scan_scores_glob(spark: SparkSession, pattern: str) -> DataFrame:
 
 def scan_cache_tolerant(
     spark: SparkSession, path: str | list[str], fields: str, version: str | None = None, latest: bool = True,
+    order: str | None = None,
 ) -> DataFrame:
     """Entries of an append-only JSON cache; broken lines and other versions are left out.
 
     With ``latest`` the last entry per id wins, found by an aggregate that combines before the
-    shuffle. Files count in the order of their modification.
+    shuffle: last by the column ``order``, or by file (in the order of modification) and line.
     """
     schema = T.StructType.fromDDL(fields)
     names = schema.fieldNames()
     read = _read_json(spark, path, schema)
     current = F.lit(True) if version is None else F.col("rubric_version") == version
     rows = read.select(
-        *names, F.struct(F.col("_metadata.file_modification_time").alias("written"), file_order().alias("pos")).alias("_at"),
+        *names, (F.col(order) if order else F.struct(
+            F.col("_metadata.file_modification_time").alias("written"), file_order().alias("pos"))).alias("_at"),
     ).filter((F.coalesce(ID, F.lit("")) != "") & current)
     if not latest:
         return rows.drop("_at")
