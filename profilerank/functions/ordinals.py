@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import chain
+import re
 
 from pyspark.sql import Column, functions as F
 
@@ -38,16 +38,13 @@ MAX_GRADE = 6
 
 def ord_map(value: Column, table: dict[str, int], default: int) -> Column:
     """The code of ``value`` in ``table``, or ``default``."""
-    pairs = F.create_map(*[F.lit(x) for x in chain.from_iterable(table.items())])
+    pairs = F.expr("map(" + ", ".join(f"'{k}', {v}" for k, v in table.items()) + ")")
     return F.coalesce(F.try_element_at(pairs, F.coalesce(value, F.lit(""))), F.lit(default))
 
 
 def contains_any(text: Column, words: list[str]) -> Column:
     """Whether any of the substrings occurs; false for NULL."""
-    found = F.lit(False)
-    for word in words:
-        found = found | text.contains(word)
-    return F.coalesce(found, F.lit(False))
+    return F.coalesce(text.rlike("|".join(re.escape(w) for w in words)), F.lit(False))
 
 
 def seniority_level(title: Column) -> Column:

@@ -87,6 +87,11 @@ def _count(array: Column) -> Column:
     return F.greatest(F.size(array), F.lit(0))
 
 
+def _any_text(array: str, patterns: list[str]) -> Column:
+    """Whether any pattern occurs in any text of an array."""
+    return F.expr(f"coalesce(exists({array}, x -> {K.kw_any_sql('x', patterns)}), false)")
+
+
 def _patterns(families: tuple[str, ...]) -> list[str]:
     return [p for f in families for p in K.FAMILIES[f]]
 
@@ -116,7 +121,7 @@ def availability_score(notice: Column, open_to_work: Column, response: Column, i
 def _signal_columns(reference: Column) -> dict[str, Column]:
     s = F.col("signals")
     scores = s["skill_assessment_scores"]
-    relevant = F.map_values(F.map_filter(scores, lambda k, _: K.kw_any(F.lower(k), _patterns(ASSESSMENT_FAMILIES))))
+    relevant = F.expr(f"map_values(map_filter(signals.skill_assessment_scores, (k, v) -> {K.kw_any_sql('lower(k)', _patterns(ASSESSMENT_FAMILIES))}))")
     salary = s["expected_salary_range_inr_lpa"]
     low, high = _or(salary["min"], 0), _or(salary["max"], 0)
     github, offers = _or(s["github_activity_score"], -1), _or(s["offer_acceptance_rate"], -1)
@@ -169,10 +174,8 @@ def _career_columns(reference: Column) -> dict[str, Column]:
     sizes = F.filter(F.transform(history, lambda h: O.ord_map(h["company_size"], O.COMPANY_SIZE, -1).cast("double")), lambda x: x >= 0)
     industry = F.lower(plain(F.col("profile.current_industry")))
     span = F.when(F.size("_dated") > 0, days_between(reference, F.get("_dated", 0)["s"]) / 365.25).otherwise(0.0)
-    recent_llm = F.exists("_dated", lambda r: (F.datediff(reference, r["s"]) <= RECENT_DAYS)
-                          & K.kw_any(r["text"], K.FAMILIES["llm_only_recent"]))
-    pre_llm = F.exists("_dated", lambda r: (r["s"] < F.lit(LLM_CUTOFF).cast("date"))
-                       & K.kw_any(r["text"], K.FAMILIES["pre_llm_ml_background"]))
+    recent = F.filter("_dated", lambda r: F.datediff(reference, r["s"]) <= RECENT_DAYS)
+    early = F.filter("_dated", lambda r: r["s"] < F.lit(LLM_CUTOFF).cast("date"))
     return {
         "num_career_entries": _count(history), "avg_tenure_months": tenure["mean"], "min_tenure_months": tenure["min"],
         "max_tenure_months": tenure["max"], "tenure_stdev_months": tenure["stdev"],
@@ -182,7 +185,7 @@ def _career_columns(reference: Column) -> dict[str, Column]:
         "current_industry_is_tech": _int(O.contains_any(industry, K.TECH_INDUSTRIES)),
         "current_industry_is_services": _int(O.contains_any(industry, K.SERVICE_INDUSTRIES)),
         "title_chasing_jump_count": F.greatest(title_jumps(F.col("_dated"), reference), F.lit(0)),
-        "computed_career_span_years": span, "_recent_llm": _int(recent_llm), "has_pre_llm_ml_background": _int(pre_llm),
+        "computed_career_span_years": span, "_recent_texts": F.transform(recent, lambda r: r["text"]), "_early_texts": F.transform(early, lambda r: r["text"]),
         "_current_months": _or(current_role(history)["duration_months"], 0),
     }
 
@@ -237,25 +240,28 @@ def _nested_step(pool: DataFrame, reference: Column) -> DataFrame:
         **_signal_columns(reference), **_career_columns(reference), **_skill_columns(), **_education_columns(),
         **_fit_columns(), **text_bundle(F.col("profile"), history, F.col("skills")),
     }
-    return prepared.select(ID, *[c.alias(n) for n, c in columns.items()]).withColumn(
-        "full_text", full_text(*[F.col(n) for n in ("skills_text", "narrative_text", "titles_text", "industries_text")]))
+    return prepared.select(ID, *[c.alias(n) for n, c in columns.items()]).withColumns({
+        "full_text": full_text(*[F.col(n) for n in ("skills_text", "narrative_text", "titles_text", "industries_text")]),
+        "titles_industries": F.concat_ws(" ", "titles_text", "industries_text")})
 
 
 def _keyword_step(step: DataFrame) -> DataFrame:
     """Keyword hits per family and the flags that rest on them."""
     fam, c = K.FAMILIES, F.col
     scanned = step.withColumns({
-        **{f"{f}_narrative_hits": K.kw_hits(c("narrative_text"), p) for f, p in fam.items()},
-        **{f"{f}_skills_hits": K.kw_hits(c("skills_text"), p) for f, p in fam.items()},
-        "_research": K.kw_any(F.concat_ws(" ", "titles_text", "industries_text"), fam["research_only"]),
-        "_cv": K.kw_any(c("full_text"), fam["cv_speech_robotics_domain"]),
-        "_nlp": K.kw_any(c("full_text"), fam["nlp_ir_domain"]),
-        "_retrieval": K.kw_any(c("full_text"), fam["retrieval_embeddings"]),
-        "_open_source": K.kw_any(c("full_text"), fam["open_source_validation"]),
-        "_manager": K.kw_any(c("_title"), fam["management_architect_titles"]),
-        "marketing_nontech_title_flag": _int(K.kw_any(c("_title"), fam["marketing_nontech_titles"])),
+        **{f"{f}_narrative_hits": K.kw_hits("narrative_text", p) for f, p in fam.items()},
+        **{f"{f}_skills_hits": K.kw_hits("skills_text", p) for f, p in fam.items()},
+        "_recent_llm": _any_text("_recent_texts", fam["llm_only_recent"]),
+        "has_pre_llm_ml_background": _int(_any_text("_early_texts", fam["pre_llm_ml_background"])),
+        "_research": K.kw_any("titles_industries", fam["research_only"]),
+        "_cv": K.kw_any("full_text", fam["cv_speech_robotics_domain"]),
+        "_nlp": K.kw_any("full_text", fam["nlp_ir_domain"]),
+        "_retrieval": K.kw_any("full_text", fam["retrieval_embeddings"]),
+        "_open_source": K.kw_any("full_text", fam["open_source_validation"]),
+        "_manager": K.kw_any("_title", fam["management_architect_titles"]),
+        "marketing_nontech_title_flag": _int(K.kw_any("_title", fam["marketing_nontech_titles"])),
         "current_title_seniority_level": O.seniority_level(c("_title")),
-        "has_relevant_certification": _int(K.kw_any(c("_certs"), _patterns(CERT_FAMILIES)) | O.contains_any(c("_certs"), K.CERT_VENDORS)),
+        "has_relevant_certification": _int(K.kw_any("_certs", _patterns(CERT_FAMILIES)) | O.contains_any(c("_certs"), K.CERT_VENDORS)),
     })
     ai_skills = sum((c(f"{f}_skills_hits") for f in AI_FAMILIES), F.lit(0))
     ai_narrative = sum((c(f"{f}_narrative_hits") for f in AI_FAMILIES), F.lit(0))
@@ -265,7 +271,7 @@ def _keyword_step(step: DataFrame) -> DataFrame:
             c("notice_period_days"), c("open_to_work_flag"), c("recruiter_response_rate"), c("days_since_active")),
         "title_chasing_flag": _int(c("title_chasing_jump_count") >= JUMPS_FOR_FLAG),
         "years_experience_consistency_gap": F.abs(c("years_of_experience") - c("computed_career_span_years")),
-        "recent_llm_only_experience_flag": _int((c("_recent_llm") == 1) & (c("has_pre_llm_ml_background") == 0)),
+        "recent_llm_only_experience_flag": _int(c("_recent_llm") & (c("has_pre_llm_ml_background") == 0)),
         "pure_research_flag": _int(c("_research") & (c("production_deployment_narrative_hits") == 0)),
         "management_pivot_18mo_plus_flag": _int(c("_manager") & (c("_current_months") >= 18)),
         "wrong_domain_flag": _int(c("_cv") & ~c("_nlp") & ~c("_retrieval")),
@@ -288,7 +294,7 @@ def kw_family_matrix(texts: DataFrame, families: dict[str, list[str]], narrative
     """Three columns per family over any table with a narrative and a skills text (lower case)."""
     hits = texts.select(
         *keep,
-        *[K.kw_hits(F.col(narrative), p).alias(f"{f}_narrative_hits") for f, p in families.items()],
-        *[K.kw_hits(F.col(skills), p).alias(f"{f}_skills_hits") for f, p in families.items()])
+        *[K.kw_hits(narrative, p).alias(f"{f}_narrative_hits") for f, p in families.items()],
+        *[K.kw_hits(skills, p).alias(f"{f}_skills_hits") for f, p in families.items()])
     return hits.withColumns({
         f"{f}_inflation_gap": K.inflation_gap(F.col(f"{f}_skills_hits"), F.col(f"{f}_narrative_hits")) for f in families})

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schema
 from ..functions.dates import months_cal
-from ..session import materialize
+from ..session import materialize, partitions_for
 
 SIZES = ["1-10", "11-50", "51-200", "201-500", "501-1000", "1001-5000", "5001-10000", "10001+", "n/a"]
 TITLES = [
@@ -150,7 +150,8 @@ def _activity(events: DataFrame) -> DataFrame:
 def build_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested pool, one row per customer."""
     k = F.col("c_custkey")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    parts = partitions_for(*[table(spark, sf_dir, t) for t in ("orders", "lineitem", "documents")])
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal").repartition(parts, "c_custkey")
     documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record"), "text")
     joined = (
         customers.withColumn("record", k)

@@ -175,13 +175,13 @@ _FOLDED = f"(SELECT doc_id, {fold('lower(text)')} AS t FROM documents)"
 @register("kw_hits", f"SELECT doc_id, {', '.join(f'{hits('t', p)} AS {n}' for n, p in PROSE_FAMILIES.items())} FROM {_FOLDED}")
 def kw_hits(spark: SparkSession, sf: str) -> DataFrame:
     texts = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("t"))
-    return texts.select("doc_id", *[K.kw_hits(F.col("t"), p).alias(n) for n, p in PROSE_FAMILIES.items()])
+    return texts.select("doc_id", *[K.kw_hits("t", p).alias(n) for n, p in PROSE_FAMILIES.items()])
 
 
 @register("kw_any", f"SELECT doc_id, {', '.join(f'{any_hit('t', p)} AS {n}' for n, p in PROSE_FAMILIES.items())} FROM {_FOLDED}")
 def kw_any(spark: SparkSession, sf: str) -> DataFrame:
     texts = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("t"))
-    return texts.select("doc_id", *[K.kw_any(F.col("t"), p).alias(n) for n, p in PROSE_FAMILIES.items()])
+    return texts.select("doc_id", *[K.kw_any("t", p).alias(n) for n, p in PROSE_FAMILIES.items()])
 
 
 _FOLDED_TEXTS = f""", folded AS (SELECT candidate_id, {fold('narrative_text')} AS n, {fold('skills_text')} AS s,

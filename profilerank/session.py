@@ -44,6 +44,15 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def partitions_for(*inputs: DataFrame, target_bytes: int = 256 << 20) -> int:
+    """Number of partitions for work on the inputs: one per 256 MB of files, at least one per core.
+
+    Row-local text work is bound by processors, so a small table should not end up in one task.
+    """
+    size = sum(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for df in inputs)
+    return max(inputs[0].sparkSession.sparkContext.defaultParallelism, -(-size // target_bytes))
+
+
 def get_session(master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are tuned for."""
     builder = SparkSession.builder.appName("profilerank")
