@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from . import queries_pool  # noqa: F401
+from . import queries_pool, queries_tables  # noqa: F401
+from .queries_tables import flagship
 from .registry import QUERIES, SQL
 
-flagship = None
-
 __all__ = ["QUERIES", "SQL", "flagship"]
