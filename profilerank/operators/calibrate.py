@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.dates import date_parse_prefix, date_parse_strict
 from ..schema import ID
-from .integrity import Thresholds
+from ..session import broadcast_checked, materialize
+from .integrity import Thresholds, integrity_metrics
 from .ranking import running_totals
 
 # --- fixed values: percentiles of a summary, and the calibration rules below ---
@@ -80,12 +81,11 @@ def summary_dist(values: DataFrame, by: str = "metric", value: str = "value") ->
     frequent value nor a group with many distinct values ends up in one task.
     """
     counted = values.filter(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("n"))
-    ordered = running_totals(counted, [F.col(by), F.col(value)], {"upto": "n"})
+    ordered = materialize(running_totals(counted, [F.col(by), F.col(value)], {"upto": "n"}), "values")
     sizes = ordered.groupBy(by).agg(
         F.sum("n").alias("total"), F.min(F.col("upto") - F.col("n")).alias("before"),
         F.sum(F.col(value) * F.col("n")).alias("s1"), F.min(value).alias("least"))
-    # One row per group, and the groups are the distributions asked for.
-    placed = ordered.join(F.broadcast(sizes), by).withColumns({
+    placed = ordered.join(broadcast_checked(sizes), by).withColumns({
         "first": F.col("upto") - F.col("n") - F.col("before"), "last": F.col("upto") - F.col("before") - 1,
         "mean": F.col("s1") / F.col("total")})
 
@@ -158,9 +158,6 @@ def thresholds_resolve(calibrated: DataFrame | None = None, **overrides: float)
 
 def population_stats(pool: DataFrame, reference: str | None = None) -> dict[str, DataFrame | str]:
     """Reference date, counts, distributions and thresholds of a pool in one go."""
-    from ..session import materialize
-    from .integrity import integrity_metrics
-
     day = reference_date(pool, override=reference)
     metrics = materialize(integrity_metrics(pool, day).drop("overlap_pairs"), "metrics")
     summaries = materialize(summary_dist(metric_values(metrics)), "summaries")

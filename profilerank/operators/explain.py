@@ -196,23 +196,43 @@ def _other_clause(name: str, direction: str) -> Column:
     return generic
 
 
+def _drivers(pairs: Column, limit: Column, sign: int) -> Column:
+    """Pairs beyond the limit on one side, strongest first, equal ones in column order."""
+    kept = F.filter(pairs, lambda p: p["c"] * sign > limit)
+    return F.array_sort(F.transform(kept, lambda p: F.struct((p["c"] * -sign).alias("k"), *[p[f].alias(f) for f in ("i", "feature", "c", "clause")])))
+
+
+def _with_drivers(explained: DataFrame, features: list[str], clauses: dict[str, list[Column]] | None = None) -> DataFrame:
+    """Adds ``positive`` and ``negative``: arrays of (k, i, feature, c, clause)."""
+    names = F.array(*[F.lit(f) for f in features])
+    none = F.lit(None).cast("array<string>")
+    sides = {side: F.array(*clauses[side]) if clauses else none for side in ("positive", "negative")}
+
+    def pairs(side: str) -> Column:
+        zipped = F.arrays_zip(names.alias("feature"), F.col("contributions").alias("c"), sides[side].alias("clause")) if clauses else (
+            F.arrays_zip(names.alias("feature"), F.col("contributions").alias("c")))
+        return F.transform(zipped, lambda x, i: F.struct(
+            i.alias("i"), x["feature"].alias("feature"), x["c"].alias("c"),
+            (x["clause"] if clauses else F.lit(None).cast("string")).alias("clause")))
+
+    limit = F.array_max(F.transform("contributions", F.abs)) * DRIVER_SHARE
+    prepared = explained.withColumns({"_limit": limit, "_pos": pairs("positive"), "_neg": pairs("negative")})
+    return prepared.withColumns({
+        "positive": _drivers(F.col("_pos"), F.col("_limit"), 1), "negative": _drivers(F.col("_neg"), F.col("_limit"), -1),
+    }).drop("_limit", "_pos", "_neg")
+
+
 def top_drivers(explained: DataFrame, features: list[str], n: int | None = None) -> DataFrame:
-    """Adds ``positive`` and ``negative``: arrays of (feature, contribution) above a tenth of the row's greatest.
+    """Adds ``positive`` and ``negative``: arrays of (feature, c) above a tenth of the row's greatest contribution.
 
     Strongest first, equal ones in column order; n limits each array.
     """
-    pairs = F.transform(F.arrays_zip(F.array(*[F.lit(f) for f in features]).alias("feature"), F.col("contributions")),
-                        lambda x, i: F.struct(x["feature"].alias("feature"), x["contributions"].alias("c"), i.alias("i")))
-    limit = F.array_max(F.transform("contributions", F.abs)) * DRIVER_SHARE
-
-    def pick(sign: int) -> Column:
-        kept = F.filter("_pairs", lambda p: p["c"] * sign > F.col("_limit"))
-        ordered = F.array_sort(F.transform(kept, lambda p: F.struct((-F.abs(p["c"])).alias("k"), p["i"].alias("i"), p["feature"].alias("feature"), p["c"].alias("c"))))
-        named = F.transform(ordered, lambda p: F.struct(p["feature"].alias("feature"), p["c"].alias("c")))
-        return F.slice(named, 1, n) if n else named
+    def named(side: str) -> Column:
+        pairs = F.transform(side, lambda p: F.struct(p["feature"].alias("feature"), p["c"].alias("c")))
+        return F.slice(pairs, 1, n) if n else pairs
 
-    return explained.withColumns({"_pairs": pairs, "_limit": limit}).withColumns(
-        {"positive": pick(1), "negative": pick(-1)}).drop("_pairs", "_limit")
+    found = _with_drivers(explained, features)
+    return found.withColumns({side: named(side) for side in ("positive", "negative")})
 
 
 _FACTS = (
@@ -235,17 +255,11 @@ def reason_clauses(explained: DataFrame, facts: DataFrame | None, features: list
         rows = rows.withColumn("facts", F.lit(None).cast(_FACTS))
     else:
         rows = rows.join(facts.select(ID, F.struct(*[c for c in facts.columns if c != ID]).alias("facts")), ID, "left")
-    names = F.array(*[F.lit(f) for f in features])
-
-    def texts(drivers: str, direction: str) -> Column:
-        clauses = clause_columns(features, direction)
-        table = F.array(*[clauses[f] for f in features])
-        said = F.transform(drivers, lambda d: F.element_at(table, F.array_position(names, d["feature"]).cast("int")))
-        return F.array_compact(said)
-
-    return top_drivers(rows, features).withColumns({
-        "positive_clauses": texts("positive", "supports"), "negative_clauses": texts("negative", "weighs against"),
-        "warning": clause_columns(features)[FLAG]})
+    said = {side: clause_columns(features, direction) for side, direction in (("positive", "supports"), ("negative", "weighs against"))}
+    found = _with_drivers(rows, features, {side: [said[side][f] for f in features] for side in said})
+    return found.withColumns({
+        **{f"{side}_clauses": F.array_compact(F.transform(side, lambda d: d["clause"])) for side in said},
+        "warning": said["positive"][FLAG]})
 
 
 def reason_text(explained: DataFrame, facts: DataFrame | None, features: list[str]) -> DataFrame:

@@ -99,7 +99,10 @@ def _patterns(families: tuple[str, ...]) -> list[str]:
 def array_stats(array: Column) -> dict[str, Column]:
     """Mean, least, greatest and population deviation of a numeric array; 0 when empty."""
     mean = _mean(array, 0.0)
-    spread = F.sqrt(_mean(F.transform(array, lambda x: (x - mean) * (x - mean)), 0.0))
+    # The mean travels as part of the state; inside the lambda it would be computed per element.
+    start = F.struct(F.lit(0.0).alias("s"), mean.alias("m"))
+    squares = F.aggregate(array, start, lambda a, x: F.struct((a["s"] + (x - a["m"]) * (x - a["m"])).alias("s"), a["m"].alias("m")), lambda a: a["s"])
+    spread = F.sqrt(squares / F.size(array))
     return {
         "mean": mean, "min": _or(F.array_min(array), 0), "max": _or(F.array_max(array), 0),
         "stdev": F.when(F.size(array) > 1, spread).otherwise(0.0), "sum": _sum(array),

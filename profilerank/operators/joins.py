@@ -11,6 +11,11 @@ from pyspark.sql import DataFrame, functions as F
 from ..schema import ID
 
 
+def _ids(df: DataFrame) -> DataFrame:
+    """Distinct ids; combined before the shuffle, so an id with very many rows is harmless."""
+    return df.select(ID).distinct()
+
+
 def join_flags_left(ranked: DataFrame, flags: DataFrame, flag: str = "honeypot_flag") -> DataFrame:
     """Ranked rows with their flag; ``flag_missing`` marks rows without one, which count as clean."""
     marked = flags.withColumn("_known", F.lit(True))
@@ -20,17 +25,17 @@ def join_flags_left(ranked: DataFrame, flags: DataFrame, flag: str = "honeypot_f
 
 def semi_lookup(pool: DataFrame, ids: DataFrame) -> DataFrame:
     """Full records of the given ids."""
-    return pool.join(ids.select(ID), ID, "left_semi")
+    return pool.join(_ids(ids), ID, "left_semi")
 
 
 def missing_ids(ids: DataFrame, pool: DataFrame) -> DataFrame:
     """Ids without a record."""
-    return ids.select(ID).join(pool.select(ID), ID, "left_anti")
+    return ids.select(ID).join(_ids(pool), ID, "left_anti")
 
 
 def anti_done(todo: DataFrame, done: DataFrame) -> DataFrame:
     """Rows whose id has no result yet."""
-    return todo.join(done.select(ID), ID, "left_anti")
+    return todo.join(_ids(done), ID, "left_anti")
 
 
 def remaining_passes(todo: DataFrame, done: DataFrame, passes: int) -> DataFrame:
@@ -71,7 +76,7 @@ def union_clean_flagged(clean: DataFrame, flagged: DataFrame) -> DataFrame:
 
 def minus_ids(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct ids of the left side that the right one lacks."""
-    return left.select(ID).distinct().join(right.select(ID), ID, "left_anti")
+    return _ids(left).join(_ids(right), ID, "left_anti")
 
 
 def conservation_check(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.numbers import flag_parse, half_even, num_coerce
 from ..functions.ordinals import MAX_GRADE, label_gain, rank_to_grade
 from ..schema import ID
+from ..session import broadcast_checked
 from .ranking import global_rank
 
 
@@ -40,7 +41,7 @@ def grade_override(graded: DataFrame, flagged: DataFrame | None) -> DataFrame:
 
 def pseudo_label_union(labels: DataFrame, pool_ids: DataFrame, flagged: DataFrame | None = None, grade: int = 0) -> DataFrame:
     """Labels plus every unlabelled pool id with a default grade and no rank; flagged ids get 0."""
-    rest = pool_ids.select(ID).join(labels.select(ID), ID, "left_anti").select(
+    rest = pool_ids.select(ID).join(labels.select(ID).distinct(), ID, "left_anti").select(
         ID, F.lit(None).cast("bigint").alias("llm_rank"), F.lit(grade).alias("relevance_grade"))
     columns = [ID, "llm_rank", "relevance_grade", "honeypot_override_applied"]
     return labels.select(*columns).unionByName(grade_override(rest, flagged).select(*columns))
@@ -74,7 +75,7 @@ def stratified_split(labels: DataFrame, fraction: float = 0.15, seed: int = 42,
     hashed = labels.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), F.col(ID))))
     ranked = global_rank(hashed, [grade, "_h", ID], "_r")
     sizes = ranked.groupBy(grade).agg(F.count("*").alias("_n"), F.min("_r").alias("_first"))
-    placed = ranked.join(F.broadcast(sizes), grade)  # one row per grade
+    placed = ranked.join(broadcast_checked(sizes), grade)
     chosen = F.col("_r") - F.col("_first") < validation_size(F.col("_n"), fraction)
     return placed.withColumn("split", F.when(chosen, "val").otherwise("train")).drop("_h", "_r", "_n", "_first")
 

@@ -95,7 +95,7 @@ def top_n(scores: DataFrame, n: int, score: str = "score") -> DataFrame:
 
 def anti_tail(second: DataFrame, first: DataFrame) -> DataFrame:
     """Rows of the second ranking whose id the first one does not have."""
-    return second.join(first.select(ID), ID, "left_anti")
+    return second.join(first.select(ID).distinct(), ID, "left_anti")
 
 
 def merge_rankings(

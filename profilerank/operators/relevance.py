@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import materialize
+
 K1, B = 1.2, 0.75
 TOKEN_SPLIT = "[^a-z0-9]+"
 
@@ -20,31 +22,42 @@ def query_terms(query: str) -> list[str]:
     return list(dict.fromkeys(t for t in re.split(TOKEN_SPLIT, query.lower()) if t))
 
 
+def term_counts(docs: DataFrame, terms: list[str], id_col: str, text_col: str) -> DataFrame:
+    """(id, length, tf): number of words, and how often each term occurs, in the order of the terms.
+
+    Words are set apart by two blanks, so that " word " occurs once per word; counting is then a
+    byte search for each term, inside generated code and without a row per word.
+    """
+    words = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), TOKEN_SPLIT, "  "))
+    spaced = docs.select(id_col, F.concat(F.lit(" "), words, F.lit(" ")).alias("_words"))
+    size = F.length("_words")
+    gaps = size - F.length(F.replace(F.col("_words"), F.lit("  "), F.lit(" ")))
+
+    def count(term: str) -> Column:
+        left = F.length(F.replace(F.col("_words"), F.lit(f" {term} "), F.lit("")))
+        return F.floor((size - left) / (len(term) + 2)).cast("int")
+
+    # A text without words is two blanks, which look like one gap.
+    length = F.when(F.trim("_words") == "", 0).otherwise(gaps + 1)
+    return spaced.select(id_col, length.alias("length"), F.array(*[count(t) for t in terms]).cast("array<int>").alias("tf"))
+
+
 def relevance_score(docs: DataFrame, query: str, id_col: str = "candidate_id", text_col: str = "doc_text") -> DataFrame:
     """(id, score): BM25 of every document. Documents without a query word score 0.
 
-    Two narrow passes and no shuffle of documents. Words other than the query's are dropped while a
-    document is tokenised, so a row carries one count per query word; the pass over the collection
-    returns one row with the document frequencies and the mean length.
+    No document is shuffled. One pass over the texts stores a few counts per document; the
+    collection statistics, one row, and the scores are read from those.
     """
     terms = query_terms(query)
-    known = F.array(*[F.lit(t) for t in terms])
-    tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), TOKEN_SPLIT), lambda t: t != "")
-    counted = (
-        docs.select(id_col, tokens.alias("_tokens"))
-        .select(id_col, F.size("_tokens").alias("_len"), F.filter("_tokens", lambda t: F.array_contains(known, t)).alias("_hits"))
-        .select(id_col, "_len", F.transform(known, lambda t: F.size(F.filter("_hits", lambda h: h == t))).alias("_tf"))
-    )
-    seen = [F.count_if(F.get("_tf", i) > 0) for i in range(len(terms))]
-    total, mean, *frequency = counted.agg(F.count("*"), F.avg("_len"), *seen).first()
-    idf = [math.log(1 + (total - n + 0.5) / (n + 0.5)) for n in frequency]
-    mean = mean or 1.0
-
-    def part(tf: Column, weight: Column) -> Column:
-        return weight * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("_len") / F.lit(mean)))
-
-    parts = F.zip_with("_tf", F.array(*[F.lit(w) for w in idf]).cast("array<double>"), part)
-    return counted.select(id_col, F.aggregate(parts, F.lit(0.0), lambda a, x: a + x).alias("score"))
+    counted = materialize(term_counts(docs, terms, id_col, text_col), "terms")
+    seen = [F.count_if(F.get("tf", i) > 0) for i in range(len(terms))]
+    total, mean, *frequency = counted.agg(F.count("*"), F.avg("length"), *seen).first()
+    scale = K1 * (1 - B + B * F.col("length") / F.lit(mean or 1.0))
+    score = F.lit(0.0)
+    for i, n in enumerate(frequency):
+        weight = math.log(1 + (total - n + 0.5) / (n + 0.5))
+        score = score + F.lit(weight) * F.get("tf", i) * (K1 + 1) / (F.get("tf", i) + scale)
+    return counted.select(id_col, score.alias("score"))
 
 
 def cosine_score(vectors: DataFrame, query: list[float], id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

@@ -63,13 +63,22 @@ def role_reasons(role: Column) -> Column:
         F.when(F.year(s) < role["founded"], PREDATES_FOUNDING)))
 
 
-def adjacent_overlaps(roles: Column, reference: Column) -> Column:
-    """Neighbours by start date, at different companies, that overlap by more than 60 days."""
-    intervals = F.array_sort(F.transform(
+def role_intervals(roles: Column, reference: Column) -> Column:
+    """Roles with both ends known, by start date; a current role ends at the reference date."""
+    return F.array_sort(F.transform(
         F.filter(roles, lambda r: r["s"].isNotNull() & (r["current"] | r["e"].isNotNull())),
         lambda r: F.struct(r["s"].alias("s"), r["pos"].alias("pos"),
                            F.when(r["current"], reference).otherwise(r["e"]).alias("e"), r["company"].alias("company"))))
-    pairs = F.transform(intervals, lambda a, i: F.struct(a.alias("a"), F.get(intervals, i + 1).alias("b")))
+
+
+def adjacent_overlaps(intervals: str) -> Column:
+    """Neighbours of a column of intervals, at different companies, that overlap by more than 60 days.
+
+    The neighbour comes from a second array, not from the first one inside the lambda, where the
+    optimizer could put the whole sort.
+    """
+    following = F.slice(intervals, F.lit(2), F.greatest(F.size(intervals), F.lit(0)))
+    pairs = F.arrays_zip(F.col(intervals).alias("a"), following.alias("b"))
     return F.filter(pairs, lambda p: ~p["a"]["company"].eqNullSafe(p["b"]["company"])
                     & (F.datediff(p["a"]["e"], p["b"]["s"]) > MAX_OVERLAP_DAYS))
 
@@ -90,7 +99,7 @@ def rules_flag(pool: DataFrame, reference_date: str, keep: tuple[str, ...] = (ID
         F.col("profile.summary").alias("summary"), F.col("signals.profile_completeness_score").alias("completeness"),
         F.coalesce(parsed_roles(F.col("career_history")), F.array().cast(
             "array<struct<pos:int,s:date,e:date,current:boolean,months:double,company:string,founded:int>>")).alias("roles"),
-        "education", "skills")
+        "education", "skills").withColumn("intervals", role_intervals(F.col("roles"), reference))
     limit = F.col("years") * 12
     total = F.aggregate("roles", F.lit(0.0), lambda a, r: a + F.coalesce(r["months"], F.lit(0.0)))
     skill_reasons = F.flatten(F.transform("skills", lambda s: F.array_compact(F.array(
@@ -101,7 +110,7 @@ def rules_flag(pool: DataFrame, reference_date: str, keep: tuple[str, ...] = (ID
     reasons = F.concat(
         F.flatten(F.transform("roles", role_reasons)),
         _once(MULTI_CURRENT, F.size(F.filter("roles", lambda r: r["current"])) > 1),
-        _repeat(OVERLAP_ADJACENT, F.size(adjacent_overlaps(F.col("roles"), reference))),
+        _repeat(OVERLAP_ADJACENT, F.size(adjacent_overlaps("intervals"))),
         _repeat(EDU_REVERSED, F.size(F.filter("education", lambda e: e["end_year"] < e["start_year"]))),
         _once(HISTORY_EXCEEDS, (total > 0) & (total > limit * HISTORY_FACTOR + EXPERIENCE_SLACK)),
         _once(SINGLE_ROLE_EXCEEDS, F.exists("roles", lambda r: F.coalesce(r["months"] > limit + EXPERIENCE_SLACK, F.lit(False)))),

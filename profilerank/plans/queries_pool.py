@@ -538,8 +538,8 @@ def rule_flagged_share(spark: SparkSession, sf: str) -> DataFrame:
                                            + _RULE_HITS["rule_overlap_adjacent"][1] + ") GROUP BY candidate_id"))
 def consecutive_overlap(spark: SparkSession, sf: str) -> DataFrame:
     roles = pool(spark, sf).select(ID, rules.parsed_roles(F.col("career_history")).alias("roles"))
-    pairs = rules.adjacent_overlaps(F.col("roles"), F.lit(reference(spark, sf)).cast("date"))
-    return roles.select(ID, F.size(pairs).alias("overlaps")).filter("overlaps > 0")
+    found = roles.select(ID, rules.role_intervals(F.col("roles"), F.lit(reference(spark, sf)).cast("date")).alias("intervals"))
+    return found.select(ID, F.size(rules.adjacent_overlaps("intervals")).alias("overlaps")).filter("overlaps > 0")
 
 
 # --- calibrated metrics ---

@@ -322,9 +322,9 @@ def union_clean_flagged(spark: SparkSession, sf: str) -> DataFrame:
     return joins.union_clean_flagged(marked.filter("NOT honeypot_flag"), marked.filter("honeypot_flag")).select(ID, "score", "group_order")
 
 
-@register("minus_ids", "SELECT 'CAND_' || lpad(c_custkey::VARCHAR, 7, '0') AS candidate_id FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders)")
+@register("minus_ids", "SELECT 'CAND_' || lpad(c_custkey::VARCHAR, 7, '0') AS candidate_id FROM (SELECT c_custkey FROM customer EXCEPT SELECT user_id FROM events)")
 def minus_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return joins.minus_ids(table(spark, sf, "customer").select(_id("c_custkey").alias(ID)), table(spark, sf, "orders").select(_id("o_custkey").alias(ID)))
+    return joins.minus_ids(table(spark, sf, "customer").select(_id("c_custkey").alias(ID)), table(spark, sf, "events").select(_id("user_id").alias(ID)))
 
 
 @register("conservation_check", """WITH b AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1), a AS (SELECT c_custkey AS k, count(*) AS n FROM customer WHERE c_custkey % 3 > 0 GROUP BY 1),
@@ -396,8 +396,8 @@ def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
     return labels.stratified_split(_labelled(spark, sf)).select(ID, "relevance_grade", "split")
 
 
-@register("grade_histogram", _SPLIT + """ SELECT s.split, g.grade::INT AS grade, count(l.candidate_id) AS n, round(100.0::DOUBLE * count(l.candidate_id) / (SELECT count(*) FROM split x WHERE x.split = s.split), 1) AS percent
-  FROM (SELECT DISTINCT split FROM split) s CROSS JOIN (SELECT unnest(range(7)) AS grade) g LEFT JOIN split l ON l.split = s.split AND l.relevance_grade = g.grade GROUP BY ALL""")
+@register("grade_histogram", _SPLIT + """ SELECT s.split, g.grade::INT AS grade, count(l.candidate_id) AS n, round(100.0::DOUBLE * count(l.candidate_id) / any_value(s.total), 1) AS percent
+  FROM (SELECT split, count(*) AS total FROM split GROUP BY split) s CROSS JOIN (SELECT unnest(range(7)) AS grade) g LEFT JOIN split l ON l.split = s.split AND l.relevance_grade = g.grade GROUP BY s.split, g.grade""")
 def grade_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return labels.grade_histogram(labels.stratified_split(_labelled(spark, sf)), by=("split",))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -44,6 +44,13 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_checked(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """A side of a join that is expected to be tiny: computed once and broadcast if it has at most
+    ``max_rows`` rows, else the table as it is and the planner's choice."""
+    rows = df.limit(max_rows + 1).collect()
+    return df if len(rows) > max_rows else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def partitions_for(*inputs: DataFrame, target_bytes: int = 256 << 20) -> int:
     """Number of partitions for work on the inputs: one per 256 MB of files, at least one per core.
 

@@ -38,7 +38,7 @@ def stream_score(
         spark = batch.sparkSession
         new = batch.dropDuplicates([key])
         try:
-            done = spark.read.parquet(out).filter(F.col("batch") != number).select(key)
+            done = spark.read.parquet(out).filter(F.col("batch") != number).select(key).distinct()
         except Exception as error:  # the first batch of all finds no table
             if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
                 raise
