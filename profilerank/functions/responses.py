@@ -43,27 +43,27 @@ def parse_object(text: Column, fields: str) -> Column:
     return F.when(F.size(read) == 1, read[0])
 
 
-def _given(text: Column, name: str) -> Column:
-    return F.get_json_object(text, f"$.{name}").isNotNull()
-
-
 def score_total(subscores: list[Column], disqualified: Column) -> Column:
     """Sum of the subscores, capped lower for disqualified rows."""
     total = sum(subscores[1:], subscores[0])
     return F.least(total, F.when(disqualified, DISQUALIFIED_CAP).otherwise(TOTAL_CAP))
 
 
-def score_validate(text: Column) -> Column:
+SCORE_FIELDS = ", ".join(f"{n} double" for n in SUBSCORES) + (
+    ", hard_disqualifier boolean, disqualifier_reason string, brief_rationale string")
+VERDICT_FIELDS = "is_honeypot boolean, violation_category string, evidence string, brief_rationale string"
+
+
+def score_validate(row: Column, disqualifier_text: Column) -> Column:
     """A struct of clamped subscores and a recomputed total, or NULL for an unusable answer.
 
-    A missing or non-numeric subscore or a non-boolean disqualifier makes the answer unusable.
+    ``row`` is the object read with SCORE_FIELDS and ``disqualifier_text`` the raw text of its
+    disqualifier. A missing or non-numeric subscore, or a disqualifier that is there but no boolean,
+    makes the answer unusable.
     """
-    fields = ", ".join(f"{n} double" for n in SUBSCORES)
-    row = parse_object(text, f"{fields}, hard_disqualifier boolean, disqualifier_reason string, brief_rationale string")
-    usable = row.isNotNull()
+    usable = row.isNotNull() & (row["hard_disqualifier"].isNotNull() | disqualifier_text.isNull())
     for name in SUBSCORES:
         usable = usable & row[name].isNotNull()
-    usable = usable & (row["hard_disqualifier"].isNotNull() | ~_given(text, "hard_disqualifier"))
     scores = {n: clamp(half_even(row[n]), 0, top).cast("int") for n, top in SUBSCORES.items()}
     out = F.coalesce(row["hard_disqualifier"], F.lit(False))
     reason = F.when(F.coalesce(row["disqualifier_reason"], F.lit("")) != "", strip(row["disqualifier_reason"]))
@@ -73,9 +73,11 @@ def score_validate(text: Column) -> Column:
         score_total(list(scores.values()), out).cast("int").alias("total_score")))
 
 
-def verdict_validate(text: Column) -> Column:
-    """A struct of the verdict, or NULL. A positive one needs a known category and evidence."""
-    row = parse_object(text, "is_honeypot boolean, violation_category string, evidence string, brief_rationale string")
+def verdict_validate(row: Column) -> Column:
+    """A struct of the verdict, or NULL. A positive one needs a known category and evidence.
+
+    ``row`` is the object read with VERDICT_FIELDS.
+    """
     evidence = strip(row["evidence"])
     grounded = row["violation_category"].isin(*CATEGORIES) & (evidence != "")
     positive = row["is_honeypot"]

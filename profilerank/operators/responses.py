@@ -7,22 +7,33 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import responses as R
 from ..functions.numbers import half_even
-from ..functions.responses import DISQUALIFIED_CAP, SUBSCORES, json_extract_object, score_validate, verdict_validate
+from ..functions.responses import DISQUALIFIED_CAP, SUBSCORES
 from ..schema import ID
 from ..session import materialize
 
 Scorer = Callable[[list[str]], list[str]]
 
 
+def _parsed(raw: DataFrame, column: str, fields: str) -> DataFrame:
+    """Adds the object of a raw answer as text and as a struct, each computed once per row."""
+    found = raw.withColumn("_object", R.json_extract_object(F.col(column)))
+    return found.withColumns({
+        "_row": R.parse_object(F.col("_object"), fields),
+        "_out": F.get_json_object("_object", "$.hard_disqualifier")})
+
+
 def with_verdict(raw: DataFrame, column: str = "raw") -> DataFrame:
     """Adds ``result``: the validated verdict of a raw answer, NULL when unusable."""
-    return raw.withColumn("result", verdict_validate(json_extract_object(F.col(column))))
+    parsed = _parsed(raw, column, R.VERDICT_FIELDS)
+    return parsed.withColumn("result", R.verdict_validate(F.col("_row"))).drop("_object", "_row", "_out")
 
 
 def with_score(raw: DataFrame, column: str = "raw") -> DataFrame:
     """Adds ``result``: the validated subscores of a raw answer, NULL when unusable."""
-    return raw.withColumn("result", score_validate(json_extract_object(F.col(column))))
+    parsed = _parsed(raw, column, R.SCORE_FIELDS)
+    return parsed.withColumn("result", R.score_validate(F.col("_row"), F.col("_out"))).drop("_object", "_row", "_out")
 
 
 def _call(scorer: Scorer, text: str, batch: int):

@@ -11,6 +11,7 @@ from ..functions import text as TX
 from ..functions.numbers import number_text
 from ..operators import calibrate, documents, features, integrity, rules
 from ..schema import ID
+from ..session import spread
 from .fixture import pool, table
 from .registry import register
 from .sql import (
@@ -174,13 +175,13 @@ _FOLDED = f"(SELECT doc_id, {fold('lower(text)')} AS t FROM documents)"
 
 @register("kw_hits", f"SELECT doc_id, {', '.join(f'{hits('t', p)} AS {n}' for n, p in PROSE_FAMILIES.items())} FROM {_FOLDED}")
 def kw_hits(spark: SparkSession, sf: str) -> DataFrame:
-    texts = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("t"))
+    texts = spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.lower("text").alias("t"))
     return texts.select("doc_id", *[K.kw_hits("t", p).alias(n) for n, p in PROSE_FAMILIES.items()])
 
 
 @register("kw_any", f"SELECT doc_id, {', '.join(f'{any_hit('t', p)} AS {n}' for n, p in PROSE_FAMILIES.items())} FROM {_FOLDED}")
 def kw_any(spark: SparkSession, sf: str) -> DataFrame:
-    texts = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("t"))
+    texts = spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.lower("text").alias("t"))
     return texts.select("doc_id", *[K.kw_any("t", p).alias(n) for n, p in PROSE_FAMILIES.items()])
 
 

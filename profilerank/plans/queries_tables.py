@@ -11,7 +11,7 @@ from ..functions import responses as R
 from ..operators import checks, evaluate, explain, joins, labels, model, ranking, relevance, responses, rules
 from ..operators.calibrate import summary_dist  # noqa: F401
 from ..schema import ID
-from ..session import materialize, new_path
+from ..session import materialize, new_path, spread
 from ..sources import readers, writers
 from ..streaming import score as streams
 from .fixture import pool, table
@@ -633,7 +633,7 @@ parts AS (SELECT doc_id, sum(ln(1 + (n_docs - d + 0.5::DOUBLE) / (d + 0.5::DOUBL
 SELECT doc_id, round(coalesce(s, 0), 6) AS score FROM documents LEFT JOIN parts USING (doc_id)""")
 def relevance_score(spark: SparkSession, sf: str) -> DataFrame:
     query = table(spark, sf, "benchmark").filter("item_id = 0").select("text").first()[0]
-    scored = relevance.relevance_score(table(spark, sf, "documents"), query, "doc_id", "text")
+    scored = relevance.relevance_score(spread(table(spark, sf, "documents").select("doc_id", "text")), query, "doc_id", "text")
     return scored.select("doc_id", F.round("score", 6).alias("score"))
 
 
@@ -944,7 +944,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Documents by keyword hits, flagged ones last, top 100."""
     from ..functions.keywords import kw_hits
 
-    texts = documents(spark, sf, F.lower("text").alias("t"))
+    texts = spread(documents(spark, sf, "text")).withColumn("t", F.lower("text"))
     every = [p for patterns in PROSE_FAMILIES.values() for p in patterns]
     scored = joins.join_flags_left(texts.select(ID, kw_hits("t", every).alias("score")), toxic_flags(spark, sf)).drop("flag_missing")
     best = scored.orderBy("honeypot_flag", F.desc("score"), ID).limit(100)

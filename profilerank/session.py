@@ -60,6 +60,15 @@ def partitions_for(*inputs: DataFrame, target_bytes: int = 256 << 20) -> int:
     return max(inputs[0].sparkSession.sparkContext.defaultParallelism, -(-size // target_bytes))
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain scan over at least as many partitions as there are cores.
+
+    Only a small table changes: its one file would otherwise be the work of one task.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def get_session(master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are tuned for."""
     builder = SparkSession.builder.appName("profilerank")
