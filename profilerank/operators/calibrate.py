@@ -121,7 +121,7 @@ def metric_values(metrics: DataFrame, zero_counts: bool = True) -> DataFrame:
         entry("single_role_excess_years", F.col("single_role_excess_years"), F.col("single_role_excess_years") > 0),
         entry("zero_expert_count", F.col("zero_expert_count")), entry("edu_invalid_count", F.col("edu_invalid_count")))
     overlaps = F.transform("overlap_months", lambda m: F.struct(F.lit("overlap_months").alias("metric"), m.cast("double").alias("value")))
-    return metrics.select(F.explode(F.concat(scalars, overlaps)).alias("x")).select("x.*").filter("value IS NOT NULL")
+    return metrics.select(F.explode_outer(F.concat(scalars, overlaps)).alias("x")).select("x.*").filter("value IS NOT NULL")
 
 
 def pool_counts(metrics: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schema import ID, ID_PATTERN
+from ..session import materialize
 from .ranking import global_rank
 
 # --- fixed values: the result format ---
@@ -25,42 +26,47 @@ def _violation(rows: DataFrame, rule: str, item: Column) -> DataFrame:
     return rows.select(F.lit(rule).alias("rule"), item.cast("string").alias("item"))
 
 
+def _found(rows: DataFrame, rules: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """All rules on single rows in one pass: name -> (condition, item)."""
+    entries = [F.when(c, F.struct(F.lit(n).alias("rule"), item.cast("string").alias("item"))) for n, (c, item) in rules.items()]
+    return rows.select(F.explode_outer(F.array_compact(F.array(*entries))).alias("v")).filter("v IS NOT NULL").select("v.*")
+
+
 def result_validate(result: DataFrame, expected_rows: int = RESULT_ROWS) -> DataFrame:
     """(rule, item): row count, ids, ranks, scores, order and tie-break. Empty for a valid table.
 
-    ``row_num`` gives the order of the rows. Neighbours by rank are joined through their position,
-    so a table of any length is checked without collecting it.
+    ``row_num`` gives the order of the rows. The rows are stored once. Neighbours by rank are joined
+    through their position, so a table of any length is checked without collecting it.
     """
     trimmed = result.select("row_num", *[F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in RESULT_COLUMNS[:3]])
     whole = F.when(F.col("rank").rlike(r"^(0|-?[1-9]\d*)$"), F.col("rank").try_cast("bigint"))
     number = F.when(F.col("score").rlike(_FLOAT), F.col("score").try_cast("double"))
-    rows = trimmed.withColumns({"rank_value": whole, "score_value": number})
-    in_range = F.col("rank_value").between(1, expected_rows)
-    well_formed = (F.col(ID) != "") & F.col(ID).rlike(ID_PATTERN)
+    rows = materialize(trimmed.select("row_num", ID, whole.alias("rank_value"), number.alias("score_value")), "result")
+    rank, given = F.col("rank_value"), F.col(ID) != ""
+    in_range = rank.between(1, expected_rows)
+    well_formed = given & F.col(ID).rlike(ID_PATTERN)
 
     def repeated(kept: DataFrame, column: str, rule: str) -> DataFrame:
         counted = kept.groupBy(column).agg(F.count("*").alias("n")).filter("n > 1")
         return _violation(counted, rule, F.col(column))
 
     ranks = result.sparkSession.range(1, expected_rows + 1).select(F.col("id").alias("rank_value"))
-    ordered = global_rank(
-        rows.filter(F.col("rank_value").isNotNull() & F.col("score_value").isNotNull() & (F.col(ID) != "")),
-        ["rank_value", "row_num"], "place")
+    used = rows.filter(in_range).select("rank_value").distinct()
+    ordered = global_rank(rows.filter(rank.isNotNull() & F.col("score_value").isNotNull() & given), ["rank_value", "row_num"], "place")
     following = ordered.select((F.col("place") - 1).alias("place"), F.col("score_value").alias("next_score"), F.col(ID).alias("next_id"))
-    pairs = ordered.join(following, "place")
     count = rows.agg(F.count("*").alias("n")).filter(F.col("n") != expected_rows)
     found = [
+        _found(rows, {
+            "id_missing": (~given, F.col("row_num")), "id_pattern": (given & ~well_formed, F.col(ID)),
+            "rank_not_integer": (rank.isNull(), F.col("row_num")), "rank_out_of_range": (~in_range, rank),
+            "score_not_float": (F.col("score_value").isNull(), F.col("row_num"))}),
+        _found(ordered.join(following, "place"), {
+            "score_increases": (F.col("score_value") < F.col("next_score"), rank),
+            "tie_order": ((F.col("score_value") == F.col("next_score")) & (F.col(ID) > F.col("next_id")), rank)}),
         _violation(count, "row_count", F.col("n")),
-        _violation(rows.filter(F.col(ID) == ""), "id_missing", F.col("row_num")),
-        _violation(rows.filter((F.col(ID) != "") & ~well_formed), "id_pattern", F.col(ID)),
         repeated(rows.filter(well_formed), ID, "id_duplicate"),
-        _violation(rows.filter(F.col("rank_value").isNull()), "rank_not_integer", F.col("row_num")),
-        _violation(rows.filter(F.col("rank_value").isNotNull() & ~in_range), "rank_out_of_range", F.col("rank_value")),
         repeated(rows.filter(in_range), "rank_value", "rank_duplicate"),
-        _violation(rows.filter(F.col("score_value").isNull()), "score_not_float", F.col("row_num")),
-        _violation(ranks.join(rows.filter(in_range), "rank_value", "left_anti"), "rank_missing", F.col("rank_value")),
-        _violation(pairs.filter(F.col("score_value") < F.col("next_score")), "score_increases", F.col("rank_value")),
-        _violation(pairs.filter((F.col("score_value") == F.col("next_score")) & (F.col(ID) > F.col("next_id"))), "tie_order", F.col("rank_value")),
+        _violation(ranks.join(used, "rank_value", "left_anti"), "rank_missing", rank),
     ]
     out = found[0]
     for part in found[1:]:

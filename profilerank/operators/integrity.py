@@ -36,26 +36,27 @@ class Thresholds:
 
 def _parsed_roles(history: Column, reference: Column) -> Column:
     """Roles with parsed dates; a current role without an end runs to the reference date."""
-    def role(h: Column) -> Column:
+    def role(h: Column, i: Column) -> Column:
         has_end = F.coalesce(h["end_date"], F.lit("")) != ""
         end = F.when(has_end, date_parse_prefix(h["end_date"])).when(h["is_current"], reference)
-        return F.struct(date_parse_prefix(h["start_date"]).alias("s"), end.alias("e"),
+        return F.struct(i.alias("pos"), date_parse_prefix(h["start_date"]).alias("s"), end.alias("e"),
                         F.concat(plain(h["title"]), F.lit(" at "), plain(h["company"])).alias("label"))
 
     return F.transform(history, role)
 
 
 def overlap_pairs(roles: Column) -> Column:
-    """Pairs of roles that share at least one whole month, as (i, j, months, labels)."""
-    def with_later(a: Column, i: Column) -> Column:
-        later = F.filter(F.transform(roles, lambda b, j: F.struct(
-            i.alias("i"), j.alias("j"),
-            F.when(F.greatest(a["s"], b["s"]) < F.least(a["e"], b["e"]),
-                   months_whole(F.greatest(a["s"], b["s"]), F.least(a["e"], b["e"]))).alias("months"),
-            a["label"].alias("role_a"), b["label"].alias("role_b"),
-            (a["s"].isNotNull() & a["e"].isNotNull() & b["s"].isNotNull() & b["e"].isNotNull()).alias("dated"))),
-            lambda x: (x["j"] > i) & x["dated"] & (x["months"] > 0))
-        return later
+    """Pairs of roles that share at least one whole month, as (i, j, months, role_a, role_b).
+
+    Only overlapping pairs are built. Missing dates compare as NULL and drop out.
+    """
+    def with_later(a: Column) -> Column:
+        shared = F.filter(roles, lambda b: (b["pos"] > a["pos"]) & (a["s"] < a["e"]) & (b["s"] < b["e"])
+                          & (a["s"] < b["e"]) & (b["s"] < a["e"]))
+        return F.filter(F.transform(shared, lambda b: F.struct(
+            a["pos"].alias("i"), b["pos"].alias("j"),
+            months_whole(F.greatest(a["s"], b["s"]), F.least(a["e"], b["e"])).alias("months"),
+            a["label"].alias("role_a"), b["label"].alias("role_b"))), lambda x: x["months"] > 0)
 
     return F.flatten(F.transform(roles, with_later))
 
@@ -81,7 +82,7 @@ def integrity_metrics(
         "earliest_start": F.array_min(F.transform("roles", lambda r: r["s"])),
         "latest_end": F.array_max(F.transform("roles", lambda r: r["e"])),
         "overlap_pairs": F.coalesce(overlap_pairs(F.col("roles")), F.array().cast(
-            "array<struct<i:int,j:int,months:int,role_a:string,role_b:string,dated:boolean>>")),
+            "array<struct<i:int,j:int,months:int,role_a:string,role_b:string>>")),
     })
     span = months_whole(F.col("earliest_start"), F.col("latest_end"))
     metrics = spans.withColumn("span_months", span).withColumns({
@@ -132,7 +133,7 @@ def interval_overlap_pairs(pool: DataFrame, reference_date: str, min_months: int
     """One row per pair of roles of a record that overlap by at least ``min_months``."""
     roles = pool.select(ID, _parsed_roles(F.col("career_history"), F.lit(reference_date).cast("date")).alias("roles"))
     return (
-        roles.select(ID, F.explode(overlap_pairs(F.col("roles"))).alias("o"))
+        roles.select(ID, F.explode_outer(overlap_pairs(F.col("roles"))).alias("o"))
         .filter(F.col("o.months") >= min_months)
         .select(ID, "o.i", "o.j", "o.months", "o.role_a", "o.role_b")
     )

@@ -124,7 +124,8 @@ def rules_flag(pool: DataFrame, reference_date: str, keep: tuple[str, ...] = (ID
 def rule_histogram(flags: DataFrame) -> DataFrame:
     """(reason, hits), most frequent first."""
     return (
-        flags.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("hits"))
+        # An outer explode: the plain one adds a filter that would compute the reasons twice.
+        flags.select(F.explode_outer("reasons").alias("reason")).filter("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("hits"))
         .orderBy(F.desc("hits"), "reason")
     )
 

@@ -1,9 +1,10 @@
 """A nested profile pool derived from the flat tables, and the same pool as SQL.
 
-One record per customer. Orders and lines belong to the record ``orderkey div 10``: order keys are
-unique, so a record holds at most 10 orders whatever the data look like, and the lines are first
-reduced to at most four per order by an aggregate that combines before the shuffle. No group
-grows with the data. Texts come from ``documents``, activity from ``events``.
+One record per customer key, and all rows of the tables take part. Forty orders with consecutive
+keys are the roles of four records, which get 1, 7, 12 and 20 of them; keys are unique, so a record
+holds at most 20 roles whatever the data look like. A skill sums up the lines of an order whose
+numbers agree modulo four, by an aggregate that combines before the shuffle, so a record holds at most
+80 skills. Texts come from ``documents``, activity from ``events``.
 """
 
 from __future__ import annotations
@@ -70,6 +71,9 @@ ASSESSMENTS = {
     "view": "RAG evaluation", "click": "NDCG", "purchase": "Python", "error": "FAISS", "signup": "Docker",
 }
 
+# Roles of the four records that share forty orders, as the first order of each.
+FIRST_SLOTS = [0, 1, 8, 20]
+
 _POOLS: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -85,14 +89,23 @@ def _struct(dtype, **fields: Column) -> Column:
     return F.struct(*[fields[f.name].cast(f.dataType).alias(f.name) for f in dtype.fields])
 
 
+def _place(key: str) -> tuple[Column, Column]:
+    """(record, slot inside the record) of an order key."""
+    at = F.col(key) % 40
+    number, first = F.lit(0), F.lit(0)
+    for i, start in enumerate(FIRST_SLOTS):
+        number, first = F.when(at >= start, i).otherwise(number), F.when(at >= start, start).otherwise(first)
+    return F.expr(f"{key} div 40") * 4 + number, at - first
+
+
 def _roles(orders: DataFrame) -> DataFrame:
     o = F.col("o_orderkey")
-    record, slot = F.expr("o_orderkey div 10"), o % 10
+    record, slot = _place("o_orderkey")
     limit = F.lit("2024-02-15").cast("date")
     current = (slot == 0) | ((slot == 1) & (record % 17 == 0))
     start = F.add_months(F.col("o_orderdate").cast("date"), 264)
     stop = F.when(current, limit).otherwise(F.least(F.add_months(start, (1 + (o * 7) % 30).cast("int")), limit))
-    dated = orders.filter(slot <= record % 7).select(
+    dated = orders.select(
         record.alias("record"), slot.alias("slot"), o, current.alias("current"),
         start.alias("start"), stop.alias("stop"),
     )
@@ -116,18 +129,17 @@ def _roles(orders: DataFrame) -> DataFrame:
 
 
 def _skills(lineitem: DataFrame) -> DataFrame:
-    # At most four lines per order survive, and the reduction happens before the shuffle.
     lines = lineitem.groupBy("l_orderkey", (F.col("l_linenumber") % 4).alias("slot")).agg(
-        F.min(F.struct("l_partkey", "l_suppkey", "l_quantity")).alias("v")
-    )
-    part, supp = F.col("v.l_partkey"), F.col("v.l_suppkey")
-    months = F.when(part % 89 == 0, (F.col("v.l_quantity") - 1) * 20).otherwise(F.col("v.l_quantity") - 1)
+        F.min("l_partkey").alias("part"), F.max("l_suppkey").alias("supp"), F.max("l_quantity").alias("quantity"),
+        F.count("*").alias("lines"))
+    part, supp = F.col("part"), F.col("supp")
+    months = F.when(part % 89 == 0, (F.col("quantity") - 1) * 20).otherwise(F.col("quantity") - 1)
     skill = _struct(
         schema.SKILL, name=_pick(part, SKILLS), proficiency=_pick(F.floor(part / 5), PROFICIENCIES),
-        duration_months=F.when(supp % 41 != 0, months), endorsements=supp % 60,
+        duration_months=F.when(supp % 41 != 0, months), endorsements=supp % 60 + F.col("lines"),
     )
     return (
-        lines.groupBy(F.expr("l_orderkey div 10").alias("record"))
+        lines.groupBy(_place("l_orderkey")[0].alias("record"))
         .agg(F.array_sort(F.collect_list(F.struct("l_orderkey", "slot", skill.alias("skill")))).alias("x"))
         .select("record", F.transform("x", lambda e: e["skill"]).alias("skills"))
     )
@@ -249,12 +261,20 @@ def _pool_sql() -> str:
         f"{mean(f"CASE WHEN event_type = '{t}' THEN value END")} AS avg_{t}" for t in ASSESSMENTS
     )
     scores = ", ".join(f"{{'name': '{n}', 'score': avg_{t}}}" for t, n in ASSESSMENTS.items())
+    def place(key: str) -> tuple[str, str]:
+        at = f"({key} % 40)"
+        steps = list(enumerate(FIRST_SLOTS))[::-1]
+        number = "CASE " + " ".join(f"WHEN {at} >= {s} THEN {i}" for i, s in steps) + " END"
+        first = "CASE " + " ".join(f"WHEN {at} >= {s} THEN {s}" for _, s in steps) + " END"
+        return f"(({key} // 40) * 4 + {number})", f"({at} - {first})"
+
+    record, slot = place("o_orderkey")
     return f"""
+placed AS (SELECT o_orderkey AS o, {record} AS record, {slot} AS slot, o_orderdate FROM orders),
 role_dates AS (
-  SELECT o_orderkey AS o, o_orderkey // 10 AS record, o_orderkey % 10 AS slot,
-         (o_orderkey % 10 = 0 OR (o_orderkey % 10 = 1 AND (o_orderkey // 10) % 17 = 0)) AS cur,
+  SELECT o, record, slot, (slot = 0 OR (slot = 1 AND record % 17 = 0)) AS cur,
          (o_orderdate::DATE + INTERVAL 264 MONTH)::DATE AS s
-  FROM orders WHERE o_orderkey % 10 <= (o_orderkey // 10) % 7),
+  FROM placed),
 role_ends AS (
   SELECT *, CASE WHEN cur THEN DATE '2024-02-15'
                  ELSE least((s + to_months((1 + (o * 7) % 30)::INT))::DATE, DATE '2024-02-15') END AS e
@@ -270,13 +290,13 @@ role_rows AS (
   FROM role_ends),
 role_lists AS (SELECT record, list(r ORDER BY slot) AS career_history FROM role_rows GROUP BY record),
 lines AS (
-  SELECT l_orderkey, l_linenumber % 4 AS slot, min({{'p': l_partkey, 's': l_suppkey, 'q': l_quantity}}) AS v
-  FROM lineitem GROUP BY ALL),
+  SELECT l_orderkey, l_linenumber % 4 AS slot, min(l_partkey) AS p, max(l_suppkey) AS s, max(l_quantity) AS q, count(*) AS n
+  FROM lineitem GROUP BY l_orderkey, l_linenumber % 4),
 skill_rows AS (
-  SELECT l_orderkey // 10 AS record, l_orderkey, slot,
-    {{'name': {_sql_pick('v.p', SKILLS)}, 'proficiency': {_sql_pick('v.p // 5', PROFICIENCIES)},
-      'duration_months': (CASE WHEN v.s % 41 <> 0 THEN CASE WHEN v.p % 89 = 0 THEN (v.q - 1) * 20 ELSE v.q - 1 END END)::DOUBLE,
-      'endorsements': (v.s % 60)::DOUBLE}} AS r
+  SELECT {place('l_orderkey')[0]} AS record, l_orderkey, slot,
+    {{'name': {_sql_pick('p', SKILLS)}, 'proficiency': {_sql_pick('p // 5', PROFICIENCIES)},
+      'duration_months': (CASE WHEN s % 41 <> 0 THEN CASE WHEN p % 89 = 0 THEN (q - 1) * 20 ELSE q - 1 END END)::DOUBLE,
+      'endorsements': (s % 60 + n)::DOUBLE}} AS r
   FROM lines),
 skill_lists AS (SELECT record, list(r ORDER BY l_orderkey, slot) AS skills FROM skill_rows GROUP BY record),
 activity AS (

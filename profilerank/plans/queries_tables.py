@@ -312,8 +312,9 @@ def flag_share_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("union_parts", f"WITH {_SCORED} SELECT candidate_id, score FROM scored")
 def union_parts(spark: SparkSession, sf: str) -> DataFrame:
-    scores = tied_scores(spark, sf)
-    return joins.union_parts([scores.filter(F.col("doc_id") % 3 == shard) for shard in range(3)]).select(ID, "score")
+    scores = tied_scores(spark, sf).join(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id")
+    english = F.col("lang") == "en"
+    return joins.union_parts([scores.filter(english), scores.filter(~english)]).select(ID, "score")
 
 
 @register("union_clean_flagged", f"WITH {_SCORED}, {_FLAGGED} SELECT candidate_id, score, CASE WHEN toxic THEN 1 ELSE 0 END AS group_order FROM scored s JOIN flagged f ON s.doc_id = f.doc_id")
@@ -327,13 +328,13 @@ def minus_ids(spark: SparkSession, sf: str) -> DataFrame:
     return joins.minus_ids(table(spark, sf, "customer").select(_id("c_custkey").alias(ID)), table(spark, sf, "events").select(_id("user_id").alias(ID)))
 
 
-@register("conservation_check", """WITH b AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1), a AS (SELECT c_custkey AS k, count(*) AS n FROM customer WHERE c_custkey % 3 > 0 GROUP BY 1),
+@register("conservation_check", """WITH b AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1), a AS (SELECT c_custkey AS k, count(*) AS n FROM customer WHERE c_acctbal > 0 GROUP BY 1),
 j AS (SELECT coalesce(b.n, 0) AS b, coalesce(a.n, 0) AS a FROM b FULL JOIN a USING (k))
 SELECT sum(b)::BIGINT AS rows_in, sum(a)::BIGINT AS rows_out, count(*) FILTER (WHERE b > 0 AND a = 0) AS lost, count(*) FILTER (WHERE b = 0 AND a > 0) AS added,
   count(*) FILTER (WHERE b > 0 AND a > 0 AND a <> b) AS changed, count(*) FILTER (WHERE a <> b) = 0 AS conserved FROM j""")
 def conservation_check(spark: SparkSession, sf: str) -> DataFrame:
     before = table(spark, sf, "orders").select(_id("o_custkey").alias(ID))
-    return joins.conservation_check(before, table(spark, sf, "customer").filter("c_custkey % 3 > 0").select(_id("c_custkey").alias(ID)))
+    return joins.conservation_check(before, table(spark, sf, "customer").filter("c_acctbal > 0").select(_id("c_custkey").alias(ID)))
 
 
 # --- grades ---

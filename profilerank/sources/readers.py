@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schema import CORRUPT, ID, pool_schema
+from ..session import spread
 
 SCORE_FIELDS = "candidate_id string, score double"
 
@@ -29,19 +30,20 @@ def scan_pool(
 ) -> DataFrame:
     """Nested profiles from JSON lines, gzipped JSON lines, or one JSON array (``*.json``).
 
-    Rows without an id are skipped. With ``check``, lines that are no JSON are an error: one pass
-    that counts them. A gzipped file cannot be split, so its rows are spread after reading.
+    Rows without an id are skipped. With ``check``, a line that is no JSON is an error, raised by
+    the job that meets it, so that no extra pass over the files is needed. Few files that cannot be
+    split are spread over all cores.
     """
     as_array = path.endswith(".json") if array is None else array
     read = _read_json(spark, path, pool_schema(signals_field), as_array)
+    known = F.coalesce(ID, F.lit("")) != ""
     if check:
-        broken = read.filter(F.col(ID).isNull() & F.col(CORRUPT).isNotNull()).select(ID, CORRUPT).limit(1).count()
-        if broken:
-            raise ValueError(f"{path} holds lines that are not JSON")
-    rows = read.drop(CORRUPT).withColumnRenamed(signals_field, "signals").filter(F.coalesce(ID, F.lit("")) != "")
+        broken = F.col(ID).isNull() & F.col(CORRUPT).isNotNull()
+        error = F.raise_error(F.concat(F.lit(f"not JSON, in {path}: "), F.substring(CORRUPT, 1, 100)))
+        known = F.when(broken, error.cast("boolean")).otherwise(known)
     if path.endswith(".gz") or as_array:
-        rows = rows.repartition(spark.sparkContext.defaultParallelism)
-    return rows
+        read = spread(read)
+    return read.filter(known).drop(CORRUPT).withColumnRenamed(signals_field, "signals")
 
 
 def scan_scores_glob(spark: SparkSession, pattern: str) -> DataFrame:
