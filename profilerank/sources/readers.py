@@ -38,7 +38,10 @@ def scan_pool(
     read = _read_json(spark, path, pool_schema(signals_field), as_array)
     known = F.coalesce(ID, F.lit("")) != ""
     if check:
-        broken = F.col(ID).isNull() & F.col(CORRUPT).isNotNull()
+        # A line that cannot be parsed has all fields NULL; a wrong value alone leaves the others.
+        broken = F.col(CORRUPT).isNotNull()
+        for name in pool_schema(signals_field).fieldNames():
+            broken = broken & F.col(name).isNull()
         error = F.raise_error(F.concat(F.lit(f"not JSON, in {path}: "), F.substring(CORRUPT, 1, 100)))
         known = F.when(broken, error.cast("boolean")).otherwise(known)
     if path.endswith(".gz") or as_array:
