@@ -87,9 +87,9 @@ def _count(array: Column) -> Column:
     return F.greatest(F.size(array), F.lit(0))
 
 
-def _any_text(array: str, patterns: list[str]) -> Column:
-    """Whether any pattern occurs in any text of an array."""
-    return F.expr(f"coalesce(exists({array}, x -> {K.kw_any_sql('x', patterns)}), false)")
+def _role_texts(roles: Column) -> Column:
+    """The texts of some roles as one, so far apart that no pattern of the families asked for spans two."""
+    return F.coalesce(F.array_join(F.transform(roles, lambda r: r["text"]), "\n;\n"), F.lit(""))
 
 
 def _patterns(families: tuple[str, ...]) -> list[str]:
@@ -188,7 +188,7 @@ def _career_columns(reference: Column) -> dict[str, Column]:
         "current_industry_is_tech": _int(O.contains_any(industry, K.TECH_INDUSTRIES)),
         "current_industry_is_services": _int(O.contains_any(industry, K.SERVICE_INDUSTRIES)),
         "title_chasing_jump_count": F.greatest(title_jumps(F.col("_dated"), reference), F.lit(0)),
-        "computed_career_span_years": span, "_recent_texts": F.transform(recent, lambda r: r["text"]), "_early_texts": F.transform(early, lambda r: r["text"]),
+        "computed_career_span_years": span, "_recent_text": _role_texts(recent), "_early_text": _role_texts(early),
         "_current_months": _or(current_role(history)["duration_months"], 0),
     }
 
@@ -254,8 +254,8 @@ def _keyword_step(step: DataFrame) -> DataFrame:
     scanned = step.withColumns({
         **{f"{f}_narrative_hits": K.kw_hits("narrative_text", p) for f, p in fam.items()},
         **{f"{f}_skills_hits": K.kw_hits("skills_text", p) for f, p in fam.items()},
-        "_recent_llm": _any_text("_recent_texts", fam["llm_only_recent"]),
-        "has_pre_llm_ml_background": _int(_any_text("_early_texts", fam["pre_llm_ml_background"])),
+        "_recent_llm": K.kw_any("_recent_text", fam["llm_only_recent"]),
+        "has_pre_llm_ml_background": _int(K.kw_any("_early_text", fam["pre_llm_ml_background"])),
         "_research": K.kw_any("titles_industries", fam["research_only"]),
         "_cv": K.kw_any("full_text", fam["cv_speech_robotics_domain"]),
         "_nlp": K.kw_any("full_text", fam["nlp_ir_domain"]),

@@ -118,14 +118,22 @@ class NotEnoughClean(ValueError):
     """The pool, or the allowed number of checks, ended before the top was filled."""
 
 
+def _judged(checked: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The checked rows, whose number a parameter bounds, with their verdicts.
+
+    The verdicts may cover a whole pool; they are reduced to the checked ids without a shuffle.
+    """
+    known = verdicts.select(ID, "is_honeypot").join(F.broadcast(checked.select(ID)), ID, "left_semi")
+    return checked.join(known, ID, "left")
+
+
 def gap_fill_cursor(merged: DataFrame, verdicts: DataFrame, k: int, batch: int, max_checks: int) -> int:
     """How many rows from the top are checked, in batches, until k clean ones are found.
 
     Only the rows that may be checked at all are read, and of those the k best clean ones.
     """
     bound = -(-max_checks // batch) * batch
-    candidates = merged.filter(F.col("merged_rank") <= bound).select(ID, "merged_rank")
-    judged = candidates.join(verdicts.select(ID, "is_honeypot"), ID, "left")
+    judged = _judged(merged.filter(F.col("merged_rank") <= bound).select(ID, "merged_rank"), verdicts)
     clean = judged.filter(~F.coalesce("is_honeypot", F.lit(False))).select("merged_rank")
     found = clean.orderBy("merged_rank").limit(k).agg(F.count("*"), F.max("merged_rank")).first()
     if found[0] < k:
@@ -147,7 +155,7 @@ def gap_fill_topk(
     moved rows, and only the checked rows (at most ``max_checks`` and one batch) need their own count.
     """
     cursor = gap_fill_cursor(merged, verdicts, k, batch, max_checks)
-    checked = merged.filter(F.col("merged_rank") <= cursor).join(verdicts.select(ID, "is_honeypot"), ID, "left").select(
+    checked = _judged(merged.filter(F.col("merged_rank") <= cursor).select(ID, "merged_rank"), verdicts).select(
         ID, "merged_rank", F.coalesce("is_honeypot", F.lit(False)).alias("moved"))
     total = merged.agg(F.max("merged_rank")).first()[0]
     # The checked rows are bounded by max_checks, a parameter; one sort of them fits one task.

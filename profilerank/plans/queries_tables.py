@@ -469,7 +469,9 @@ verdicts AS (SELECT candidate_id, raw, hp AS is_honeypot, CASE WHEN hp THEN cat
 
 @register("verdict_validate", _VERDICTS + " SELECT candidate_id, is_honeypot, violation_category, evidence, brief_rationale FROM verdicts")
 def verdict_validate(spark: SparkSession, sf: str) -> DataFrame:
-    return responses.with_verdict(_raw(spark, sf, _VERDICT_RAW)).filter("result IS NOT NULL").select(ID, "result.*")
+    # Stored before the filter, which would otherwise parse every answer a second time.
+    checked = materialize(responses.with_verdict(_raw(spark, sf, _VERDICT_RAW)).select(ID, "result"), "verdicts")
+    return checked.filter("result IS NOT NULL").select(ID, "result.*")
 
 
 def _sub(name: str, top: int) -> str:
@@ -485,7 +487,8 @@ scores AS (SELECT *, least({' + '.join(R.SUBSCORES)}, CASE WHEN hard_disqualifie
 
 @register("score_validate", _SCORES + " SELECT * FROM scores")
 def score_validate(spark: SparkSession, sf: str) -> DataFrame:
-    return responses.with_score(_raw(spark, sf, _SCORE_RAW)).filter("result IS NOT NULL").select(ID, "result.*")
+    checked = materialize(responses.with_score(_raw(spark, sf, _SCORE_RAW)).select(ID, "result"), "scores")
+    return checked.filter("result IS NOT NULL").select(ID, "result.*")
 
 
 _NOTE = "'FALLBACK: no parseable answer after 3 attempts. Last raw answer: ' || substr(a.raw, 1, 150)"
