@@ -78,10 +78,10 @@ def doc_compact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _ROLE_DATES = "coalesce(x.start_date, '') || ' to ' || coalesce(nullif(x.end_date, ''), 'present') || ', ' || "
+_ASSESSED = "list_filter(signals.scores, lambda y: y.name = x.name)[1].score"
 _SKILL_FULL = (
     "x.name || ' (' || x.proficiency || ', ' || " + num("coalesce(x.duration_months, 0)") + " || ' months used' || "
-    "coalesce(', platform assessment score ' || " + num("nullif(list_filter(signals.scores, lambda y: y.name = x.name)[1].score, NULL)").replace("THEN ''", "THEN NULL")
-    + ", '') || ')'"
+    f"CASE WHEN {_ASSESSED} IS NULL THEN '' ELSE ', platform assessment score ' || {num(_ASSESSED)} END || ')'"
 )
 _FULL = f"""concat_ws({_NL}, {_HEAD},
   'Years of experience: ' || {num('profile.years_of_experience')} || '. Location: ' || coalesce(profile.location, '') || ', ' || profile.country || '.',
@@ -217,12 +217,7 @@ def founding_year(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- dates and scalar scores ---
 
-_DATES = over_pool(REF + ROLES + f""" SELECT candidate_id, i, {dstrict('h.start_date')}::VARCHAR AS strict_date,
-  {dprefix("h.start_date || 'T10:00'")}::VARCHAR AS prefix_date FROM roles""")
-
-
-@register("date_parse_strict", _DATES.replace(", " + dprefix("h.start_date || 'T10:00'") + "::VARCHAR AS prefix_date", "").replace(
-    f",\n  {dprefix(chr(104) + ".start_date || 'T10:00'")}::VARCHAR AS prefix_date", ""))
+@register("date_parse_strict", over_pool(REF + ROLES + f" SELECT candidate_id, i, {dstrict('h.start_date')}::VARCHAR AS strict_date FROM roles"))
 def date_parse_strict(spark: SparkSession, sf: str) -> DataFrame:
     roles = pool(spark, sf).select(ID, F.posexplode("career_history").alias("i", "h"))
     return roles.select(ID, "i", D.date_parse_strict(F.col("h.start_date")).cast("string").alias("strict_date"))

@@ -9,7 +9,6 @@ from ..functions import numbers as N
 from ..functions import ordinals as O
 from ..functions import responses as R
 from ..operators import checks, evaluate, explain, joins, labels, model, ranking, relevance, responses, rules
-from ..operators.calibrate import summary_dist  # noqa: F401
 from ..schema import ID
 from ..session import materialize, new_path, spread
 from ..sources import readers, writers
@@ -725,8 +724,9 @@ def cum_precision(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _half_sql(part: int) -> str:
-    return _GRADED.replace("graded AS (SELECT s.candidate_id", "graded AS (SELECT * FROM (SELECT s.doc_id, s.candidate_id").replace(
-        "ON s.doc_id = l.doc_id)", f"ON s.doc_id = l.doc_id) WHERE doc_id % 2 = {part})").replace("s.doc_id % 3 END)::INT AS grade", "s.doc_id % 3 END)::INT AS grade")
+    """The metrics of the documents with an even or an odd number."""
+    half = _GRADED.replace("placed AS (", f"half AS (SELECT * FROM graded WHERE substr(candidate_id, 6)::INT % 2 = {part}), placed AS (")
+    return half.replace("AS ideal FROM graded", "AS ideal FROM half")
 
 
 _HALVES = ", ".join(f"m{p} AS ({_half_sql(p)}, {_COMPOSITE} SELECT *, {_WEIGHED} AS composite FROM parts)" for p in (0, 1))
