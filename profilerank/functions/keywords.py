@@ -4,6 +4,10 @@ Texts are lower-cased before they get here, so the patterns need no case flag. M
 never occur in most texts, and a regular expression scan of a long text costs far more than a
 byte search. Each pattern is therefore guarded by a literal every match must contain, found from
 the parsed pattern, and the expression runs only on texts that hold the literal.
+
+For scans with many patterns the words of a text are intersected once with the words the patterns
+ask for (``token_hits``). Patterns that are one whole word are then decided by that short list, and
+most others are ruled out by it, without reading the text again.
 """
 
 from __future__ import annotations
@@ -135,37 +139,77 @@ def required_literal(pattern: str) -> str:
     return max([*runs, run], key=len)
 
 
+@lru_cache(maxsize=None)
+def required_token(pattern: str) -> str | None:
+    """The longest whole word that every match of ``pattern`` contains, or None.
+
+    A run of word characters is a whole word when a word boundary or another plain character stands
+    on both of its sides.
+    """
+    found, run, closed = [], "", False  # closed: whether the left side of the run is delimited
+    for op, arg in re._parser.parse(pattern):
+        name = str(op)
+        if name == "LITERAL" and (chr(arg).isalnum() or chr(arg) == "_"):
+            run += chr(arg)
+            continue
+        delimits = name == "LITERAL" or (name == "AT" and str(arg) == "AT_BOUNDARY")
+        if run and closed and delimits:
+            found.append(run)
+        run, closed = "", delimits
+    return max(found, key=len, default=None)
+
+
+def guard_token(pattern: str) -> str | None:
+    """The word to look for first: any word of three letters, or one that is the whole pattern."""
+    token = required_token(pattern)
+    return token if token and (len(token) >= 3 or pattern == rf"\b{token}\b") else None
+
+
+def token_hits(text: str, patterns: list[str]) -> Column:
+    """The words of ``text`` (lower case) among the guard words of the patterns."""
+    wanted = sorted({t for p in patterns if (t := guard_token(p))})
+    words = ", ".join(f"'{t}'" for t in wanted)
+    return F.expr(f"array_intersect(split(coalesce({text}, ''), r'[^\\p{{L}}\\p{{N}}_]+'), array({words}))")
+
+
 def _literal(text: str) -> str:
     """A SQL literal that is taken as it stands."""
     quote = "'" if "'" not in text else '"'
     return f"r{quote}{text}{quote}"
 
 
-def kw_found(text: str, pattern: str) -> str:
-    """SQL condition: whether the pattern occurs in ``text``, a SQL expression of a lower-cased text."""
+def kw_found(text: str, pattern: str, tokens: str | None = None) -> str:
+    """SQL condition: whether the pattern occurs in ``text``, a SQL expression of a lower-cased text.
+
+    ``tokens`` is the column with the text's ``token_hits``, if there is one.
+    """
+    match = f"rlike({text}, {_literal(pattern)})"
+    if tokens and (token := guard_token(pattern)):
+        held = f"array_contains({tokens}, '{token}')"
+        return held if pattern == rf"\b{token}\b" else f"({held} AND {match})"
     literal = required_literal(pattern)
     if not literal:
-        return f"rlike({text}, {_literal(pattern)})"
+        return match
     held = f"contains({text}, {_literal(literal)})"
-    return held if literal == pattern else f"({held} AND rlike({text}, {_literal(pattern)}))"
+    return held if literal == pattern else f"({held} AND {match})"
 
 
 # The conditions are SQL text, because a table of some 400 of them is built much faster as a few
 # parsed expressions than as thousands of calls into the JVM.
 
 
-def kw_hits(text: str, patterns: list[str]) -> Column:
+def kw_hits(text: str, patterns: list[str], tokens: str | None = None) -> Column:
     """Number of distinct patterns that occur in the text; 0 for NULL."""
-    return F.expr(" + ".join(f"coalesce(int({kw_found(text, p)}), 0)" for p in patterns))
+    return F.expr(" + ".join(f"coalesce(int({kw_found(text, p, tokens)}), 0)" for p in patterns))
 
 
-def kw_any_sql(text: str, patterns: list[str]) -> str:
-    return "coalesce(" + " OR ".join(kw_found(text, p) for p in patterns) + ", false)"
+def kw_any_sql(text: str, patterns: list[str], tokens: str | None = None) -> str:
+    return "coalesce(" + " OR ".join(kw_found(text, p, tokens) for p in patterns) + ", false)"
 
 
-def kw_any(text: str, patterns: list[str]) -> Column:
+def kw_any(text: str, patterns: list[str], tokens: str | None = None) -> Column:
     """Whether any pattern occurs; evaluation stops at the first hit."""
-    return F.expr(kw_any_sql(text, patterns))
+    return F.expr(kw_any_sql(text, patterns, tokens))
 
 
 def inflation_gap(skills_hits: Column, narrative_hits: Column) -> Column:

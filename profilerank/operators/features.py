@@ -243,24 +243,29 @@ def _nested_step(pool: DataFrame, reference: Column) -> DataFrame:
         **_signal_columns(reference), **_career_columns(reference), **_skill_columns(), **_education_columns(),
         **_fit_columns(), **text_bundle(F.col("profile"), history, F.col("skills")),
     }
-    return prepared.select(ID, *[c.alias(n) for n, c in columns.items()]).withColumns({
+    every = _patterns(tuple(K.FAMILIES))
+    joined = prepared.select(ID, *[c.alias(n) for n, c in columns.items()]).withColumns({
         "full_text": full_text(*[F.col(n) for n in ("skills_text", "narrative_text", "titles_text", "industries_text")]),
         "titles_industries": F.concat_ws(" ", "titles_text", "industries_text")})
+    tokens = joined.withColumns({
+        "narrative_tokens": K.token_hits("narrative_text", every), "skills_tokens": K.token_hits("skills_text", every),
+        "titles_tokens": K.token_hits("titles_industries", every)})
+    return tokens.withColumn("full_tokens", F.concat("narrative_tokens", "skills_tokens", "titles_tokens"))
 
 
 def _keyword_step(step: DataFrame) -> DataFrame:
     """Keyword hits per family and the flags that rest on them."""
     fam, c = K.FAMILIES, F.col
     scanned = step.withColumns({
-        **{f"{f}_narrative_hits": K.kw_hits("narrative_text", p) for f, p in fam.items()},
-        **{f"{f}_skills_hits": K.kw_hits("skills_text", p) for f, p in fam.items()},
+        **{f"{f}_narrative_hits": K.kw_hits("narrative_text", p, "narrative_tokens") for f, p in fam.items()},
+        **{f"{f}_skills_hits": K.kw_hits("skills_text", p, "skills_tokens") for f, p in fam.items()},
         "_recent_llm": K.kw_any("_recent_text", fam["llm_only_recent"]),
         "has_pre_llm_ml_background": _int(K.kw_any("_early_text", fam["pre_llm_ml_background"])),
-        "_research": K.kw_any("titles_industries", fam["research_only"]),
-        "_cv": K.kw_any("full_text", fam["cv_speech_robotics_domain"]),
-        "_nlp": K.kw_any("full_text", fam["nlp_ir_domain"]),
-        "_retrieval": K.kw_any("full_text", fam["retrieval_embeddings"]),
-        "_open_source": K.kw_any("full_text", fam["open_source_validation"]),
+        "_research": K.kw_any("titles_industries", fam["research_only"], "titles_tokens"),
+        "_cv": K.kw_any("full_text", fam["cv_speech_robotics_domain"], "full_tokens"),
+        "_nlp": K.kw_any("full_text", fam["nlp_ir_domain"], "full_tokens"),
+        "_retrieval": K.kw_any("full_text", fam["retrieval_embeddings"], "full_tokens"),
+        "_open_source": K.kw_any("full_text", fam["open_source_validation"], "full_tokens"),
         "_manager": K.kw_any("_title", fam["management_architect_titles"]),
         "marketing_nontech_title_flag": _int(K.kw_any("_title", fam["marketing_nontech_titles"])),
         "current_title_seniority_level": O.seniority_level(c("_title")),
@@ -295,9 +300,12 @@ def feat_block(pool: DataFrame, reference_date: str, columns: list[str]) -> Data
 
 def kw_family_matrix(texts: DataFrame, families: dict[str, list[str]], narrative: str, skills: str, keep: tuple[str, ...]) -> DataFrame:
     """Three columns per family over any table with a narrative and a skills text (lower case)."""
-    hits = texts.select(
+    every = [p for patterns in families.values() for p in patterns]
+    split = texts.select(*dict.fromkeys((*keep, narrative, skills))).withColumns({
+        "_n": K.token_hits(narrative, every), "_s": K.token_hits(skills, every)})
+    hits = split.select(
         *keep,
-        *[K.kw_hits(narrative, p).alias(f"{f}_narrative_hits") for f, p in families.items()],
-        *[K.kw_hits(skills, p).alias(f"{f}_skills_hits") for f, p in families.items()])
+        *[K.kw_hits(narrative, p, "_n").alias(f"{f}_narrative_hits") for f, p in families.items()],
+        *[K.kw_hits(skills, p, "_s").alias(f"{f}_skills_hits") for f, p in families.items()])
     return hits.withColumns({
         f"{f}_inflation_gap": K.inflation_gap(F.col(f"{f}_skills_hits"), F.col(f"{f}_narrative_hits")) for f in families})

@@ -87,10 +87,12 @@ LINES = [
 def test_patterns_match_as_in_python(spark):
     every = sorted({p for family in keywords.FAMILIES.values() for p in family})
     assert len([p for family in keywords.FAMILIES.values() for p in family]) == 145
-    got = values(spark, [(line,) for line in LINES], "t string", *[keywords.kw_any("t", [p]).alias(f"p{i}") for i, p in enumerate(every)])
-    for line, row in zip(LINES, got):
-        wanted = tuple(bool(re.search(p, line, re.IGNORECASE)) for p in every)
-        assert row == wanted, (line, [p for p, a, b in zip(every, row, wanted) if a != b])
+    found = spark.createDataFrame([(i, line) for i, line in enumerate(LINES)], "n int, t string").withColumn("w", keywords.token_hits("t", every))
+    for tokens in (None, "w"):
+        got = [tuple(r) for r in found.orderBy("n").select(*[keywords.kw_any("t", [p], tokens).alias(f"p{i}") for i, p in enumerate(every)]).collect()]
+        for line, row in zip(LINES, got):
+            wanted = tuple(bool(re.search(p, line, re.IGNORECASE)) for p in every)
+            assert row == wanted, (line, [p for p, a, b in zip(every, row, wanted) if a != b])
     assert all(any(row[i] for row in got) for i in range(len(every)))
 
 
@@ -103,6 +105,15 @@ def test_required_literal_is_in_every_match():
                     assert literal in found.group(0)
 
 
+@pytest.mark.parametrize("pattern,token", [
+    (r"\brag\b", "rag"), (r"\bdense retrieval\b", "retrieval"), (r"\bembeddings?\b", None), (r"machine learning", None),
+    (r"\bann\b.{0,15}\bsearch\b", "search"), (r"\bmap@\d+", "map"), (r"\bci/cd\b", "ci"), (r"\ba/b test", "a"), (r"\btopic model", "topic"),
+    (r"autonomous (vehicle|driving)", None), (r"\be5\b", "e5"),
+])
+def test_required_token(pattern, token):
+    assert keywords.required_token(pattern) == token
+
+
 def test_hits_count_patterns_not_occurrences(spark):
     got = values(spark, [("rag rag rag",), (None,), ("",)], "t string", keywords.kw_hits("t", [r"\brag\b", r"\bfaiss\b"]))
     assert [g[0] for g in got] == [1, 0, 0]
