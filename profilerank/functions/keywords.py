@@ -166,10 +166,14 @@ def guard_token(pattern: str) -> str | None:
 
 
 def token_hits(text: str, patterns: list[str]) -> Column:
-    """The words of ``text`` (lower case) among the guard words of the patterns."""
+    """The words of ``text`` (lower case) among the guard words of the patterns, as a short text.
+
+    Each word stands between two blanks: a byte search in this text is faster than one in an array.
+    """
     wanted = sorted({t for p in patterns if (t := guard_token(p))})
     words = ", ".join(f"'{t}'" for t in wanted)
-    return F.expr(f"array_intersect(split(coalesce({text}, ''), r'[^\\p{{L}}\\p{{N}}_]+'), array({words}))")
+    found = f"array_intersect(split(coalesce({text}, ''), r'[^\\p{{L}}\\p{{N}}_]+'), array({words}))"
+    return F.expr(f"concat(' ', array_join({found}, ' '), ' ')")
 
 
 def _literal(text: str) -> str:
@@ -185,7 +189,7 @@ def kw_found(text: str, pattern: str, tokens: str | None = None) -> str:
     """
     match = f"rlike({text}, {_literal(pattern)})"
     if tokens and (token := guard_token(pattern)):
-        held = f"array_contains({tokens}, '{token}')"
+        held = f"contains({tokens}, ' {token} ')"
         return held if pattern == rf"\b{token}\b" else f"({held} AND {match})"
     literal = required_literal(pattern)
     if not literal:
