@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import audio, bpe, language, sharding, urls
+from . import audio, bpe, contamination, language, quality, sharding, urls
 from .common import table
 
 QUERIES: dict = {}
@@ -81,3 +81,15 @@ def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op10_audio")
 def op10_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.media_digest(table(spark, sf_dir, "documents"))
+
+
+@_register("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"), ~language.held_out("doc_id", 3, 1))
+    return quality.predict(docs, model).select("doc_id", language.held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
+
+
+@_register("op9_contamination")
+def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
