@@ -35,13 +35,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Deletes a stored table that no later step reads."""
+    for path in {p.rpartition("/")[0] for p in df.inputFiles()[:1]}:
+        for entry in [e for e in _STORED if e[1] == path]:
+            _delete(df.sparkSession, path)
+            _STORED.remove(entry)
+
+
 def release(spark: SparkSession) -> int:
     """Deletes the tables stored by operators whose results are no longer needed. Returns their number."""
     app, gone = spark.sparkContext.applicationId, 0
     for owner, path in list(_STORED):
         if owner == app:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            _delete(spark, path)
             gone += 1
         _STORED.remove((owner, path))
     return gone
@@ -59,7 +71,7 @@ def map_texts(docs: DataFrame, id_col: str, text_col: str, setup: Callable[[], C
     ``setup`` runs once per task and returns a function from a list of texts (UTF-8 bytes, None for null) to one
     list or array per field. Only the two columns are read.
     """
-    source = with_row(docs, [id_col, text_col])
+    source = with_row(docs, [id_col, text_col]).withColumn("c1", F.col("c1").cast("binary"))
     schema = T.StructType([T.StructField(id_col, source.schema["c0"].dataType), *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,7 +79,7 @@ def map_texts(docs: DataFrame, id_col: str, text_col: str, setup: Callable[[], C
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)
-                made = work(part.column(1).cast(pa.large_binary()).to_pylist())
+                made = work(part.column(1).to_pylist())
                 if kinds is None:
                     kinds = [arrow_type(f.dataType) for f in fields]
                 yield pa.RecordBatch.from_arrays(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import audio, bpe, contamination, language, quality, sharding, urls
+from . import audio, bpe, contamination, language, quality, repeats, sharding, urls
 from .common import table
 
 QUERIES: dict = {}
@@ -93,3 +93,8 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op9_contamination")
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_register("op6_repeats")
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digest(table(spark, sf_dir, "documents"))
