@@ -27,11 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read again; ``release`` deletes it."""
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """``df`` written once to the shared folder and read again; ``release`` deletes it unless it is to be kept."""
     out = materialize(df, name)
-    for path in out.inputFiles()[:1]:
-        _STORED.append((df.sparkSession.sparkContext.applicationId, path.rpartition("/")[0]))
+    if not keep:
+        for path in out.inputFiles()[:1]:
+            _STORED.append((df.sparkSession.sparkContext.applicationId, path.rpartition("/")[0]))
     return out
 
 

@@ -181,3 +181,15 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
         F.col("c0").alias(id_col), "n_words", hit.alias("n_hit"), F.size(found).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(found, ",").cast("binary"), 256).alias("items_sha256"),
         ((hit > 0) & (hit * share >= F.col("n_words"))).alias("contaminated"))
+
+
+def keep_clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents, with all their columns, that are not contaminated.
+
+    Only ids and text hashes of contaminated documents are joined with the documents.
+    """
+    text_hash = F.xxhash64(F.col(f"`{text_col}`"))
+    keyed = docs.select(F.struct(F.col(f"`{id_col}`").alias("id"), text_hash.alias("tx")).alias("_key"), F.col(f"`{text_col}`").alias("_text"))
+    bad = contamination(keyed, bench, "_key", "_text", **options).where("contaminated").select(
+        F.col("_key.id").alias("_bad_id"), F.col("_key.tx").alias("_bad_tx")).distinct()
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad_id"]) & (text_hash == bad["_bad_tx"]), "left_anti")

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import fields, map_texts, with_row
@@ -274,3 +275,17 @@ def predict(docs: DataFrame, model: QualityModel | None, id_col: str = "doc_id",
         return work
 
     return map_texts(docs, id_col, text_col, setup, fields("score double, predicted int"))
+
+
+def keep_good(docs: DataFrame, model: QualityModel | None, text_col: str = "text") -> DataFrame:
+    """The documents, with all their columns, that the model predicts to be good: one pass, no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def good(text: pd.Series) -> pd.Series:
+        if shared.value is None:
+            return pd.Series(np.ones(len(text), dtype=bool))
+        out = [shared.value.score([t if t is None else bytes(t) for t in text.iloc[i:i + 128]]) >= 0.5 for i in range(0, len(text), 128)]
+        return pd.Series(np.concatenate(out) if out else np.zeros(0, dtype=bool))
+
+    return docs.where(good(F.col(f"`{text_col}`").cast("binary")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import audio, bpe, contamination, language, quality, repeats, sharding, urls
+from . import audio, bpe, contamination, jaccard, language, quality, repeats, sharding, urls
 from .common import table
 
 QUERIES: dict = {}
@@ -98,3 +98,8 @@ def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op6_repeats")
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digest(table(spark, sf_dir, "documents"))
+
+
+@_register("op8_jaccard")
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"))
