@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import audio, bpe, contamination, jaccard, language, quality, repeats, sharding, urls
+from . import audio, bpe, contamination, html, jaccard, language, quality, repeats, sharding, urls
 from .common import table
 
 QUERIES: dict = {}
@@ -103,3 +103,8 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op8_jaccard")
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
+
+
+@_register("op5_html")
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_text(table(spark, sf_dir, "pages"))
