@@ -17,19 +17,20 @@ def clamp(value: Column, low: float, high: float) -> Column:
 
 def number_text(value: Column) -> Column:
     """12.0 as ``12`` and 5.9 as ``5.9``; NULL as the empty string."""
-    whole = (value == F.floor(value)) & (F.abs(value) < F.lit(1e15))
-    return F.coalesce(F.when(whole, value.cast("bigint").cast("string")).otherwise(value.cast("string")), F.lit(""))
+    return F.coalesce(_whole_text(value), value.cast("string"), F.lit(""))
+
+
+def _whole_text(value: Column) -> Column:
+    """The digits of a whole number, NULL for others and for numbers of more than 38 digits."""
+    number = value.cast("double")
+    return F.when(number == F.rint(number), number.try_cast("decimal(38,0)").cast("string"))
 
 
 def fmt_value(value: Column) -> Column:
     """A feature value for a sentence: whole numbers plain, others with two decimals."""
     number = value.cast("double")
-    whole = (number == F.floor(number)) & (F.abs(number) < F.lit(1e15))
-    return (
-        F.when(number.isNull() | F.isnan(number), F.lit("unknown"))
-        .when(whole, number.cast("bigint").cast("string"))
-        .otherwise(F.format_string("%.2f", number))
-    )
+    return F.when(number.isNull() | F.isnan(number), F.lit("unknown")).otherwise(
+        F.coalesce(_whole_text(number), F.format_string("%.2f", number)))
 
 
 def flag_parse(raw: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.dates import date_parse_prefix, date_parse_strict
 from ..schema import ID
-from ..session import broadcast_checked, materialize
+from ..session import materialize
 from .integrity import Thresholds, integrity_metrics
 from .ranking import running_totals
 
@@ -22,8 +22,8 @@ def percentile_name(p: float) -> str:
     return "p" + str(p).replace(".", "_")
 
 
-def ref_date_fields(pool: DataFrame, strict: bool = False) -> DataFrame:
-    """One row, ``reference_date``: the latest sign-up, activity, start or end date.
+def latest_date(strict: bool = False) -> Column:
+    """Aggregate over a pool: the latest sign-up, activity, start or end date.
 
     Without any date it is 1970-01-01 in the strict reading (whole-string dates) and 2026-01-01
     in the other one.
@@ -36,7 +36,12 @@ def ref_date_fields(pool: DataFrame, strict: bool = False) -> DataFrame:
     latest = F.max(F.array_max(F.transform(fields, parse)))
     if strict:
         latest = F.greatest(latest, F.lit(NO_DATE_FLOOR).cast("date"))
-    return pool.agg(F.coalesce(latest, F.lit(NO_DATE_FALLBACK).cast("date")).alias("reference_date"))
+    return F.coalesce(latest, F.lit(NO_DATE_FALLBACK).cast("date"))
+
+
+def ref_date_fields(pool: DataFrame, strict: bool = False) -> DataFrame:
+    """One row, ``reference_date``: the latest date of the date fields of all records."""
+    return pool.agg(latest_date(strict).alias("reference_date"))
 
 
 def _string_leaves(column: Column, dtype: T.DataType) -> Column | None:
@@ -81,11 +86,13 @@ def summary_dist(values: DataFrame, by: str = "metric", value: str = "value") ->
     frequent value nor a group with many distinct values ends up in one task.
     """
     counted = values.filter(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("n"))
-    ordered = materialize(running_totals(counted, [F.col(by), F.col(value)], {"upto": "n"}), "values")
+    ordered = running_totals(counted, [F.col(by), F.col(value)], {"upto": "n"})
     sizes = ordered.groupBy(by).agg(
         F.sum("n").alias("total"), F.min(F.col("upto") - F.col("n")).alias("before"),
         F.sum(F.col(value) * F.col("n")).alias("s1"), F.min(value).alias("least"))
-    placed = ordered.join(broadcast_checked(sizes), by).withColumns({
+    # One row per group, stored: its size is known, so the planner decides how to join it, and a group with very many
+    # distinct values is a skewed join key that adaptive execution splits.
+    placed = ordered.join(materialize(sizes, "groups"), by).withColumns({
         "first": F.col("upto") - F.col("n") - F.col("before"), "last": F.col("upto") - F.col("before") - 1,
         "mean": F.col("s1") / F.col("total")})
 

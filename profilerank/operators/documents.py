@@ -16,14 +16,14 @@ def _sections() -> list[Column]:
     return [F.col(name) for name in _SECTIONS]
 
 
-def doc_compact(pool: DataFrame, **caps: int) -> DataFrame:
-    """(candidate_id, doc_text) with capped sections."""
-    return pool.select(ID, T.doc_compact(*_sections(), **caps).alias("doc_text"))
+def doc_compact(pool: DataFrame, **limits: int) -> DataFrame:
+    """(candidate_id, doc_text): the record as labelled lines, all sections whole unless limits are given."""
+    return pool.select(ID, T.record_text(*_sections(), **limits).alias("doc_text"))
 
 
 def doc_full(pool: DataFrame) -> DataFrame:
-    """(candidate_id, doc_text) with everything in the record."""
-    return pool.select(ID, T.doc_full(*_sections()).alias("doc_text"))
+    """(candidate_id, doc_text) with role dates, assessment scores and activity as well."""
+    return pool.select(ID, T.record_text(*_sections(), detailed=True).alias("doc_text"))
 
 
 def text_bundle(pool: DataFrame) -> DataFrame:

@@ -77,21 +77,24 @@ def pointwise_apply(
 
 
 def fallback_row(answers: DataFrame, verdict: bool = False, attempts: int = 3) -> DataFrame:
-    """Flat result rows; an unusable answer is score zero or "not flagged", marked ``fallback``."""
+    """Flat result rows; an unusable answer is score zero or "not flagged", marked ``fallback``.
+
+    Its whole text is in ``fallback_answer``, which is NULL for usable answers.
+    """
     missing = F.col("result").isNull()
-    note = F.concat(F.lit(f"FALLBACK: no parseable answer after {attempts} attempts. Last raw answer: "),
-                    F.substring(F.coalesce("raw", F.lit("")), 1, 150))
+    note = F.lit(f"no usable answer in {attempts} attempts")
     rationale = F.when(missing, note).otherwise(F.col("result.brief_rationale")).alias("brief_rationale")
+    answer = F.when(missing, F.coalesce("raw", F.lit(""))).alias("fallback_answer")
     if verdict:
         return answers.select(
             ID, F.coalesce("result.is_honeypot", F.lit(False)).alias("is_honeypot"),
             F.col("result.violation_category").alias("violation_category"), F.col("result.evidence").alias("evidence"),
-            rationale, missing.alias("fallback"))
+            rationale, missing.alias("fallback"), answer)
     return answers.select(
         ID, *[F.coalesce(f"result.{n}", F.lit(0)).alias(n) for n in SUBSCORES],
         F.coalesce("result.hard_disqualifier", F.lit(False)).alias("hard_disqualifier"),
         F.col("result.disqualifier_reason").alias("disqualifier_reason"), rationale,
-        F.coalesce("result.total_score", F.lit(0)).alias("total_score"), missing.alias("fallback"))
+        F.coalesce("result.total_score", F.lit(0)).alias("total_score"), missing.alias("fallback"), answer)
 
 
 def avg_passes(passes: DataFrame, order: str = "pass") -> DataFrame:

@@ -32,70 +32,63 @@ def reference(spark: SparkSession, sf: str) -> str:
 
 # --- record to text ---
 
-_ROLE_TEXT = (
-    "'- ' || coalesce(x.title, '') || ' at ' || coalesce(x.company, '') || ' (' || coalesce(x.industry, '') || ', ' || "
-    "coalesce(x.company_size, '') || ' employees), ' || {dates}" + num("coalesce(x.duration_months, 0)") +
-    " || ' months. ' || coalesce(x.description, '')"
-)
-_EDU_TEXT = (
-    "'- ' || x.degree || ' in ' || x.field_of_study || ' from ' || x.institution || ' (' || x.start_year || '-' || x.end_year || ')'"
-)
-_CERT_TEXT = "x.name || ' (' || x.issuer || ', ' || x.year || ')'"
-_HEAD = (
-    "'Headline: ' || coalesce(profile.headline, ''), 'Current role: ' || profile.current_title || ' at ' || profile.current_company || "
-    "' (' || profile.current_company_size || ' employees, ' || profile.current_industry || ' industry)'"
-)
 _RANGE = (
     "CASE WHEN signals.salary IS NULL THEN 'unspecified' ELSE " + num("signals.salary.lo") + " || '-' || " + num("signals.salary.hi") + " || ' LPA' END"
 )
 
 
-def _lines(array: str, title: str, entry: str, joiner: str, cap: int | None = None) -> str:
-    kept = f"{array}[1:{cap}]" if cap else array
-    return f"CASE WHEN len({array}) > 0 THEN '{title}' || array_to_string(list_transform({kept}, lambda x: {entry}), {joiner}) END"
+def _amount(x: str, after: str) -> str:
+    return f"CASE WHEN {x} IS NOT NULL THEN {num(x)} || '{after}' END"
 
 
-_NL = "chr(10)"
-_SKILL_COMPACT = (
-    "x.name || ' (' || x.proficiency || ', ' || " + num("coalesce(x.duration_months, 0)") + " || 'mo, ' || "
-    + num("coalesce(x.endorsements, 0)") + " || ' endorsements)'"
-)
-_COMPACT = f"""concat_ws({_NL}, {_HEAD},
-  'Experience: ' || {num('profile.years_of_experience')} || ' years. Location: ' || coalesce(profile.location, '') || ', ' || profile.country || '.',
-  'Summary: ' || coalesce(profile.summary, ''),
-  CASE WHEN len(career_history) > 0 THEN 'Career history:' || chr(10) || array_to_string(list_transform(career_history[1:6], lambda x: {_ROLE_TEXT.format(dates='')}), chr(10)) END,
-  CASE WHEN len(education) > 0 THEN 'Education:' || chr(10) || array_to_string(list_transform(education[1:4], lambda x: {_EDU_TEXT}), chr(10)) END,
-  {_lines('skills', 'Skills: ', _SKILL_COMPACT, "'; '", 25)},
-  {_lines('certifications', 'Certifications: ', _CERT_TEXT, "'; '", 10)},
-  'Open to work: ' || signals.open_to_work_flag || '. Preferred work mode: ' || signals.preferred_work_mode || '. Willing to relocate: '
-  || coalesce(signals.willing_to_relocate::VARCHAR, '') || '. Notice period: ' || {num('signals.notice_period_days')} || ' days. Expected salary: '
-  || {_RANGE} || '.')"""
-
-
-@register("doc_compact", over_pool(f"SELECT candidate_id, {_COMPACT} AS doc_text FROM pool"))
+def _line(label: str, *parts: str) -> str:
+    said = f"concat_ws(' | ', {', '.join(parts)})"
+    return f"CASE WHEN {said} <> '' THEN '[{label}] ' || {said} END"
+
+
+def _list(label: str, array: str, *parts: str, limit: int | None = None) -> str:
+    kept = f"{array}[1:{limit}]" if limit else array
+    lines = f"array_to_string(list_transform({kept}, lambda x: concat_ws(' | ', {', '.join(parts)})), chr(10) || '* ')"
+    return f"CASE WHEN len({array}) > 0 THEN '[{label}]' || chr(10) || '* ' || {lines} END"
+
+
+_SPAN = "coalesce(x.start_date, '?') || ' to ' || coalesce(nullif(x.end_date, ''), 'now')"
+_ASSESSED = "list_filter(signals.scores, lambda y: y.name = x.name)[1].score"
+
+
+def _record_sql(detailed: bool, roles: int | None = None, schools: int | None = None, skills: int | None = None, certificates: int | None = None) -> str:
+    span = [_SPAN] if detailed else []
+    more = _amount(_ASSESSED, " points") if detailed else _amount("x.endorsements", " endorsements")
+    last = ["'seen ' || signals.last_active_date", _amount("signals.recruiter_response_rate", " of messages answered")] if detailed else [f"'pay ' || {_RANGE}"]
+    parts = [
+        _line("headline", "profile.headline"),
+        _line("position", "profile.current_title", "profile.current_company", "profile.current_company_size || ' people'", "profile.current_industry"),
+        _line("experience", _amount("profile.years_of_experience", " years")),
+        _line("place", "profile.location", "profile.country"),
+        _line("summary", "profile.summary"),
+        _list("roles", "career_history", "x.title", "x.company", "x.industry", "x.company_size || ' people'", *span,
+              _amount("x.duration_months", " months"), "x.description", limit=roles),
+        _list("schools", "education", "x.degree", "x.field_of_study", "x.institution", "'from ' || x.start_year", "'until ' || x.end_year", limit=schools),
+        _list("skills", "skills", "x.name", "x.proficiency", _amount("x.duration_months", " months"), more, limit=skills),
+        _list("certificates", "certifications", "x.name", "x.issuer", "x.year::VARCHAR", limit=certificates),
+        _line("terms", "'open ' || signals.open_to_work_flag", "signals.preferred_work_mode", "'moves ' || signals.willing_to_relocate",
+              _amount("signals.notice_period_days", " days of notice"), *last),
+    ]
+    return over_pool(f"SELECT candidate_id, concat_ws(chr(10), {', '.join(parts)}) AS doc_text FROM pool")
+
+
+@register("doc_compact", _record_sql(False))
 def doc_compact(spark: SparkSession, sf: str) -> DataFrame:
     return documents.doc_compact(pool(spark, sf))
 
 
-_ROLE_DATES = "coalesce(x.start_date, '') || ' to ' || coalesce(nullif(x.end_date, ''), 'present') || ', ' || "
-_ASSESSED = "list_filter(signals.scores, lambda y: y.name = x.name)[1].score"
-_SKILL_FULL = (
-    "x.name || ' (' || x.proficiency || ', ' || " + num("coalesce(x.duration_months, 0)") + " || ' months used' || "
-    f"CASE WHEN {_ASSESSED} IS NULL THEN '' ELSE ', platform assessment score ' || {num(_ASSESSED)} END || ')'"
-)
-_FULL = f"""concat_ws({_NL}, {_HEAD},
-  'Years of experience: ' || {num('profile.years_of_experience')} || '. Location: ' || coalesce(profile.location, '') || ', ' || profile.country || '.',
-  'Summary: ' || coalesce(profile.summary, ''),
-  CASE WHEN len(career_history) > 0 THEN 'Career history:' || chr(10) || array_to_string(list_transform(career_history, lambda x: {_ROLE_TEXT.format(dates=_ROLE_DATES)}), chr(10)) END,
-  CASE WHEN len(education) > 0 THEN 'Education:' || chr(10) || array_to_string(list_transform(education, lambda x: {_EDU_TEXT}), chr(10)) END,
-  {_lines('skills', 'Skills: ', _SKILL_FULL, "'; '")},
-  {_lines('certifications', 'Certifications: ', _CERT_TEXT, "'; '")},
-  'Platform activity: open to work = ' || signals.open_to_work_flag || ', last active = ' || coalesce(signals.last_active_date, '')
-  || ', recruiter response rate = ' || {num('signals.recruiter_response_rate')} || ', notice period = ' || {num('signals.notice_period_days')}
-  || ' days, preferred work mode = ' || signals.preferred_work_mode || ', willing to relocate = ' || coalesce(signals.willing_to_relocate::VARCHAR, '') || '.')"""
-
-
-@register("doc_full", over_pool(f"SELECT candidate_id, {_FULL} AS doc_text FROM pool"))
+@register("doc_compact_limited", _record_sql(False, 6, 4, 25, 10))
+def doc_compact_limited(spark: SparkSession, sf: str) -> DataFrame:
+    """The limits are the feature of this query: a text of bounded length."""
+    return documents.doc_compact(pool(spark, sf), max_roles=6, max_education=4, max_skills=25, max_certifications=10)
+
+
+@register("doc_full", _record_sql(True))
 def doc_full(spark: SparkSession, sf: str) -> DataFrame:
     return documents.doc_full(pool(spark, sf))
 
@@ -624,9 +617,7 @@ _FIELD_DATES = """, field_dates AS (SELECT unnest([signals.signup_date, signals.
   greatest(max({dstrict('s')}), DATE '1970-01-01')::VARCHAR AS strict FROM field_dates"""))
 def ref_date_fields(spark: SparkSession, sf: str) -> DataFrame:
     source = pool(spark, sf)
-    loose = calibrate.ref_date_fields(source).select(F.col("reference_date").cast("string").alias("loose"))
-    strict = calibrate.ref_date_fields(source, strict=True).select(F.col("reference_date").cast("string").alias("strict"))
-    return loose.withColumn("k", F.lit(1)).join(strict.withColumn("k", F.lit(1)), "k").drop("k")
+    return source.agg(*[calibrate.latest_date(strict).cast("string").alias(n) for n, strict in (("loose", False), ("strict", True))])
 
 
 @register("ref_date_any_string", over_pool(REF + " SELECT d::VARCHAR AS reference_date FROM ref"))

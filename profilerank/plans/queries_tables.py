@@ -490,17 +490,18 @@ def score_validate(spark: SparkSession, sf: str) -> DataFrame:
     return checked.filter("result IS NOT NULL").select(ID, "result.*")
 
 
-_NOTE = "'FALLBACK: no parseable answer after 3 attempts. Last raw answer: ' || substr(a.raw, 1, 150)"
+_NOTE = "'no usable answer in 3 attempts'"
+_LEFT = "s.candidate_id IS NULL AS fallback, CASE WHEN s.candidate_id IS NULL THEN a.raw END AS fallback_answer"
 
 
 @register("fallback_row", _SCORES + f""" SELECT a.candidate_id, {', '.join(f'coalesce({n}, 0) AS {n}' for n in R.SUBSCORES)}, coalesce(hard_disqualifier, false) AS hard_disqualifier, disqualifier_reason,
-  CASE WHEN s.candidate_id IS NULL THEN {_NOTE} ELSE brief_rationale END AS brief_rationale, coalesce(total_score, 0) AS total_score, s.candidate_id IS NULL AS fallback FROM answers a LEFT JOIN scores s ON a.candidate_id = s.candidate_id""")
+  CASE WHEN s.candidate_id IS NULL THEN {_NOTE} ELSE brief_rationale END AS brief_rationale, coalesce(total_score, 0) AS total_score, {_LEFT} FROM answers a LEFT JOIN scores s ON a.candidate_id = s.candidate_id""")
 def fallback_row(spark: SparkSession, sf: str) -> DataFrame:
     return responses.fallback_row(responses.with_score(_raw(spark, sf, _SCORE_RAW)))
 
 
 @register("fallback_verdict", _VERDICTS + f""" SELECT a.candidate_id, coalesce(is_honeypot, false) AS is_honeypot, violation_category, evidence,
-  CASE WHEN s.candidate_id IS NULL THEN {_NOTE} ELSE brief_rationale END AS brief_rationale, s.candidate_id IS NULL AS fallback FROM answers a LEFT JOIN verdicts s ON a.candidate_id = s.candidate_id""")
+  CASE WHEN s.candidate_id IS NULL THEN {_NOTE} ELSE brief_rationale END AS brief_rationale, {_LEFT} FROM answers a LEFT JOIN verdicts s ON a.candidate_id = s.candidate_id""")
 def fallback_verdict(spark: SparkSession, sf: str) -> DataFrame:
     return responses.fallback_row(responses.with_verdict(_raw(spark, sf, _VERDICT_RAW)), verdict=True)
 

@@ -110,12 +110,14 @@ def test_documents(records):
         "career_history": [{"title": f"T{i}", "duration_months": 3, "end_date": "" if i else "2020-01-01"} for i in range(8)],
         "skills": [{"name": "Python", "proficiency": "expert"}], "signals": {"open_to_work_flag": True, "skill_assessment_scores": {"Python": 91.5}}})
     short, full = documents.doc_compact(pool).first()[1], documents.doc_full(pool).first()[1]
-    assert short.startswith("Headline: H\nCurrent role:  at  ( employees,  industry)\nExperience: 5.5 years. Location: Pune, .\nSummary: \nCareer history:\n- T0 at ")
-    assert "T5" in short and "T6" not in short and "T7" in full
-    assert "Education:" not in short and "Certifications:" not in full
-    assert "Skills: Python (expert, 0mo, 0 endorsements)" in short and short.endswith("Expected salary: unspecified.")
-    assert "Python (expert, 0 months used, platform assessment score 91.5)" in full
-    assert " to 2020-01-01, 3 months" in full and " to present, 3 months" in full
+    assert short.startswith("[headline] H\n[experience] 5.5 years\n[place] Pune\n[roles]\n* T0 | 3 months\n* T1 | 3 months")
+    assert "T7" in short and "T7" in full  # no section is cut unless a limit is given
+    limited = documents.doc_compact(pool, max_roles=6).first()[1]
+    assert "T5" in limited and "T6" not in limited
+    assert "[schools]" not in short and "[certificates]" not in full and "[position]" not in short
+    assert "[skills]\n* Python | expert\n" in short and short.endswith("[terms] open true | pay unspecified")
+    assert "* Python | expert | 91.5 points" in full
+    assert "* T0 | ? to 2020-01-01 | 3 months" in full and "* T1 | ? to now | 3 months" in full
 
 
 def test_raw_facts(records):

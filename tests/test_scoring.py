@@ -23,7 +23,7 @@ def test_waves_ask_only_for_failures(spark):
     answers = responses.pointwise_apply(rows, scorer, responses.with_verdict, max_retries=2)
     assert {r[ID]: (r["attempt"], r["result"] is None) for r in answers.collect()} == {ident(0): (0, False), ident(1): (2, True)}
     flat = {r[ID]: r for r in responses.fallback_row(answers, verdict=True).collect()}
-    assert flat[ident(1)]["fallback"] and not flat[ident(1)]["is_honeypot"] and flat[ident(1)]["brief_rationale"].endswith("answer: ?")
+    assert flat[ident(1)]["fallback"] and not flat[ident(1)]["is_honeypot"] and flat[ident(1)]["fallback_answer"] == "?"
     assert not flat[ident(0)]["fallback"]
 
 
