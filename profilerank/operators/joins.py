@@ -17,8 +17,13 @@ def _ids(df: DataFrame) -> DataFrame:
 
 
 def join_flags_left(ranked: DataFrame, flags: DataFrame, flag: str = "honeypot_flag") -> DataFrame:
-    """Ranked rows with their flag; ``flag_missing`` marks rows without one, which count as clean."""
-    marked = flags.withColumn("_known", F.lit(True))
+    """Ranked rows with their flag; ``flag_missing`` marks rows without one, which count as clean.
+
+    An id with several flags counts as flagged if any is true, and takes the other columns of that row.
+    """
+    rest = [c for c in flags.columns if c not in (ID, flag)]
+    best = F.max(F.struct(F.coalesce(flag, F.lit(False)).alias(flag), *rest)).alias("_best")
+    marked = flags.groupBy(ID).agg(best).select(ID, *[F.col(f"_best.`{c}`").alias(c) for c in (flag, *rest)], F.lit(True).alias("_known"))
     return ranked.join(marked, ID, "left").withColumns({
         flag: F.coalesce(flag, F.lit(False)), "flag_missing": F.col("_known").isNull()}).drop("_known")
 
@@ -58,8 +63,8 @@ def unmatched_labels(features: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def join_pool_labels(pool: DataFrame, labels: DataFrame, grade: str = "relevance_grade") -> DataFrame:
-    """All pool rows with their grade; rows without a label are grade 0."""
-    return pool.join(labels.select(ID, grade), ID, "left").withColumn(grade, F.coalesce(grade, F.lit(0)))
+    """All pool rows with their grade, the highest of an id with several; rows without a label are grade 0."""
+    return pool.join(labels.groupBy(ID).agg(F.max(grade).alias(grade)), ID, "left").withColumn(grade, F.coalesce(grade, F.lit(0)))
 
 
 def union_parts(parts: list[DataFrame]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.numbers import flag_parse, half_even, num_coerce
 from ..functions.ordinals import MAX_GRADE, label_gain, rank_to_grade
 from ..schema import ID
-from ..session import broadcast_checked
+from ..session import materialize
 from .ranking import global_rank
 
 
@@ -34,7 +34,7 @@ def grade_labels(ranks: DataFrame, flagged: DataFrame | None = None) -> DataFram
 def grade_override(graded: DataFrame, flagged: DataFrame | None) -> DataFrame:
     if flagged is None:
         return graded.withColumn("honeypot_override_applied", F.lit(0))
-    marks = flagged.select(ID, F.lit(1).alias("honeypot_override_applied"))
+    marks = flagged.select(ID).distinct().select(ID, F.lit(1).alias("honeypot_override_applied"))
     joined = graded.join(marks, ID, "left").withColumn("honeypot_override_applied", F.coalesce("honeypot_override_applied", F.lit(0)))
     return joined.withColumn("relevance_grade", F.when(F.col("honeypot_override_applied") == 1, 0).otherwise(F.col("relevance_grade")))
 
@@ -66,18 +66,39 @@ def validation_size(rows: Column, fraction: float) -> Column:
 
 
 def stratified_split(labels: DataFrame, fraction: float = 0.15, seed: int = 42, grade: str = "relevance_grade") -> DataFrame:
-    """Adds ``split`` (train or val), the same share of every grade.
+    """Adds ``split`` (train or val), the same share of every grade; rows without a grade are for training.
 
-    The order inside a grade is the hash of seed and id. One grade holds most rows, so grades are
-    not windows: all rows are ranked together by (grade, hash, id), and the position inside the
-    grade is the rank less the rows of the lower grades.
+    The order inside a grade is the hash of seed and id, and the first rows of it validate. Only keys of rows whose hash
+    lies below a bound, set with a margin from the grade's count, are sorted; if a bound turns out too low it is doubled.
+    The rows themselves are neither sorted nor stored: the last validation key of each grade decides.
     """
     hashed = labels.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), F.col(ID))))
-    ranked = global_rank(hashed, [grade, "_h", ID], "_r")
-    sizes = ranked.groupBy(grade).agg(F.count("*").alias("_n"), F.min("_r").alias("_first"))
-    placed = ranked.join(broadcast_checked(sizes), grade)
-    chosen = F.col("_r") - F.col("_first") < validation_size(F.col("_n"), fraction)
-    return placed.withColumn("split", F.when(chosen, "val").otherwise("train")).drop("_h", "_r", "_n", "_first")
+    keys = hashed.filter(F.col(grade).isNotNull()).select(grade, "_h", ID)
+    sizes = keys.groupBy(grade).agg(F.count("*").alias("n"))
+    wanted = {r[grade]: (r["n"], r["v"]) for r in sizes.select(grade, "n", validation_size(F.col("n"), fraction).alias("v")).collect() if r["v"]}
+    if not wanted:
+        return hashed.withColumn("split", F.lit("train")).drop("_h")
+    factor = 1.0
+    while True:
+        bounds = {g: min(1.0, factor * (v + 4 * v ** 0.5 + 10) / n) for g, (n, v) in wanted.items()}
+        low = F.lit(False)
+        for g, bound in bounds.items():
+            low = low | ((F.col(grade) == g) & (F.lit(bound >= 1) | (F.col("_h") < f"{int(bound * 16 ** 8):08x}")))
+        near = materialize(keys.filter(low), "split_keys")
+        found = {r[grade]: r["n"] for r in near.groupBy(grade).agg(F.count("*").alias("n")).collect()}
+        if all(found.get(g, 0) >= v for g, (_, v) in wanted.items()):
+            break
+        factor *= 2
+    last, upto = [], 0
+    for g in sorted(found):
+        last.append(upto + wanted[g][1])
+        upto += found[g]
+    ends = global_rank(near, [grade, "_h", ID], "_r").filter(F.col("_r").isin(last)).collect()
+    chosen = F.lit(False)
+    for row in ends:
+        upto_end = F.struct("_h", ID) <= F.struct(F.lit(row["_h"]), F.lit(row[ID]))
+        chosen = chosen | ((F.col(grade) == row[grade]) & upto_end)
+    return hashed.withColumn("split", F.when(chosen, "val").otherwise("train")).drop("_h")
 
 
 def dataset_assemble(features: DataFrame, labels: DataFrame, fraction: float = 0.15, seed: int = 42) -> DataFrame:

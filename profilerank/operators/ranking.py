@@ -118,66 +118,68 @@ class NotEnoughClean(ValueError):
     """The pool, or the allowed number of checks, ended before the top was filled."""
 
 
-def _judged(checked: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The checked rows, whose number a parameter bounds, with their verdicts.
+class Unaudited(ValueError):
+    """A row that had to be checked has no verdict."""
 
-    The verdicts may cover a whole pool; they are reduced to the checked ids without a shuffle.
-    """
-    known = verdicts.select(ID, "is_honeypot").join(F.broadcast(checked.select(ID)), ID, "left_semi")
-    return checked.join(known, ID, "left")
+
+def _judged(merged: DataFrame, verdicts: DataFrame, upto: int) -> DataFrame:
+    """(candidate_id, merged_rank, is_honeypot) of the rows down to a rank; NULL where there is no verdict."""
+    return merged.filter(F.col("merged_rank") <= upto).select(ID, "merged_rank").join(verdicts.select(ID, "is_honeypot"), ID, "left")
 
 
 def gap_fill_cursor(merged: DataFrame, verdicts: DataFrame, k: int, batch: int, max_checks: int) -> int:
     """How many rows from the top are checked, in batches, until k clean ones are found.
 
-    Only the rows that may be checked at all are read, and of those the k best clean ones.
+    Only the rows that may be checked at all are read, and of those the k best clean ones. A row without a verdict is
+    not clean: if one lies above the cursor, or if the clean ones do not suffice because of it, that is an error.
     """
     bound = -(-max_checks // batch) * batch
-    judged = _judged(merged.filter(F.col("merged_rank") <= bound).select(ID, "merged_rank"), verdicts)
-    clean = judged.filter(~F.coalesce("is_honeypot", F.lit(False))).select("merged_rank")
+    judged = materialize(_judged(merged, verdicts, bound), "judged")
+    clean = judged.filter(~F.col("is_honeypot")).select("merged_rank")
     found = clean.orderBy("merged_rank").limit(k).agg(F.count("*"), F.max("merged_rank")).first()
+    last = -(-found[1] // batch) * batch if found[0] == k else bound
+    open_rows = judged.filter(F.col("is_honeypot").isNull() & (F.col("merged_rank") <= last)).agg(F.count("*"), F.min(F.struct("merged_rank", ID))).first()
+    if open_rows[0]:
+        raise Unaudited(f"{open_rows[0]} rows down to rank {last} have no verdict, first {open_rows[1][ID]} at rank {open_rows[1]['merged_rank']}")
     if found[0] < k:
         raise NotEnoughClean(f"{found[0]} of {k} clean rows within {bound} checks")
-    last = -(-found[1] // batch) * batch
     if last - batch >= max_checks:
         raise NotEnoughClean(f"more than {max_checks} checks are needed for {k} clean rows")
-    total = merged.agg(F.max("merged_rank")).first()[0]
-    return min(last, total)
+    return last
 
 
-def gap_fill_topk(
-    merged: DataFrame, verdicts: DataFrame, k: int = 100, batch: int = 10, max_checks: int = 5000,
-) -> DataFrame:
+def gap_fill_topk(merged: DataFrame, verdicts: DataFrame, k: int, batch: int, max_checks: int) -> DataFrame:
     """(candidate_id, final_rank, honeypot_flag): a ranking whose first k rows are checked clean.
 
     Flagged rows among the checked ones go to the end. The new rank of every other row follows by
     arithmetic, so the table is not sorted again: rows below the cursor move up by the number of
     moved rows, and only the checked rows (at most ``max_checks`` and one batch) need their own count.
     """
-    cursor = gap_fill_cursor(merged, verdicts, k, batch, max_checks)
-    checked = _judged(merged.filter(F.col("merged_rank") <= cursor).select(ID, "merged_rank"), verdicts).select(
-        ID, "merged_rank", F.coalesce("is_honeypot", F.lit(False)).alias("moved"))
-    total = merged.agg(F.max("merged_rank")).first()[0]
-    # The checked rows are bounded by max_checks, a parameter; one sort of them fits one task.
-    upto = Window.orderBy("merged_rank").rowsBetween(Window.unboundedPreceding, 0)
-    counted = checked.withColumn("moved_upto", F.sum(F.col("moved").cast("bigint")).over(upto))
+    total = merged.agg(F.max("merged_rank")).first()[0] or 0
+    cursor = min(gap_fill_cursor(merged, verdicts, k, batch, max_checks), total)
+    checked = _judged(merged, verdicts, cursor).select(ID, "merged_rank", F.col("is_honeypot").alias("moved"), F.col("is_honeypot").cast("bigint").alias("_m"))
+    counted = running_totals(checked, ["merged_rank"], {"moved_upto": "_m"})
     moves = counted.agg(F.coalesce(F.max("moved_upto"), F.lit(0))).first()[0]
     placed = counted.select(ID, "moved", F.when(F.col("moved"), total - moves + F.col("moved_upto"))
                             .otherwise(F.col("merged_rank") - F.col("moved_upto")).alias("new_rank"))
-    joined = merged.join(F.broadcast(placed), ID, "left")
+    joined = merged.join(placed, ID, "left")
     return joined.select(
         ID, F.coalesce("new_rank", F.col("merged_rank") - moves).alias("final_rank"),
         F.coalesce("moved", "initial_flag").alias("honeypot_flag"))
 
 
-def flag_share_topk(ranked: DataFrame, flag: str, n: int = 100, rank: str = "rank") -> DataFrame:
-    """One row: rows in the top n, flagged rows among them, percent."""
-    top = topn_prefix(ranked, n, rank)
+def flag_share(top: DataFrame, flag: str) -> DataFrame:
+    """One row: rows, flagged rows among them, percent."""
     total, flagged = F.count("*"), F.count_if(F.coalesce(flag, F.lit(False)))
     return top.agg(total.alias("top_rows"), flagged.alias("flagged"),
                    F.coalesce(F.try_divide(flagged * 100.0, total), F.lit(0.0)).alias("flagged_percent"))
 
 
+def flag_share_topk(ranked: DataFrame, flag: str, n: int = 100, rank: str = "rank") -> DataFrame:
+    """``flag_share`` of the top n of a ranked table."""
+    return flag_share(topn_prefix(ranked, n, rank), flag)
+
+
 def check_flag_share(ranked: DataFrame, flag: str, n: int = 100, limit: float = 10.0, rank: str = "rank") -> float:
     """The flagged percent of the top n; an error above the limit."""
     percent = flag_share_topk(ranked, flag, n, rank).first()["flagged_percent"]

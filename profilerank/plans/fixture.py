@@ -234,7 +234,7 @@ def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pool as a stored table, built once per session and data folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _POOLS:
-        _POOLS[key] = materialize(build_pool(spark, sf_dir), "pool")
+        _POOLS[key] = materialize(build_pool(spark, sf_dir), "pool", keep=True)
     return _POOLS[key]
 
 

@@ -177,6 +177,15 @@ def join_flags_left(spark: SparkSession, sf: str) -> DataFrame:
     return joins.join_flags_left(tied_scores(spark, sf), toxic_flags(spark, sf)).select(ID, "score", "honeypot_flag", "flag_missing")
 
 
+@register("join_flags_left_repeated", f"""WITH {_SCORED}, f AS (SELECT doc_id, bool_or(toxic = 1) AS t FROM (SELECT doc_id, toxic FROM labels UNION ALL SELECT doc_id, 0 FROM labels UNION ALL SELECT doc_id, 1 FROM labels WHERE doc_id % 9 = 0) GROUP BY doc_id)
+  SELECT candidate_id, score, coalesce(t, false) AS honeypot_flag, f.doc_id IS NULL AS flag_missing FROM scored s LEFT JOIN f ON s.doc_id = f.doc_id""")
+def join_flags_left_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Every id has two or three flags."""
+    flags = table(spark, sf, "labels").select(_id("doc_id").alias(ID), "doc_id", (F.col("toxic") == 1).alias("honeypot_flag"))
+    again = flags.withColumn("honeypot_flag", F.lit(False)).unionByName(flags.filter("doc_id % 9 = 0").withColumn("honeypot_flag", F.lit(True)))
+    return joins.join_flags_left(tied_scores(spark, sf), flags.unionByName(again).drop("doc_id")).select(ID, "score", "honeypot_flag", "flag_missing")
+
+
 @register("semi_lookup", f"SELECT {DOC_ID} AS candidate_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 0)")
 def semi_lookup(spark: SparkSession, sf: str) -> DataFrame:
     wanted = table(spark, sf, "labels").filter("quality = 0").select(_id("doc_id").alias(ID))
@@ -257,7 +266,8 @@ def rerank_total(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("topn_prefix", _RANKED + " SELECT candidate_id, rank FROM ranked WHERE rank <= 30")
 def topn_prefix(spark: SparkSession, sf: str) -> DataFrame:
-    return ranking.topn_prefix(ranking.rank_scores(tied_scores(spark, sf)), 30).select(ID, "rank")
+    """Only the 30 best rows are ranked; the others are neither sorted nor stored."""
+    return ranking.rank_scores(ranking.top_n(tied_scores(spark, sf), 30)).select(ID, "rank")
 
 
 # The first ranking holds the labelled documents, the second one all; toxic ones are flagged there.
@@ -303,8 +313,8 @@ def gap_fill_topk(spark: SparkSession, sf: str) -> DataFrame:
 @register("flag_share_topk", f"""WITH {_SCORED}, {_FLAGGED}, r AS (SELECT s.*, toxic, row_number() OVER (ORDER BY score DESC, candidate_id) AS rank FROM scored s LEFT JOIN flagged f ON s.doc_id = f.doc_id)
   SELECT count(*) AS top_rows, count(*) FILTER (WHERE toxic) AS flagged, 100.0::DOUBLE * count(*) FILTER (WHERE toxic) / count(*) AS flagged_percent FROM r WHERE rank <= 100""")
 def flag_share_topk(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = ranking.rank_scores(tied_scores(spark, sf)).join(toxic_flags(spark, sf), ID, "left")
-    return ranking.flag_share_topk(ranked, "honeypot_flag", 100)
+    best = ranking.top_n(tied_scores(spark, sf), 100)
+    return ranking.flag_share(best.join(toxic_flags(spark, sf), ID, "left"), "honeypot_flag")
 
 
 # --- set operations ---

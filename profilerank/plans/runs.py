@@ -29,7 +29,7 @@ class Audit:
 
 def audit_run(
     pool: DataFrame, first: DataFrame, second: DataFrame, scorer: responses.Scorer, reference: str,
-    thresholds: integrity.Thresholds, k: int = 100, batch: int = 10, max_checks: int = 500,
+    thresholds: integrity.Thresholds, k: int = 100, batch: int = 10, *, max_checks: int,
 ) -> Audit:
     """Fills a clean top k: checks rows from the top with an external scorer until k are clean.
 

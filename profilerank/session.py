@@ -7,50 +7,61 @@ executors, and unlike a row checkpoint the second reader still prunes columns.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_DIRS: dict[str, str] = {}
+# (application, path) of every intermediate table that may still be there.
+_LIVE: list[tuple[str, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables and stream checkpoints.
+    """The folder for intermediate tables and stream checkpoints: ``spark.checkpoint.dir``.
 
-    A folder of the machine itself is only taken in local mode.
+    Without that setting it is a folder below the warehouse, which executors reach as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return configured.rstrip("/") if configured else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+
+
+def new_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A path below the shared folder that nothing else uses; a surrounding ``scratch`` deletes it unless it is kept."""
     app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="profilerank-")
-    return _LOCAL_DIRS[app]
+    path = f"{shared_dir(spark)}/profilerank/{app}/{name}-{uuid.uuid4().hex}"
+    if not keep:
+        _LIVE.append((app, path))
+    return path
+
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/profilerank/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, what steps inside have stored. The result of a run must be written inside."""
+    before = len(_LIVE)
+    try:
+        yield
+    finally:
+        app = spark.sparkContext.applicationId
+        for owner, path in _LIVE[before:]:
+            if owner == app:
+                delete_path(spark, path)
+        del _LIVE[before:]
 
-def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+
+def materialize(df: DataFrame, name: str = "step", keep: bool = False) -> DataFrame:
     """Write ``df`` once and return the written table."""
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = new_path(spark, name, keep)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A side of a join that is expected to be tiny: computed once and broadcast if it has at most
-    ``max_rows`` rows, else the table as it is and the planner's choice."""
-    rows = df.limit(max_rows + 1).collect()
-    return df if len(rows) > max_rows else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def partitions_for(*inputs: DataFrame, target_bytes: int = 256 << 20) -> int:
     """Number of partitions for work on the inputs: one per 256 MB of files, at least one per core.
 

@@ -16,8 +16,9 @@ TABLES = (
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_session("local[8]", **{
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session

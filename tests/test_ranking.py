@@ -1,9 +1,13 @@
 """Ranks, merges and the clean top-k against plain Python."""
 
+import os
 import random
 
 import pytest
-from profilerank.operators import joins, ranking
+from pyspark.sql import functions as F
+
+from profilerank.operators import joins, labels, ranking
+from profilerank.session import scratch, shared_dir
 
 
 def scores(spark, rows, schema="candidate_id string, score double"):
@@ -103,6 +107,40 @@ def test_gap_fill_equals_the_walk(spark, seed):
         assert [tuple(r) for r in got] == wanted
 
 
+@pytest.mark.parametrize("known", [3, 6])
+def test_gap_fill_refuses_rows_without_a_verdict(spark, known):
+    merged = spark.createDataFrame([(ident(i), i, False) for i in range(1, 13)], "candidate_id string, merged_rank bigint, initial_flag boolean")
+    verdicts = spark.createDataFrame([(ident(i), False) for i in range(1, 1 + known)], "candidate_id string, is_honeypot boolean")
+    with pytest.raises(ranking.Unaudited, match=ident(known + 1)):
+        ranking.gap_fill_topk(merged, verdicts, 5, 4 if known == 6 else 5, 12)
+
+
+def test_repeated_flags_do_not_multiply_rows(spark):
+    ranked = spark.createDataFrame([("a", 1), ("b", 2)], "candidate_id string, rank int")
+    flags = spark.createDataFrame([("a", False, "x"), ("a", True, "y"), ("a", None, "z")], "candidate_id string, honeypot_flag boolean, reasons string")
+    got = sorted(map(tuple, joins.join_flags_left(ranked, flags).select("candidate_id", "honeypot_flag", "reasons", "flag_missing").collect()))
+    assert got == [("a", True, "y", False), ("b", False, None, True)]
+
+
+def test_scratch_leaves_nothing(spark, tmp_path):
+    root = f"{shared_dir(spark)}/profilerank/{spark.sparkContext.applicationId}"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    with scratch(spark):
+        rows = spark.range(100).select(F.col("id").cast("string").alias("candidate_id"), (F.col("id") % 7).alias("score"))
+        ranking.rank_scores(rows).write.parquet(f"{tmp_path}/out")
+        assert set(os.listdir(root)) - before
+    assert set(os.listdir(root)) == before and spark.read.parquet(f"{tmp_path}/out").count() == 100
+
+
+def test_split_with_one_grade_of_nearly_all_rows(spark):
+    rows = spark.range(4000).select(F.concat(F.lit("c"), "id").alias("candidate_id"), F.when(F.col("id") % 20 == 0, F.col("id") % 3).otherwise(5).cast("int").alias("relevance_grade"))
+    got = labels.stratified_split(rows, 0.15, 7)
+    counts = {(r["relevance_grade"], r["split"]): r["count"] for r in got.groupBy("relevance_grade", "split").count().collect()}
+    assert counts[5, "val"] == 570 and counts[5, "train"] == 3230
+    small = labels.stratified_split(rows.limit(1), 0.15, 7).collect()
+    assert [r["split"] for r in small] == ["train"]
+
+
 def test_merge(spark):
     first = spark.createDataFrame([("b", 2), ("a", 1)], "candidate_id string, final_rank int")
     second = spark.createDataFrame([("a", 1, True), ("d", 3, True), ("c", 2, None)], "candidate_id string, rank int, f boolean")
