@@ -6,6 +6,7 @@ rows: boosted trees, or a linear model whose attributions are exact.
 
 from __future__ import annotations
 
+import json
 import random
 from dataclasses import dataclass, field
 
@@ -13,16 +14,18 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.numbers import num_coerce
 from ..schema import ID
 from .evaluate import evaluate
 from .features import CATEGORICAL_COLUMNS, FEATURE_COLUMNS
 
-CATEGORICAL_SHIFT = 1
 SCORE = "predicted_score"
 
+#: What an absent value is to the learner: trees can split it off from every real value, a linear model takes zero.
+MISSING = {"gbt": -1e6, "linear": 0.0}
+
 # --- fixed values: choices of the random search ---
 SEARCH_SPACE = {
     "maxDepth": [3, 4, 5, 6],
@@ -51,12 +54,12 @@ def coerce_features(
 ) -> DataFrame:
     """Feature columns as doubles; unknown columns and values are NULL, or ``missing`` when given.
 
-    Categorical codes move up by one, so that "unknown" (-1 or missing) is code 0.
+    Categorical columns are whole codes in an order of their own, -1 where the value is unknown.
     """
     def one(name: str):
         value = num_coerce(F.col(name)) if name in df.columns else F.lit(None).cast("double")
         if name in categorical:
-            return F.floor(F.coalesce(value, F.lit(-1.0))).cast("double") + CATEGORICAL_SHIFT
+            return F.floor(F.coalesce(value, F.lit(-1.0))).cast("double")
         return value if missing is None else F.coalesce(F.nanvl(value, F.lit(missing)), F.lit(missing))
 
     kept = [c for c in df.columns if c not in features]
@@ -83,14 +86,17 @@ def train_ranker(
 
     Boosting stops when the validation rows stop improving; the linear model sees training rows only.
     """
-    rows = coerce_features(dataset, features, categorical, missing=0.0).withColumn("_val", F.col("split") == "val")
+    rows = coerce_features(dataset, features, categorical, MISSING[kind]).withColumn("_val", F.col("split") == "val")
     used = rows if kind == "gbt" else rows.filter(~F.col("_val"))
     return Ranker(_pipeline(kind, features, params, seed).fit(used), features, categorical, kind, params)
 
 
 def predict_pool(ranker: Ranker, pool: DataFrame, keep: tuple[str, ...] = (ID,)) -> DataFrame:
-    """(keep…, predicted_score) for every row; feature columns the pool lacks count as missing."""
-    rows = coerce_features(pool, ranker.features, ranker.categorical, missing=0.0)
+    """(keep…, predicted_score) for every row. A feature the pool has no column for is an error, a NULL is a missing value."""
+    absent = [f for f in ranker.features if f not in pool.columns]
+    if absent:
+        raise ValueError(f"the pool lacks features the ranker was trained on: {', '.join(absent)}")
+    rows = coerce_features(pool, ranker.features, ranker.categorical, MISSING[ranker.kind])
     return ranker.model.transform(rows).select(*keep, SCORE)
 
 
@@ -99,18 +105,18 @@ def evaluate_ranker(ranker: Ranker, dataset: DataFrame, split: str) -> DataFrame
     return evaluate(scored, SCORE, "relevance_grade")
 
 
-def sample_params(trials: int, seed: int = 42) -> list[dict]:
+def sample_params(trials: int, seed: int = 42, space: dict | None = None) -> list[dict]:
     rng = random.Random(seed)
-    return [{name: rng.choice(choices) for name, choices in SEARCH_SPACE.items()} for _ in range(trials)]
+    return [{name: rng.choice(choices) for name, choices in (space or SEARCH_SPACE).items()} for _ in range(trials)]
 
 
-def tune_ranker(dataset: DataFrame, trials: int = 5, seed: int = 42, **kwargs) -> tuple[Ranker, list[dict]]:
+def tune_ranker(dataset: DataFrame, trials: int = 5, seed: int = 42, space: dict | None = None, **kwargs) -> tuple[Ranker, list[dict]]:
     """Random search by validation composite, then a training with the best parameters.
 
     Each trial uses the whole cluster; the search returns its trials, best first.
     """
     results = []
-    for number, params in enumerate(sample_params(trials, seed)):
+    for number, params in enumerate(sample_params(trials, seed, space)):
         ranker = train_ranker(dataset, seed=seed, **kwargs, **params)
         row = evaluate_ranker(ranker, dataset, "val").first()
         results.append({"trial": number, "composite": row["composite"], "params": params})
@@ -127,12 +133,27 @@ def attribution(ranker: Ranker, rows: DataFrame) -> DataFrame:
     if ranker.kind != "linear":
         raise ValueError("exact attributions need a linear ranker")
     learner = ranker.model.stages[-1]
-    coerced = coerce_features(rows, ranker.features, ranker.categorical, missing=0.0)
-    scored = ranker.model.transform(coerced).select(ID, SCORE, vector_to_array("_scaled").alias("_x"))
+    # The row travels along as one value; nothing is joined back.
+    kept = [c for c in rows.columns if c != SCORE]
+    whole = rows.select(*rows.columns, F.struct(*kept).alias("_row"))
+    scored = ranker.model.transform(coerce_features(whole, ranker.features, ranker.categorical, MISSING["linear"]))
     weights = F.array(*[F.lit(float(w)) for w in learner.coefficients])
-    explained = scored.select(ID, SCORE, F.zip_with("_x", weights, lambda x, w: x * w).alias("contributions"),
-                              F.lit(float(learner.intercept)).alias("bias"))
-    return rows.drop(SCORE).join(explained, ID)
+    parts = F.zip_with(vector_to_array("_scaled"), weights, lambda x, w: x * w)
+    return scored.select(*[F.col(f"_row.`{c}`").alias(c) for c in kept], SCORE, parts.alias("contributions"),
+                         F.lit(float(learner.intercept)).alias("bias"))
+
+
+def save_ranker(ranker: Ranker, path: str) -> None:
+    """Writes the fitted model and what scoring needs to know beside it."""
+    ranker.model.write().overwrite().save(f"{path}/model")
+    spark = SparkSession.getActiveSession()
+    facts = json.dumps({"features": ranker.features, "categorical": ranker.categorical, "kind": ranker.kind, "params": ranker.params})
+    spark.createDataFrame([(facts,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/facts")
+
+
+def load_ranker(spark: SparkSession, path: str) -> Ranker:
+    """The ranker that ``save_ranker`` wrote, in this or another job."""
+    return Ranker(PipelineModel.load(f"{path}/model"), **json.loads(spark.read.text(f"{path}/facts").first()[0]))
 
 
 def attribution_error(explained: DataFrame) -> DataFrame:

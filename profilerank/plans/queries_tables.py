@@ -146,7 +146,7 @@ def flag_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("num_coerce", f"""SELECT {DOC_ID} AS candidate_id, TRY_CAST(raw AS DOUBLE) AS value, NULL::DOUBLE AS absent,
-  floor(coalesce(TRY_CAST(raw AS DOUBLE), -1)) + 1 AS code FROM (SELECT doc_id, {_MESSY} AS raw FROM documents)""")
+  floor(coalesce(TRY_CAST(raw AS DOUBLE), -1)) AS code FROM (SELECT doc_id, {_MESSY} AS raw FROM documents)""")
 def num_coerce(spark: SparkSession, sf: str) -> DataFrame:
     raw = _messy(spark, sf).select(ID, F.col("raw").alias("value"), F.col("raw").alias("code"))
     return model.coerce_features(raw, ["value", "absent", "code"], ["code"])
@@ -870,47 +870,88 @@ def reason_payload(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- models ---
 
-_MODEL_FEATURES = ["n_chars", "words", "lines", "the_hits"]
+# A linear model without a penalty on one feature is the regression line, and one boosting round of depth 1 on a yes-no
+# feature is the mean gain of either side, so SQL can predict what the rankers must.
+_LINE, _SIDE = ["words"], ["is_long"]
+_MODEL_ROWS = f"""rows AS (SELECT {DOC_ID} AS candidate_id, doc_id, len(string_split(text, ' '))::DOUBLE AS words, (n_chars > 1500)::INT::DOUBLE AS is_long FROM documents),
+labelled AS (SELECT r.*, greatest(quality * 4 + r.doc_id % 3 - toxic, 0) AS relevance_grade FROM rows r JOIN labels l ON r.doc_id = l.doc_id),
+placed_l AS (SELECT *, row_number() OVER (PARTITION BY relevance_grade ORDER BY md5('42:' || candidate_id), candidate_id) AS p, count(*) OVER (PARTITION BY relevance_grade) AS n FROM labelled),
+dataset AS (SELECT *, (2 ** relevance_grade - 1)::DOUBLE AS gain, CASE WHEN p <= (CASE WHEN n > 1 THEN greatest(1, round_even(n * 0.15::DOUBLE, 0)) ELSE 0 END) THEN 'val' ELSE 'train' END AS split FROM placed_l),
+line AS (SELECT regr_slope(gain, words) AS b, regr_intercept(gain, words) AS a, avg(words) AS mx, avg(gain) AS my FROM dataset WHERE split = 'train'),
+sides AS (SELECT is_long, avg(gain) AS m FROM dataset WHERE split = 'train' GROUP BY is_long)"""
+
+
+def _text_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The features of every document, for training and for scoring."""
+    return documents(spark, sf, F.size(F.split("text", " ", -1)).cast("double").alias("words"), (F.col("n_chars") > 1500).cast("int").alias("is_long"))
 
 
 def _model_dataset(spark: SparkSession, sf: str) -> DataFrame:
-    """Text statistics of the labelled documents with grades from their quality and length."""
-    rows = documents(spark, sf, "n_chars", F.size(F.split("text", " ")).alias("words"), F.size(F.split("text", "\n")).alias("lines"),
-                     F.regexp_count(F.lower("text"), F.lit(r"\bthe\b")).alias("the_hits"))
+    """The labelled documents with grades from their quality and id."""
     grades = table(spark, sf, "labels").select(
         _id("doc_id").alias(ID), (F.col("quality") * 4 + (F.col("doc_id") % 3) - F.col("toxic")).cast("int").alias("g")).select(
         ID, F.greatest("g", F.lit(0)).alias("relevance_grade"))
-    return materialize(labels.dataset_assemble(rows.drop("doc_id"), grades), "dataset")
+    return materialize(labels.dataset_assemble(_text_features(spark, sf).drop("doc_id"), grades), "dataset")
+
+
+def _line_ranker(dataset: DataFrame) -> model.Ranker:
+    return model.train_ranker(dataset, "linear", _LINE, [], regParam=0.0)
+
+
+_SPLIT_METRICS = f"""scored_l AS (SELECT split, candidate_id, relevance_grade::INT AS grade, (relevance_grade >= 3)::INT AS rel, b * words AS s FROM dataset, line),
+placed AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY s DESC, candidate_id) AS pos, row_number() OVER (PARTITION BY split ORDER BY grade DESC, candidate_id) AS ideal FROM scored_l),
+cum AS (SELECT *, sum(rel) OVER (PARTITION BY split ORDER BY pos) AS cum_rel FROM placed),
+parts AS (SELECT split, {_ndcg_sql(10)} AS ndcg_10, {_ndcg_sql(50)} AS ndcg_50, {_MAP_SQL} AS map, {_p_sql(10)} AS p_10 FROM cum GROUP BY split),
+whole AS (SELECT *, {_WEIGHED} AS composite FROM parts),
+long AS (UNPIVOT whole ON composite, ndcg_10, ndcg_50, map, p_10 INTO NAME metric VALUE v)"""
 
 
-@register("train_ranker")
+@register("train_ranker", f"""WITH {_MODEL_ROWS}, {_SPLIT_METRICS} SELECT t.metric, round(t.v, 9) AS train, round(w.v, 9) AS valid, round(t.v - w.v, 9) AS gap,
+  t.metric = 'composite' AND t.v - w.v > 0.15 AS alarm FROM long t JOIN long w ON t.metric = w.metric AND t.split = 'train' AND w.split = 'val'""")
 def train_ranker(spark: SparkSession, sf: str) -> DataFrame:
     dataset = _model_dataset(spark, sf)
-    ranker = model.train_ranker(dataset, "gbt", _MODEL_FEATURES, [], maxIter=10, maxDepth=3)
-    return evaluate.overfit_gap(model.evaluate_ranker(ranker, dataset, "train"), model.evaluate_ranker(ranker, dataset, "val"))
+    ranker = _line_ranker(dataset)
+    return _rounded(evaluate.overfit_gap(model.evaluate_ranker(ranker, dataset, "train"), model.evaluate_ranker(ranker, dataset, "val")))
 
 
-@register("tune_ranker")
+@register("train_ranker_boosted", f"WITH {_MODEL_ROWS} SELECT candidate_id, round(m, 6) AS predicted_score FROM rows JOIN sides USING (is_long)")
+def train_ranker_boosted(spark: SparkSession, sf: str) -> DataFrame:
+    ranker = model.train_ranker(_model_dataset(spark, sf), "gbt", _SIDE, [], maxIter=1, maxDepth=1)
+    return model.predict_pool(ranker, _text_features(spark, sf)).select(ID, F.round(model.SCORE, 6).alias(model.SCORE))
+
+
+@register("tune_ranker", f"WITH {_MODEL_ROWS}, {_SPLIT_METRICS} SELECT unnest([0, 1, 2])::INT AS trial, round(composite, 9) AS composite FROM whole WHERE split = 'val'")
 def tune_ranker(spark: SparkSession, sf: str) -> DataFrame:
-    _, trials = model.tune_ranker(_model_dataset(spark, sf), trials=2, kind="gbt", features=_MODEL_FEATURES, categorical=[])
-    return spark.createDataFrame([(t["trial"], t["composite"], str(t["params"])) for t in trials], "trial int, composite double, params string")
+    """A penalty changes the slope of the line, not the order it gives; every trial has the same composite."""
+    _, trials = model.tune_ranker(_model_dataset(spark, sf), trials=3, kind="linear", features=_LINE, categorical=[], space={"regParam": [0.0, 0.01, 0.1]})
+    return _rounded(spark.createDataFrame([(t["trial"], t["composite"]) for t in trials], "trial int, composite double"))
+
 
+_PREDICTED = f"""WITH {_MODEL_ROWS} SELECT candidate_id, round(a + b * words, 6) AS predicted_score, row_number() OVER (ORDER BY b * words DESC, candidate_id) AS predicted_rank FROM rows, line"""
 
-@register("predict_pool")
+
+@register("predict_pool", _PREDICTED)
 def predict_pool(spark: SparkSession, sf: str) -> DataFrame:
     """Every document scored by a linear ranker that was trained on the labelled ones."""
-    ranker = model.train_ranker(_model_dataset(spark, sf), "linear", _MODEL_FEATURES, [])
-    rows = documents(spark, sf, "n_chars", F.size(F.split("text", " ")).alias("words"), F.size(F.split("text", "\n")).alias("lines"))
-    return ranking.rank_scores(model.predict_pool(ranker, rows), model.SCORE, "predicted_rank")
+    ranker = _line_ranker(_model_dataset(spark, sf))
+    ranked = ranking.rank_scores(model.predict_pool(ranker, _text_features(spark, sf)), model.SCORE, "predicted_rank")
+    return ranked.select(ID, F.round(model.SCORE, 6).alias(model.SCORE), "predicted_rank")
+
+
+@register("ranker_saved_and_loaded", _PREDICTED)
+def ranker_saved_and_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "ranker")
+    model.save_ranker(_line_ranker(_model_dataset(spark, sf)), path)
+    ranked = ranking.rank_scores(model.predict_pool(model.load_ranker(spark, path), _text_features(spark, sf)), model.SCORE, "predicted_rank")
+    return ranked.select(ID, F.round(model.SCORE, 6).alias(model.SCORE), "predicted_rank")
 
 
-@register("attribution", "SELECT true AS adds_up, count(*) AS explained FROM documents JOIN labels USING (doc_id)")
+@register("attribution", f"""WITH {_MODEL_ROWS} SELECT candidate_id, words, round(b * (words - mx), 6) AS words_part, round(my, 6) AS bias, round(a + b * words, 6) AS predicted_score FROM dataset, line""")
 def attribution(spark: SparkSession, sf: str) -> DataFrame:
     dataset = _model_dataset(spark, sf)
-    ranker = model.train_ranker(dataset, "linear", _MODEL_FEATURES, [])
-    explained = model.attribution(ranker, dataset)
-    return explained.agg(F.max(F.abs(F.aggregate("contributions", F.col("bias"), lambda a, x: a + x) - F.col(model.SCORE))).alias("e"),
-                         F.count("*").alias("explained")).select((F.col("e") < 1e-6).alias("adds_up"), "explained")
+    explained = model.attribution(_line_ranker(dataset), dataset)
+    return explained.select(ID, "words", F.round(F.get("contributions", 0), 6).alias("words_part"), F.round("bias", 6).alias("bias"),
+                            F.round(model.SCORE, 6).alias(model.SCORE))
 
 
 # --- streams ---

@@ -61,10 +61,13 @@ def audit_run(
 
 
 def training_run(
-    pool: DataFrame, ranked: DataFrame, reference: str, flagged: DataFrame | None = None, kind: str = "gbt",
+    pool: DataFrame, ranked: DataFrame, reference: str, flagged: DataFrame | None = None, kind: str = "linear",
     max_rank: int | None = None, rank: str = "rank", **params,
 ) -> tuple[model.Ranker, DataFrame, DataFrame]:
-    """Features, grades, split and training. Returns the ranker, the dataset and the metric gaps."""
+    """Features, grades, split and training. Returns the ranker, the dataset and the metric gaps.
+
+    The default kind is the one whose scores ``result_run`` can explain.
+    """
     table = materialize(features.feat_all(pool, reference), "features")
     grades = labels.grade_labels(labels.rank_cap(ranked, rank, max_rank), flagged)
     dataset = materialize(labels.dataset_assemble(table, grades), "dataset")
@@ -80,6 +83,8 @@ def result_run(
 
     Flagged rows sort below clean ones. Only the n rows are explained and looked up in the pool.
     """
+    if ranker.kind != "linear":
+        raise ValueError("reasons need exact attributions, which a linear ranker has")
     scored = model.predict_pool(ranker, table)
     marked = scored.withColumn("honeypot_flag", F.lit(False)) if flags is None else join_flags_left(
         scored, flags.select(ID, "honeypot_flag")).drop("flag_missing")

@@ -116,7 +116,7 @@ def test_relevance(spark):
 def test_coerce(spark):
     df = spark.createDataFrame([("a", "3", "x", None), ("b", None, "2.5", "4")], "candidate_id string, c string, v string, w string")
     got = {r[ID]: tuple(r)[1:] for r in model.coerce_features(df, ["c", "v", "w", "gone"], ["c"]).collect()}
-    assert got == {"a": (4.0, None, None, None), "b": (0.0, 2.5, 4.0, None)}
+    assert got == {"a": (3.0, None, None, None), "b": (-1.0, 2.5, 4.0, None)}
 
 
 def explained(spark, contributions, **values):
