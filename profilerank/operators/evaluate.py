@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.ordinals import MAX_GRADE, label_gain
 from ..schema import ID
-from ..session import materialize
-from .ranking import running_totals
+from .ranking import global_rank, running_totals
 
 # --- fixed values: parts of the composite, and when a grade counts as relevant ---
 RELEVANT_GRADE = 3
@@ -21,6 +20,12 @@ def ranked_grades(scored: DataFrame, score: str, grade: str, threshold: int = RE
     return running_totals(rows, [F.desc(score), F.asc(ID)], {"cum_rel": "rel"}, rank="pos").drop(score)
 
 
+def ranked_only(scored: DataFrame, score: str, grade: str, threshold: int = RELEVANT_GRADE) -> DataFrame:
+    """(candidate_id, pos, grade, rel): enough for NDCG and precision, without the running total and its shuffle."""
+    rows = scored.select(ID, score, F.col(grade).cast("int").alias("grade")).withColumn("rel", (F.col("grade") >= threshold).cast("bigint"))
+    return global_rank(rows, [F.desc(score), F.asc(ID)], "pos").drop(score)
+
+
 def cum_precision(ranked: DataFrame) -> DataFrame:
     """Adds the share of relevant rows down to each position."""
     return ranked.withColumn("precision", F.col("cum_rel") / F.col("pos"))
@@ -115,6 +120,14 @@ def overfit_gap(train: DataFrame, valid: DataFrame) -> DataFrame:
     return both.withColumns({"gap": gap, "alarm": (F.col("metric") == "composite") & (gap > GAP_ALARM)})
 
 
-def stored(ranked: DataFrame) -> DataFrame:
-    """A ranked table that several metrics read."""
-    return materialize(ranked, "ranked")
+def metric_by_query(ranked: DataFrame, by: str, pos: str = "pos", grade: str = "grade", threshold: int = RELEVANT_GRADE) -> DataFrame:
+    """One row per query: NDCG@10, NDCG@50, MAP, P@10 and the composite over the query's list.
+
+    Meant for lists of bounded length, like the k best per query; the ideal order is that of the list itself.
+    """
+    place, best = Window.partitionBy(by).orderBy(pos), Window.partitionBy(by).orderBy(F.desc(grade), pos)
+    rows = ranked.select(by, F.col(pos).alias("pos"), F.col(grade).cast("int").alias("grade")).withColumn("rel", (F.col("grade") >= threshold).cast("bigint"))
+    rows = rows.withColumns({"cum_rel": F.sum("rel").over(place), "ideal": F.row_number().over(best)})
+    ndcg = [F.coalesce(F.try_divide(dcg(F.col("grade"), F.col("pos"), k), dcg(F.col("grade"), F.col("ideal"), k)), F.lit(0.0)).alias(f"ndcg_{k}") for k in (10, 50)]
+    out = rows.groupBy(by).agg(*ndcg, _map().alias("map"), _precision(10).alias("p_10"))
+    return out.withColumn("composite", sum((w * F.col(n) for n, w in WEIGHTS.items()), F.lit(0.0)))

@@ -6,20 +6,28 @@ model plugs in through ``responses.pointwise_apply``.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
+from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import chain
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..session import materialize
 
 K1, B = 1.2, 0.75
-TOKEN_SPLIT = "[^a-z0-9]+"
+# Letters and digits of any script make words.
+TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
+_WORD_GAP = re.compile(r"[\W_]+")
 
 
 def query_terms(query: str) -> list[str]:
     """Distinct words of the query, in order."""
-    return list(dict.fromkeys(t for t in re.split(TOKEN_SPLIT, query.lower()) if t))
+    return list(dict.fromkeys(t for t in _WORD_GAP.split(query.lower()) if t))
 
 
 def term_counts(docs: DataFrame, terms: list[str], id_col: str, text_col: str) -> DataFrame:
@@ -60,6 +68,73 @@ def relevance_score(docs: DataFrame, query: str, id_col: str = "candidate_id", t
     return counted.select(id_col, score.alias("score"))
 
 
+@dataclass
+class _Queries:
+    ids: list
+    terms: list[str]
+    weights: np.ndarray  # term x query: the inverse document frequency where the query has the term
+    mean: float
+
+
+def relevance_topk(
+    docs: DataFrame, queries: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text", query_id: str = "item_id",
+    query_text: str = "text", max_queries: int = 10_000,
+) -> DataFrame:
+    """(query id, document id, score, pos): the k best documents by BM25 for every query, from one pass over the texts.
+
+    Documents without a word of a query are not in its list; equal scores (to nine digits) go by document id. The
+    queries, their words and the words' frequencies are sent to the executors: more than ``max_queries`` are an error.
+    A task keeps k documents per query, so what is shuffled does not grow with the documents of a task.
+    """
+    rows = queries.select(query_id, query_text).limit(max_queries + 1).collect()
+    if len(rows) > max_queries:
+        raise ValueError(f"more than {max_queries} queries")
+    terms = {r[query_id]: query_terms(r[query_text] or "") for r in rows}
+    every = sorted({t for own in terms.values() for t in own})
+    words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), TOKEN_SPLIT), lambda w: w != "")
+    found = docs.select(F.col(id_col).alias("id"), words.alias("w")).select(
+        "id", F.size("w").alias("length"), F.filter("w", lambda w: w.isin(every) if every else F.lit(False)).alias("hits"))
+    counted = materialize(found, "query_words")
+    total, mean = counted.agg(F.count("*"), F.avg("length")).first()
+    in_docs = counted.select(F.explode(F.array_distinct("hits")).alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()
+    frequency = {r["t"]: r["n"] for r in in_docs}
+    place = {t: i for i, t in enumerate(every)}
+    weights = np.zeros((len(every), len(terms)))
+    for j, own in enumerate(terms.values()):
+        for t in own:
+            n = frequency.get(t, 0)
+            weights[place[t], j] = math.log(1 + (total - n + 0.5) / (n + 0.5))
+    shared = docs.sparkSession.sparkContext.broadcast(_Queries(list(terms), every, weights, mean or 1.0))
+    kinds = (T.StructField(query_id, queries.schema[query_id].dataType), T.StructField(id_col, docs.schema[id_col].dataType))
+    best = counted.mapInPandas(_best_of_task(shared, k, query_id, id_col), T.StructType([*kinds, T.StructField("score", T.DoubleType())]))
+    order = Window.partitionBy(query_id).orderBy(F.desc("score"), id_col)
+    return best.withColumn("pos", F.row_number().over(order)).filter(F.col("pos") <= k)
+
+
+def _best_of_task(shared, k: int, query_id: str, id_col: str):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = shared.value
+        place = {t: i for i, t in enumerate(known.terms)}
+        kept: list[list[tuple]] = [[] for _ in known.ids]
+        for frame in frames:
+            for start in range(0, len(frame), 500):
+                part = frame.iloc[start:start + 500]
+                counts = np.zeros((len(part), len(known.terms)))
+                for row, hits in enumerate(part["hits"]):
+                    np.add.at(counts[row], [place[t] for t in hits], 1)
+                scale = K1 * (1 - B + B * part["length"].to_numpy()[:, None] / known.mean)
+                scores = np.round((counts * (K1 + 1) / (counts + scale)) @ known.weights, 9)
+                ids = part["id"].tolist()
+                for j in range(len(known.ids)):
+                    some = np.flatnonzero(scores[:, j] > 0)
+                    kept[j] = heapq.nsmallest(k, chain(kept[j], ((-scores[i, j], ids[i]) for i in some)))
+        for j, best in enumerate(kept):
+            if best:
+                yield pd.DataFrame({query_id: [known.ids[j]] * len(best), id_col: [d for _, d in best], "score": [-s for s, _ in best]})
+
+    return run
+
+
 def cosine_score(vectors: DataFrame, query: list[float], id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(id, score): cosine of every vector and the query vector."""
     norm = math.sqrt(sum(x * x for x in query))
