@@ -15,11 +15,28 @@ _FLOAT = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+)?$"
 
 
 def read_result(spark: SparkSession, path: str) -> DataFrame:
-    """A result CSV as text columns in file order, blank rows skipped; the header must be exact."""
-    rows = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
-    if rows.columns != RESULT_COLUMNS:
-        raise ValueError(f"the header must be {','.join(RESULT_COLUMNS)}, found {','.join(rows.columns)}")
-    return rows.withColumn("row_num", F.monotonically_increasing_id())
+    """A result CSV as text columns in file order, blank rows skipped; the header must be exact.
+
+    ``n_columns`` is the number of fields a row really has. Spark pads short rows and cuts long ones, so the file is read
+    with one column more than the format has, and fields beyond that are found in the corrupt-record column.
+    """
+    options = {"quote": '"', "escape": '"', "multiLine": True}
+    header = spark.read.options(**options).option("header", True).csv(path).columns
+    if header != RESULT_COLUMNS:
+        raise ValueError(f"the header must be {','.join(RESULT_COLUMNS)}, found {','.join(header)}")
+    wide = ", ".join(f"{c} string" for c in [*RESULT_COLUMNS, "_more", "_bad"])
+    read = spark.read.options(**options).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE").option(
+        "columnNameOfCorruptRecord", "_bad").option("columnPruning", False).schema(wide).csv(path)
+    filled = sum((F.col(c).isNotNull().cast("int") for c in RESULT_COLUMNS), F.lit(0))
+    # A row of another width than the schema's has its text in the corrupt-record column; a right one lacks only "_more".
+    fields = F.when(F.col("_more").isNotNull(), len(RESULT_COLUMNS) + 1).when(F.col("_bad").isNotNull(), _fields(F.col("_bad"))).otherwise(filled)
+    return read.select(*RESULT_COLUMNS, fields.alias("n_columns")).withColumn("row_num", F.monotonically_increasing_id())
+
+
+def _fields(line: Column) -> Column:
+    """Number of fields of a line: commas outside quotes and one."""
+    bare = F.regexp_replace(line, '"[^"]*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
 def _violation(rows: DataFrame, rule: str, item: Column) -> DataFrame:
@@ -33,15 +50,16 @@ def _found(rows: DataFrame, rules: dict[str, tuple[Column, Column]]) -> DataFram
 
 
 def result_validate(result: DataFrame, expected_rows: int = RESULT_ROWS) -> DataFrame:
-    """(rule, item): row count, ids, ranks, scores, order and tie-break. Empty for a valid table.
+    """(rule, item): row width, row count, ids, ranks, scores, order and tie-break. Empty for a valid table.
 
-    ``row_num`` gives the order of the rows. The rows are stored once. Neighbours by rank are joined
+    ``row_num`` gives the order of the rows, and ``n_columns``, if there, the fields each row has in its file. The rows are stored once. Neighbours by rank are joined
     through their position, so a table of any length is checked without collecting it.
     """
-    trimmed = result.select("row_num", *[F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in RESULT_COLUMNS[:3]])
+    wide = F.col("n_columns") if "n_columns" in result.columns else F.lit(len(RESULT_COLUMNS))
+    trimmed = result.select("row_num", wide.alias("n_columns"), *[F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in RESULT_COLUMNS[:3]])
     whole = F.when(F.col("rank").rlike(r"^(0|-?[1-9]\d*)$"), F.col("rank").try_cast("bigint"))
     number = F.when(F.col("score").rlike(_FLOAT), F.col("score").try_cast("double"))
-    rows = materialize(trimmed.select("row_num", ID, whole.alias("rank_value"), number.alias("score_value")), "result")
+    rows = materialize(trimmed.select("row_num", "n_columns", ID, whole.alias("rank_value"), number.alias("score_value")), "result")
     rank, given = F.col("rank_value"), F.col(ID) != ""
     in_range = rank.between(1, expected_rows)
     well_formed = given & F.col(ID).rlike(ID_PATTERN)
@@ -57,6 +75,7 @@ def result_validate(result: DataFrame, expected_rows: int = RESULT_ROWS) -> Data
     count = rows.agg(F.count("*").alias("n")).filter(F.col("n") != expected_rows)
     found = [
         _found(rows, {
+            "column_count": (F.col("n_columns") != len(RESULT_COLUMNS), F.col("row_num")),
             "id_missing": (~given, F.col("row_num")), "id_pattern": (given & ~well_formed, F.col(ID)),
             "rank_not_integer": (rank.isNull(), F.col("row_num")), "rank_out_of_range": (~in_range, rank),
             "score_not_float": (F.col("score_value").isNull(), F.col("row_num"))}),

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import responses as R
 from ..functions.numbers import half_even
 from ..functions.responses import DISQUALIFIED_CAP, SUBSCORES
 from ..schema import ID
-from ..session import materialize
+from ..session import make_folder, materialize
+from .joins import remaining_passes
 
 Scorer = Callable[[list[str]], list[str]]
 
@@ -58,7 +59,8 @@ def pointwise_apply(
     batch. Each wave is written once; the next one is what has no valid result yet. Rows that fail
     in every wave keep their last raw answer and a NULL result.
     """
-    todo, waves = rows.select(ID, text), []
+    texts = materialize(rows.select(ID, text), "texts")
+    todo, waves = texts, []
     for attempt in range(max_retries + 1):
         raw = todo.mapInPandas(_call(scorer, text, batch), f"{ID} string, raw string")
         wave = materialize(validated(raw).withColumn("attempt", F.lit(attempt)), "wave")
@@ -67,15 +69,51 @@ def pointwise_apply(
             waves.append(wave)
             break
         waves.append(good)
-        todo = todo.join(good.select(ID), ID, "left_anti")
-        if todo.isEmpty():
+        failed = wave.filter("result IS NULL").select(ID)
+        if not failed.limit(1).count():
             break
+        todo = texts.join(failed, ID, "left_semi")
     out = waves[0]
     for wave in waves[1:]:
         out = out.unionByName(wave)
     return out
 
 
+def cached_rows(spark: SparkSession, cache: str, schema: T.StructType | str) -> DataFrame:
+    """What runs have appended to a cache so far; a cache that is not there yet is made and empty."""
+    make_folder(spark, cache)
+    return spark.read.schema(schema).parquet(cache)
+
+
+def score_remaining(
+    rows: DataFrame, scorer: Scorer, cache: str, verdict: bool = False, passes: int = 1, text: str = "doc_text", **options,
+) -> int:
+    """Asks for the rows that have fewer than ``passes`` results in the cache and appends the answers, pass by pass.
+
+    A stopped run continues where its last appended pass ended. Returns the number of rows asked for.
+    """
+    spark, asked = rows.sparkSession, 0
+    empty = fallback_row(rows.select(ID, F.lit("").alias("raw"), _no_result(verdict).alias("result")).limit(0), verdict)
+    schema = T.StructType([*empty.schema.fields, T.StructField("pass", T.IntegerType())])
+    for number in range(passes):
+        done = cached_rows(spark, cache, schema).select(ID, "pass")
+        todo = remaining_passes(rows.select(ID, text), done, passes).filter(F.col("remaining") == passes - number)
+        answers = pointwise_apply(todo, scorer, with_verdict if verdict else with_score, text, **options)
+        new = materialize(fallback_row(answers, verdict).withColumn("pass", F.lit(number)).select(*schema.names), "answers")
+        count = new.count()
+        if count:
+            new.write.mode("append").parquet(cache)
+        asked += count
+    return asked
+
+
+def _no_result(verdict: bool) -> Column:
+    """A typed NULL in place of a validated answer."""
+    if verdict:
+        return R.verdict_validate(R.parse_object(F.lit(""), R.VERDICT_FIELDS))
+    return R.score_validate(R.parse_object(F.lit(""), R.SCORE_FIELDS), F.lit(None).cast("string"))
+
+
 def fallback_row(answers: DataFrame, verdict: bool = False, attempts: int = 3) -> DataFrame:
     """Flat result rows; an unusable answer is score zero or "not flagged", marked ``fallback``.
 

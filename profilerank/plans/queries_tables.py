@@ -163,7 +163,7 @@ def fmt_value(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf, (F.col("n_chars") / 4).alias("value")).select(ID, N.fmt_value(F.col("value")).alias("text"))
 
 
-@register("stable_choice", f"""SELECT candidate_id, ['However, ', 'That said, ', 'On the downside, '][
+@register("stable_choice", f"""SELECT candidate_id, ['Less convincing: ', 'On the other side: ', 'To be weighed: '][
   (list_sum(list_transform(string_split(md5(candidate_id), ''), lambda c: instr('0123456789abcdef', c) - 1)) % 3 + 1)::INT] AS choice
   FROM (SELECT {DOC_ID} AS candidate_id FROM documents)""")
 def stable_choice(spark: SparkSession, sf: str) -> DataFrame:
@@ -516,6 +516,32 @@ def fallback_verdict(spark: SparkSession, sf: str) -> DataFrame:
     return responses.fallback_row(responses.with_verdict(_raw(spark, sf, _VERDICT_RAW)), verdict=True)
 
 
+def length_scores(texts: list[str]) -> list[str]:
+    """A stand-in for a model: subscores by text length."""
+    return ['{"retrieval_score": %d, "evaluation_score": %d, "applied_ml_score": %d, "credibility_score": 1, "bonus_score": 0, "hard_disqualifier": %s}'
+            % (n % 31, n % 21, n % 26, "true" if n % 6 == 0 else "false") for n in map(len, texts)]
+
+
+def no_scorer(texts: list[str]) -> list[str]:
+    raise RuntimeError("nothing is left to ask for")
+
+
+@register("scoring_run", f"""WITH s AS (SELECT {DOC_ID} AS candidate_id, doc_id, len(text) AS n FROM documents), t AS (SELECT *, n % 31 + n % 21 + n % 26 + 1 AS total FROM s),
+c AS (SELECT candidate_id, doc_id, (CASE WHEN n % 6 = 0 THEN least(total, 20) ELSE total END)::INT AS total_score FROM t)
+SELECT candidate_id, total_score, row_number() OVER (ORDER BY total_score DESC, doc_id) AS final_rank,
+  (SELECT count(*) FROM documents WHERE doc_id % 3 = 0) AS asked_first, (SELECT count(*) FROM documents WHERE doc_id % 3 = 0) + 2 * (SELECT count(*) FROM documents WHERE doc_id % 3 <> 0) AS asked_second, 0::BIGINT AS asked_third FROM c""")
+def scoring_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Two passes over all documents, resumed: a third of them had one pass before, and a last run asks for nothing."""
+    from . import runs
+
+    texts, cache = documents(spark, sf, F.col("text").alias("doc_text")), new_path(spark, "scores-cache")
+    _, once = runs.scoring_run(texts.filter("doc_id % 3 = 0"), length_scores, cache, 1)
+    _, rest = runs.scoring_run(texts, length_scores, cache, 2)
+    final, none = runs.scoring_run(texts, no_scorer, cache, 2, "doc_id")
+    return final.select(ID, "total_score", "final_rank", *[F.lit(n).cast("bigint").alias(c) for c, n in (
+        ("asked_first", once), ("asked_second", rest), ("asked_third", none))])
+
+
 def length_scorer(texts: list[str]) -> list[str]:
     """A stand-in for a model: verdicts by text length, some of them unusable."""
     def answer(n: int) -> str:
@@ -846,38 +872,44 @@ def top_drivers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _FV = "CASE WHEN {v} = floor({v}) THEN ({v})::BIGINT::VARCHAR ELSE printf('%.2f', {v}) END"
+_SIDE_WORD = "CASE WHEN c >= 0 THEN ', in favour' ELSE ', against' END"
 _CLAUSES = _DRIVERS + f""", vals AS (SELECT *, doc_id % 11 / 10.0::DOUBLE AS fit, n_chars % 5 * 15 AS notice, n_chars % 4 AS hits, doc_id % 2 AS py, n_chars % 9 / 2.0::DOUBLE AS saved FROM f),
 clauses AS (SELECT candidate_id, doc_id, c, i, lim, CASE i
-  WHEN 1 THEN NULL
-  WHEN 2 THEN CASE WHEN notice > 30 THEN 'notice period of ' || notice || ' days exceeds the JD''s preferred ≤30-day window' ELSE 'a ' || notice || '-day notice period, within the JD''s preferred window' END
-  WHEN 3 THEN CASE WHEN hits > 0 THEN 'career narrative shows ' || hits || ' mention(s) of retrieval/embeddings work (RAG, dense retrieval, sentence-transformers) (one of the JD''s must-haves)'
-    ELSE 'retrieval embeddings narrative hits (0) ' || CASE WHEN c >= 0 THEN 'supports' ELSE 'weighs against' END || ' this ranking' END
-  WHEN 4 THEN CASE WHEN py = 0 THEN 'no Python listed in skills at all, despite the JD calling out Python specifically' ELSE 'Python listed at unspecified proficiency -- the JD calls this out specifically' END
-  ELSE 'saved by recruiters 30d (' || {_FV.format(v='saved')} || ') ' || CASE WHEN c >= 0 THEN 'supports' ELSE 'weighs against' END || ' this ranking' END AS clause FROM vals),
-pos AS (SELECT candidate_id, list(clause ORDER BY abs(c) DESC, i) AS ps FROM clauses WHERE c > lim AND clause IS NOT NULL GROUP BY 1),
-neg AS (SELECT candidate_id, list(clause ORDER BY abs(c) DESC, i) AS ns FROM clauses WHERE -c > lim AND clause IS NOT NULL GROUP BY 1),
+  WHEN 1 THEN 'experience band fit: ' || {_FV.format(v='fit')} || {_SIDE_WORD}
+  WHEN 2 THEN CASE WHEN notice > 30 THEN 'is bound for ' || notice || ' more days' ELSE 'is free in ' || notice || ' days' END
+  WHEN 3 THEN CASE WHEN hits > 0 THEN 'career text touches on retrieval embeddings ' || hits || ' times' ELSE 'retrieval embeddings narrative hits: 0' || {_SIDE_WORD} END
+  WHEN 4 THEN CASE WHEN py = 0 THEN 'lists no Python' ELSE 'lists Python' END
+  ELSE 'saved by recruiters 30d: ' || {_FV.format(v='saved')} || {_SIDE_WORD} END AS clause FROM vals),
+pos AS (SELECT candidate_id, list(clause ORDER BY abs(c) DESC, i) AS ps FROM clauses WHERE c > lim GROUP BY 1),
+neg AS (SELECT candidate_id, list(clause ORDER BY abs(c) DESC, i) AS ns FROM clauses WHERE -c > lim GROUP BY 1),
 lists AS (SELECT candidate_id, doc_id % 10 = 0 AS flagged, coalesce(ps, []) AS ps, coalesce(ns, []) AS ns,
-  ['However, ', 'That said, ', 'On the downside, '][(list_sum(list_transform(string_split(md5(candidate_id), ''), lambda h: instr('0123456789abcdef', h) - 1)) % 3 + 1)::INT] AS lead_in,
-  '{explain.PLAIN_FLAGS[explain.FLAG]}' AS warning FROM x LEFT JOIN pos USING (candidate_id) LEFT JOIN neg USING (candidate_id))"""
+  ['Less convincing: ', 'On the other side: ', 'To be weighed: '][(list_sum(list_transform(string_split(md5(candidate_id), ''), lambda h: instr('0123456789abcdef', h) - 1)) % 3 + 1)::INT] AS lead_in
+  FROM x LEFT JOIN pos USING (candidate_id) LEFT JOIN neg USING (candidate_id))"""
 
 
 def _version_sql(p: int, n: int) -> str:
-    bad = f"ns[1:(CASE WHEN flagged THEN {n - 1} ELSE {n} END)]"
-    every = f"(CASE WHEN flagged THEN [warning] ELSE [] END || {bad})"
-    said = f"array_to_string(ps[1:{p}], '; ')"
-    return f"""CASE WHEN len(ps) = 0 AND len({every}) = 0 THEN 'Adjacent fit at best: no single feature stood out strongly; no clearly dominant strength or weakness in the engineered signals for this profile.'
-      WHEN len(ps) = 0 THEN 'Below the JD''s core profile: ' || array_to_string({every}, '; ') || '.'
-      ELSE upper(substr({said}, 1, 1)) || substr({said}, 2) || '.' || CASE WHEN len({bad}) > 0 THEN ' ' || lead_in || array_to_string({bad}, '; ') || '.' ELSE '' END
-        || CASE WHEN flagged THEN ' Note: ' || warning || '.' ELSE '' END END"""
+    bad, said = f"ns[1:{n}]", f"array_to_string(ps[1:{p}], '; ')"
+    return f"""CASE WHEN len(ps) > 0 THEN upper(substr({said}, 1, 1)) || substr({said}, 2) || '.' || CASE WHEN len({bad}) > 0 THEN ' ' || lead_in || array_to_string({bad}, '; ') || '.' ELSE '' END
+      WHEN len(ns) > 0 THEN 'Little speaks for this record: ' || array_to_string(ns[1:{max(n, 1)}], '; ') || '.' ELSE 'Nothing about this record stands out.' END
+      || CASE WHEN flagged THEN ' Caution: the record contradicts itself.' ELSE '' END"""
 
 
-@register("reason_text", _CLAUSES + f""", v AS (SELECT candidate_id, {_version_sql(3, 2)} AS v0, {_version_sql(2, 2)} AS v1, {_version_sql(1, 1)} AS v2 FROM lists)
-SELECT candidate_id, CASE WHEN length(v0) <= 320 THEN v0 WHEN length(v1) <= 320 THEN v1 ELSE v2 END AS reasoning FROM v""")
+_REASONS = _CLAUSES + f""", v AS (SELECT candidate_id, [{', '.join(_version_sql(*v) for v in ((3, 1), (2, 1), (1, 1), (1, 0)))}] AS t FROM lists)
+SELECT candidate_id, coalesce(list_filter(t, lambda x: length(x) <= {{limit}})[1], t[4]) AS reasoning FROM v"""
+
+
+@register("reason_text", _REASONS.format(limit=320))
 def reason_text(spark: SparkSession, sf: str) -> DataFrame:
     return explain.reason_text(_explained(spark, sf), None, _DRIVER_FEATURES)
 
 
-@register("reason_payload", _CLAUSES + """, p AS (SELECT candidate_id, ps[1:3] AS strengths, CASE WHEN flagged THEN [warning] || ns[1:1] ELSE ns[1:2] END AS concerns, flagged FROM lists)
+@register("reason_text_short", _REASONS.format(limit=90))
+def reason_text_short(spark: SparkSession, sf: str) -> DataFrame:
+    """Ninety characters, so that clauses have to go."""
+    return explain.reason_text(_explained(spark, sf), None, _DRIVER_FEATURES, max_chars=90)
+
+
+@register("reason_payload", _CLAUSES + """, p AS (SELECT candidate_id, ps[1:3] AS strengths, CASE WHEN flagged THEN ['the record contradicts itself'] ELSE [] END || ns[1:2] AS concerns, flagged FROM lists)
 SELECT candidate_id, array_to_string(strengths, '; ') AS strengths, array_to_string(concerns, '; ') AS concerns, flagged, len(concerns) > 0 AS has_concerns FROM p""")
 def reason_payload(spark: SparkSession, sf: str) -> DataFrame:
     built = explain.reason_payload(_explained(spark, sf), None, _DRIVER_FEATURES)
@@ -1005,6 +1037,21 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).select(ID, *_STREAM_HITS)
 
 
+@register("stream_score_repeated", f"""SELECT {DOC_ID} AS candidate_id, doc_id % 3 AS first_file, n_chars FROM documents""")
+def stream_score_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Three files, one run each; the second and third repeat ids of earlier ones, and one repeats ids within itself."""
+    docs, folder = documents(spark, sf, "n_chars"), new_path(spark, "stream-in")
+    out, checkpoint = new_path(spark, "stream-out"), new_path(spark, "stream-state")
+    for number in range(3):
+        part = docs.filter(F.col("doc_id") % 3 <= number).withColumn("n_chars", F.when(F.col("doc_id") % 3 == number, F.col("n_chars")).otherwise(-1))
+        part = part.withColumn("copy", F.lit(0)).unionByName(part.withColumn("n_chars", F.lit(-2).cast("bigint")).withColumn("copy", F.lit(1)))
+        part.withColumn("number", F.lit(number)).coalesce(1).write.mode("append").parquet(folder)
+        schema = spark.read.parquet(folder).schema
+        source = streams.read_stream(spark, folder, schema, files_per_batch=1)
+        streams.stream_score(source, lambda batch: batch.select(ID, "n_chars", "number"), out, checkpoint, order=["copy"]).awaitTermination()
+    return spark.read.parquet(out).select(ID, F.col("number").cast("bigint").alias("first_file"), "n_chars")
+
+
 @register("stream_rule_counts", "SELECT (date_trunc('day', ts))::VARCHAR AS day, event_type AS rule, count(*) AS rows, count(*) FILTER (WHERE value > 90) AS flagged FROM events GROUP BY ALL")
 def stream_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Daily counts per event type as a stream."""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import calibrate, documents, evaluate, explain, features, integrity, labels, model, ranking, relevance, responses, rules
 from ..operators.joins import join_flags_left, semi_lookup
 from ..schema import ID
-from ..session import materialize
+from ..session import materialize, new_path
 
 
 def relevance_run(pool: DataFrame, query: str, reference: str) -> DataFrame:
@@ -25,39 +25,52 @@ class Audit:
     final: DataFrame
     verdicts: DataFrame
     disagreements: DataFrame
+    asked: int
 
 
 def audit_run(
     pool: DataFrame, first: DataFrame, second: DataFrame, scorer: responses.Scorer, reference: str,
-    thresholds: integrity.Thresholds, k: int = 100, batch: int = 10, *, max_checks: int,
+    thresholds: integrity.Thresholds, k: int = 100, batch: int = 10, *, max_checks: int, cache: str | None = None,
 ) -> Audit:
     """Fills a clean top k: checks rows from the top with an external scorer until k are clean.
 
     The scorer sees the rows a batch at a time, as far down as needed. One wave asks for at least
     the k rows that are needed in any case; each further wave asks for as many as are still missing.
+    Verdicts are appended to ``cache``; rows that have one there, from this or an earlier run, are not asked for.
     """
+    spark = pool.sparkSession
     merged = materialize(ranking.merge_rankings(first, second, flag="honeypot_flag"), "merged")
-    asked, verdicts = 0, None
-    upto = -(-k // batch) * batch
+    path = cache or new_path(spark, "verdicts")
+    upto, calls, last = -(-k // batch) * batch, 0, merged.agg(F.max("merged_rank")).first()[0] or 0
     while True:
-        ids = merged.filter((F.col("merged_rank") > asked) & (F.col("merged_rank") <= upto)).select(ID)
-        wanted = semi_lookup(pool, ids)
+        wanted = semi_lookup(pool, merged.filter(F.col("merged_rank") <= upto).select(ID))
         texts = documents.doc_full(wanted).join(documents.analysis_block(wanted, reference, thresholds), ID).select(
             ID, F.concat_ws("\n\n", "doc_text", "analysis").alias("doc_text"))
-        answers = responses.pointwise_apply(texts, scorer, responses.with_verdict)
-        new = materialize(responses.fallback_row(answers, verdict=True), "verdicts")
-        verdicts = new if verdicts is None else materialize(verdicts.unionByName(new), "verdicts")
-        asked = upto
-        clean = verdicts.filter(~F.col("is_honeypot")).count()
+        calls += responses.score_remaining(texts, scorer, path, verdict=True)
+        verdicts = spark.read.parquet(path)
+        clean = verdicts.join(merged.filter(F.col("merged_rank") <= upto).select(ID), ID, "left_semi").filter(~F.col("is_honeypot")).count()
         if clean >= k:
             break
-        if asked >= max_checks or not merged.filter(F.col("merged_rank") > asked).limit(1).count():
-            raise ranking.NotEnoughClean(f"{clean} of {k} clean rows after {asked} checks")
-        upto = asked + -(-(k - clean) // batch) * batch
+        if upto >= max_checks or upto >= last:
+            raise ranking.NotEnoughClean(f"{clean} of {k} clean rows after {upto} checks")
+        upto += -(-(k - clean) // batch) * batch
     checks = integrity.integrity_checks(integrity.integrity_metrics(semi_lookup(pool, verdicts), reference), thresholds)
     return Audit(
         final=ranking.gap_fill_topk(merged, verdicts, k, batch, max_checks), verdicts=verdicts,
-        disagreements=integrity.verdict_disagree(verdicts, checks))
+        disagreements=integrity.verdict_disagree(verdicts, checks), asked=calls)
+
+
+def scoring_run(texts: DataFrame, scorer: responses.Scorer, cache: str, passes: int = 1, previous: str | None = None) -> tuple[DataFrame, int]:
+    """Rows scored ``passes`` times each, averaged and ranked by their total; and how many rows were asked for.
+
+    Results are appended to ``cache``, so a run that finds all of them there asks for nothing. ``previous``, a column of
+    the rows, breaks ties.
+    """
+    asked = responses.score_remaining(texts, scorer, cache, passes=passes)
+    averaged = responses.avg_passes(semi_lookup(texts.sparkSession.read.parquet(cache), texts))
+    rank = F.col(previous) if previous else F.lit(None).cast("bigint")
+    scored = averaged.join(texts.select(ID, rank.alias("_previous")), ID)
+    return ranking.rerank_total(scored, "total_score", "_previous").drop("_previous"), asked
 
 
 def training_run(

@@ -40,6 +40,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """The folder, if it is not there; a reader with a schema then finds an empty table."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Deletes, at its end, what steps inside have stored. The result of a run must be written inside."""

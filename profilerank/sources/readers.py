@@ -105,5 +105,5 @@ GRADE_ALIASES = ["relevance_grade", "grade", "label"]
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A flat table: parquet, or CSV with a header and all columns as text."""
     if path.endswith((".csv", ".csv.gz")) or path.endswith(".csv/"):
-        return spark.read.option("header", True).option("multiLine", False).csv(path)
+        return spark.read.option("header", True).option("escape", '"').option("multiLine", False).csv(path)
     return spark.read.parquet(path)

@@ -31,7 +31,7 @@ def sink_ranked(
     else:
         out = out.repartitionByRange(order).sortWithinPartitions(order)
     writer = out.write.mode("overwrite")
-    writer.option("header", True).csv(path) if form == "csv" else writer.format(form).save(path)
+    writer.option("header", True).option("escape", '"').csv(path) if form == "csv" else writer.format(form).save(path)
 
 
 def sink_append(df: DataFrame, path: str, partition: str | None = None, form: str = "json") -> None:
@@ -43,4 +43,4 @@ def sink_append(df: DataFrame, path: str, partition: str | None = None, form: st
 def sink_preview(df: DataFrame, path: str, n: int, score: str = "score") -> None:
     """The best n rows next to the full output, as ``<path>.top<n>``."""
     top = df.orderBy(F.desc(score), F.asc(ID)).limit(n)
-    top.coalesce(1).sortWithinPartitions(F.desc(score), F.asc(ID)).write.mode("overwrite").option("header", True).csv(f"{path}.top{n}")
+    top.coalesce(1).sortWithinPartitions(F.desc(score), F.asc(ID)).write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}.top{n}")

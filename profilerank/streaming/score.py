@@ -7,12 +7,15 @@ neither repeats nor loses rows.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.ranking import dedup_first
 from ..schema import ID
+from ..session import make_folder, materialize
 
 
 def read_stream(
@@ -25,30 +28,50 @@ def read_stream(
     )
 
 
+#: Parts of the table of known ids; a batch reads the parts its ids fall into.
+ID_BUCKETS = 256
+
+
+def known_ids(spark: SparkSession, folder: str, key: T.StructField, buckets: list[int], number: int) -> DataFrame:
+    """Ids in these parts of the table that batches other than ``number`` have written."""
+    schema = T.StructType([key, T.StructField("bucket", T.IntegerType()), T.StructField("batch", T.LongType())])
+    rows = spark.read.schema(schema).parquet(folder)
+    return rows.filter(F.col("bucket").isin(buckets) & (F.col("batch") != number)).select(key.name)
+
+
 def stream_score(
-    source: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str = ID,
+    source: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str = ID, order: list[str] | None = None,
 ) -> StreamingQuery:
-    """Scores rows whose ``key`` is not in ``out`` yet and adds them; stops when all files are read.
+    """Scores rows whose ``key`` has not come before and adds them; stops when all files are read.
 
-    Each micro-batch writes its own folder, which a repeated batch overwrites, so a failure between
-    write and commit does not double rows. Ids are compared with what other batches wrote and only
-    the key column of it is read; inside a batch the first of several rows with one id counts.
+    Of rows with one key the one in the earliest batch counts, and inside a batch the least by ``order``, then by the
+    other columns. Each micro-batch writes its own folder, which a repeated batch overwrites, so a failure between write
+    and commit does not double rows. Keys are compared with a table of ids beside the output, divided by a hash of the
+    key; a batch reads the parts its keys fall into, one small column, and never the output of earlier batches.
     """
+    ids = out.rstrip("/") + "-ids"
+
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        new = batch.dropDuplicates([key])
-        try:
-            done = spark.read.parquet(out).filter(F.col("batch") != number).select(key).distinct()
-        except Exception as error:  # the first batch of all finds no table
-            if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-                raise
-        else:
-            new = new.join(done, key, "left_anti")
+        make_folder(spark, ids)
+        bucket = F.pmod(F.xxhash64(key), F.lit(ID_BUCKETS)).cast("int")
+        columns = batch.columns
+        rest = [c for c in columns if c != key and c not in (order or [])]
+        first = materialize(dedup_first(batch, [*(order or []), *rest], key).select(*columns), "batch")
+        buckets = [r[0] for r in first.select(bucket).distinct().collect()]
+        new = first.join(known_ids(spark, ids, batch.schema[key], buckets, number), key, "left_anti")
         score(new).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        made = new.select(key, bucket.alias("bucket"), F.lit(number).cast("bigint").alias("batch"))
+        made.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(ids)
 
     return source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after their window was closed, over the recent micro-batches of a query; they are in no count."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in json.loads(p.json)["stateOperators"])
+
+
 def stream_append(source: DataFrame, out: str, checkpoint: str, form: str = "parquet") -> StreamingQuery:
     """A row-local stream added to a table of files, exactly once; for sources without repeated ids."""
     return (
@@ -60,7 +83,10 @@ def stream_append(source: DataFrame, out: str, checkpoint: str, form: str = "par
 def rule_counts(
     hits: DataFrame, time: str = "ts", rule: str = "rule", window: str = "1 day", delay: str = "1 day", flag: str = "flagged",
 ) -> DataFrame:
-    """(window_start, rule, rows, flagged) of a stream or a table; rows later than ``delay`` are dropped from streams."""
+    """(window_start, rule, rows, flagged) of a stream or a table.
+
+    In a stream, rows later than ``delay`` are left out; ``late_rows`` says how many.
+    """
     timed = hits.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
     return timed.groupBy(F.window(time, window), rule).agg(
         F.count("*").alias("rows"), F.count_if(flag).alias("flagged")

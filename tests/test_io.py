@@ -148,9 +148,48 @@ def test_audit_run(spark, small, day):
         runs.audit_run(small, first, second, lambda ts: [scorer(["x" * 5])[0]] * len(ts), day, integrity.Thresholds(), k=30, batch=8, max_checks=40)
 
 
+def test_audit_resumes(spark, small, day):
+    def scorer(texts):
+        return ['{"is_honeypot": false}' for _ in texts]
+
+    def none(texts):
+        raise RuntimeError("asked again")
+
+    ids, cache = small.select(ID).orderBy(ID), new_path(spark, "audit-cache")
+    first, second = ranking.global_rank(ids.limit(30), [ID], "final_rank"), ranking.global_rank(ids, [F.desc(ID)]).withColumn("honeypot_flag", F.lit(False))
+    one = runs.audit_run(small, first, second, scorer, day, integrity.Thresholds(), k=10, batch=5, max_checks=60, cache=cache)
+    two = runs.audit_run(small, first, second, none, day, integrity.Thresholds(), k=10, batch=5, max_checks=60, cache=cache)
+    assert (one.asked, two.asked) == (10, 0)
+    assert sorted(map(tuple, one.final.collect())) == sorted(map(tuple, two.final.collect()))
+
+
+def test_stream_does_not_read_what_it_wrote(spark, tmp_path):
+    folder, out, state = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state"
+    for number in range(3):
+        spark.range(number * 5, number * 5 + 10).selectExpr("concat('c', id) AS candidate_id", f"{number} AS n").coalesce(1).write.mode("append").parquet(folder)
+        source = streams.read_stream(spark, folder, spark.read.parquet(folder).schema)
+        streams.stream_score(source, lambda b: b, out, state).awaitTermination()
+        if number == 0:  # an unreadable file in the output of the first batch
+            (tmp_path / "out" / "batch=0" / "part-broken.parquet").write_bytes(b"not parquet")
+    (tmp_path / "out" / "batch=0" / "part-broken.parquet").write_bytes(b"")
+    rows = spark.read.parquet(f"{out}/batch=1", f"{out}/batch=2").collect()
+    assert sorted((r[ID], r["n"]) for r in rows) == sorted([(f"c{i}", 1) for i in range(10, 15)] + [(f"c{i}", 2) for i in range(15, 20)])
+    some = streams.known_ids(spark, f"{out}-ids", spark.read.parquet(folder).schema[ID], [1, 2, 3], 99)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "IN (1,2,3)" in plan.partition("PartitionFilters")[2]
+
+
+def test_width_of_result_rows(spark, tmp_path):
+    good = [f'CAND_{i:07d},{i},{1 - i / 100},"reason, {i}"' for i in range(1, 6)]
+    lines = ["candidate_id,rank,score,reasoning", *good[:3], "CAND_0000004,4,0.96", 'CAND_0000005,5,0.95,"a, b",extra']
+    (tmp_path / "r.csv").write_text("\n".join(lines) + "\n")
+    found = checks.result_validate(checks.read_result(spark, f"{tmp_path}/r.csv"), expected_rows=5).collect()
+    assert [(r["rule"], r["item"]) for r in found] == [("column_count", "3"), ("column_count", "4")]
+
+
 def test_training_and_result_run(spark, small, day):
     ranked = runs.relevance_run(small, "RAG embeddings NDCG", day)
-    ranker, dataset, gaps = runs.training_run(small, ranked, day, kind="linear")
+    ranker, dataset, gaps = runs.training_run(small, ranked, day)
     assert {r["metric"] for r in gaps.collect()} == {"composite", "ndcg_10", "ndcg_50", "map", "p_10"}
     flags = rules.rules_flag(small, day)
     result = runs.result_run(small, dataset, ranker, flags, n=10)

@@ -146,38 +146,42 @@ def reason(spark, contributions, known=None, **values):
 
 
 def test_reason_with_facts(spark):
-    place = "Based in Pune, one of the JD's two explicitly preferred cities (location fit 10/10)"
-    assert reason(spark, [0.5, 2.0, 0.1, 0.0], facts(spark)) == (
-        f"{place}; 6.0 years of experience, squarely in the JD's 5-9yr target band (fit 9/10).")
-    # With the long negative clause the text would be over the limit, so one positive clause is left.
+    place, years = "Lives in Pune, where the role is", "6.0 years in the job suit the role"
+    assert reason(spark, [0.5, 2.0, 0.1, 0.0], facts(spark)) == f"{place}; {years}."
     text = reason(spark, [0.5, 2.0, 0.1, -1.0], facts(spark))
-    assert text.startswith(f"{place}. ") and len(text) <= explain.MAX_CHARS
-    assert text[len(place) + 2:].startswith(tuple(explain.LEAD_INS)) and text.endswith("a possible keyword-stuffing signal.")
+    lead_in = next(w for w in explain.LEAD_INS if w in text)
+    assert text.startswith(f"{place}; {years}. {lead_in}") and len(text) <= 320
 
 
 def test_reason_small_drivers_are_left_out(spark):
-    assert reason(spark, [0.0, 0.0, 1.0, 0.1]) == "Saved by recruiters 30d (4) supports this ranking."
-    assert reason(spark, [0.0, 0.0, 0.0, 0.0]) == (
-        "Adjacent fit at best: no single feature stood out strongly; no clearly dominant strength or weakness in the engineered signals for this profile.")
-    assert reason(spark, [0.0, 0.0, 0.0, 0.0], facts(spark)) .startswith("Adjacent fit at best: 6.0 years of experience, currently Engineer; ")
+    assert reason(spark, [0.0, 0.0, 1.0, 0.1]) == "Saved by recruiters 30d: 4, in favour."
+    assert reason(spark, [0.0, 0.0, 0.0, 0.0]) == reason(spark, [0.0, 0.0, 0.0, 0.0], facts(spark)) == explain.NOTHING
 
 
-def test_reason_below_profile(spark):
-    assert reason(spark, [0, 0, -1.0, 0], saved_by_recruiters_30d=2.5) == "Below the JD's core profile: saved by recruiters 30d (2.50) weighs against this ranking."
+def test_reason_with_nothing_in_favour(spark):
+    assert reason(spark, [0, 0, -1.0, 0], saved_by_recruiters_30d=2.5) == explain.ONLY_AGAINST + "saved by recruiters 30d: 2.50, against."
 
 
-def test_reason_warning_comes_first(spark):
-    text = reason(spark, [0, 0, 1.0, 0], honeypot_flag=1)
-    assert text == f"Saved by recruiters 30d (4) supports this ranking. Note: {explain.PLAIN_FLAGS[explain.FLAG]}."
+def test_reason_warning_comes_last(spark):
+    assert reason(spark, [0, 0, 1.0, 0], honeypot_flag=1) == "Saved by recruiters 30d: 4, in favour. Caution: the record contradicts itself."
 
 
 def test_reason_missing_values_are_zero(spark):
-    assert reason(spark, [0, 0, 1.0, 0], saved_by_recruiters_30d=None) == "Saved by recruiters 30d (0) supports this ranking."
+    assert reason(spark, [0, 0, 1.0, 0], saved_by_recruiters_30d=None) == "Saved by recruiters 30d: 0, in favour."
 
 
 def test_reason_length_is_kept_by_fewer_clauses(spark):
-    text = reason(spark, [1.0, 2.0, -3.0, 4.0], facts(spark))
-    assert len(text) <= explain.MAX_CHARS and text.endswith(".")
+    df, names = explained(spark, [1.0, 2.0, -3.0, 4.0])
+    long = explain.reason_text(df, facts(spark), names).first()["reasoning"]
+    short = explain.reason_text(df, facts(spark), names, max_chars=len(long) - 1).first()["reasoning"]
+    assert len(short) < len(long) and short.endswith(".")
+
+
+def test_reason_with_own_templates(spark):
+    df, names = explained(spark, [0.0, 0.0, 1.0, 0.0])
+    own = [explain.Template("saved_by_recruiters_30d", "saved_by_recruiters_30d > 3", "kept by {value:1} people in {facts.location}")]
+    assert explain.reason_text(df, facts(spark), names, templates=own).first()["reasoning"] == "Kept by 4.0 people in Pune."
+    assert explain.reason_text(df, None, names, templates=own).first()["reasoning"] == "Saved by recruiters 30d: 4, in favour."
 
 
 def test_payload_grounds_its_own_text(spark):
