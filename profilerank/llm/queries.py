@@ -26,6 +26,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+# Only A-Z in lower case; null is empty.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 @_register("op1_bpe")
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -41,7 +45,37 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SHARDS, SHARD_SEED = 24, "shards"
 
-@_register("op3_sharding")
+
+def _crc_entry(value: int) -> int:
+    for _ in range(8):
+        value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+    return value
+
+
+# CRC-32 byte by byte over a table that follows from the polynomial.
+SQL_SHARDING = f"""
+WITH crc_table AS (SELECT {[_crc_entry(i) for i in range(256)]}::BIGINT[] AS tab),
+hexed AS (SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS h FROM documents),
+raw AS (
+  SELECT doc_id, source, list_transform(range(0, len(h) // 2),
+    lambda i: (instr('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + instr('0123456789ABCDEF', h[2 * i + 2]) - 1) AS bs FROM hexed),
+keyed AS (
+  SELECT doc_id, source, len(bs) + 8 AS size,
+         xor(list_reduce([4294967295::BIGINT] || bs, lambda a, x: xor(tab[(xor(a, x) & 255) + 1], a >> 8)), 4294967295) AS text_crc32,
+         ('0x' || substr(md5('{SHARD_SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+  FROM raw, crc_table),
+parts AS (
+  SELECT *, (row_number() OVER (PARTITION BY source ORDER BY h, doc_id, text_crc32, size) - 1 + 0.5::DOUBLE)
+            / count(*) OVER (PARTITION BY source) AS part FROM keyed),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY part, source NULLS FIRST, h, doc_id, text_crc32, size) - 1 AS pos, count(*) OVER () AS total FROM parts),
+cut AS (SELECT *, (pos * {SHARDS}) // total AS s FROM placed)
+SELECT doc_id, size, text_crc32, 'rows' AS law, s::INTEGER AS shard, (pos - (s * total + {SHARDS - 1}) // {SHARDS})::BIGINT AS slot,
+       NULL::INTEGER AS grown_shard
+FROM cut"""
+
+
+@_register("op3_sharding", SQL_SHARDING)
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents"), SHARDS, SHARD_SEED)
 
@@ -90,7 +124,27 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predict(docs, model).select("doc_id", language.held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
 
 
-@_register("op9_contamination")
+_BENCH_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+SQL_CONTAMINATION = f"""
+WITH items AS (SELECT item_id, {_BENCH_WORDS} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+cut AS (SELECT item_id, ws, least(13, len(ws)) AS n FROM items WHERE len(ws) > 0),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM cut)),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_BENCH_WORDS} AS ws FROM documents),
+grams AS (
+  SELECT r, i, n, array_to_string(ws[i:i + n - 1], ' ') AS g
+  FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(ws) >= n)),
+hits AS (SELECT r, i, n, item_id FROM grams JOIN windows USING (n, g)),
+words AS (SELECT r, count(DISTINCT w) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS w FROM (SELECT DISTINCT r, i, n FROM hits)) GROUP BY r),
+found AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits) GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)"""
+
+
+@_register("op9_contamination", SQL_CONTAMINATION)
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -100,7 +154,24 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digest(table(spark, sf_dir, "documents"))
 
 
-@_register("op8_jaccard")
+SQL_JACCARD = f"""
+WITH RECURSIVE split AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh FROM split),
+sizes AS (SELECT r, doc_id, len(sh) AS n FROM sets),
+tokens AS (SELECT r, unnest(sh) AS t FROM sets),
+shared AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM tokens a JOIN tokens b ON a.t = b.t AND a.r < b.r GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.r = x JOIN sizes q ON q.r = y WHERE 100 * c >= 90 * (p.n + q.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT r, r AS o FROM sizes UNION SELECT reach.r, b.y FROM reach JOIN both_ways b ON reach.o = b.x)
+SELECT s.doc_id, s.n AS n_shingles, m.component_id
+FROM sizes s JOIN (SELECT reach.r, min(t.doc_id) AS component_id FROM reach JOIN sizes t ON t.r = reach.o GROUP BY 1) m USING (r)"""
+
+
+@_register("op8_jaccard", SQL_JACCARD)
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
