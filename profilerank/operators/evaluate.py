@@ -23,7 +23,7 @@ def ranked_grades(scored: DataFrame, score: str, grade: str, threshold: int = RE
 def ranked_only(scored: DataFrame, score: str, grade: str, threshold: int = RELEVANT_GRADE) -> DataFrame:
     """(candidate_id, pos, grade, rel): enough for NDCG and precision, without the running total and its shuffle."""
     rows = scored.select(ID, score, F.col(grade).cast("int").alias("grade")).withColumn("rel", (F.col("grade") >= threshold).cast("bigint"))
-    return global_rank(rows, [F.desc(score), F.asc(ID)], "pos").drop(score)
+    return global_rank(rows, [F.desc(score), F.asc(ID)], "pos", keep=[ID, "grade", "rel"])
 
 
 def cum_precision(ranked: DataFrame) -> DataFrame:

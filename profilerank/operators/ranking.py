@@ -8,7 +8,11 @@ it is read twice; what travels to the driver is one size per partition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schema import ID
 from ..session import materialize
@@ -17,41 +21,70 @@ from ..session import materialize
 _POSITION_BITS = 33
 
 
-def _ordered(df: DataFrame, keys: list[Column | str]) -> DataFrame:
+def _ordered(df: DataFrame, keys: list[Column | str], keep: list[str] | None) -> DataFrame:
+    """All rows in the order of the keys, sorted over range partitions, with their place in ``_pos``."""
     numbered = df.orderBy(*keys).withColumn("_pos", F.monotonically_increasing_id())
-    return materialize(numbered, "ordered").withColumn("_part", F.shiftright("_pos", _POSITION_BITS))
+    return numbered.select(*keep, "_pos") if keep else numbered
+
+
+def _part() -> Column:
+    return F.shiftright("_pos", _POSITION_BITS)
 
 
 def _with_offsets(ordered: DataFrame, totals: dict[str, Column]) -> DataFrame:
     """Adds, per total, the sum over all earlier partitions. One small row per partition."""
     spark = ordered.sparkSession
-    rows = ordered.groupBy("_part").agg(*[c.cast("bigint").alias(n) for n, c in totals.items()]).orderBy("_part").collect()
+    placed = ordered.withColumn("_part", _part())
+    rows = placed.groupBy("_part").agg(*[c.cast("bigint").alias(n) for n, c in totals.items()]).orderBy("_part").collect()
     offsets, running = [], dict.fromkeys(totals, 0)
     for row in rows:
         offsets.append((row["_part"], *running.values()))
         running = {n: v + (row[n] or 0) for n, v in running.items()}
     schema = "_part bigint, " + ", ".join(f"`{n}` bigint" for n in totals)
-    return ordered.join(F.broadcast(spark.createDataFrame(offsets, schema)), "_part")
+    return placed.join(F.broadcast(spark.createDataFrame(offsets, schema)), "_part")
+
 
+def global_rank(df: DataFrame, keys: list[Column | str], rank: str = "rank", keep: list[str] | None = None) -> DataFrame:
+    """Adds 1..N in the order of ``keys``. The keys should end in a unique column.
 
-def global_rank(df: DataFrame, keys: list[Column | str], rank: str = "rank") -> DataFrame:
-    """Adds 1..N in the order of ``keys``. The keys should end in a unique column."""
-    placed = _with_offsets(_ordered(df, keys), {"_before": F.count("*")})
+    Only the columns to ``keep`` are stored; all by default.
+    """
+    placed = _with_offsets(materialize(_ordered(df, keys, keep), "ordered"), {"_before": F.count("*")})
     position = F.col("_pos") - F.shiftleft("_part", _POSITION_BITS)
     return placed.withColumn(rank, F.col("_before") + position + 1).drop("_pos", "_part", "_before")
 
 
+def _add_up(names: list[str], schema: T.StructType):
+    """Running sums of columns down a sorted partition; a NULL adds nothing."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = dict.fromkeys(names, 0)
+        for batch in batches:
+            if batch.num_rows:
+                columns = list(batch.columns)
+                for name in names:
+                    running = pc.cumulative_sum(pc.fill_null(batch.column(name).cast(pa.int64()), 0), start=sums[name])
+                    sums[name] = running[-1].as_py()
+                    columns.append(running)
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return run
+
+
 def running_totals(df: DataFrame, keys: list[Column | str], totals: dict[str, str], rank: str | None = None) -> DataFrame:
     """Adds running sums (inclusive) of whole-number columns in the order of ``keys``.
 
-    ``totals`` maps the new column to the summed one.
+    ``totals`` maps the new column to the summed one. The sums inside a partition are taken while its sorted rows pass
+    by, before they are stored; what earlier partitions add comes from one row per partition. Nothing is shuffled again.
     """
-    placed = _with_offsets(_ordered(df, keys), {"_before": F.count("*"), **{f"_b_{n}": F.sum(c) for n, c in totals.items()}})
-    inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    out = placed.withColumns({n: F.col(f"_b_{n}") + F.sum(c).over(inside) for n, c in totals.items()})
+    ordered = _ordered(df.withColumns({f"_s_{n}": F.col(c).cast("bigint") for n, c in totals.items()}), keys, None)
+    parts = [f"_s_{n}" for n in totals]
+    schema = T.StructType([*ordered.schema, *[T.StructField(f"_in{p}", T.LongType()) for p in parts]])
+    summed = materialize(ordered.mapInArrow(_add_up(parts, schema), schema), "running")
+    placed = _with_offsets(summed, {"_before": F.count("*"), **{f"_b_{n}": F.max_by(f"_in_s_{n}", "_pos") for n in totals}})
+    out = placed.withColumns({n: F.col(f"_b_{n}") + F.col(f"_in_s_{n}") for n in totals})
     if rank:
         out = out.withColumn(rank, F.col("_before") + F.col("_pos") - F.shiftleft("_part", _POSITION_BITS) + 1)
-    return out.drop("_pos", "_part", "_before", *[f"_b_{n}" for n in totals])
+    return out.drop("_pos", "_part", "_before", *parts, *[f"_in{p}" for p in parts], *[f"_b_{n}" for n in totals])
 
 
 def dedup_first(df: DataFrame, order: list[str], key: str = ID, count: str | None = None) -> DataFrame:

@@ -237,8 +237,7 @@ def global_rank(spark: SparkSession, sf: str) -> DataFrame:
   row_number() OVER (ORDER BY l_quantity DESC, l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_discount, l_tax, l_shipdate) AS rank FROM lineitem""")
 def global_rank_lines(spark: SparkSession, sf: str) -> DataFrame:
     keys = [F.desc("l_quantity"), F.desc("l_extendedprice"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", "l_tax", "l_shipdate"]
-    return ranking.global_rank(table(spark, sf, "lineitem"), keys).select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "rank")
+    return ranking.global_rank(table(spark, sf, "lineitem"), keys, keep=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"])
 
 
 @register("dedup_first", """SELECT 'CAND_' || lpad(l_orderkey::VARCHAR, 7, '0') AS candidate_id, min({'a': l_shipdate, 'b': l_partkey, 'c': l_suppkey, 'd': l_linenumber}).b AS l_partkey,
@@ -360,8 +359,8 @@ def _priced(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.global_rank(rows, [F.desc("o_totalprice"), "o_orderkey"], "llm_rank")
 
 
-def _labelled(spark: SparkSession, sf: str) -> DataFrame:
-    priced = _priced(spark, sf)
+def _labelled(spark: SparkSession, sf: str, priced: DataFrame | None = None) -> DataFrame:
+    priced = priced or _priced(spark, sf)
     return labels.grade_labels(priced.select(ID, "llm_rank"), priced.filter("o_custkey % 11 = 0").select(ID))
 
 
@@ -416,7 +415,7 @@ def grade_histogram(spark: SparkSession, sf: str) -> DataFrame:
   FROM split JOIN (SELECT 'CAND_' || lpad(o_orderkey::VARCHAR, 7, '0') AS candidate_id, o_totalprice FROM orders) USING (candidate_id)""")
 def dataset_assemble(spark: SparkSession, sf: str) -> DataFrame:
     priced = _priced(spark, sf)
-    built = labels.dataset_assemble(priced.select(ID, "o_totalprice"), _labelled(spark, sf))
+    built = labels.dataset_assemble(priced.select(ID, "o_totalprice"), _labelled(spark, sf, priced))
     return built.select(ID, "o_totalprice", "relevance_grade", "split", "label_gain")
 
 
@@ -425,7 +424,7 @@ def dataset_assemble(spark: SparkSession, sf: str) -> DataFrame:
   (SELECT string_agg(c::VARCHAR, ',' ORDER BY g) FROM (SELECT g, count(candidate_id) AS c FROM (SELECT unnest(range(7)) AS g) LEFT JOIN split ON relevance_grade = g AND split = 'val' GROUP BY g)) AS val_grades FROM split""")
 def dataset_metadata(spark: SparkSession, sf: str) -> DataFrame:
     priced = _priced(spark, sf)
-    built = labels.dataset_assemble(priced.select(ID, "o_totalprice"), _labelled(spark, sf))
+    built = labels.dataset_assemble(priced.select(ID, "o_totalprice"), _labelled(spark, sf, priced))
     row = labels.dataset_metadata(built, built, ["o_totalprice"], [])
     return row.select("labeled_set_size", "train_group_size", "val_group_size",
                       F.array_join(F.col("train_grade_histogram").cast("array<string>"), ",").alias("train_grades"),
