@@ -12,7 +12,6 @@ most others are ruled out by it, without reading the text again.
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 from pyspark.sql import Column, functions as F
@@ -126,14 +125,47 @@ DEGREE_FIELDS = [
 CERT_VENDORS = ["aws", "gcp", "google cloud", "azure", "deep learning"]
 
 
+@lru_cache(maxsize=None)
+def _pieces(pattern: str) -> list[tuple[str, str]]:
+    """The parts of a pattern in order: (char, a letter that must be there), (edge, "") for a word boundary, (anchor, "")
+    for the start or end of the text, and (other, "") for whatever may vary."""
+    out, at, size = [], 0, len(pattern)
+    while at < size:
+        sign, end = pattern[at], at + 1
+        piece = ("char", sign)
+        if sign == "|":
+            return [("other", "")]  # alternatives share nothing that is looked for here
+        if sign == "\\":
+            sign, end = pattern[end], end + 1
+            piece = ("edge", "") if sign == "b" else ("other", "") if sign.isalnum() else ("char", sign)
+        elif sign == "[":
+            end, piece = pattern.index("]", at + 2) + 1, ("other", "")
+        elif sign == "(":
+            depth = 1
+            while depth:
+                depth += {"(": 1, ")": -1}.get(pattern[end], 0) if pattern[end - 1] != "\\" else 0
+                end += 1
+            piece = ("other", "")
+        elif sign in "^$":
+            piece = ("anchor", "")
+        elif sign == ".":
+            piece = ("other", "")
+        while end < size and pattern[end] in "?*+{":  # a repeated part may be absent
+            end = pattern.index("}", end) + 1 if pattern[end] == "{" else end + 1
+            piece = ("other", "")
+        out.append(piece)
+        at = end
+    return out
+
+
 @lru_cache(maxsize=None)
 def required_literal(pattern: str) -> str:
     """The longest run of plain characters that every match of ``pattern`` contains."""
     runs, run = [], ""
-    for op, arg in re._parser.parse(pattern):
-        if str(op) == "LITERAL":
-            run += chr(arg)
-        elif str(op) != "AT":  # a word boundary does not interrupt the run
+    for kind, sign in _pieces(pattern):
+        if kind == "char":
+            run += sign
+        elif kind == "other":  # a word boundary does not interrupt the run
             runs.append(run)
             run = ""
     return max([*runs, run], key=len)
@@ -147,12 +179,11 @@ def required_token(pattern: str) -> str | None:
     on both of its sides.
     """
     found, run, closed = [], "", False  # closed: whether the left side of the run is delimited
-    for op, arg in re._parser.parse(pattern):
-        name = str(op)
-        if name == "LITERAL" and (chr(arg).isalnum() or chr(arg) == "_"):
-            run += chr(arg)
+    for kind, sign in _pieces(pattern):
+        if kind == "char" and (sign.isalnum() or sign == "_"):
+            run += sign
             continue
-        delimits = name == "LITERAL" or (name == "AT" and str(arg) == "AT_BOUNDARY")
+        delimits = kind in ("char", "edge")
         if run and closed and delimits:
             found.append(run)
         run, closed = "", delimits

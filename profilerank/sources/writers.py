@@ -20,13 +20,17 @@ def flat(df: DataFrame) -> DataFrame:
 
 def sink_ranked(
     df: DataFrame, path: str, scores: tuple[str, ...] = (), order: str = "rank", form: str = "csv", single: bool = False,
+    max_single: int = 1_000_000,
 ) -> None:
-    """A ranked table with a header, ordered by rank. One file only for short results.
+    """A ranked table with a header, ordered by rank.
 
-    The rows are range partitioned by rank, so the files in name order are the ranking.
+    The rows are range partitioned by rank, so the files in name order are the ranking. ``single`` asks for one file,
+    which one task writes; a table of more than ``max_single`` rows is then refused.
     """
     out = flat(format_scores(df, *scores)) if form == "csv" else df
     if single:
+        if df.limit(max_single + 1).count() > max_single:
+            raise ValueError(f"more than {max_single} rows are too many for one file")
         out = out.coalesce(1).sortWithinPartitions(order)
     else:
         out = out.repartitionByRange(order).sortWithinPartitions(order)
