@@ -19,6 +19,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 #: Rows that one call of a text function gets: bounds what a task holds besides the Arrow batch.
 SLICE_ROWS = 128
+#: Rows of an Arrow batch: whole texts may be long, and the session's usual 10,000 of them do not fit a small executor.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _STORED: list[tuple[str, str]] = []
 
@@ -61,7 +64,13 @@ def release(spark: SparkSession) -> int:
 
 
 def with_row(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns renamed to c0, c1, ...: names of the input cannot clash with names made on the way."""
+    """The columns renamed to c0, c1, ...: names of the input cannot clash with names made on the way.
+
+    Also lowers the session's rows per Arrow batch to ``BATCH_ROWS``, if they are more.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     return df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
 
 

@@ -35,7 +35,7 @@ SIZE = 400
 #: Strings of one entry start within so many bytes; more makes fewer rows and longer ends to order byte by byte.
 SPAN = 100
 #: Strings that start in one block.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: A table of so many hash buckets is broadcast to leave out documents without a match early: its bound.
 BUCKETS = 1 << 19
 
