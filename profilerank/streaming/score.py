@@ -29,7 +29,7 @@ def read_stream(
 
 
 #: Parts of the table of known ids; a batch reads the parts its ids fall into.
-ID_BUCKETS = 256
+ID_BUCKETS = 16
 
 
 def known_ids(spark: SparkSession, folder: str, key: T.StructField, buckets: list[int], number: int) -> DataFrame:
@@ -41,20 +41,22 @@ def known_ids(spark: SparkSession, folder: str, key: T.StructField, buckets: lis
 
 def stream_score(
     source: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str = ID, order: list[str] | None = None,
+    id_buckets: int = ID_BUCKETS,
 ) -> StreamingQuery:
     """Scores rows whose ``key`` has not come before and adds them; stops when all files are read.
 
     Of rows with one key the one in the earliest batch counts, and inside a batch the least by ``order``, then by the
     other columns. Each micro-batch writes its own folder, which a repeated batch overwrites, so a failure between write
     and commit does not double rows. Keys are compared with a table of ids beside the output, divided by a hash of the
-    key; a batch reads the parts its keys fall into, one small column, and never the output of earlier batches.
+    key into ``id_buckets`` (fixed for the life of a table; each batch adds a file to every part it touches); a batch reads
+    the parts its keys fall into, one small column, and never the output of earlier batches.
     """
     ids = out.rstrip("/") + "-ids"
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         make_folder(spark, ids)
-        bucket = F.pmod(F.xxhash64(key), F.lit(ID_BUCKETS)).cast("int")
+        bucket = F.pmod(F.xxhash64(key), F.lit(id_buckets)).cast("int")
         columns = batch.columns
         rest = [c for c in columns if c != key and c not in (order or [])]
         first = materialize(dedup_first(batch, [*(order or []), *rest], key).select(*columns), "batch")
