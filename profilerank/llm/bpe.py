@@ -23,8 +23,31 @@ from .common import fields, map_texts
 #: The pattern that splits a text before the merges.
 WORDS = r" ?\p{L}++|'(?:[stmd]|re|ve|ll)| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
 
-#: Words a task remembers at most, and the longest word it remembers.
-CACHE_WORDS, CACHE_CHARS = 300_000, 64
+#: Words in each half of what a task remembers, and the longest it remembers.
+CACHE_WORDS, CACHE_CHARS = 100_000, 64
+
+
+class _Recent:
+    """Ids of words met lately: when the younger half is full it becomes the older one, and what is met again moves up."""
+
+    def __init__(self):
+        self.now: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
+
+    def find(self, word: str) -> tuple[int, ...] | None:
+        ids = self.now.get(word)
+        if ids is None:
+            ids = self.before.get(word)
+            if ids is not None:
+                self.keep(word, ids)
+        return ids
+
+    def keep(self, word: str, ids: tuple[int, ...]) -> None:
+        if len(word) <= CACHE_CHARS:
+            if len(self.now) >= CACHE_WORDS:
+                self.before = dict(self.now)
+                self.now.clear()
+            self.now[word] = ids
 
 
 def byte_letters() -> list[str]:
@@ -60,7 +83,7 @@ class BytePairCoder:
         self.numbers = [str(i) for i in range(len(self.strings))]
         self.words = regex.compile(WORDS)
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = _Recent()
 
     def encode(self, text: str) -> list[int]:
         if self.split is None or not self.split.search(text):
@@ -71,20 +94,15 @@ class BytePairCoder:
         return out
 
     def _plain(self, text: str) -> list[int]:
-        words = self.words.findall(text)
-        known = self.known
-        found = list(map(known.get, words))
+        words, known = self.words.findall(text), self.known
+        found = list(map(known.now.get, words))
         if None in found:
             for i, ids in enumerate(found):
                 if ids is None:
-                    word = words[i]
-                    ids = known.get(word)
+                    ids = known.find(words[i])
                     if ids is None:
-                        ids = self._merge(word.encode())
-                        if len(word) <= CACHE_CHARS:
-                            if len(known) >= CACHE_WORDS:
-                                known.clear()
-                            known[word] = ids
+                        ids = self._merge(words[i].encode())
+                        known.keep(words[i], ids)
                     found[i] = ids
         return list(chain.from_iterable(found))
 
