@@ -189,9 +189,11 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
         F.min(F.struct("tx", "c0")).alias("first")), "set_classes")
 
     prefixes = stored(_prefixes(source, shingle, percent, spark.sparkContext.broadcast(seen)), "prefixes")
-    tokens = prefixes.groupBy("token").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low <> high").select("token")
+    tokens = stored(prefixes.groupBy("token").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low <> high").select("token"), "tokens")
+    _settle(spark)
     met = stored(prefixes.join(tokens, "token").distinct(), "prefixes_met")
     drop_stored(prefixes)
+    drop_stored(tokens)
     _settle(spark)
 
     # A pivot has the fewest rarer shingles before the shared one.
