@@ -199,10 +199,12 @@ def repeated_starts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = _keyed(docs, id_col, text_col)
     parsed = stored(_parse(source.where(F.octet_length("raw") >= size), size), "parse")
     real = parsed.where("weight > 0")
-    shared = real.groupBy("key").agg(F.sum("weight").alias("n")).where("n > 1").select("key")
+    shared = stored(real.groupBy("key").agg(F.sum("weight").alias("n")).where("n > 1").select("key"), "shared")
+    _settle(spark)
     met = stored(real.join(shared, "key"), "met")
     known = stored(parsed.where("weight = 0").select("c0", "tx", "lo", "hi"), "known")
     drop_stored(parsed)
+    drop_stored(shared)
     _settle(spark)
 
     dictionary = stored(met.groupBy("key", "entry").agg(
