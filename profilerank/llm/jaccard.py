@@ -175,7 +175,8 @@ def _can_match(x: str, y: str, percent: int) -> Column:
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
-    """(c0, tx, n, component_id) of every document, tx a hash of its text."""
+    """(c0, tx, n, component_id, label) of every document, tx a hash of its text. The label tells groups apart, also those
+    whose smallest ids are equal or null; it is null without words."""
     spark = docs.sparkSession
     source = _keyed(docs, id_col, text_col)
     summaries = stored(_summaries(source, shingle), "shingle_sets")
@@ -221,8 +222,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
 
     named = classes.select("cid", "least").join(groups.withColumnRenamed("id", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_class = stored(named.select("cid", "label").join(least, "label").select("cid", "component_id"), "set_groups")
-    return rows.select("c0", "tx", "n", "cid").join(of_class, "cid", "left").select("c0", "tx", "n", F.coalesce("component_id", "c0").alias("component_id"))
+    of_class = stored(named.select("cid", "label").join(least, "label").select("cid", "component_id", "label"), "set_groups")
+    joined = rows.select("c0", "tx", "n", "cid").join(of_class, "cid", "left")
+    return joined.select("c0", "tx", "n", F.coalesce("component_id", "c0").alias("component_id"), "label")
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -240,13 +242,14 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The documents, with all their columns, one of each group: the one with the smallest id.
 
-    Documents without words are all kept. Of rows with the same id and text one stays.
+    Documents without words are all kept. Of rows with the same id and text one stays; documents that share an id, or have
+    none, but are not similar all stay.
     """
     found = stored(_grouped(docs, id_col, text_col, shingle, percent).where("n > 0"), "grouped_rows")
-    rows = found.groupBy("c0", "tx").agg(F.first("component_id").alias("component"), F.count("*").alias("times"))
+    rows = found.groupBy("c0", "tx").agg(F.first("label").alias("label"), F.count("*").alias("times"))
     # A null id sorts last, so it stays only where its group has no other.
-    first = rows.groupBy("component").agg(F.min(F.struct(F.col("c0").isNull().alias("none"), "c0", "tx")).alias("f")).select("component", "f")
-    judged = rows.alias("r").join(first.alias("g"), F.expr("r.component <=> g.component"))
+    first = rows.groupBy("label").agg(F.min(F.struct(F.col("c0").isNull().alias("none"), "c0", "tx")).alias("f")).select("label", "f")
+    judged = rows.alias("r").join(first.alias("g"), F.expr("r.label = g.label"))
     stays = F.expr("r.c0 <=> g.f.c0 and r.tx = g.f.tx")
     decided = stored(judged.select("r.c0", "r.tx", stays.alias("stays"), "r.times").where("not stays or times > 1"), "grouped_decisions")
     columns = docs.columns
