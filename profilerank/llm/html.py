@@ -2,10 +2,14 @@
 
 A wrapper is a union-free regular expression over a page's tokens: elements, texts, optional parts and repeated groups.
 It starts as one page. Each further page of the host is aligned with it; where they differ, what only one of them has
-becomes optional, neighbours of the same kind become a repeated group, and texts that differ become a slot. Pages are
-read against the wrapper of their host: a text that all pages of the host share at that place belongs to the template,
-the texts in slots and the article's own texts are content. Elements that are menus, headers, footers, adverts, forms
-and the like by their kind or name are left out.
+becomes optional, neighbours of the same kind become a repeated group, and texts that differ become a slot. Beside its
+elements the wrapper keeps the texts that stand there on all pages of the host; a page without text does not count.
+
+Pages without an article or main element are read against the wrapper of their host: a text that stands in
+its place on all pages of the host, at least two different ones, belongs to the template, the others are content. Only
+then names are asked: elements that are menus, headers, footers, adverts, forms and the like by their kind or name are left
+out, and where an article or main element holds content, what is outside of it. A page of which the wrapper leaves nothing
+is a copy of what all pages have; it is read by names alone, so that no text is lost whole.
 
 Wrappers merge like pages do, so each task aligns its own pages of a host and what is shuffled is one wrapper per
 host and task; a host with very many of them is merged in two steps. Pages are not shuffled for the inference, and meet
@@ -16,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+from hashlib import blake2b
 from html import unescape
 from zlib import crc32
 
@@ -266,31 +271,53 @@ def align(one: list, two: list) -> list:
     return fold(out)
 
 
+# A host's wrapper is [particle, texts by path, whether pages differ]. The path of an element is the keys down to it; its
+# texts are those that stand there on all pages, in whatever element of the path, so that a repeated group has them too.
+
+def _number(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def host_wrapper(page: Element) -> list:
+    """The wrapper of a host with one page."""
+    texts: dict[str, list] = {}
+    _add_texts(page, "", texts)
+    return [describe(page), {path: sorted(set(own)) for path, own in sorted(texts.items())}, 0]
+
+
+def _add_texts(element: Element, path: str, texts: dict[str, list]) -> None:
+    for child in element.children:
+        if isinstance(child, str):
+            texts.setdefault(path, []).append(_number(child))
+        elif not child.skip:
+            _add_texts(child, f"{path} {child.key}", texts)
+
+
+def merge_hosts(one: list, two: list) -> list:
+    """One wrapper for two of the same host: texts that stand in their place on the pages of both."""
+    for a, b in ((one, two), (two, one)):
+        if not a[1] and not a[2]:  # no page with text
+            return b
+    both = {path: sorted(set(own).intersection(two[1][path])) for path, own in one[1].items() if path in two[1]}
+    return [merge(one[0], two[0]), {path: own for path, own in both.items() if own}, one[2] | two[2] | (one[1] != two[1])]
+
+
 class Wrapper:
-    """A wrapper made ready for reading pages: below each element, the shared texts and the elements by kind."""
+    """A wrapper made ready for reading pages: below each element, the texts of all pages and the elements by kind."""
 
-    def __init__(self, particle: list):
-        self.shared: set[int] = set()
-        self.slots = False
+    def __init__(self, particle: list, texts: dict[str, list], path: str = ""):
+        self.shared = frozenset(texts.get(path, ()))
         self.below: dict[str, list] = {}
         self._add(particle[2])
-        self.inside = {key: Wrapper(["e", key, content, 0, 0]) for key, content in self.below.items()}
+        self.inside = {key: Wrapper(["e", key, content, 0, 0], texts, f"{path} {key}") for key, content in self.below.items()}
 
     def _add(self, particles: list) -> None:
         for kind, key, content, _, _ in particles:
-            if kind == "t":
-                self.slots = self.slots or content is None
-                if content is not None:
-                    self.shared.add(content)
-            elif kind == "g":
+            if kind == "g":
                 self._add(content)
-            else:
+            elif kind == "e":
                 self.below.setdefault(key, []).extend(content)
 
-    def varies(self) -> bool:
-        """Whether pages of the host differ anywhere: else nothing tells template from content."""
-        return self.slots or any(w.varies() for w in self.inside.values())
-
 
 def blocks(page: Element, wrapper: Wrapper | None) -> list[str]:
     """The article's blocks in page order."""
@@ -299,7 +326,7 @@ def blocks(page: Element, wrapper: Wrapper | None) -> list[str]:
         _collect(page, None, False, out)
     else:
         _collect(page, wrapper, True, out)
-    return out
+    return out if out or not wrapper else blocks(page, None)
 
 
 def _has_main(element: Element) -> bool:
@@ -313,7 +340,7 @@ def _has_text(element: Element) -> bool:
 def _collect(element: Element, wrapper: Wrapper | None, take: bool, out: list[str]) -> None:
     for child in element.children:
         if isinstance(child, str):
-            if take and not (wrapper and crc32(child.encode("utf-8", "replace")) in wrapper.shared):
+            if take and not (wrapper and wrapper.shared and _number(child) in wrapper.shared):
                 out.append(child)
         elif not child.skip:
             _collect(child, wrapper.inside.get(child.key) if wrapper else None, take or child.main, out)
@@ -332,8 +359,8 @@ def _partial(source: DataFrame) -> DataFrame:
 
         for batch in batches:
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = describe(parse((html or b"").decode("utf-8", "replace")))
-                held[host] = merge(held[host], own) if host in held else own
+                own = host_wrapper(parse((html or b"").decode("utf-8", "replace")))
+                held[host] = merge_hosts(held[host], own) if host in held else own
             if len(held) > HELD_HOSTS:
                 yield flush()
         yield flush()
@@ -351,7 +378,7 @@ def _merged(wrappers: DataFrame, *keys: str) -> DataFrame:
                 key = tuple(row[k] for k in keys)
                 one = json.loads(row["wrapper"])
                 if key == now:
-                    held = merge(held, one)
+                    held = merge_hosts(held, one)
                 else:
                     if now is not None:
                         hosts.append(now[0])
@@ -381,8 +408,8 @@ def _pages(pages: DataFrame, columns: list[str]) -> DataFrame:
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars) of every page.
 
-    Null pages and pages without content have an empty text. If a host's pages are all alike, nothing is taken for
-    template. Repeated pages and ids are pages of their own.
+    Null pages and pages without content have an empty text. If a host's pages with text are all alike, nothing is taken
+    for template. Repeated pages and ids are pages of their own.
     """
     wrappers = infer_wrappers(pages, url_col, html_col)
     source = _pages(pages, [url_col, html_col, id_col]).drop("c1")
@@ -399,8 +426,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                     if text not in known:
                         if len(known) > 1_000:
                             known.clear()
-                        made = Wrapper(json.loads(text)) if text else None
-                        known[text] = made if made and made.varies() else None
+                        particle, shared, differ = json.loads(text) if text else (None, None, 0)
+                        known[text] = Wrapper(particle, shared) if differ else None
                     texts.append("\n\n".join(blocks(parse((html or b"").decode("utf-8", "replace")), known[text])))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], schema.names)
 
