@@ -5,7 +5,7 @@ It starts as one page. Each further page of the host is aligned with it; where t
 becomes optional, neighbours of the same kind become a repeated group, and texts that differ become a slot. Beside its
 elements the wrapper keeps the texts that stand there on all pages of the host; a page without text does not count.
 
-Pages without an article or main element are read against the wrapper of their host: a text that stands in
+Every page is read against the wrapper of its host, from the top down and inside the article too: a text that stands in
 its place on all pages of the host, at least two different ones, belongs to the template, the others are content. Only
 then names are asked: elements that are menus, headers, footers, adverts, forms and the like by their kind or name are left
 out, and where an article or main element holds content, what is outside of it. A page of which the wrapper leaves nothing
@@ -322,10 +322,7 @@ class Wrapper:
 def blocks(page: Element, wrapper: Wrapper | None) -> list[str]:
     """The article's blocks in page order."""
     out: list[str] = []
-    if _has_main(page):
-        _collect(page, None, False, out)
-    else:
-        _collect(page, wrapper, True, out)
+    _collect(page, wrapper, not _has_main(page), out)
     return out if out or not wrapper else blocks(page, None)
 
 

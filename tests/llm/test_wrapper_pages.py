@@ -14,3 +14,15 @@ def test_texts_of_some_pages_stay(spark):
         ("a.org", "<div><p>Intro A</p><blockquote>Only here</blockquote><p>Team</p></div>"), ("a.org", "<div><p>Intro B</p><p>Team</p></div>"),
         ("a.org", None), ("one.org", "<h2>Alone</h2><p>x</p><p>y</p>"), ("same.org", "<h2>Copy</h2><p>x</p>"), ("same.org", "<h2>Copy</h2><p>x</p>"),
     ]) == ["Intro A\n\nOnly here", "Intro B", "", "Alone\n\nx\n\ny", "Copy\n\nx", "Copy\n\nx"]
+
+
+def test_template_text_inside_articles_goes(spark):
+    def page(i, body):
+        return f"<div>side line {i}</div><article><h1>Head {i}</h1>{body}<p>Write to the desk</p><section><p>Desk rules</p></section></article>"
+
+    # The shared paragraph stands behind one to three others, and after other elements.
+    bodies = ["<p>x</p>", "<p>x</p><ul><li>i</li></ul><p>y</p>", "<p>v</p><p>y</p><blockquote>z</blockquote><p>w</p>"]
+    found = _texts(spark, [("a.org", page(i, b)) for i, b in enumerate(bodies)]
+                   + [("b.org", "<main><p>Old</p></main>"), ("b.org", "<main><p>Old</p><p>New</p></main>")])
+    assert found[:3] == ["Head 0\n\nx", "Head 1\n\nx\n\ni\n\ny", "Head 2\n\nv\n\ny\n\nz\n\nw"]
+    assert found[3:] == ["Old", "New"]  # a page that holds nothing but what all have is not emptied
