@@ -21,9 +21,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: the one with the smallest id."""
+    """One document of each group of similar ones (five words, similarity 0.8): the one with the smallest id."""
     release(spark)
-    return jaccard.keep_one(docs)
+    return jaccard.keep_one(docs, shingle=5, percent=80)
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
