@@ -27,9 +27,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without its repeated passages; ``n_chars`` follows the text."""
+    """Every document without its repeated passages, of 400 bytes or of over 50 words; ``n_chars`` follows the text."""
     release(spark)
-    left = repeats.remove_repeats(docs)
+    left = repeats.remove_repeats(docs, words=51)
     return left.withColumn("n_chars", F.coalesce(F.char_length("text").cast("bigint"), "n_chars")).select(*docs.columns)
 
 

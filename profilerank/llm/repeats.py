@@ -15,6 +15,10 @@ number of rows over 2**64.
 
 Nulls are empty. Texts below ``size`` bytes have no such strings and are kept whole, copies included. Matches never
 cross documents. Repeated rows, also with the same id, repeat each other. Texts are worked on in blocks.
+
+Passages of so many words are found in the same way, over texts that have each word replaced by the eight bytes of its
+number: a word belongs to a passage if all its bytes are covered. Words are set apart by white space, whatever its
+length.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import drop_stored, fields, flat_map_texts, stored, with_row
 from .phrases import GRAM, Prints
-from .words import mix
+from .words import Words, mix
 
 SIZE = 400
 #: Strings of one entry start within so many bytes; more makes fewer rows and longer ends to order byte by byte.
@@ -38,6 +42,16 @@ SPAN = 100
 BLOCK = 1 << 19
 #: A table of so many hash buckets is broadcast to leave out documents without a match early: its bound.
 BUCKETS = 1 << 19
+#: Bytes of a word's number.
+CODE = 8
+# White space as blanks; letters keep their case.
+_WORD_TABLE = bytes(32 if 9 <= b <= 13 else b for b in range(256))
+
+
+def word_codes(texts: list[bytes | None]) -> list[bytes]:
+    """Each text as the numbers of its words, ``CODE`` bytes a word."""
+    found = Words(texts, _WORD_TABLE)
+    return [found.numbers[first:first + count].tobytes() for first, count in zip(found.first.tolist(), found.count.tolist())]
 
 
 def _segments(texts: list[bytes | None], size: int):
@@ -128,13 +142,15 @@ def _free(prints: Prints, lo, hi, seg, owner, shift, size):
         yield owner[s[first]], no, no, p[first] + shift[s[first]], p[end] + shift[s[first]], np.zeros(len(first), dtype=np.int32)
 
 
-def _parse(source: DataFrame, size: int) -> DataFrame:
+def _parse(source: DataFrame, size: int, words: bool) -> DataFrame:
     """(c0, tx, key, entry, lo, hi, weight) of all documents."""
     schema = T.StructType([source.schema["c0"], source.schema["tx"], *fields("key bigint, entry bigint, lo int, hi int, weight int")])
 
     def setup():
         def work(part):
             texts = part.column(2).to_pylist()
+            if words:
+                texts = word_codes(texts)
             for owner, key, entry, lo, hi, weight in entries(texts, size):
                 take = pa.array(owner)
                 yield (part.column(0).take(take), part.column(1).take(take), key.view(np.int64), entry.view(np.int64),
@@ -145,13 +161,15 @@ def _parse(source: DataFrame, size: int) -> DataFrame:
     return flat_map_texts(source.select("c0", "tx", "raw"), setup, schema)
 
 
-def _strings(wanted: DataFrame, size: int) -> DataFrame:
+def _strings(wanted: DataFrame, size: int, words: bool) -> DataFrame:
     """(c0, tx, number, at, weight) of every string of the wanted rows (c0, tx, raw, rows)."""
     schema = T.StructType([wanted.schema["c0"], wanted.schema["tx"], *fields("number bigint, at int, weight int")])
 
     def setup():
         def work(part):
             texts, rows = part.column(2).to_pylist(), part.column(3).to_pylist()
+            if words:
+                texts = word_codes(texts)
             for i, (text, row) in enumerate(zip(texts, rows)):
                 row.sort(key=lambda x: x["lo"])
                 # Neighbouring rows are fingerprinted together, far ones apart: a long text is not read whole at once.
@@ -193,11 +211,15 @@ def _same(left: str, right: str):
     return F.expr(f"{left}.c0 <=> {right}.c0 and {left}.tx = {right}.tx")
 
 
-def repeated_starts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
-    """(c0, tx, lo, hi): where repeated strings start, per document (id and text hash), as stored lists of intervals."""
+def repeated_starts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, words: int | None = None) -> DataFrame:
+    """(c0, tx, lo, hi): where repeated strings start, per document (id and text hash), as stored lists of intervals.
+
+    With ``words``, of the texts as word numbers: strings of so many words.
+    """
+    size, least = (size, size) if words is None else (CODE * words, 2 * words - 1)
     spark = docs.sparkSession
     source = _keyed(docs, id_col, text_col)
-    parsed = stored(_parse(source.where(F.octet_length("raw") >= size), size), "parse")
+    parsed = stored(_parse(source.where(F.octet_length("raw") >= least), size, words is not None), "parse")
     real = parsed.where("weight > 0")
     shared = stored(real.groupBy("key").agg(F.sum("weight").alias("n")).where("n > 1").select("key"), "shared")
     _settle(spark)
@@ -216,7 +238,7 @@ def repeated_starts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     per_doc = ends.groupBy("c0", "tx").agg(F.collect_list(F.struct("lo", "hi", "weight")).alias("rows"))
     near = source.join(_buckets(ends), F.pmod("tx", F.lit(BUCKETS)) == F.col("bucket"), "left_semi")
     wanted = near.alias("a").join(per_doc.alias("b"), _same("a", "b")).select("a.c0", "a.tx", "a.raw", "b.rows")
-    strings = stored(_strings(wanted, size), "strings")
+    strings = stored(_strings(wanted, size, words is not None), "strings")
     _settle(spark)
     numbers = strings.groupBy("number").agg(F.sum("weight").alias("n")).where("n > 1").select("number")
     single = strings.where("weight = 1").join(numbers, "number").select("c0", "tx", F.col("at").alias("lo"), F.col("at").alias("hi"))
@@ -237,6 +259,16 @@ def covered(n: int, lo, hi, size: int) -> np.ndarray:
     return np.cumsum(change[:n]) > 0
 
 
+def _word_cover(text: bytes, lo, hi, words: int) -> np.ndarray:
+    """Which bytes belong to words of passages that start in one of the intervals, with the white space after each word."""
+    found = Words([text], _WORD_TABLE)
+    inside = covered(CODE * len(found.starts), lo, hi, CODE * words).reshape(-1, CODE).all(axis=1)
+    change = np.zeros(len(text) + 1, dtype=np.int32)
+    change[found.starts[inside]] += 1
+    np.add.at(change, np.append(found.starts[1:], len(text))[inside], -1)
+    return np.cumsum(change[:-1]) > 0
+
+
 def _cut(text: bytes | None, lo, hi, size: int) -> tuple[bytes, int, int]:
     """(bytes left, bytes removed, runs removed)."""
     text = text or b""
@@ -248,19 +280,33 @@ def _cut(text: bytes | None, lo, hi, size: int) -> tuple[bytes, int, int]:
     return data[~gone].tobytes(), int(gone.sum()), runs
 
 
-def _apply(docs: DataFrame, columns: list[str], id_col: str, text_col: str, size: int, made: str, function) -> DataFrame:
-    """The columns, renamed to c2, c3, ..., and ``made``, a function of (text, lo, hi). Untouched documents do not move."""
-    starts = repeated_starts(docs, id_col, text_col, size)
+def _both_starts(docs: DataFrame, id_col: str, text_col: str, size: int, words: int) -> DataFrame:
+    """(c0, tx, lo, hi, word_lo, word_hi): the intervals of strings of ``size`` bytes and of ``words`` words."""
+    of_bytes, of_words = (repeated_starts(docs, id_col, text_col, size, n) for n in (None, words))
+    none = F.array().cast("array<int>")
+    rows = of_bytes.select("c0", "tx", "lo", "hi", none.alias("word_lo"), none.alias("word_hi")).unionByName(
+        of_words.select("c0", "tx", none.alias("lo"), none.alias("hi"), F.col("lo").alias("word_lo"), F.col("hi").alias("word_hi")))
+    names = ("lo", "hi", "word_lo", "word_hi")
+    grouped = rows.groupBy("c0", "tx").agg(F.collect_list(F.struct(*names)).alias("s"))
+    out = stored(grouped.select("c0", "tx", *[F.flatten(f"s.{n}").alias(n) for n in names]), "both_starts")
+    drop_stored(of_bytes)
+    drop_stored(of_words)
+    return out
+
+
+def _apply(docs: DataFrame, columns: list[str], id_col: str, text_col: str, starts: DataFrame, made: str, function) -> DataFrame:
+    """The columns, renamed to c2, c3, ..., and ``made``, a function of the text and the intervals. Untouched documents do not move."""
+    names = starts.columns[2:]
     renamed = with_row(docs, [id_col, text_col, *columns])
     raw = F.col("c1").cast("binary")
     source = renamed.withColumns({"tx": F.xxhash64(raw), "raw": raw}).drop("c1").withColumn("bucket", F.pmod("tx", F.lit(BUCKETS)))
     buckets = _buckets(starts)
     near = source.join(buckets, "bucket", "left_semi")
     far = source.join(buckets, "bucket", "left_anti")
-    joined = near.alias("a").join(starts.alias("b"), _same("a", "b"), "left").select("a.*", "b.lo", "b.hi")
+    joined = near.alias("a").join(starts.alias("b"), _same("a", "b"), "left").select("a.*", *[f"b.{n}" for n in names])
     none = F.lit(None).cast("array<int>")
-    both = joined.unionByName(far.select("*", none.alias("lo"), none.alias("hi")))
-    return both.withColumn(made, function("raw", "lo", "hi"))
+    both = joined.unionByName(far.select("*", *[none.alias(n) for n in names]))
+    return both.withColumn(made, function("raw", *names))
 
 
 def repeat_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
@@ -273,17 +319,34 @@ def repeat_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             rows.append((len(t or b""), removed, runs, hashlib.sha256(kept).hexdigest()))
         return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    made = _apply(docs, [], id_col, text_col, size, "d", digest)
+    made = _apply(docs, [], id_col, text_col, repeated_starts(docs, id_col, text_col, size), "d", digest)
     return made.select(F.col("c0").alias(id_col), "d.n_bytes", "d.n_removed", "d.n_spans", "d.kept_sha256")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
-    """The documents with all their columns and the remaining text; bytes of a cut character go with it. Null stays null."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, words: int | None = None) -> DataFrame:
+    """The documents with all their columns and the remaining text; bytes of a cut character go with it. Null stays null.
+
+    With ``words``, repeated passages of at least so many words go too, however short in bytes, each word with the white
+    space after it. Both are found in the whole texts.
+    """
     @F.pandas_udf("string")
     def rest(text: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else _cut(t, a, b, size)[0].decode("utf-8", "ignore") for t, a, b in zip(text, lo, hi)], dtype=object)
 
+    @F.pandas_udf("string")
+    def rest_of_both(text: pd.Series, lo: pd.Series, hi: pd.Series, word_lo: pd.Series, word_hi: pd.Series) -> pd.Series:
+        out = []
+        for t, a, b, c, d in zip(text, lo, hi, word_lo, word_hi):
+            if t and a is not None:
+                gone = covered(len(t), a, b, size) | _word_cover(t, c, d, words)
+                t = np.frombuffer(t, dtype=np.uint8)[~gone].tobytes()
+            out.append(None if t is None else t.decode("utf-8", "ignore"))
+        return pd.Series(out, dtype=object)
+
     others = [c for c in docs.columns if c != text_col]
-    made = _apply(docs, others, id_col, text_col, size, "rest", rest)
+    if words is None:
+        made = _apply(docs, others, id_col, text_col, repeated_starts(docs, id_col, text_col, size), "rest", rest)
+    else:
+        made = _apply(docs, others, id_col, text_col, _both_starts(docs, id_col, text_col, size, words), "rest", rest_of_both)
     place = {c: f"c{i + 2}" for i, c in enumerate(others)} | {text_col: "rest"}
     return made.select(*[F.col(place[c]).alias(c) for c in docs.columns])
