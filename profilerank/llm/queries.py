@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import audio, bpe, contamination, html, jaccard, language, quality, repeats, sharding, urls
+from . import anchors, audio, bpe, contamination, html, infill, jaccard, language, quality, repeats, sharding, spelling, urls
 from .common import table
 
 QUERIES: dict = {}
@@ -53,8 +53,10 @@ def _crc_entry(value: int) -> int:
 
 
 # CRC-32 byte by byte over a table that follows from the polynomial.
+_CRC_TABLE = f"crc_table AS (SELECT {[_crc_entry(i) for i in range(256)]}::BIGINT[] AS tab)"
+
 SQL_SHARDING = f"""
-WITH crc_table AS (SELECT {[_crc_entry(i) for i in range(256)]}::BIGINT[] AS tab),
+WITH {_CRC_TABLE},
 hexed AS (SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS h FROM documents),
 raw AS (
   SELECT doc_id, source, list_transform(range(0, len(h) // 2),
@@ -179,3 +181,80 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op5_html")
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_text(table(spark, sf_dir, "pages"))
+
+
+SQL_PASSAGES = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*') AS parts FROM documents),
+starts AS (SELECT r, i, sha256(array_to_string(ws[i:i + 34], ' ')) AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS i FROM docs)),
+again AS (SELECT g FROM starts GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS i FROM starts JOIN again USING (g)),
+words AS (SELECT r, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS w, unnest(parts) AS part FROM docs),
+kept AS (
+  SELECT r, string_agg(w, ' ' ORDER BY i) AS joined, string_agg(part, '' ORDER BY i) AS rest FROM words ANTI JOIN gone USING (r, i) GROUP BY r),
+counted AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(joined, '')) AS kept_sha256,
+       regexp_extract(text, '^[\\x20\\x09-\\x0D]*') || coalesce(rest, '') AS text
+FROM docs LEFT JOIN kept USING (r) LEFT JOIN counted USING (r)"""
+
+
+@_register("op11_passages", SQL_PASSAGES)
+def op11_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.passage_digest(table(spark, sf_dir, "documents"))
+
+
+SQL_SPELLING = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)),
+counted AS (SELECT run, count(*) AS c, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run),
+raw AS (
+  SELECT run, c, list_transform(range(0, len(h) // 2),
+    lambda i: (instr('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + instr('0123456789ABCDEF', h[2 * i + 2]) - 1) AS bs FROM counted),
+hashed AS (
+  SELECT run, c, xor(list_reduce([4294967295::BIGINT] || bs, lambda a, x: xor(tab[(xor(a, x) & 255) + 1], a >> 8)), 4294967295) AS crc FROM raw, crc_table),
+made AS (
+  SELECT CASE WHEN crc % 199 = 0 THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word, c FROM hashed),
+vocabulary AS (SELECT word, sum(c)::BIGINT AS n FROM made WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+cuts AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)),
+near AS (
+  SELECT a.word, b.word AS other FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, v.word FROM cuts a JOIN vocabulary v ON v.word = a.rest
+  UNION SELECT v.word, a.word FROM cuts a JOIN vocabulary v ON v.word = a.rest),
+best AS (SELECT near.word, count(*) AS n_near, min({{'m': -v.n, 'w': other}}) AS b FROM near JOIN vocabulary v ON v.word = other GROUP BY near.word),
+forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.m >= 5 * v.n THEN b.w END AS form, CASE WHEN -b.m >= 5 * v.n THEN -b.m END AS form_n
+  FROM vocabulary v LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS at FROM forms UNION ALL SELECT chain.word, f.form FROM chain JOIN forms f ON f.word = chain.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, chain.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chain ON chain.word = f.word JOIN forms last ON last.word = chain.at AND last.form IS NULL"""
+
+
+@_register("op12_spelling", SQL_SPELLING)
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_forms(table(spark, sf_dir, "documents"))
+
+
+SQL_INFILL = """
+WITH hexed AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, t, length(t) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM hexed),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts"""
+
+
+@_register("op13_infill", SQL_INFILL)
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.infill_digest(table(spark, sf_dir, "documents"))
