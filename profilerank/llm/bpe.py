@@ -2,10 +2,11 @@
 
 A word is a doubly linked list of symbols. A priority queue holds the rank of every neighbouring pair that the
 merge table knows; the lowest rank, leftmost first, is merged next, and entries whose pair has changed since are
-skipped. Decoding concatenates the vocabulary's byte strings. Words repeat, so a task keeps the ids of the words
-it has met lately.
+skipped. Decoding concatenates the vocabulary's byte strings. Words repeat, so a worker keeps the ids of the words
+it has met lately, from one task to the next.
 
 Nulls and empty texts have no tokens. Texts of any length are encoded whole: the cost is n log n in the longest word.
+Repeated rows get equal results, an empty table gives none, and other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import hashlib
 import heapq
 import json
 from itertools import chain
+from operator import itemgetter
 
 import regex
 from pyspark.sql import DataFrame
@@ -24,30 +26,34 @@ from .common import fields, map_texts
 WORDS = r" ?\p{L}++|'(?:[stmd]|re|ve|ll)| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
 
 #: Words in each half of what a task remembers, and the longest it remembers.
-CACHE_WORDS, CACHE_CHARS = 100_000, 64
+CACHE_WORDS, CACHE_CHARS = 200_000, 64
+
+#: The ids of a word, and the same as decimal numbers joined by commas.
+Entry = tuple[tuple[int, ...], str]
+_IDS, _JOINED = itemgetter(0), itemgetter(1)
 
 
 class _Recent:
     """Ids of words met lately: when the younger half is full it becomes the older one, and what is met again moves up."""
 
     def __init__(self):
-        self.now: dict[str, tuple[int, ...]] = {}
-        self.before: dict[str, tuple[int, ...]] = {}
-
-    def find(self, word: str) -> tuple[int, ...] | None:
-        ids = self.now.get(word)
-        if ids is None:
-            ids = self.before.get(word)
-            if ids is not None:
-                self.keep(word, ids)
-        return ids
-
-    def keep(self, word: str, ids: tuple[int, ...]) -> None:
+        self.now: dict[str, Entry] = {}
+        self.before: dict[str, Entry] = {}
+
+    def find(self, word: str) -> Entry | None:
+        entry = self.now.get(word)
+        if entry is None:
+            entry = self.before.get(word)
+            if entry is not None:
+                self.keep(word, entry)
+        return entry
+
+    def keep(self, word: str, entry: Entry) -> None:
         if len(word) <= CACHE_CHARS:
             if len(self.now) >= CACHE_WORDS:
                 self.before = dict(self.now)
                 self.now.clear()
-            self.now[word] = ids
+            self.now[word] = entry
 
 
 def byte_letters() -> list[str]:
@@ -86,54 +92,65 @@ class BytePairCoder:
         self.known = _Recent()
 
     def encode(self, text: str) -> list[int]:
+        return list(chain.from_iterable(map(_IDS, self.entries(text))))
+
+    def entries(self, text: str) -> list[Entry]:
+        """The words and added tokens of a text, one after another, as ids."""
         if self.split is None or not self.split.search(text):
             return self._plain(text)
-        out: list[int] = []
+        out: list[Entry] = []
         for piece in self.split.split(text):
-            out += [self.added[piece]] if piece in self.added else self._plain(piece)
+            out += [self._entry((self.added[piece],))] if piece in self.added else self._plain(piece)
         return out
 
-    def _plain(self, text: str) -> list[int]:
+    def _entry(self, ids: tuple[int, ...]) -> Entry:
+        return ids, ",".join(map(self.numbers.__getitem__, ids))
+
+    def _plain(self, text: str) -> list[Entry]:
         words, known = self.words.findall(text), self.known
         found = list(map(known.now.get, words))
         if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    ids = known.find(words[i])
-                    if ids is None:
-                        ids = self._merge(words[i].encode())
-                        known.keep(words[i], ids)
-                    found[i] = ids
-        return list(chain.from_iterable(found))
+            for i, entry in enumerate(found):
+                if entry is None:
+                    entry = known.find(words[i])
+                    if entry is None:
+                        entry = self._entry(self._merge(words[i].encode()))
+                        known.keep(words[i], entry)
+                    found[i] = entry
+        return found
 
     def _merge(self, word: bytes) -> tuple[int, ...]:
-        ranks, merged_of, push = self.ranks, self.merged, heapq.heappush
-        symbols = [*map(self.first.__getitem__, word), -1]
-        size = len(word)
-        # A pair is two ids in one number; a queue entry is the rank, then the place. -1 is the end or a gap.
-        queue = [ranks[pair] << 32 | i for i, pair in enumerate([a << 24 | b for a, b in zip(symbols, symbols[1:size])]) if pair in ranks]
+        rank_of, merged_of, push, pop = self.ranks.get, self.merged, heapq.heappush, heapq.heappop
+        symbols = list(map(self.first.__getitem__, word))
+        size = len(symbols)
+        # A pair is two ids in one number. now: the rank of the pair that starts at each place, -1 if there is none.
+        now = [rank_of(a << 24 | b, -1) for a, b in zip(symbols, symbols[1:])]
+        now.append(-1)
+        # A queue entry is the rank, then the place.
+        queue = [rank << 32 | i for i, rank in enumerate(now) if rank >= 0]
         heapq.heapify(queue)
-        after, before = [*range(1, size + 1)], [*range(-1, size)]
+        after, before = list(range(1, size + 1)), list(range(-1, size))
         while queue:
-            entry = heapq.heappop(queue)
-            i = entry & 0xFFFFFFFF
-            j = after[i]
-            pair = symbols[i] << 24 | symbols[j]
-            if pair not in ranks or ranks[pair] != entry >> 32 or i == j:
+            entry = pop(queue)
+            i, rank = entry & 0xFFFFFFFF, entry >> 32
+            if now[i] != rank:
                 continue  # stale: one of the two symbols has been merged since
-            merged = symbols[i] = merged_of[entry >> 32]
+            merged = symbols[i] = merged_of[rank]
+            j = after[i]
             k = after[i] = after[j]
-            symbols[j], after[j] = -1, j
+            symbols[j] = now[j] = -1
             if k < size:
                 before[k] = i
-                pair = merged << 24 | symbols[k]
-                if pair in ranks:
-                    push(queue, ranks[pair] << 32 | i)
+                rank = now[i] = rank_of(merged << 24 | symbols[k], -1)
+                if rank >= 0:
+                    push(queue, rank << 32 | i)
+            else:
+                now[i] = -1
             h = before[i]
             if h >= 0:
-                pair = symbols[h] << 24 | merged
-                if pair in ranks:
-                    push(queue, ranks[pair] << 32 | h)
+                rank = now[h] = rank_of(symbols[h] << 24 | merged, -1)
+                if rank >= 0:
+                    push(queue, rank << 32 | h)
         return tuple([s for s in symbols if s >= 0])
 
     def decode(self, ids: list[int]) -> str:
@@ -149,12 +166,19 @@ def _shared(docs: DataFrame, tokenizer: str):
     return docs.sparkSession.sparkContext.broadcast(definition)
 
 
+def _coder(shared) -> BytePairCoder:
+    """The worker's coder for this vocabulary, kept beside the broadcast it is made from, with the words it has met."""
+    if not hasattr(shared, "coder"):
+        shared.coder = BytePairCoder(shared.value)
+    return shared.coder
+
+
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, token_ids array<int>) of every whole text."""
     shared = _shared(docs, tokenizer)
 
     def setup():
-        coder = BytePairCoder(shared.value)
+        coder = _coder(shared)
         return lambda texts: [[coder.encode((t or b"").decode("utf-8", "replace")) for t in texts]]
 
     return map_texts(docs, id_col, text_col, setup, fields("token_ids array<int>"))
@@ -170,7 +194,7 @@ def decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col:
     schema = T.StructType([T.StructField(id_col, source.schema["c0"].dataType), T.StructField("text", T.StringType())])
 
     def run(batches):
-        coder = BytePairCoder(shared.value)
+        coder = _coder(shared)
         for batch in batches:
             texts = [coder.decode(ids or []) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], schema.names)
@@ -186,14 +210,15 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     shared = _shared(docs, tokenizer)
 
     def setup():
-        coder = BytePairCoder(shared.value)
+        coder = _coder(shared)
 
         def work(texts):
             counts, id_digests, text_digests = [], [], []
             for text in texts:
-                ids = coder.encode((text or b"").decode("utf-8", "replace"))
+                entries = coder.entries((text or b"").decode("utf-8", "replace"))
+                ids = list(chain.from_iterable(map(_IDS, entries)))
                 counts.append(len(ids))
-                id_digests.append(hashlib.sha256(",".join(map(coder.numbers.__getitem__, ids)).encode()).hexdigest())
+                id_digests.append(hashlib.sha256(",".join(map(_JOINED, entries)).encode()).hexdigest())
                 text_digests.append(hashlib.sha256(coder.decode(ids).encode()).hexdigest())
             return counts, id_digests, text_digests
 
