@@ -1,12 +1,14 @@
-"""Ranking quality: graded NDCG, MAP, precision, and a composite of them. One query per table."""
+"""Ranking quality: graded NDCG, MAP, precision, and a composite of them, for one query per table or for many."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.ordinals import MAX_GRADE, label_gain
 from ..schema import ID
-from .ranking import global_rank, running_totals
+from .ranking import global_rank, running_totals, segmented_totals
 
 # --- fixed values: parts of the composite, and when a grade counts as relevant ---
 RELEVANT_GRADE = 3
@@ -120,14 +122,44 @@ def overfit_gap(train: DataFrame, valid: DataFrame) -> DataFrame:
     return both.withColumns({"gap": gap, "alarm": (F.col("metric") == "composite") & (gap > GAP_ALARM)})
 
 
-def metric_by_query(ranked: DataFrame, by: str, pos: str = "pos", grade: str = "grade", threshold: int = RELEVANT_GRADE) -> DataFrame:
-    """One row per query: NDCG@10, NDCG@50, MAP, P@10 and the composite over the query's list.
-
-    Meant for lists of bounded length, like the k best per query; the ideal order is that of the list itself.
+def _ideal_gain(k: int) -> Column:
+    """The best gain of k positions, from the numbers of rows per grade in ``g1`` to ``g6``."""
+    sums = [0.0]
+    for position in range(1, k + 1):
+        sums.append(sums[-1] + 1.0 / math.log2(position + 1))
+    table, upto, gain = F.array(*[F.lit(x) for x in sums]), F.lit(0), F.lit(0.0)
+    for g in range(MAX_GRADE, 0, -1):
+        reached = F.least(upto + F.col(f"g{g}"), F.lit(k))
+        gain = gain + (2.0 ** g - 1) * (F.get(table, reached.cast("int")) - F.get(table, F.least(upto, F.lit(k)).cast("int")))
+        upto = upto + F.col(f"g{g}")
+    return gain
+
+
+def metric_by_query(
+    ranked: DataFrame, by: str, pos: str = "pos", grade: str = "grade", threshold: int = RELEVANT_GRADE, judged: DataFrame | None = None,
+    order: list[Column | str] | None = None,
+) -> DataFrame:
+    """One row per query: NDCG@10, NDCG@50, MAP, P@10 and the composite over the query's list, of any length.
+
+    Rows are in the order of ``pos``, or of the columns in ``order``; a row's place is its rank in that order. ``judged``
+    (query, grade) holds all judged rows: the ideal order and the number of relevant rows of MAP are taken over these, so a
+    list pays for the good rows it does not hold. Without it they are those of the list. Queries without a list are
+    left out. Nothing is collected per query: running sums go over range partitions, the ideal comes from grade counts.
     """
-    place, best = Window.partitionBy(by).orderBy(pos), Window.partitionBy(by).orderBy(F.desc(grade), pos)
-    rows = ranked.select(by, F.col(pos).alias("pos"), F.col(grade).cast("int").alias("grade")).withColumn("rel", (F.col("grade") >= threshold).cast("bigint"))
-    rows = rows.withColumns({"cum_rel": F.sum("rel").over(place), "ideal": F.row_number().over(best)})
-    ndcg = [F.coalesce(F.try_divide(dcg(F.col("grade"), F.col("pos"), k), dcg(F.col("grade"), F.col("ideal"), k)), F.lit(0.0)).alias(f"ndcg_{k}") for k in (10, 50)]
-    out = rows.groupBy(by).agg(*ndcg, _map().alias("map"), _precision(10).alias("p_10"))
-    return out.withColumn("composite", sum((w * F.col(n) for n, w in WEIGHTS.items()), F.lit(0.0)))
+    relevant = (F.col("grade") >= threshold).cast("bigint")
+    columns = [F.col(by), F.col(grade).cast("int").alias("grade")]
+    keys = order or [pos]
+    rows = ranked.withColumn("grade", F.col(grade).cast("int")).withColumn("rel", relevant)
+    placed = segmented_totals(rows, by, keys, {"cum_rel": "rel"}, rank="pos").select(by, "grade", "rel", "cum_rel", "pos")
+    gains = [dcg(F.col("grade"), F.col("pos"), k).alias(f"dcg_{k}") for k in (10, 50)]
+    lists = placed.groupBy(by).agg(*gains, F.sum(F.col("rel") * F.col("cum_rel") / F.col("pos")).alias("precisions"), _precision(10).alias("p_10"))
+    known = (ranked if judged is None else judged).select(*columns)
+    level = F.least(F.col("grade"), F.lit(MAX_GRADE))
+    counts = known.groupBy(by).agg(
+        *[F.count_if(level == g).alias(f"g{g}") for g in range(1, MAX_GRADE + 1)], F.sum(relevant).alias("relevant"))
+    both = lists.join(counts.withColumnRenamed(by, "_of"), F.col(by).eqNullSafe(F.col("_of")), "left")
+    none = F.lit(0.0)
+    out = both.select(
+        by, *[F.coalesce(F.try_divide(f"dcg_{k}", _ideal_gain(k)), none).alias(f"ndcg_{k}") for k in (10, 50)],
+        F.coalesce(F.try_divide("precisions", "relevant"), none).alias("map"), "p_10")
+    return out.withColumn("composite", sum((w * F.col(n) for n, w in WEIGHTS.items()), none))

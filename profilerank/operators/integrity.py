@@ -139,6 +139,33 @@ def interval_overlap_pairs(pool: DataFrame, reference_date: str, min_months: int
     )
 
 
+def interval_pairs(rows: DataFrame, key: str, start: str, end: str, pos: str, bucket_seconds: int | None = None) -> DataFrame:
+    """(key, i, j, overlap_seconds): pairs of intervals of one key that overlap, of a flat table with one row per interval.
+
+    Of two overlapping intervals the later one starts inside the earlier one. Time is cut into buckets; an interval is
+    asked for in the buckets it covers and stands in the one it starts in, so an equi-join on key and bucket meets every
+    pair once, and the work follows the overlaps, not the square of a key's rows. A key with very many rows is spread over
+    its buckets. Without ``bucket_seconds`` a bucket is as long as nine of ten intervals at most. Equal starts go by ``pos``,
+    which is unique within a key. Rows with a missing bound, and empty or reversed intervals, overlap nothing.
+    """
+    timed = rows.select(F.col(key).alias("k"), F.unix_micros(F.col(start).cast("timestamp")).alias("s"),
+                        F.unix_micros(F.col(end).cast("timestamp")).alias("e"), F.col(pos).alias("p")).filter("s < e")
+    if bucket_seconds is None:
+        usual = timed.agg(F.percentile_approx(F.col("e") - F.col("s"), 0.9)).first()[0]
+        bucket_seconds = max(1, -(-(usual or 1) // 1_000_000))
+    width = F.lit(bucket_seconds * 1_000_000)
+
+    def bucket(at: Column) -> Column:
+        return F.floor(at / width).cast("bigint")
+
+    asks = timed.select("k", F.col("s").alias("s1"), F.col("e").alias("e1"), F.col("p").alias("i"),
+                        F.explode(F.sequence(bucket(F.col("s")), bucket(F.col("e") - 1))).alias("b"))
+    stands = timed.select(F.col("k").alias("k2"), F.col("s").alias("s2"), F.col("e").alias("e2"), F.col("p").alias("j"), bucket(F.col("s")).alias("b2"))
+    later = (F.col("s2") > F.col("s1")) | ((F.col("s2") == F.col("s1")) & (F.col("j") > F.col("i")))
+    met = asks.join(stands, F.col("k").eqNullSafe(F.col("k2")) & (F.col("b") == F.col("b2")) & later & (F.col("s2") < F.col("e1")))
+    return met.select(F.col("k").alias(key), "i", "j", ((F.least("e1", "e2") - F.col("s2")) / 1_000_000).alias("overlap_seconds"))
+
+
 def verdict_disagree(verdicts: DataFrame, checks: DataFrame) -> DataFrame:
     """Verdicts of "clean" on records where a check holds, for review; the verdict itself stays."""
     tripped = checks.filter("any_check").select(ID, "tripped")

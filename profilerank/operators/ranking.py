@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -87,6 +88,59 @@ def running_totals(df: DataFrame, keys: list[Column | str], totals: dict[str, st
     return out.drop("_pos", "_part", "_before", *parts, *[f"_in{p}" for p in parts], *[f"_b_{n}" for n in totals])
 
 
+def _add_up_by(names: list[str], schema: T.StructType):
+    """Running sums that start anew wherever ``_g`` changes; ``_later`` marks rows behind a partition's first segment."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, later, sums = None, False, dict.fromkeys(names, 0)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            g = batch.column("_g").to_numpy(zero_copy_only=False)
+            starts = np.concatenate([[last is not None and g[0] != last], g[1:] != g[:-1]])
+            segment = np.cumsum(starts)
+            made = []
+            for name in names:
+                values = pc.fill_null(batch.column(name).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
+                total = np.cumsum(values)
+                base = np.concatenate([[-sums[name]], (total - values)[starts]])
+                running = total - base[segment]
+                sums[name] = int(running[-1])
+                made.append(pa.array(running))
+            behind = (segment > 0) | later
+            last, later = g[-1], bool(behind[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made, pa.array(behind)], schema.names)
+
+    return run
+
+
+def segmented_totals(df: DataFrame, by: str, keys: list[Column | str], totals: dict[str, str], rank: str | None = None) -> DataFrame:
+    """Adds running sums (inclusive) of whole-number columns, and a rank, inside each value of ``by``, in the order of ``keys``.
+
+    No window: a value of ``by`` may hold any share of the rows. Rows are range partitioned by value and keys, summed while
+    they pass by in order, and what the partitions before add to a value that goes on comes from one row per partition.
+    """
+    spark = df.sparkSession
+    summed = {f"_s_{n}": F.col(c).cast("bigint") for n, c in totals.items()} | {"_s__rank": F.lit(1).cast("bigint")}
+    parts = list(summed)
+    ordered = _ordered(df.withColumns(summed).withColumn("_g", F.xxhash64(F.col(by))), [by, *keys], None)
+    schema = T.StructType([*ordered.schema, *[T.StructField(f"_in{p}", T.LongType()) for p in parts], T.StructField("_later", T.BooleanType())])
+    stored = materialize(ordered.mapInArrow(_add_up_by(parts, schema), schema), "segments").withColumn("_part", _part())
+    ends = stored.groupBy("_part").agg(
+        F.min_by("_g", "_pos").alias("first"), F.max_by("_g", "_pos").alias("last"), F.max("_later").alias("several"),
+        *[F.max_by(f"_in{p}", "_pos").alias(p) for p in parts]).orderBy("_part").collect()
+    carried, open_key, held = [], None, dict.fromkeys(parts, 0)
+    for row in ends:
+        brought = held if row["first"] == open_key else dict.fromkeys(parts, 0)
+        carried.append((row["_part"], *brought.values()))
+        held = {p: row[p] + (0 if row["several"] else brought[p]) for p in parts}
+        open_key = row["last"]
+    offsets = F.broadcast(spark.createDataFrame(carried, "_part bigint, " + ", ".join(f"`_b{p}` bigint" for p in parts)))
+    names = dict(zip(parts, [*totals, rank or "_rank"]))
+    out = stored.join(offsets, "_part").withColumns({
+        names[p]: F.col(f"_in{p}") + F.when(F.col("_later"), 0).otherwise(F.col(f"_b{p}")) for p in parts})
+    return out.drop("_pos", "_part", "_g", "_later", *parts, *[f"_in{p}" for p in parts], *[f"_b{p}" for p in parts], *([] if rank else ["_rank"]))
+
+
 def dedup_first(df: DataFrame, order: list[str], key: str = ID, count: str | None = None) -> DataFrame:
     """The first row per key in input order.
 

@@ -1,4 +1,4 @@
-"""Relevance of each document to one query text.
+"""Relevance of documents to one query text or to many, and of vectors to query vectors.
 
 The default scorer is BM25 over word tokens; a vector variant takes stored embeddings. An own
 model plugs in through ``responses.pointwise_apply``.
@@ -6,16 +6,13 @@ model plugs in through ``responses.pointwise_apply``.
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 
@@ -68,71 +65,70 @@ def relevance_score(docs: DataFrame, query: str, id_col: str = "candidate_id", t
     return counted.select(id_col, score.alias("score"))
 
 
-@dataclass
-class _Queries:
-    ids: list
-    terms: list[str]
-    weights: np.ndarray  # term x query: the inverse document frequency where the query has the term
-    mean: float
+def _words(text: str) -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), TOKEN_SPLIT), lambda w: w != "")
+
+
+def inverted_index(docs: DataFrame, words: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """((word, id, impact), (word, n, bound)): what each of the words adds to the BM25 score of each document that has it.
+
+    ``words`` (word) says which words are looked for. ``n`` is the number of documents with the word, ``bound`` the greatest
+    impact. Words are counted per document before they move; a word that very many documents have is one key of a join
+    whose other side is one row, which adaptive execution splits.
+    """
+    split = docs.select(F.col(id_col).alias("id"), _words(text_col).alias("w"))
+    total, mean = split.agg(F.count("*"), F.avg(F.size("w"))).first()
+    counted = split.select("id", F.size("w").alias("length"), F.explode("w").alias("word")).groupBy("id", "length", "word").agg(F.count("*").alias("tf"))
+    postings = materialize(counted.join(words, "word", "left_semi"), "postings")
+    part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(mean or 1.0)))
+    found = postings.groupBy("word").agg(F.count("*").alias("n"), F.max(part).alias("part"))
+    weight = F.log(1 + (F.lit(total) - F.col("n") + 0.5) / (F.col("n") + 0.5))
+    bounds = materialize(found.select("word", "n", weight.alias("weight"), (weight * F.col("part")).alias("bound")), "word_bounds")
+    index = materialize(postings.join(bounds.select("word", "weight"), "word").select("word", "id", (F.col("weight") * part).alias("impact")), "impacts")
+    return index, bounds
+
+
+def _best(scored: DataFrame, k: int) -> DataFrame:
+    """(q, id, score, pos): the k best per query. Tasks keep k rows per query before anything moves."""
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "id")
+    return scored.withColumn("pos", F.row_number().over(order)).filter(F.col("pos") <= k)
+
+
+#: Scores that differ by less may differ by the order of their sums only.
+_SLACK = 1e-6
 
 
 def relevance_topk(
-    docs: DataFrame, queries: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text", query_id: str = "item_id",
-    query_text: str = "text", max_queries: int = 10_000,
+    docs: DataFrame, queries: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text", query_id: str = "item_id", query_text: str = "text",
 ) -> DataFrame:
-    """(query id, document id, score, pos): the k best documents by BM25 for every query, from one pass over the texts.
+    """(query id, document id, score, pos): the k best documents by BM25 for every query, however many there are.
+
+    Documents without a word of a query are not in its list; equal scores (to nine digits) go by document id.
 
-    Documents without a word of a query are not in its list; equal scores (to nine digits) go by document id. The
-    queries, their words and the words' frequencies are sent to the executors: more than ``max_queries`` are an error.
-    A task keeps k documents per query, so what is shuffled does not grow with the documents of a task.
+    An inverted index with a bound per word makes the search exact without looking at all that common words point to. The
+    rarest words of a query, enough for some multiple of k documents, give k documents and so a score that the result must
+    reach. Its weakest words, as long as their bounds together stay below that score, cannot bring a document into the
+    result by themselves: only documents with one of the other words are scored, and of these only the ones that could
+    still reach the score with all weak words are completed.
     """
-    rows = queries.select(query_id, query_text).limit(max_queries + 1).collect()
-    if len(rows) > max_queries:
-        raise ValueError(f"more than {max_queries} queries")
-    terms = {r[query_id]: query_terms(r[query_text] or "") for r in rows}
-    every = sorted({t for own in terms.values() for t in own})
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), TOKEN_SPLIT), lambda w: w != "")
-    found = docs.select(F.col(id_col).alias("id"), words.alias("w")).select(
-        "id", F.size("w").alias("length"), F.filter("w", lambda w: w.isin(every) if every else F.lit(False)).alias("hits"))
-    counted = materialize(found, "query_words")
-    total, mean = counted.agg(F.count("*"), F.avg("length")).first()
-    in_docs = counted.select(F.explode(F.array_distinct("hits")).alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()
-    frequency = {r["t"]: r["n"] for r in in_docs}
-    place = {t: i for i, t in enumerate(every)}
-    weights = np.zeros((len(every), len(terms)))
-    for j, own in enumerate(terms.values()):
-        for t in own:
-            n = frequency.get(t, 0)
-            weights[place[t], j] = math.log(1 + (total - n + 0.5) / (n + 0.5))
-    shared = docs.sparkSession.sparkContext.broadcast(_Queries(list(terms), every, weights, mean or 1.0))
-    kinds = (T.StructField(query_id, queries.schema[query_id].dataType), T.StructField(id_col, docs.schema[id_col].dataType))
-    best = counted.mapInPandas(_best_of_task(shared, k, query_id, id_col), T.StructType([*kinds, T.StructField("score", T.DoubleType())]))
-    order = Window.partitionBy(query_id).orderBy(F.desc("score"), id_col)
-    return best.withColumn("pos", F.row_number().over(order)).filter(F.col("pos") <= k)
-
-
-def _best_of_task(shared, k: int, query_id: str, id_col: str):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
-        place = {t: i for i, t in enumerate(known.terms)}
-        kept: list[list[tuple]] = [[] for _ in known.ids]
-        for frame in frames:
-            for start in range(0, len(frame), 500):
-                part = frame.iloc[start:start + 500]
-                counts = np.zeros((len(part), len(known.terms)))
-                for row, hits in enumerate(part["hits"]):
-                    np.add.at(counts[row], [place[t] for t in hits], 1)
-                scale = K1 * (1 - B + B * part["length"].to_numpy()[:, None] / known.mean)
-                scores = np.round((counts * (K1 + 1) / (counts + scale)) @ known.weights, 9)
-                ids = part["id"].tolist()
-                for j in range(len(known.ids)):
-                    some = np.flatnonzero(scores[:, j] > 0)
-                    kept[j] = heapq.nsmallest(k, chain(kept[j], ((-scores[i, j], ids[i]) for i in some)))
-        for j, best in enumerate(kept):
-            if best:
-                yield pd.DataFrame({query_id: [known.ids[j]] * len(best), id_col: [d for _, d in best], "score": [-s for s, _ in best]})
-
-    return run
+    asked = queries.select(F.col(query_id).alias("q"), F.explode(F.array_distinct(_words(query_text))).alias("word")).distinct()
+    index, bounds = inverted_index(docs, asked.select("word").distinct(), id_col, text_col)
+    own = Window.partitionBy("q")  # the words of one query text
+    rare, weak = own.orderBy("n", "word"), own.orderBy("bound", "word")
+    terms = materialize(asked.join(bounds, "word").withColumns({
+        "documents_before": F.sum("n").over(rare) - F.col("n"), "bound_upto": F.sum("bound").over(weak)}), "query_terms")
+
+    first = terms.filter(F.col("documents_before") < 4 * k).select("q", "word").join(index, "word").groupBy("q", "id").agg(F.sum("impact").alias("score"))
+    reached = _best(first, k).filter(F.col("pos") == k).select("q", (F.col("score") - _SLACK).alias("reach"))
+    marked = terms.join(reached, "q", "left").withColumn("weak", F.coalesce(F.col("bound_upto") < F.col("reach"), F.lit(False)))
+    marked = materialize(marked.select("q", "word", "weak", "bound", "reach"), "marked_terms")
+    rest = marked.groupBy("q").agg(F.coalesce(F.sum(F.when(F.col("weak"), F.col("bound"))), F.lit(0.0)).alias("rest"), F.first("reach").alias("reach"))
+
+    strong = marked.filter(~F.col("weak")).select("q", "word").join(index, "word").groupBy("q", "id").agg(F.sum("impact").alias("score"))
+    possible = materialize(strong.join(rest, "q").filter(F.col("reach").isNull() | (F.col("score") + F.col("rest") >= F.col("reach"))).select("q", "id", "score"), "possible")
+    more = possible.join(marked.filter("weak").select("q", "word"), "q").join(index, ["word", "id"]).select("q", "id", F.col("impact").alias("score"))
+    scored = possible.unionByName(more).groupBy("q", "id").agg(F.round(F.sum("score"), 9).alias("score"))
+    return _best(scored, k).select(F.col("q").alias(query_id), F.col("id").alias(id_col), "score", "pos")
 
 
 def cosine_score(vectors: DataFrame, query: list[float], id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -142,3 +138,63 @@ def cosine_score(vectors: DataFrame, query: list[float], id_col: str = "vec_id",
     dot = F.aggregate(F.zip_with(vector_col, target, lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
     own = F.sqrt(F.aggregate(F.transform(vector_col, lambda a: a.cast("double") * a.cast("double")), F.lit(0.0), lambda s, x: s + x))
     return vectors.select(id_col, F.coalesce(F.try_divide(dot, own * norm), F.lit(0.0)).alias("score"))
+
+
+@dataclass
+class VectorIndex:
+    """All rows as unit vectors with their cell, the cells' centres, and the rows per cell and part."""
+
+    rows: DataFrame
+    centres: list[list[float]]
+    sizes: DataFrame
+
+
+#: Rows that centres are fitted on, at most, and rows that one part of a cell is made for.
+SAMPLE_ROWS, PART_ROWS = 20_000, 50_000
+
+
+def _unit(vector_col: str) -> Column:
+    values = F.transform(vector_col, lambda x: x.cast("double"))
+    norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda s, x: s + x * x))
+    return F.transform(values, lambda x: F.coalesce(F.try_divide(x, norm), F.lit(0.0)))
+
+
+def vector_index(vectors: DataFrame, cells: int = 64, id_col: str = "vec_id", vector_col: str = "embedding", seed: int = 42) -> VectorIndex:
+    """A coarse index: centres fitted on at most ``SAMPLE_ROWS`` rows (by a hash of the id), and every row in the nearest cell.
+
+    Rows without a vector are left out. A cell that holds very many rows is dealt into parts of about ``PART_ROWS``.
+    """
+    unit = materialize(vectors.filter(F.col(vector_col).isNotNull()).select(F.col(id_col).alias("id"), _unit(vector_col).alias("v")), "unit_vectors")
+    sample = unit.orderBy(F.xxhash64(F.lit(seed), "id")).limit(SAMPLE_ROWS).select(array_to_vector("v").alias("features"))
+    model: KMeansModel = KMeans(k=cells, seed=seed, maxIter=10).fit(sample)
+    placed = model.transform(unit.withColumn("features", array_to_vector("v"))).select("id", "v", F.col("prediction").alias("cell"))
+    placed = materialize(placed, "vector_cells")
+    sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts"))
+    rows = placed.join(F.broadcast(sizes), "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))  # at most one row a cell
+    return VectorIndex(rows.drop("parts"), [c.tolist() for c in model.clusterCenters()], sizes)
+
+
+def nearest(index: VectorIndex, queries: DataFrame, k: int, probes: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """(query, id, score, pos): the k rows with the greatest cosine per query vector, equal ones by id; not the query's own row.
+
+    Only the ``probes`` cells whose centres are nearest are looked at; without ``probes`` all of them, and the result is exact.
+    """
+    centres = F.array(*[F.array(*[F.lit(x) for x in c]) for c in index.centres])
+
+    def dot(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+    asked = queries.filter(F.col(vector_col).isNotNull()).select(F.col(id_col).alias("q"), _unit(vector_col).alias("u"))
+    ranked = F.array_sort(F.transform(centres, lambda c, i: F.struct((-dot(c, F.col("u"))).alias("minus"), i.cast("int").alias("cell"))))
+    cells = F.slice(ranked, 1, probes) if probes else ranked
+    wanted = asked.select("q", "u", F.explode(F.transform(cells, lambda c: c["cell"])).alias("cell"))
+    wanted = wanted.join(F.broadcast(index.sizes), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = index.rows.join(wanted.select("q", "u", "cell", "part"), ["cell", "part"]).filter(F.col("id") != F.col("q"))
+    return _best(met.select("q", "id", F.round(dot(F.col("v"), F.col("u")), 9).alias("score")), k).withColumnRenamed("q", "query")
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """(queries, rows, found, recall): the share of the exact result that another one has."""
+    both = exact.select("query", "id").join(found.select("query", "id", F.lit(1).alias("_hit")), ["query", "id"], "left")
+    return both.agg(F.count_distinct("query").alias("queries"), F.count("*").alias("rows"), F.count("_hit").alias("found")).withColumn(
+        "recall", F.coalesce(F.try_divide(F.col("found").cast("double"), F.col("rows")), F.lit(1.0)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import queries_pool, queries_tables  # noqa: F401
+from . import queries_models, queries_pool, queries_tables  # noqa: F401
 from .queries_tables import flagship
 from .registry import QUERIES, SQL
 

@@ -8,14 +8,15 @@ neither repeats nor loses rows.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.ranking import dedup_first
 from ..schema import ID
-from ..session import make_folder, materialize
+from ..session import make_folder
 
 
 def read_stream(
@@ -28,45 +29,60 @@ def read_stream(
     )
 
 
-#: Parts of the table of known ids; a batch reads the parts its ids fall into.
-ID_BUCKETS = 16
+def _least(key: str, first: list[str]):
+    """Of every key in an Arrow batch the least row, so that a key with very many copies moves a few rows only."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.sort_values(first, kind="stable", na_position="first").drop_duplicates(key)
 
+    return run
 
-def known_ids(spark: SparkSession, folder: str, key: T.StructField, buckets: list[int], number: int) -> DataFrame:
-    """Ids in these parts of the table that batches other than ``number`` have written."""
-    schema = T.StructType([key, T.StructField("bucket", T.IntegerType()), T.StructField("batch", T.LongType())])
-    rows = spark.read.schema(schema).parquet(folder)
-    return rows.filter(F.col("bucket").isin(buckets) & (F.col("batch") != number)).select(key.name)
+
+def _unseen(key: str, first: list[str]):
+    """The least row of a key that has no state yet; the state is that it came."""
+    def run(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.exists:
+            for _ in frames:
+                pass
+            return
+        best = None
+        for frame in frames:
+            rows = frame if best is None else pd.concat([best, frame])
+            best = rows.sort_values(first, kind="stable", na_position="first").head(1)
+        state.update((True,))
+        if best is not None:
+            yield best
+
+    return run
+
+
+def new_rows(source: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """Of every key the row in its earliest batch, and of that batch the least by ``order``, then by the other columns.
+
+    Which keys have come is in Spark's state store: one entry per key, kept on the executors, divided by the shuffle
+    partitions and saved with the stream's checkpoint (use the RocksDB provider for more keys than fit in memory). A batch
+    looks up its own keys only. Columns must be comparable.
+    """
+    first = [*(order or []), *[c for c in source.columns if c != key and c not in (order or [])]]
+    fewer = source.mapInPandas(_least(key, first), source.schema)
+    return fewer.groupBy(key).applyInPandasWithState(_unseen(key, first), source.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
 
 
 def stream_score(
     source: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str = ID, order: list[str] | None = None,
-    id_buckets: int = ID_BUCKETS,
 ) -> StreamingQuery:
-    """Scores rows whose ``key`` has not come before and adds them; stops when all files are read.
+    """Scores rows whose ``key`` has not come before (``new_rows``) and adds them; stops when all files are read.
 
-    Of rows with one key the one in the earliest batch counts, and inside a batch the least by ``order``, then by the
-    other columns. Each micro-batch writes its own folder, which a repeated batch overwrites, so a failure between write
-    and commit does not double rows. Keys are compared with a table of ids beside the output, divided by a hash of the
-    key into ``id_buckets`` (fixed for the life of a table; each batch adds a file to every part it touches); a batch reads
-    the parts its keys fall into, one small column, and never the output of earlier batches.
+    Each micro-batch writes its own folder, which a repeated batch overwrites, so a failure between write and commit does
+    not double rows. Neither output nor ids of earlier batches are read again.
     """
-    ids = out.rstrip("/") + "-ids"
-
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        make_folder(spark, ids)
-        bucket = F.pmod(F.xxhash64(key), F.lit(id_buckets)).cast("int")
-        columns = batch.columns
-        rest = [c for c in columns if c != key and c not in (order or [])]
-        first = materialize(dedup_first(batch, [*(order or []), *rest], key).select(*columns), "batch")
-        buckets = [r[0] for r in first.select(bucket).distinct().collect()]
-        new = first.join(known_ids(spark, ids, batch.schema[key], buckets, number), key, "left_anti")
-        score(new).write.mode("overwrite").parquet(f"{out}/batch={number}")
-        made = new.select(key, bucket.alias("bucket"), F.lit(number).cast("bigint").alias("batch"))
-        made.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(ids)
+        score(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    return source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return (
+        new_rows(source, key, order).writeStream.foreachBatch(write).outputMode("append")
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
 
 
 def late_rows(query: StreamingQuery) -> int:
@@ -114,3 +130,53 @@ def read_rule_counts(spark: SparkSession, out: str, rule: str = "rule") -> DataF
     """The latest counts per window and rule."""
     latest = F.max_by(F.struct("rows", "flagged"), "batch").alias("last")
     return spark.read.parquet(out).groupBy("window_start", rule).agg(latest).select("window_start", rule, "last.rows", "last.flagged")
+
+
+_MARK = "mark timestamp"
+
+
+def _mark_before(spark: SparkSession, folder: str, number: int):
+    """The latest event time of all batches before this one; None for the first."""
+    make_folder(spark, folder)
+    return spark.read.schema(_MARK + ", batch bigint").parquet(folder).filter(F.col("batch") < number).agg(F.max("mark")).first()[0]
+
+
+def stream_counts_and_late(
+    hits: DataFrame, out: str, late: str, checkpoint: str, time: str = "ts", rule: str = "rule", window: str = "1 day", delay: str = "1 day",
+    flag: str = "flagged",
+) -> StreamingQuery:
+    """Counts per window and rule, added to batch by batch, and a side table of the rows that came too late to count.
+
+    A row is late when its window has ended before the watermark: the latest event time of all batches before, less
+    ``delay``. Every row is either in a count or in the side table, there with the watermark that it missed; rows without a
+    time are in the side table. A batch adds its
+    own counts (combined before the shuffle), its late rows and its latest event time, in folders of its own that a repeated
+    batch overwrites; of earlier batches it reads the latest event times only, one value each.
+    """
+    marks = out.rstrip("/") + "-marks"
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        before = _mark_before(spark, marks, number)
+        mark = F.lit(before).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        rows = batch.withColumn(time, F.col(time).cast("timestamp"))
+        dated = rows.withColumn("_window", F.window(time, window))  # leaves out rows without a time
+        missed = F.coalesce(F.col("_window.end") <= mark, F.lit(False))
+        dated.filter(~missed).groupBy(F.col("_window.start").alias("window_start"), rule).agg(
+            F.count("*").alias("rows"), F.count_if(flag).alias("flagged")).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        aside = dated.filter(missed).drop("_window").unionByName(rows.filter(F.col(time).isNull()))
+        aside.withColumn("watermark", mark).write.mode("overwrite").parquet(f"{late}/batch={number}")
+        rows.agg(F.max(time).alias("mark")).write.mode("overwrite").parquet(f"{marks}/batch={number}")
+
+    return hits.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_partial_counts(spark: SparkSession, out: str, rule: str = "rule") -> DataFrame:
+    """(window_start, rule, rows, flagged): what all batches have counted."""
+    schema = f"window_start timestamp, `{rule}` string, rows bigint, flagged bigint, batch bigint"
+    return spark.read.schema(schema).parquet(out).groupBy("window_start", rule).agg(F.sum("rows").alias("rows"), F.sum("flagged").alias("flagged"))
+
+
+def read_late(spark: SparkSession, late: str) -> DataFrame:
+    """The rows that were too late, with the watermark they missed and their batch."""
+    return spark.read.parquet(late)

@@ -174,9 +174,44 @@ def test_stream_does_not_read_what_it_wrote(spark, tmp_path):
     (tmp_path / "out" / "batch=0" / "part-broken.parquet").write_bytes(b"")
     rows = spark.read.parquet(f"{out}/batch=1", f"{out}/batch=2").collect()
     assert sorted((r[ID], r["n"]) for r in rows) == sorted([(f"c{i}", 1) for i in range(10, 15)] + [(f"c{i}", 2) for i in range(15, 20)])
-    some = streams.known_ids(spark, f"{out}-ids", spark.read.parquet(folder).schema[ID], [1, 2, 3], 99)
-    plan = some._jdf.queryExecution().executedPlan().toString()
-    assert "IN (1,2,3)" in plan.partition("PartitionFilters")[2]
+    assert not (tmp_path / "out-ids").exists()
+
+
+def test_stream_keeps_the_least_of_the_first_batch(spark, tmp_path):
+    """Ids repeat inside a file, between files of one run and between runs; one id holds most rows."""
+    folder, out, state = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state"
+    wanted = {}
+    for run in range(2):
+        for number in range(2):
+            file = 2 * run + number
+            rows = [("hot", file, 900 - i) for i in range(400)] + [(f"c{i}", file, i % 7) for i in range(file * 10, file * 10 + 25) for _ in range(2)] + [(None, file, 3)]
+            spark.createDataFrame(rows, "candidate_id string, file int, n int").repartition(3).write.parquet(f"{folder}/f{file}")
+            for key, f, n in rows:
+                best = wanted.get(key)
+                if best is None or (best[0] == f and n < best[1]):
+                    wanted[key] = (f, n)
+        schema = spark.read.parquet(f"{folder}/f0").schema
+        # A folder a batch: files of one batch come together.
+        for file in range(2 * run, 2 * run + 2):
+            source = streams.read_stream(spark, f"{folder}/f[0-{file}]", schema)
+            streams.stream_score(source, lambda b: b, out, state, order=["n"]).awaitTermination()
+    found = spark.read.parquet(out).collect()
+    assert {r[ID]: (r["file"], r["n"]) for r in found} == wanted and len(found) == len(wanted)
+
+
+def test_late_rows_are_kept(spark, tmp_path):
+    folder, out, late, state = (f"{tmp_path}/{n}" for n in ("in", "out", "late", "state"))
+    files = [["2024-01-01 10:00", "2024-01-05 00:00"], ["2024-01-02 09:00", "2024-01-03 09:00", "2024-01-04 09:00", None], ["2024-01-09 00:00", "2024-01-04 10:00"]]
+    for number, times in enumerate(files):
+        rows = spark.createDataFrame([(t, "r", True) for t in times], "ts string, rule string, flagged boolean").withColumn("ts", F.col("ts").cast("timestamp"))
+        rows.coalesce(1).write.mode("append").parquet(folder)
+        source = streams.read_stream(spark, folder, spark.read.parquet(folder).schema)
+        streams.stream_counts_and_late(source, out, late, state, delay="1 day").awaitTermination()
+    counted = {str(r["window_start"])[:10]: r["rows"] for r in streams.read_partial_counts(spark, out).collect()}
+    # After the first file the watermark is the 4th: the days before have ended, the 4th itself has not.
+    assert counted == {"2024-01-01": 1, "2024-01-05": 1, "2024-01-04": 2, "2024-01-09": 1}
+    kept = {(str(r["ts"])[:10] if r["ts"] else None, str(r["watermark"])[:10]) for r in streams.read_late(spark, late).collect()}
+    assert kept == {("2024-01-02", "2024-01-04"), ("2024-01-03", "2024-01-04"), (None, "2024-01-04")}
 
 
 def test_width_of_result_rows(spark, tmp_path):
