@@ -11,9 +11,10 @@ all of them are repeated as far as a passage reaches, to both sides, in one step
 differs somewhere around, which is at the ends of copied passages, every passage over the hit is looked up by its own
 words; of places that agree entirely one is enough, counted twice.
 
-Copies of a text share one key, so they cost one list of places. Anchors are met by 64-bit numbers, which only choose what
-is looked at; what decides has 128 bits: the words' numbers are two halves of a cryptographic hash, a passage's are two
-sums of them with a factor per place that follows no pattern, so texts of a regular build do not collide.
+Copies of a text share one key, so they cost one list of places, and a task hands on what it finds in a text twice at
+most, however many copies it meets. Anchors are met by 64-bit numbers, which only choose what
+is looked at; what decides has 128 bits: a word's numbers are two sums over its bytes, a passage's are two sums over its words, each
+with a factor per place that follows no pattern, so texts of a regular build do not collide.
 
 Nulls have no words, empty texts neither; texts below ``words`` words are kept whole, copies included. Passages do not cross
 texts. Repeated rows, also with one id, repeat each other. Empty tables give empty results. Names of other columns cannot
@@ -35,8 +36,10 @@ from .common import drop_stored, fields, flat_map_texts, stored, with_row
 from .words import mix
 
 WORDS, BLOCK, STRETCH = 35, 9, 3
-#: Words that are worked on at a time (a longer text alone), words a task remembers, bytes that are split at a time.
-BATCH_WORDS, HELD_WORDS, PIECE_BYTES = 1 << 20, 1 << 19, 1 << 22
+#: Bytes of text that are worked on at a time (of a longer text, piece by piece), and texts a task remembers.
+BATCH_BYTES, HELD_TEXTS = 1 << 22, 1 << 19
+#: Words above so many bytes get their numbers from a cryptographic hash.
+LONG_WORD = 256
 _GAP, _WORD = re.compile(rb"[\x20\x09-\x0D]"), re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -45,64 +48,80 @@ def _factors(n: int, name: str) -> np.ndarray:
     return np.array([int.from_bytes(hashlib.blake2b(f"{name} {i}".encode(), digest_size=8).digest(), "little") | 1 for i in range(n)], dtype=np.uint64)
 
 
-class _Vocabulary(dict):
-    """A place in two tables of numbers for every word met lately."""
-
-    def __init__(self):
-        super().__init__()
-        self.low, self.high = np.zeros(1 << 12, dtype=np.uint64), np.zeros(1 << 12, dtype=np.uint64)
-
-    def __missing__(self, word: bytes) -> int:
-        at = len(self)
-        if at == len(self.low):
-            self.low, self.high = np.concatenate([self.low, self.low]), np.concatenate([self.high, self.high])
-        digest = hashlib.blake2b(word, digest_size=16).digest()
-        self.low[at], self.high[at] = int.from_bytes(digest[:8], "little"), int.from_bytes(digest[8:], "little")
-        self[word] = at
-        return at
+_WHITE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
+_BYTES = tuple(_factors(256, f"byte {half}") for half in ("low", "high"))
+_PLACES = tuple(_factors(LONG_WORD, f"place {half}") for half in ("low", "high"))
+
+
+def _numbers(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words of each piece, low, high): two numbers of every word, sums over its bytes with a factor per place."""
+    joined = b" ".join(pieces)
+    data = np.frombuffer(joined, dtype=np.uint8)
+    inside = np.zeros(len(data) + 2, dtype=np.int8)
+    inside[1:-1] = ~_WHITE[data]
+    edges = np.diff(inside)
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    sizes = ends - starts
+    letters = data[inside[1:-1] == 1]
+    first = np.cumsum(sizes) - sizes
+    place = np.minimum(np.arange(len(letters)) - np.repeat(first, sizes), LONG_WORD - 1)
+    size = sizes.astype(np.uint64)
+    low, high = (mix(np.add.reduceat(values[letters] * factors[place], first) + size) if len(first) else np.zeros(0, dtype=np.uint64)
+                 for values, factors in zip(_BYTES, _PLACES))
+    for i in np.flatnonzero(sizes >= LONG_WORD).tolist():
+        digest = hashlib.blake2b(joined[starts[i]:ends[i]], digest_size=16).digest()
+        low[i], high[i] = int.from_bytes(digest[:8], "little"), int.from_bytes(digest[8:], "little")
+    lengths = np.array([len(p) + 1 for p in pieces])
+    return np.diff(np.searchsorted(starts, np.concatenate([[0], np.cumsum(lengths)]))), low, high
+
+
+def _pieces(text: bytes):
+    """The text, a long one cut at white space."""
+    at = 0
+    while len(text) - at > BATCH_BYTES:
+        gap = _GAP.search(text, at + BATCH_BYTES)
+        if not gap:
+            break
+        yield text[at:gap.start()]
+        at = gap.start()
+    yield text[at:] if at else text
+
+
+def _batches(texts):
+    """(owners, counts, low, high): texts one after another, of about ``BATCH_BYTES`` bytes in all, or one longer text."""
+    owners, held, total = [], [], 0
+    for i, text in enumerate(texts):
+        if len(text or b"") > BATCH_BYTES:
+            parts = [_numbers([piece]) for piece in _pieces(text)]
+            yield np.array([i]), np.array([sum(int(p[0][0]) for p in parts)]), *(np.concatenate([p[j] for p in parts]) for j in (1, 2))
+            continue
+        owners.append(i)
+        held.append(text or b"")
+        total += len(held[-1])
+        if total >= BATCH_BYTES:
+            yield np.array(owners), *_numbers(held)
+            owners, held, total = [], [], 0
+    if held:
+        yield np.array(owners), *_numbers(held)
 
 
-class Numbers:
-    """The words of texts as two 64-bit numbers each."""
+class _Twice:
+    """Lets a text pass twice: more copies tell nothing new, whatever their number."""
 
     def __init__(self):
-        self.known = _Vocabulary()
-
-    def of(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-        low, high = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.uint64)]
-        at, text = 0, text or b""
-        while at < len(text):
-            end = at + PIECE_BYTES
-            if end < len(text):
-                gap = _GAP.search(text, end)
-                end = gap.start() if gap else len(text)
-            if len(self.known) > HELD_WORDS:
-                self.known = _Vocabulary()
-            words = text[at:end].split()
-            places = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
-            low.append(self.known.low[places])
-            high.append(self.known.high[places])
-            at = end
-        return (low[1], high[1]) if len(low) == 2 else (np.concatenate(low), np.concatenate(high))
-
-
-def _batches(texts, numbers: Numbers):
-    """(owners, counts, low, high): texts one after another, of about ``BATCH_WORDS`` words in all."""
-    held, total = [], 0
-    for i, text in enumerate(texts):
-        low, high = numbers.of(text)
-        held.append((i, low, high))
-        total += len(low)
-        if total >= BATCH_WORDS:
-            yield _joined(held)
-            held, total = [], 0
-    if held:
-        yield _joined(held)
-
+        self.met: dict[tuple, int] = {}
 
-def _joined(held):
-    owners, low, high = zip(*held)
-    return np.array(owners), np.array([len(x) for x in low]), np.concatenate(low), np.concatenate(high)
+    def few(self, part):
+        """The rows of a batch (r1, r2, ...) that are not the third or later copy."""
+        if len(self.met) > HELD_TEXTS:
+            self.met = {}
+        rows = []
+        for i, key in enumerate(zip(part.column("r1").to_pylist(), part.column("r2").to_pylist())):
+            times = self.met.get(key, 0)
+            if times < 2:
+                self.met[key] = times + 1
+                rows.append(i)
+        return part if len(rows) == part.num_rows else part.take(pa.array(rows, pa.int64()))
 
 
 def _sums(values: np.ndarray, at: np.ndarray, factors: np.ndarray) -> np.ndarray:
@@ -113,8 +132,8 @@ def _sums(values: np.ndarray, at: np.ndarray, factors: np.ndarray) -> np.ndarray
     return mix(total)
 
 
-def _texts(part, column: int):
-    return (scalar.as_py() for scalar in part.column(column))
+def _texts(part):
+    return (scalar.as_py() for scalar in part.column("raw"))
 
 
 def _anchors(source: DataFrame, block: int, stretch: int, probes: bool) -> DataFrame:
@@ -122,58 +141,56 @@ def _anchors(source: DataFrame, block: int, stretch: int, probes: bool) -> DataF
     factors = _factors(block, "anchor")
 
     def setup():
-        numbers = Numbers()
+        met = _Twice()
 
         def work(part):
-            refs = part.column(0).to_numpy(zero_copy_only=False)
-            for owners, counts, low, _ in _batches(_texts(part, 1), numbers):
-                first = np.cumsum(counts) - counts
-                place = np.arange(len(low)) - np.repeat(first, counts)
+            part = met.few(part)
+            refs = part.column("r1").to_numpy(zero_copy_only=False)
+            for owners, counts, low, _ in _batches(_texts(part)):
+                place = np.arange(len(low)) - np.repeat(np.cumsum(counts) - counts, counts)
                 inside = place + block <= np.repeat(counts, counts)
                 at = np.flatnonzero(inside & (place % (block * stretch) < block if probes else place % block == 0))
-                owner = np.repeat(owners, counts)[at]
-                yield _sums(low, at, factors).view(np.int64), refs[owner], pa.array(place[at], pa.int32())
+                yield _sums(low, at, factors).view(np.int64), refs[np.repeat(owners, counts)[at]], pa.array(place[at], pa.int32())
 
         return work
 
-    return flat_map_texts(source.select("r1", "raw"), setup, fields("h bigint, r1 bigint, p int"))
+    return flat_map_texts(source.select("r1", "r2", "raw"), setup, fields("h bigint, r1 bigint, p int"))
 
 
-def _around(low: np.ndarray, high: np.ndarray, places: np.ndarray, words: int, block: int, factors) -> tuple[np.ndarray, np.ndarray]:
-    """Two numbers of all words that a passage over each block could hold; where the text ends is part of them."""
-    reach, n = words - block, len(low)
-    out = []
-    for values, own in zip((low, high), factors):
-        padded = np.concatenate([np.zeros(reach, dtype=np.uint64), values, np.zeros(reach, dtype=np.uint64)])
-        total = np.zeros(len(places), dtype=np.uint64)
-        for j in range(reach + words):
-            total += padded[places + j] * own[j]
-        ends = np.minimum(places, reach) * (words + 1) + np.minimum(n - places, words)
-        out.append(mix(mix(total) + ends.astype(np.uint64) * own[-1]))
-    return out[0], out[1]
+def _around(values: np.ndarray, owner: np.ndarray, texts: int, at: np.ndarray, size: int, reach: int, factors: np.ndarray) -> np.ndarray:
+    """The number of ``size`` words from ``reach`` before each place on; beyond the ends of its text stand zeros."""
+    padded = np.zeros(len(values) + 2 * reach * texts, dtype=np.uint64)
+    padded[np.arange(len(values)) + reach * (2 * owner + 1)] = values
+    return _sums(padded, at + 2 * reach * owner[at], factors[:size])
 
 
 def _occurrences(near: DataFrame, words: int, block: int) -> DataFrame:
     """(c0, r1, r2, h, x1, x2, p) of the places of every text (c0, r1, r2, raw, places)."""
-    size = 2 * words - block + 1
-    anchor, factors = _factors(block, "anchor"), (_factors(size, "around low"), _factors(size, "around high"))
+    reach, size = words - block, 2 * words - block
+    anchor, factors = _factors(block, "anchor"), [_factors(size + 1, f"around {half}") for half in ("low", "high")]
     schema = T.StructType([near.schema["c0"], *fields("r1 bigint, r2 bigint, h bigint, x1 bigint, x2 bigint, p int")])
 
     def setup():
-        numbers = Numbers()
+        met = _Twice()
 
         def work(part):
-            lists = part.column(4)
-            for i, text in enumerate(_texts(part, 3)):
-                low, high = numbers.of(text)
-                places = np.array(lists[i].as_py(), dtype=np.int64)
+            part = met.few(part)
+            lists = part.column("places")
+            for owners, counts, low, high in _batches(_texts(part)):
+                first = np.cumsum(counts) - counts
+                own = [np.sort(lists[i].values.to_numpy(zero_copy_only=False)).astype(np.int64) for i in owners.tolist()]
                 # Two texts may share the first of their two keys; what does not fit here belongs to the other.
-                places = np.sort(places[places + block <= len(low)])
-                if len(places) and len(low) >= words:
-                    x1, x2 = _around(low, high, places, words, block, factors)
-                    take = pa.array(np.full(len(places), i))
-                    yield (part.column(0).take(take), part.column(1).take(take), part.column(2).take(take), _sums(low, places, anchor).view(np.int64),
-                           x1.view(np.int64), x2.view(np.int64), pa.array(places, pa.int32()))
+                own = [p[p + block <= n] if n >= words else p[:0] for p, n in zip(own, counts.tolist())]
+                which = np.repeat(np.arange(len(owners)), [len(p) for p in own])
+                if not len(which):
+                    continue
+                place = np.concatenate(own)
+                at, texts = place + first[which], np.repeat(np.arange(len(owners)), counts)
+                ends = (np.minimum(place, reach) * (words + 1) + np.minimum(counts[which] - place, words)).astype(np.uint64)
+                x1, x2 = (mix(_around(values, texts, len(owners), at, size, reach, f) + ends * f[-1]) for values, f in zip((low, high), factors))
+                take = pa.array(owners[which])
+                yield (*(part.column(c).take(take) for c in ("c0", "r1", "r2")), _sums(low, at, anchor).view(np.int64), x1.view(np.int64),
+                       x2.view(np.int64), pa.array(place, pa.int32()))
 
         return work
 
@@ -182,25 +199,25 @@ def _occurrences(near: DataFrame, words: int, block: int) -> DataFrame:
 
 def _passages(near: DataFrame, words: int, block: int) -> DataFrame:
     """(r1, r2, w1, w2, at, weight): every passage over the places of a text (r1, r2, raw, rows), once per start."""
-    factors = (_factors(words, "passage low"), _factors(words, "passage high"))
+    factors = [_factors(words, f"passage {half}") for half in ("low", "high")]
+    reach = words - block
 
     def setup():
-        numbers = Numbers()
-
         def work(part):
-            lists = part.column(3)
-            for i, text in enumerate(_texts(part, 2)):
-                low, high = numbers.of(text)
-                rows = sorted((r["p"], r["weight"]) for r in lists[i].as_py())
-                weight = np.zeros(max(len(low) - words + 1, 0), dtype=np.int32)
-                for p, own in rows:
-                    part_of = weight[max(p - (words - block), 0):p + 1]
-                    np.maximum(part_of, own, out=part_of)
+            lists = part.column("rows")
+            for owners, counts, low, high in _batches(_texts(part)):
+                first = np.cumsum(counts) - counts
+                weight = np.zeros(len(low), dtype=np.int32)
+                for i, begin, n in zip(owners.tolist(), first.tolist(), counts.tolist()):
+                    for row in lists[i].as_py():
+                        starts = weight[begin + max(row["p"] - reach, 0):begin + max(min(row["p"], n - words) + 1, 0)]
+                        np.maximum(starts, row["weight"], out=starts)
                 at = np.flatnonzero(weight)
                 if len(at):
-                    take = pa.array(np.full(len(at), i))
-                    yield (part.column(0).take(take), part.column(1).take(take), _sums(low, at, factors[0]).view(np.int64),
-                           _sums(high, at, factors[1]).view(np.int64), pa.array(at, pa.int32()), weight[at])
+                    which = np.repeat(np.arange(len(owners)), counts)[at]
+                    take = pa.array(owners[which])
+                    yield (part.column("r1").take(take), part.column("r2").take(take), _sums(low, at, factors[0]).view(np.int64),
+                           _sums(high, at, factors[1]).view(np.int64), pa.array(at - first[which], pa.int32()), weight[at])
 
         return work
 
@@ -311,7 +328,7 @@ def passage_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def setup():
         def work(part):
             rows = []
-            for text, lo, hi in zip(_texts(part, 1), part.column(2).to_pylist(), part.column(3).to_pylist()):
+            for text, lo, hi in zip(_texts(part), part.column(2).to_pylist(), part.column(3).to_pylist()):
                 left, n, removed, kept = cut(text, lo, hi, words)
                 rows.append((n, removed, hashlib.sha256(kept).hexdigest(), left.decode("utf-8", "replace")))
             if rows:

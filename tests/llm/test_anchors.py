@@ -38,6 +38,7 @@ def _docs():
     for i in range(40):  # passages just above and below the size, at any distance from the blocks
         at, n = rng.randrange(200), rng.choice((33, 34, 35, 36, 37, 50))
         docs.append((9000 + i, " ".join([f"u{i}_{j}" for j in range(rng.randrange(30))] + p[at:at + n] + [f"v{i}"])))
+    docs += [(9100 + i, " ".join(["ab" * 128 + "c" * k for k in range(40)] + [f"w{i}"])) for i in range(2)]
     return docs
 
 
@@ -51,9 +52,8 @@ def _regular():
 
 @pytest.mark.parametrize("size,block,stretch,piece", [(35, 9, 3, 1 << 22), (35, 18, 1, 50), (35, 12, 1, 50), (8, 3, 1, 1 << 22)])
 def test_digest(spark, monkeypatch, size, block, stretch, piece):
-    monkeypatch.setattr(anchors, "PIECE_BYTES", piece)
-    monkeypatch.setattr(anchors, "BATCH_WORDS", 1 << 20 if piece > 50 else 300)
-    monkeypatch.setattr(anchors, "HELD_WORDS", 1 << 19 if piece > 50 else 20)
+    monkeypatch.setattr(anchors, "BATCH_BYTES", piece)
+    monkeypatch.setattr(anchors, "HELD_TEXTS", 1 << 19 if piece > 50 else 3)
     docs = _docs()
     frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
     found = anchors.passage_digest(frame, words=size, block=block, stretch=stretch).collect()
