@@ -5,8 +5,8 @@ changes at most two of its places, so words one edit apart have Hamming distance
 ``PARTS`` parts by a fixed rule. Two vectors at distance two differ in at most two parts, so they agree in all others: the
 signatures of a word are its letters in every choice of ``PARTS`` - 2 parts, and an equi-join on signatures misses no pair.
 An edit leaves the first or the last three letters as they are (words have at least ``LEAST_LETTERS`` = 6), so every
-signature is joined once with the head and once with the tail beside it, and once more with the number of letters, equal
-or one more: anagrams alone do not meet. What meets is verified by edit distance, once per pair.
+signature is joined once with the head and once with the tail beside it: anagrams alone do not meet. What meets is
+verified by length and edit distance; a pair that met several times is one.
 
 What is joined is the vocabulary, not the text: tasks add up words before anything moves. A signature with very many
 words is one key with many rows on both sides of a sort-merge join, which adaptive execution splits; its rows are streamed,
@@ -107,7 +107,7 @@ def signatures(word: str, parts: int = PARTS) -> list[str]:
 
 
 def _signed(words: DataFrame) -> DataFrame:
-    """(word, length, sig): a row per signature and end of the word, the signature as 64 bits."""
+    """(word, sig): a row per signature and end of the word, the signature as 64 bits."""
     def setup():
         def work(part):
             own, keys = [], []
@@ -123,19 +123,18 @@ def _signed(words: DataFrame) -> DataFrame:
     rows = flat_map_texts(words.select("word"), setup, fields("word string, key string"))
     head, tail = F.substring("word", 1, HEAD), F.substring("word", -HEAD, HEAD)
     ends = F.array(F.xxhash64("key", F.lit("head"), head), F.xxhash64("key", F.lit("tail"), tail))
-    return rows.select("word", F.char_length("word").alias("length"), F.explode(ends).alias("sig"))
+    return rows.select("word", F.explode(ends).alias("sig"))
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
-    """(a, b), a before b in no set order: all pairs of words exactly one edit apart, each once.
+    """(a, b), a before b in code-point order: all pairs of words exactly one edit apart, each once.
 
     Words with fewer than ``2 * HEAD`` letters are not looked at.
     """
     signed = stored(_signed(words.where(F.char_length("word") >= 2 * HEAD)), "signatures")
-    left = signed.select(F.col("word").alias("a"), "sig", F.col("length").alias("meet"))
-    # A word meets words of its own length, of which the smaller one asks, and words one letter longer.
-    right = signed.select(F.col("word").alias("b"), "sig", F.explode(F.array("length", F.col("length") - 1)).alias("meet"), "length")
-    met = left.join(right, ["sig", "meet"]).where((F.col("length") > F.col("meet")) | (F.col("a") < F.col("b")))
+    left, right = signed.withColumnRenamed("word", "a"), signed.withColumnRenamed("word", "b")
+    apart = F.abs(F.char_length("a") - F.char_length("b"))
+    met = left.join(right, "sig").where((F.col("a") < F.col("b")) & (apart <= 1))
     return met.where(F.levenshtein("a", "b", 1) == 1).select("a", "b").distinct()
 
 
