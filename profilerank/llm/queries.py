@@ -153,7 +153,8 @@ def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("op6_repeats")
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.repeat_digest(table(spark, sf_dir, "documents"))
+    """The contract's columns, by strings of 400 bytes, and the text that is left without passages of over 50 words as well."""
+    return repeats.repeat_digest(table(spark, sf_dir, "documents"), words=51)
 
 
 SQL_JACCARD = f"""

@@ -309,18 +309,40 @@ def _apply(docs: DataFrame, columns: list[str], id_col: str, text_col: str, star
     return both.withColumn(made, function("raw", *names))
 
 
-def repeat_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
-    @F.pandas_udf("struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept_sha256:string>")
+def _left_of_both(text: bytes | None, lo, hi, word_lo, word_hi, size: int, words: int) -> str | None:
+    """What is left without repeated strings of ``size`` bytes and without repeated passages of ``words`` words."""
+    if text and lo is not None:
+        gone = covered(len(text), lo, hi, size) | _word_cover(text, word_lo, word_hi, words)
+        text = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
+    return None if text is None else text.decode("utf-8", "ignore")
+
+
+def repeat_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, words: int | None = None) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256) of every document, by strings of ``size`` bytes.
+
+    With ``words`` also ``text``: what is left when repeated passages of at least so many words go as well, however short in
+    bytes; null is empty.
+    """
+    made, names = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string", ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+    def row(text, lo, hi) -> tuple:
+        kept, removed, runs = _cut(text, lo, hi, size)
+        return len(text or b""), removed, runs, hashlib.sha256(kept).hexdigest()
+
+    @F.pandas_udf(f"struct<{made}>")
     def digest(text: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t, a, b in zip(text, lo, hi):
-            kept, removed, runs = _cut(t, a, b, size)
-            rows.append((len(t or b""), removed, runs, hashlib.sha256(kept).hexdigest()))
-        return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        return pd.DataFrame([row(*x) for x in zip(text, lo, hi)], columns=names)
+
+    @F.pandas_udf(f"struct<{made}, text string>")
+    def digest_and_text(text: pd.Series, lo: pd.Series, hi: pd.Series, word_lo: pd.Series, word_hi: pd.Series) -> pd.DataFrame:
+        rows = [(*row(t, a, b), _left_of_both(t or b"", a, b, c, d, size, words)) for t, a, b, c, d in zip(text, lo, hi, word_lo, word_hi)]
+        return pd.DataFrame(rows, columns=[*names, "text"])
 
-    made = _apply(docs, [], id_col, text_col, repeated_starts(docs, id_col, text_col, size), "d", digest)
-    return made.select(F.col("c0").alias(id_col), "d.n_bytes", "d.n_removed", "d.n_spans", "d.kept_sha256")
+    if words is None:
+        found = _apply(docs, [], id_col, text_col, repeated_starts(docs, id_col, text_col, size), "d", digest)
+    else:
+        found = _apply(docs, [], id_col, text_col, _both_starts(docs, id_col, text_col, size, words), "d", digest_and_text)
+    return found.select(F.col("c0").alias(id_col), "d.*")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, words: int | None = None) -> DataFrame:
@@ -335,13 +357,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     @F.pandas_udf("string")
     def rest_of_both(text: pd.Series, lo: pd.Series, hi: pd.Series, word_lo: pd.Series, word_hi: pd.Series) -> pd.Series:
-        out = []
-        for t, a, b, c, d in zip(text, lo, hi, word_lo, word_hi):
-            if t and a is not None:
-                gone = covered(len(t), a, b, size) | _word_cover(t, c, d, words)
-                t = np.frombuffer(t, dtype=np.uint8)[~gone].tobytes()
-            out.append(None if t is None else t.decode("utf-8", "ignore"))
-        return pd.Series(out, dtype=object)
+        return pd.Series([_left_of_both(*x, size, words) for x in zip(text, lo, hi, word_lo, word_hi)], dtype=object)
 
     others = [c for c in docs.columns if c != text_col]
     if words is None:

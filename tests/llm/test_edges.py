@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from profilerank.llm import audio, bpe, contamination, html, jaccard, language, quality, repeats, sharding, urls
+from profilerank.llm import anchors, audio, bpe, contamination, html, infill, jaccard, language, quality, repeats, sharding, urls
 from profilerank.llm.queries import URL_RULES
 
 #: Names that operators use for their results or on the way.
@@ -42,6 +42,9 @@ OPERATORS = {
     "jaccard": lambda s, d: jaccard.similar_groups(d),
     "contamination": lambda s, d: contamination.contamination(d, _bench(s, [(1, "the cat"), (2, None), (None, "the cat")])),
     "audio": lambda s, d: audio.media_digest(d),
+    "passages": lambda s, d: anchors.passage_digest(d),
+    "infill": lambda s, d: infill.infill_digest(d),
+    "repeats_and_passages": lambda s, d: repeats.repeat_digest(d, words=51),
 }
 
 
@@ -71,6 +74,10 @@ def test_results_of_edge_rows(spark):
     assert group[3, 2] == group[8, 2] == 3 and group[1, 0] == 1 and group[5, 2] == 4
     cut = {r["doc_id"]: r for r in repeats.repeat_digest(docs).collect()}
     assert cut[4]["n_removed"] == cut[4]["n_bytes"] == len(LONG) and cut[4]["n_spans"] == 1 and cut[3]["n_removed"] == 0
+    both = {r["doc_id"]: r for r in repeats.repeat_digest(docs, words=51).collect()}
+    assert all(both[i][c] == cut[i][c] for i in cut for c in cut[i].__fields__) and both[4]["text"] == both[1]["text"] == "" and both[8]["text"] == "THE CAT. the cat."
+    gone = {r["doc_id"]: r for r in anchors.passage_digest(docs).collect()}
+    assert gone[4]["n_removed"] == gone[4]["n_words"] == 60_001 and gone[4]["text"] == "" and gone[6]["text"] == " \n\t " and gone[1]["n_words"] == 0
     hit = {r["doc_id"]: r for r in contamination.contamination(docs, _bench(spark, [(1, "the cat")])).collect()}
     assert hit[8]["n_hit"] == 4 and hit[8]["contaminated"] and hit[1]["n_words"] == 0 and not hit[1]["contaminated"]
 

@@ -13,19 +13,11 @@ import corpus_pipeline
 from profilerank.llm import language, quality
 from profilerank.session import shared_dir
 from tests.llm import brute
+from tests.llm.test_stage_sizes import _brute_cut
 
 SF = "/root/testdata/sf0.01"
 
 
-def _cut(text: str, size: int, seen: dict) -> str:
-    data = text.encode()
-    gone = bytearray(len(data))
-    for i in range(len(data) - size + 1):
-        if seen[data[i:i + size]] > 1:
-            gone[i:i + size] = b"\1" * size
-    return bytes(b for b, g in zip(data, gone) if not g).decode("utf-8", "ignore")
-
-
 def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 260")
     again = docs.where("doc_id in (0, 4, 7)").withColumn("doc_id", F.col("doc_id") + 9000)
@@ -41,14 +33,10 @@ def test_pipeline(spark, tmp_path):
     rows = sorted((r["doc_id"], r["text"]) for r in whole.select("doc_id", "text").collect())
     scores = model.score([None if t is None else t.encode() for _, t in rows])
     rows = [r for r, s in zip(rows, scores) if s >= 0.5]
-    groups = brute.jaccard(rows)
+    groups = brute.jaccard(rows, 5, 80)
     rows = [r for r, g in zip(rows, groups) if not g["n_shingles"] or g["component_id"] == r[0]]
-    seen: dict = {}
-    for _, text in rows:
-        data = (text or "").encode()
-        for i in range(len(data) - 399):
-            seen[data[i:i + 400]] = seen.get(data[i:i + 400], 0) + 1
-    rows = [(i, t and _cut(t, 400, seen)) for i, t in rows]
+    left = _brute_cut([(i, t or "") for i, t in rows], 400, 51)
+    rows = [(i, t and left[i]) for i, t in rows]
     items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
     rows = [r for r, c in zip(rows, brute.contamination(rows, items)) if not c["contaminated"]]
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
