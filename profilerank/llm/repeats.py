@@ -75,8 +75,8 @@ def _batches(texts: list[bytes | None], size: int):
         yield held
 
 
-def entries(texts: list[bytes | None], size: int = SIZE, span: int = SPAN):
-    """Yields (text, key, entry, lo, hi, weight) arrays: strings that start from lo to hi of a text.
+def entries(texts: list[bytes | None], size: int = SIZE, span: int = SPAN, step: int = 1):
+    """Yields (text, key, entry, lo, hi, weight) arrays: strings that start from lo to hi of a text, at multiples of ``step``.
 
     All strings of a row hold its key. Key -1 with weight 0: strings known to be repeated. lo -1: a string that occurs
     several times in its text, there only to be met by others.
@@ -114,13 +114,18 @@ def entries(texts: list[bytes | None], size: int = SIZE, span: int = SPAN):
         gap_seg = np.concatenate([seg, np.arange(len(part))])
         m = gap_hi >= gap_lo
         if m.any():
-            yield from _free(prints, gap_lo[m], gap_hi[m], gap_seg[m], owner, shift, size)
+            yield from _free(prints, gap_lo[m], gap_hi[m], gap_seg[m], owner, shift, size, step)
 
 
-def _free(prints: Prints, lo, hi, seg, owner, shift, size):
+def _free(prints: Prints, lo, hi, seg, owner, shift, size, step):
     count = hi - lo + 1
     place = np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
     seg = np.repeat(seg, count)
+    if step > 1:
+        real = (place + shift[seg]) % step == 0
+        place, seg = place[real], seg[real]
+        if not len(place):
+            return
     number = prints.of(place, place + size)
     order = np.lexsort((number, seg))
     number, place, seg = number[order], place[order], seg[order]
@@ -135,7 +140,7 @@ def _free(prints: Prints, lo, hi, seg, owner, shift, size):
         p, s = place[many], seg[many]
         order = np.argsort(p)
         p, s = p[order], s[order]
-        begin = np.concatenate([[True], (p[1:] != p[:-1] + 1) | (s[1:] != s[:-1])])
+        begin = np.concatenate([[True], (p[1:] != p[:-1] + step) | (s[1:] != s[:-1])])
         first = np.flatnonzero(begin)
         end = np.concatenate([first[1:], [len(p)]]) - 1
         no = np.zeros(len(first), dtype=np.uint64)
@@ -151,7 +156,7 @@ def _parse(source: DataFrame, size: int, words: bool) -> DataFrame:
             texts = part.column(2).to_pylist()
             if words:
                 texts = word_codes(texts)
-            for owner, key, entry, lo, hi, weight in entries(texts, size):
+            for owner, key, entry, lo, hi, weight in entries(texts, size, step=CODE if words else 1):
                 take = pa.array(owner)
                 yield (part.column(0).take(take), part.column(1).take(take), key.view(np.int64), entry.view(np.int64),
                        pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), weight)
@@ -181,6 +186,9 @@ def _strings(wanted: DataFrame, size: int, words: bool) -> DataFrame:
                     prints = Prints(text[base:max(r["hi"] for r in row[at:end]) + size])
                     place = np.concatenate([np.arange(r["lo"], r["hi"] + 1) for r in row[at:end]])
                     weight = np.concatenate([np.full(r["hi"] - r["lo"] + 1, r["weight"], dtype=np.int32) for r in row[at:end]])
+                    if words:
+                        # A passage starts where a word does.
+                        place, weight = place[place % CODE == 0], weight[place % CODE == 0]
                     number = prints.of(place - base, place - base + size).view(np.int64)
                     take = pa.array(np.full(len(place), i))
                     yield part.column(0).take(take), part.column(1).take(take), number, pa.array(place, pa.int32()), weight
