@@ -1,28 +1,31 @@
 """Main text of web pages by wrappers that are inferred per host.
 
 A wrapper is a union-free regular expression over a page's tokens: elements, texts, optional parts and repeated groups.
-It starts as one page. Each further page of the host is aligned with it; where they differ, what only one of them has
-becomes optional, neighbours of the same kind become a repeated group, and texts that differ become a slot. Beside its
-elements the wrapper keeps the texts that stand there on all pages of the host; a page without text does not count.
+It starts as one page. Each further page of the host is aligned with it. Where they differ, what only one of them has
+becomes optional, and kinds that stand at several places become one repeated group. Each text particle keeps the texts
+that all pages have there; when none is left it is a slot. Nothing inside an optional part is shared by all pages.
 
-Every page is read against the wrapper of its host, from the top down and inside the article too: a text that stands in
-its place on all pages of the host, at least two different ones, belongs to the template, the others are content. Only
-then names are asked: elements that are menus, headers, footers, adverts, forms and the like by their kind or name are left
-out, and where an article or main element holds content, what is outside of it. A page of which the wrapper leaves nothing
-is a copy of what all pages have; it is read by names alone, so that no text is lost whole.
+Every page is aligned with the wrapper of its host in the same way, inside the article too: a text that meets a particle
+which has that text on all pages of the host, at least two different ones, belongs to the template; what meets a slot, an
+optional part or nothing is content. Only then names are asked: elements that are menus, headers, footers, adverts, forms
+and the like by their kind or by a whole class name are left out, and where an article or main element holds content, what
+is outside of it. A page of which the wrapper leaves nothing is a copy of what all pages have; it is read by names alone,
+so that no text is lost whole. Drawings (svg) and the fallback of players count as markup.
 
 Wrappers merge like pages do, so each task aligns its own pages of a host and what is shuffled is one wrapper per
 host and task; a host with very many of them is merged in two steps. Pages are not shuffled for the inference, and meet
-the wrappers in a join that Spark broadcasts while they are few.
+the wrappers in a join that Spark broadcasts while they are few. As the alignment goes page by page, which of two equally
+good expressions comes out may depend on how pages are dealt to tasks.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from hashlib import blake2b
 from html import unescape
-from zlib import crc32
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -31,7 +34,8 @@ from .common import fields, stored, with_row
 
 # Names from the HTML standard, and words that name an element's part in a page.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-             "strike strong sub sup time tt u var wbr".split())
+             "strike strong sub sup time tt u var wbr math mfrac mi mn mo mover mrow msqrt mstyle msub msubsup msup mtable mtd mtext mtr "
+             "munder semantics".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = set("address article aside blockquote details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                "header hgroup hr main menu nav ol p pre section table ul".split())
@@ -44,7 +48,12 @@ MAIN_NAMES = set("article article-body post post-body post-content entry entry-c
 LEFT_OUT_NAMES = set("ad ads adv advert advertisement banner breadcrumb breadcrumbs comment comments comment-list cookie cookies consent "
                      "disclaimer disqus footer header menu modal nav navbar navigation newsletter notice pagination popup promo "
                      "related replies respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
-_NAME_PARTS = LEFT_OUT_NAMES - {"header", "notice", "content"}
+#: Left out outside of main content only: inside it, these hold a headline, a place, a remark or a replaced picture's text.
+KEPT_IN_MAIN = set("header address dialog object".split())
+# Words that say nothing of an element's part; a compound name leaves out only if it has no others ("share-buttons").
+_PLAIN_PARTS = set("area articles bar block bottom box button buttons container form icons inline inner item items left link links list "
+                   "main outer page panel posts right section signup site slot sticky top unit wrap wrapper".split())
+_NAME_PARTS = LEFT_OUT_NAMES - {"header", "notice"}
 
 #: Elements of one kind side by side, in any order with others, before they become one repeated group.
 REPEATS = 6
@@ -52,14 +61,16 @@ REPEATS = 6
 HELD_HOSTS, PARTS = 2_000, 64
 #: Elements nested deeper are taken for siblings.
 MAX_DEPTH = 150
+#: Cells of one alignment; longer sequences are aligned as repeated groups of all their kinds.
+CELLS = 40_000
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|textarea|select|title|xmp|noframes)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|svg|annotation|annotation-xml|iframe|textarea|select|title|xmp|noframes)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[a-zA-Z][^>]*>|<[!?/][^>]*>|(?P<text>[^<]+|<)", re.S | re.I)
 _CLASS = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_DIGITS = re.compile(r"\d+")
+_DIGITS = re.compile(r"\d.*")
 
 
 class Element:
@@ -70,8 +81,16 @@ class Element:
         self.children: list = []  # elements, and texts as strings
 
 
+def _left_out(name: str) -> bool:
+    """Whether a class or id as a whole says that an element is no content."""
+    if name in LEFT_OUT_NAMES:
+        return True
+    parts = [part for part in re.split(r"[-_]+", name) if part and not part[0].isdigit()]
+    return all(part in LEFT_OUT_NAMES or part in _PLAIN_PARTS for part in parts) and not _NAME_PARTS.isdisjoint(parts)
+
+
 def _kind(name: str, attrs: str) -> tuple[str, bool, bool]:
-    """(key, left out, main) of an element. The key is its name and class or id without digits."""
+    """(key, left out, main) of an element. The key is its name and class or id up to digits."""
     key, skip, main = name, name in LEFT_OUT, name in MAIN
     if "=" in attrs:
         for what, *values in _CLASS.findall(attrs):
@@ -82,7 +101,7 @@ def _kind(name: str, attrs: str) -> tuple[str, bool, bool]:
                 continue
             key += "." + ".".join(_DIGITS.sub("0", n) for n in names[:2])
             for n in names:
-                if n in LEFT_OUT_NAMES or not _NAME_PARTS.isdisjoint(re.split(r"[-_]", n)):
+                if _left_out(n):
                     skip = True
                 elif n in MAIN_NAMES:
                     main = True
@@ -156,8 +175,7 @@ def parse(html: str) -> Element:
                 del stack[cut:]
         if name in VOID:
             continue
-        # A header inside an article holds its headline.
-        if name == "header" and skip and key == "header" and any(e.main for e in stack):
+        if skip and name in KEPT_IN_MAIN and key == name and any(e.main for e in stack):
             skip = False
         element = Element(name, key, skip, main)
         stack[-1].children.append(element)
@@ -169,50 +187,48 @@ def parse(html: str) -> Element:
 
 
 # A particle of a wrapper is a list [kind, key, content, may be absent, may repeat]. Kinds: "e" an element with the
-# particles in it, "t" a text (the checksum all pages share, or None for a slot), "g" a group of particles.
+# particles in it, "t" a text (by number, the texts all pages have there, each with its places on the page that is read;
+# None for a slot), "g" a group of particles; in the group "*" they stand in any order.
 
 def _head(particle: list) -> str:
     return particle[1] if particle[0] == "e" else particle[0] + particle[1]
 
 
-def describe(element: Element) -> list:
-    """The wrapper of one page: elements side by side of one kind, and repeating sequences, are repeated groups."""
+def _number(text: str) -> str:
+    return blake2b(text.encode("utf-8", "replace"), digest_size=8).hexdigest()
+
+
+def describe(element: Element, places: list[str] | None = None) -> list:
+    """The wrapper of one page: elements side by side of one kind, and repeating sequences, are repeated groups.
+
+    With ``places``, a list that takes the page's texts, each text knows its place in it.
+    """
     particles = []
     for child in element.children:
         if isinstance(child, str):
-            particles.append(["t", "", crc32(child.encode("utf-8", "replace")), 0, 0])
+            at = []
+            if places is not None:
+                at.append(len(places))
+                places.append(child)
+            particles.append(["t", "", {_number(child): at}, 0, 0])
         elif child.skip:
             particles.append(["e", child.key, [], 0, 0])  # what is left out needs no inside
         else:
-            particles.append(describe(child))
+            particles.append(describe(child, places))
     return ["e", element.key, fold(particles), 0, 0]
 
 
 def fold(particles: list) -> list:
-    out: list = []
-    for particle in particles:
-        if out and _head(out[-1]) == _head(particle):
-            out[-1] = merge(out[-1], particle)
-            out[-1][4] = 1
-        else:
-            out.append(particle)
+    """Neighbours of one kind, sequences that follow themselves, and kinds met often become repeated groups."""
+    out = []
+    for _, run in groupby(particles, _head):
+        run = list(run)
+        out.append([*join(run)[:4], 1] if len(run) > 1 else run[0])
     if len(out) > 3:
         out = _tandem(out)
-    counts: dict[str, int] = {}
-    for particle in out:
-        counts[_head(particle)] = counts.get(_head(particle), 0) + 1
+    counts = Counter(map(_head, out))
     often = {h for h, n in counts.items() if n > REPEATS}
-    if often:
-        places = [i for i, p in enumerate(out) if _head(p) in often]
-        inside: dict[str, list] = {}
-        for particle in out[places[0]:places[-1] + 1]:
-            parts = particle[2] if particle[0] == "g" else [particle]
-            for part in parts:
-                head = _head(part)
-                inside[head] = merge(inside[head], part) if head in inside else part
-        group = [[k, n, c, 1, r] for k, n, c, _, r in inside.values()]
-        out[places[0]:places[-1] + 1] = [["g", "*", group, 0, 1]]
-    return out
+    return gather(out, often) if often else out
 
 
 def _tandem(particles: list) -> list:
@@ -223,12 +239,10 @@ def _tandem(particles: list) -> list:
         for size in (2, 3, 4):
             one = heads[i:i + size]
             if len(one) == size and one == heads[i + size:i + 2 * size]:
-                group = particles[i:i + size]
                 j = i + size
                 while heads[j:j + size] == one:
-                    group = [merge(a, b) for a, b in zip(group, particles[j:j + size])]
                     j += size
-                out.append(["g", "|".join(one), group, 0, 1])
+                out.append(["g", "|".join(one), [join(particles[i + k:j:size]) for k in range(size)], 0, 1])
                 i = j
                 break
         else:
@@ -237,93 +251,159 @@ def _tandem(particles: list) -> list:
     return out
 
 
+def _parts(particle: list) -> list:
+    return particle[2] if particle[0] == "g" else [particle]
+
+
+def gather(particles: list, kinds: set[str]) -> list:
+    """From the first to the last particle that has one of the kinds, one repeated group of all that stands there."""
+    at = [i for i, p in enumerate(particles) if not kinds.isdisjoint(map(_head, _parts(p))) or _head(p) in kinds]
+    if not at:
+        return particles
+    inside: dict[str, list] = {}
+    for particle in particles[at[0]:at[-1] + 1]:
+        for part in _parts(particle):
+            inside.setdefault(_head(part), []).append(part)
+    group = [[*join(parts)[:3], 1, int(len(parts) > 1 or parts[0][4])] for parts in inside.values()]
+    return [*particles[:at[0]], ["g", "*", group, 0, 1], *particles[at[-1] + 1:]]
+
+
+def join(particles: list) -> list:
+    """One particle for several of one page (or wrapper) with the same head: it has the texts of all of them."""
+    if len(particles) == 1:
+        return particles[0]
+    kind, key = particles[0][:2]
+    optional, repeated = max(p[3] for p in particles), max(p[4] for p in particles)
+    if kind == "t":
+        texts: dict[str, list] = {}
+        for particle in particles:
+            for number, at in (particle[2] or {}).items():
+                texts.setdefault(number, []).extend(at)
+        return [kind, key, texts or None, optional, repeated]
+    alike: dict[tuple, list] = {}
+    for particle in particles:
+        alike.setdefault(tuple(map(_head, particle[2])), []).append(particle[2])
+    made = [[join(list(column)) for column in zip(*contents)] for contents in alike.values()]
+    content = made[0]
+    for other in made[1:]:
+        one, two, pairs = matched(content, other, key == "*")
+        content = [join([one[i], two[j]]) if i is not None and j is not None else _optional(one[i] if j is None else two[j]) for i, j in pairs]
+    return [kind, key, content, optional, repeated]
+
+
+def _optional(particle: list) -> list:
+    return [*particle[:3], 1, particle[4]]
+
+
+def _forgotten(particle: list) -> list:
+    """A particle that some pages lack: optional, and no text in it stands on all pages."""
+    kind, key, content, _, repeated = particle
+    return [kind, key, None if kind == "t" else [_forgotten(p) for p in content], 1, repeated]
+
+
 def merge(one: list, two: list) -> list:
-    """One particle for two of the same head."""
+    """One particle for those of two pages (or wrappers) with the same head: it has the texts that both have."""
     kind, key, content = one[0], one[1], one[2]
     if kind == "t":
-        content = content if content == two[2] else None
-    elif content != two[2]:
-        content = align(content, two[2])
+        content = {n: [] for n in content if n in two[2]} or None if content and two[2] else None
+    else:
+        content = align(content, two[2], key == "*")
     return [kind, key, content, one[3] | two[3], one[4] | two[4]]
 
 
-def align(one: list, two: list) -> list:
-    """Two sequences as one: what both have in the same order is merged, the rest becomes optional."""
+def align(one: list, two: list, any_order: bool = False) -> list:
+    """The particles of two pages as one sequence: what both have is merged, the rest becomes optional."""
+    one, two, pairs = matched(one, two, any_order)
+    return [merge(one[i], two[j]) if i is not None and j is not None else _forgotten(one[i] if j is None else two[j]) for i, j in pairs]
+
+
+def matched(one: list, two: list, any_order: bool = False) -> tuple[list, list, list[tuple]]:
+    """Both sequences, with the groups that their comparison needs, and the pairs of places that belong together.
+
+    A place that has no partner stands beside None. Kinds at several places of a sequence, and what stands between them,
+    become one repeated group in both, so that each head is there once and the longest common order is unambiguous.
+    """
     a, b = [_head(p) for p in one], [_head(p) for p in two]
     if a == b:
-        return [merge(x, y) for x, y in zip(one, two)]
+        return one, two, [(i, i) for i in range(len(a))]
+    if any_order:
+        at = {h: j for j, h in enumerate(b)}
+        own = set(a)
+        return one, two, [(i, at.get(h)) for i, h in enumerate(a)] + [(None, j) for j, h in enumerate(b) if h not in own]
+    kinds = {h for side in (a, b) for h, n in Counter(side).items() if n > 1}
+    kinds.update(_head(part) for particle in (*one, *two) if particle[0] == "g" for part in particle[2])
+    if len(a) * len(b) > CELLS:
+        kinds.update(_head(part) for particle in (*one, *two) for part in _parts(particle))
+    before = -1
+    while len(kinds) > before:
+        before = len(kinds)
+        one, two = gather(one, kinds), gather(two, kinds)
+        kinds.update(_head(part) for particle in (*one, *two) if particle[0] == "g" for part in particle[2])
+    a, b = [_head(p) for p in one], [_head(p) for p in two]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
             best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
+    pairs, i, j = [], 0, 0
     while i < len(a) and j < len(b):
         if a[i] == b[j]:
-            out.append(merge(one[i], two[j]))
+            pairs.append((i, j))
             i, j = i + 1, j + 1
         elif best[i + 1][j] >= best[i][j + 1]:
-            out.append([*one[i][:3], 1, one[i][4]])
+            pairs.append((i, None))
             i += 1
         else:
-            out.append([*two[j][:3], 1, two[j][4]])
+            pairs.append((None, j))
             j += 1
-    out += [[*p[:3], 1, p[4]] for p in (*one[i:], *two[j:])]
-    return fold(out)
-
+    return one, two, pairs + [(k, None) for k in range(i, len(a))] + [(None, k) for k in range(j, len(b))]
 
-# A host's wrapper is [particle, texts by path, whether pages differ]. The path of an element is the keys down to it; its
-# texts are those that stand there on all pages, in whatever element of the path, so that a repeated group has them too.
-
-def _number(text: str) -> int:
-    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
+# A host's wrapper is [particle, number of a page's texts (None: no page has text yet), whether pages differ].
 
 def host_wrapper(page: Element) -> list:
     """The wrapper of a host with one page."""
-    texts: dict[str, list] = {}
-    _add_texts(page, "", texts)
-    return [describe(page), {path: sorted(set(own)) for path, own in sorted(texts.items())}, 0]
+    places: list[str] = []
+    particle = describe(page, places)
+    return [_without_places(particle), _number("\n".join(places)) if places else None, 0]
 
 
-def _add_texts(element: Element, path: str, texts: dict[str, list]) -> None:
-    for child in element.children:
-        if isinstance(child, str):
-            texts.setdefault(path, []).append(_number(child))
-        elif not child.skip:
-            _add_texts(child, f"{path} {child.key}", texts)
+def _without_places(particle: list) -> list:
+    kind, key, content, optional, repeated = particle
+    if kind == "t":
+        return [kind, key, dict.fromkeys(sorted(content), []) if content else None, optional, repeated]
+    return [kind, key, [_without_places(p) for p in content], optional, repeated]
 
 
 def merge_hosts(one: list, two: list) -> list:
-    """One wrapper for two of the same host: texts that stand in their place on the pages of both."""
+    """One wrapper for two of the same host."""
     for a, b in ((one, two), (two, one)):
-        if not a[1] and not a[2]:  # no page with text
+        if a[1] is None:
             return b
-    both = {path: sorted(set(own).intersection(two[1][path])) for path, own in one[1].items() if path in two[1]}
-    return [merge(one[0], two[0]), {path: own for path, own in both.items() if own}, one[2] | two[2] | (one[1] != two[1])]
-
-
-class Wrapper:
-    """A wrapper made ready for reading pages: below each element, the texts of all pages and the elements by kind."""
-
-    def __init__(self, particle: list, texts: dict[str, list], path: str = ""):
-        self.shared = frozenset(texts.get(path, ()))
-        self.below: dict[str, list] = {}
-        self._add(particle[2])
-        self.inside = {key: Wrapper(["e", key, content, 0, 0], texts, f"{path} {key}") for key, content in self.below.items()}
-
-    def _add(self, particles: list) -> None:
-        for kind, key, content, _, _ in particles:
-            if kind == "g":
-                self._add(content)
-            elif kind == "e":
-                self.below.setdefault(key, []).extend(content)
-
-
-def blocks(page: Element, wrapper: Wrapper | None) -> list[str]:
-    """The article's blocks in page order."""
+    return [merge(one[0], two[0]), min(one[1], two[1]), one[2] | two[2] | (one[1] != two[1])]
+
+
+def template_places(own: list, wrapper: list, found: set[int]) -> set[int]:
+    """Places of the page's texts that its wrapper has, in the particle they meet, as a text of all pages."""
+    if own[0] == "t":
+        for number, at in (own[2] or {}).items():
+            if wrapper[2] and number in wrapper[2]:
+                found.update(at)
+        return found
+    one, two, pairs = matched(own[2], wrapper[2], own[1] == "*")
+    for i, j in pairs:
+        if i is not None and j is not None:
+            template_places(one[i], two[j], found)
+    return found
+
+
+def blocks(page: Element, wrapper: list | None) -> list[str]:
+    """The article's blocks in page order; the wrapper is a particle as ``describe`` makes it of a page."""
+    dropped: set[int] = set()
+    if wrapper:
+        dropped = template_places(describe(page, []), wrapper, dropped)
     out: list[str] = []
-    _collect(page, wrapper, not _has_main(page), out)
-    return out if out or not wrapper else blocks(page, None)
+    _collect(page, not _has_main(page), dropped, out, 0)
+    return out if out or not dropped else blocks(page, None)
 
 
 def _has_main(element: Element) -> bool:
@@ -334,13 +414,16 @@ def _has_text(element: Element) -> bool:
     return any(isinstance(c, str) or not c.skip and _has_text(c) for c in element.children)
 
 
-def _collect(element: Element, wrapper: Wrapper | None, take: bool, out: list[str]) -> None:
+def _collect(element: Element, take: bool, dropped: set[int], out: list[str], place: int) -> int:
+    """Appends the texts to take; ``place`` counts texts as ``describe`` does."""
     for child in element.children:
         if isinstance(child, str):
-            if take and not (wrapper and wrapper.shared and _number(child) in wrapper.shared):
+            if take and place not in dropped:
                 out.append(child)
+            place += 1
         elif not child.skip:
-            _collect(child, wrapper.inside.get(child.key) if wrapper else None, take or child.main, out)
+            place = _collect(child, take or child.main, dropped, out, place)
+    return place
 
 
 def _partial(source: DataFrame) -> DataFrame:
@@ -406,7 +489,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """(id, url, text, n_chars) of every page.
 
     Null pages and pages without content have an empty text. If a host's pages with text are all alike, nothing is taken
-    for template. Repeated pages and ids are pages of their own.
+    for template. Repeated pages and ids are pages of their own, urls without a host share one wrapper, an empty table gives
+    an empty table, and further columns are ignored, whatever their names.
     """
     wrappers = infer_wrappers(pages, url_col, html_col)
     source = _pages(pages, [url_col, html_col, id_col]).drop("c1")
@@ -414,7 +498,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     schema = T.StructType([T.StructField(id_col, source.schema["c2"].dataType), T.StructField(url_col, T.StringType()), *fields("text string, n_chars bigint")])
 
     def run(batches):
-        known: dict[str, Wrapper | None] = {}
+        known: dict[str, list | None] = {}
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
@@ -423,8 +507,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                     if text not in known:
                         if len(known) > 1_000:
                             known.clear()
-                        particle, shared, differ = json.loads(text) if text else (None, None, 0)
-                        known[text] = Wrapper(particle, shared) if differ else None
+                        particle, _, differ = json.loads(text) if text else (None, None, 0)
+                        known[text] = particle if differ else None
                     texts.append("\n\n".join(blocks(parse((html or b"").decode("utf-8", "replace")), known[text])))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], schema.names)
 
