@@ -59,7 +59,13 @@ def pointwise_apply(
     batch. Each wave is written once; the next one is what has no valid result yet. Rows that fail
     in every wave keep their last raw answer and a NULL result.
     """
-    texts = materialize(rows.select(ID, text), "texts")
+    return _waves(materialize(rows.select(ID, text), "texts"), scorer, validated, text, max_retries, batch)
+
+
+def _waves(
+    texts: DataFrame, scorer: Scorer, validated: Callable[[DataFrame], DataFrame], text: str, max_retries: int = 2, batch: int = 32,
+) -> DataFrame:
+    """``pointwise_apply`` to rows that are stored."""
     todo, waves = texts, []
     for attempt in range(max_retries + 1):
         raw = todo.mapInPandas(_call(scorer, text, batch), f"{ID} string, raw string")
@@ -85,25 +91,30 @@ def cached_rows(spark: SparkSession, cache: str, schema: T.StructType | str) ->
     return spark.read.schema(schema).parquet(cache)
 
 
+def cache_schema(rows: DataFrame, verdict: bool = False) -> T.StructType:
+    """The columns that a cache of answers for the rows has."""
+    empty = fallback_row(rows.select(ID, F.lit("").alias("raw"), _no_result(verdict).alias("result")), verdict)
+    return T.StructType([*empty.schema.fields, T.StructField("pass", T.IntegerType())])
+
+
 def score_remaining(
     rows: DataFrame, scorer: Scorer, cache: str, verdict: bool = False, passes: int = 1, text: str = "doc_text", **options,
 ) -> int:
     """Asks for the rows that have fewer than ``passes`` results in the cache and appends the answers, pass by pass.
 
-    A stopped run continues where its last appended pass ended. Returns the number of rows asked for.
+    A stopped run continues where its last appended pass ended. The cache is counted once, and the texts that are
+    still asked for are stored once. An id is expected once. Returns the number of rows asked for.
     """
-    spark, asked = rows.sparkSession, 0
-    empty = fallback_row(rows.select(ID, F.lit("").alias("raw"), _no_result(verdict).alias("result")).limit(0), verdict)
-    schema = T.StructType([*empty.schema.fields, T.StructField("pass", T.IntegerType())])
-    for number in range(passes):
-        done = cached_rows(spark, cache, schema).select(ID, "pass")
-        todo = remaining_passes(rows.select(ID, text), done, passes).filter(F.col("remaining") == passes - number)
-        answers = pointwise_apply(todo, scorer, with_verdict if verdict else with_score, text, **options)
-        new = materialize(fallback_row(answers, verdict).withColumn("pass", F.lit(number)).select(*schema.names), "answers")
-        count = new.count()
-        if count:
-            new.write.mode("append").parquet(cache)
-        asked += count
+    spark, asked, schema = rows.sparkSession, 0, cache_schema(rows, verdict)
+    done = cached_rows(spark, cache, schema).select(ID, "pass")
+    todo = materialize(remaining_passes(rows.select(ID, text), done, passes).filter("remaining > 0"), "texts")
+    counts = {left: count for left, count in todo.groupBy("remaining").count().collect()}
+    for number in range(passes - max(counts, default=0), passes):
+        # A row that has n results takes part from pass n on.
+        own = todo.filter(F.col("remaining") >= passes - number)
+        answers = _waves(own.select(ID, text), scorer, with_verdict if verdict else with_score, text, **options)
+        fallback_row(answers, verdict).withColumn("pass", F.lit(number)).select(*schema.names).write.mode("append").parquet(cache)
+        asked += sum(count for left, count in counts.items() if left >= passes - number)
     return asked
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import grounding as G
@@ -50,12 +51,12 @@ def _pool_json(spark: SparkSession, sf: str) -> str:
     return path
 
 
-@register("scan_pool", over_pool("""SELECT candidate_id, len(career_history)::INT AS roles, len(skills)::INT AS skills, profile.years_of_experience AS years,
+_POOL_SQL = over_pool("""SELECT candidate_id, len(career_history)::INT AS roles, len(skills)::INT AS skills, profile.years_of_experience AS years,
   coalesce(list_sum(list_transform(career_history, lambda x: x.duration_months)), 0)::DOUBLE AS months, len(profile.summary)::INT AS summary_length,
-  signals.last_active_date AS last_active, len(signals.scores)::INT AS assessments FROM pool"""))
-def scan_pool(spark: SparkSession, sf: str) -> DataFrame:
-    """The pool through JSON lines and back."""
-    read = readers.scan_pool(spark, _pool_json(spark, sf))
+  signals.last_active_date AS last_active, len(signals.scores)::INT AS assessments FROM pool""")
+
+
+def _pool_columns(read: DataFrame) -> DataFrame:
     return read.select(
         ID, F.greatest(F.size("career_history"), F.lit(0)).alias("roles"), F.greatest(F.size("skills"), F.lit(0)).alias("skills"),
         F.col("profile.years_of_experience").alias("years"),
@@ -65,6 +66,31 @@ def scan_pool(spark: SparkSession, sf: str) -> DataFrame:
         F.greatest(F.size("signals.skill_assessment_scores"), F.lit(0)).alias("assessments"))
 
 
+@register("scan_pool", _POOL_SQL)
+def scan_pool(spark: SparkSession, sf: str) -> DataFrame:
+    """The pool through JSON lines and back."""
+    return _pool_columns(readers.scan_pool(spark, _pool_json(spark, sf)))
+
+
+def _as_array(batches):
+    """The objects of a task as the lines of one JSON array."""
+    yield pa.RecordBatch.from_pydict({"value": ["["]})
+    first = True
+    for batch in batches:
+        lines = batch.column(0).to_pylist()
+        yield pa.RecordBatch.from_pydict({"value": [("" if first and not i else ",") + line for i, line in enumerate(lines)]})
+        first = first and not lines
+    yield pa.RecordBatch.from_pydict({"value": ["]"]})
+
+
+@register("scan_pool_array", _POOL_SQL)
+def scan_pool_array(spark: SparkSession, sf: str) -> DataFrame:
+    """The pool through files that are JSON arrays, and back."""
+    path = new_path(spark, "pool-arrays")
+    pool(spark, sf).select(F.to_json(F.struct("*")).alias("value")).mapInArrow(_as_array, "value string").write.text(path)
+    return _pool_columns(readers.scan_pool(spark, path, array=True))
+
+
 def _score_parts(spark: SparkSession, sf: str) -> str:
     """Score files of three shards with a repeated id and rows of a wrong width; returns their pattern."""
     base = new_path(spark, "scores")

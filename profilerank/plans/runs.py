@@ -37,24 +37,28 @@ def audit_run(
     The scorer sees the rows a batch at a time, as far down as needed. One wave asks for at least
     the k rows that are needed in any case; each further wave asks for as many as are still missing.
     Verdicts are appended to ``cache``; rows that have one there, from this or an earlier run, are not asked for.
+    The pool is read once: the records that may be checked, and those that were, are looked up and stored first.
     """
     spark = pool.sparkSession
     merged = materialize(ranking.merge_rankings(first, second, flag="honeypot_flag"), "merged")
     path = cache or new_path(spark, "verdicts")
     upto, calls, last = -(-k // batch) * batch, 0, merged.agg(F.max("merged_rank")).first()[0] or 0
+    # A wave starts below max_checks rows and is at most as long as the first one.
+    ids = merged.filter(F.col("merged_rank") <= max_checks + upto).select(ID).union(responses.cached_rows(spark, path, f"{ID} string"))
+    records = materialize(semi_lookup(pool, ids), "records")
     while True:
-        wanted = semi_lookup(pool, merged.filter(F.col("merged_rank") <= upto).select(ID))
+        wanted = semi_lookup(records, merged.filter(F.col("merged_rank") <= upto).select(ID))
         texts = documents.doc_full(wanted).join(documents.analysis_block(wanted, reference, thresholds), ID).select(
             ID, F.concat_ws("\n\n", "doc_text", "analysis").alias("doc_text"))
         calls += responses.score_remaining(texts, scorer, path, verdict=True)
-        verdicts = spark.read.parquet(path)
+        verdicts = responses.cached_rows(spark, path, responses.cache_schema(texts, verdict=True))
         clean = verdicts.join(merged.filter(F.col("merged_rank") <= upto).select(ID), ID, "left_semi").filter(~F.col("is_honeypot")).count()
         if clean >= k:
             break
         if upto >= max_checks or upto >= last:
             raise ranking.NotEnoughClean(f"{clean} of {k} clean rows after {upto} checks")
         upto += -(-(k - clean) // batch) * batch
-    checks = integrity.integrity_checks(integrity.integrity_metrics(semi_lookup(pool, verdicts), reference), thresholds)
+    checks = integrity.integrity_checks(integrity.integrity_metrics(semi_lookup(records, verdicts), reference), thresholds)
     return Audit(
         final=ranking.gap_fill_topk(merged, verdicts, k, batch, max_checks), verdicts=verdicts,
         disagreements=integrity.verdict_disagree(verdicts, checks), asked=calls)
@@ -67,7 +71,7 @@ def scoring_run(texts: DataFrame, scorer: responses.Scorer, cache: str, passes:
     the rows, breaks ties.
     """
     asked = responses.score_remaining(texts, scorer, cache, passes=passes)
-    averaged = responses.avg_passes(semi_lookup(texts.sparkSession.read.parquet(cache), texts))
+    averaged = responses.avg_passes(semi_lookup(responses.cached_rows(texts.sparkSession, cache, responses.cache_schema(texts)), texts))
     rank = F.col(previous) if previous else F.lit(None).cast("bigint")
     scored = averaged.join(texts.select(ID, rank.alias("_previous")), ID)
     return ranking.rerank_total(scored, "total_score", "_previous").drop("_previous"), asked

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..schema import CORRUPT, ID, pool_schema
 from ..session import spread
+from .arrays import array_objects
 
 SCORE_FIELDS = "candidate_id string, score double"
 
@@ -17,34 +18,38 @@ def file_order() -> Column:
         F.monotonically_increasing_id().alias("row"))
 
 
-def _read_json(spark: SparkSession, path: str | list[str], schema: T.StructType, array: bool = False) -> DataFrame:
+def _read_json(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
-    return (
-        spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", array).json(path)
-    )
+    return spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
+def _read_arrays(spark: SparkSession, path: str, schema: T.StructType, check: bool) -> DataFrame:
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return array_objects(spark, path, check).select(parsed.alias("_row")).select("_row.*")
 
 
 def scan_pool(
     spark: SparkSession, path: str, signals_field: str = "signals", array: bool | None = None, check: bool = True,
 ) -> DataFrame:
-    """Nested profiles from JSON lines, gzipped JSON lines, or one JSON array (``*.json``).
+    """Nested profiles from JSON lines, gzipped JSON lines, or JSON arrays (``*.json``).
 
     Rows without an id are skipped. With ``check``, a line that is no JSON is an error, raised by
-    the job that meets it, so that no extra pass over the files is needed. Few files that cannot be
-    split are spread over all cores.
+    the job that meets it, so that no extra pass over the files is needed. The objects of an array are
+    cut out of it by several tasks and stored. Few files that cannot be split are spread over all cores.
     """
     as_array = path.endswith(".json") if array is None else array
-    read = _read_json(spark, path, pool_schema(signals_field), as_array)
+    schema = pool_schema(signals_field)
+    read = _read_arrays(spark, path, schema, check) if as_array else _read_json(spark, path, schema)
     known = F.coalesce(ID, F.lit("")) != ""
     if check:
         # A line that cannot be parsed has all fields NULL; a wrong value alone leaves the others.
         broken = F.col(CORRUPT).isNotNull()
-        for name in pool_schema(signals_field).fieldNames():
+        for name in schema.fieldNames():
             broken = broken & F.col(name).isNull()
         error = F.raise_error(F.concat(F.lit(f"not JSON, in {path}: "), F.substring(CORRUPT, 1, 100)))
         known = F.when(broken, error.cast("boolean")).otherwise(known)
-    if path.endswith(".gz") or as_array:
+    if path.endswith(".gz"):
         read = spread(read)
     return read.filter(known).drop(CORRUPT).withColumnRenamed(signals_field, "signals")
 

@@ -163,6 +163,41 @@ def test_audit_resumes(spark, small, day):
     assert sorted(map(tuple, one.final.collect())) == sorted(map(tuple, two.final.collect()))
 
 
+def test_audit_reads_the_pool_once(spark, small, day):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    # Every second answer flags its row, so several waves are needed.
+    def scorer(texts):
+        return ['{"is_honeypot": true, "violation_category": "OTHER_LOGICAL_IMPOSSIBILITY", "evidence": "x"}' if len(t) % 2 else '{"is_honeypot": false}'
+                for t in texts]
+
+    ids = small.select(ID).orderBy(ID)
+    first, second = ranking.global_rank(ids.limit(30), [ID], "final_rank"), ranking.global_rank(ids, [F.desc(ID)]).withColumn("honeypot_flag", F.lit(False))
+    counted = small.mapInArrow(count, small.schema)
+    audit = runs.audit_run(counted, first, second, scorer, day, integrity.Thresholds(), k=20, batch=5, max_checks=100)
+    assert audit.disagreements.count() >= 0 and audit.asked > 20 and read.value == small.count()
+
+
+def test_scoring_resumes_pass_by_pass(spark):
+    asked = spark.sparkContext.accumulator(0)
+
+    def scorer(texts):
+        asked.add(len(texts))
+        return ['{"retrieval_score": 1, "evaluation_score": 2, "applied_ml_score": 3, "credibility_score": 1, "bonus_score": 0}'] * len(texts)
+
+    rows, cache = spark.createDataFrame([(f"c{i}", f"text {i}") for i in range(9)], f"{ID} string, doc_text string"), new_path(spark, "passes")
+    counts = [runs.scoring_run(part, scorer, cache, passes)[1] for part, passes in (
+        (rows.limit(0), 2), (rows.limit(2), 1), (rows.limit(5), 3), (rows, 2), (rows, 2), (rows, 1))]
+    assert counts == [0, 2, 13, 8, 0, 0] and asked.value == 23
+    done = sorted((r[ID], r["pass"]) for r in spark.read.parquet(cache).select(ID, "pass").collect())
+    assert done == sorted((f"c{i}", n) for i in range(9) for n in range(3 if i < 5 else 2))
+
+
 def test_stream_does_not_read_what_it_wrote(spark, tmp_path):
     folder, out, state = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state"
     for number in range(3):
