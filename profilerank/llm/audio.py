@@ -181,7 +181,7 @@ def padded(text: bytes | None) -> bytes:
 
 
 def to_audio(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, media binary): every whole text as an audio stream."""
+    """(id, media binary): every whole text as an audio stream. Null is the empty text; repeated rows are rows of their own."""
     return map_texts(docs, id_col, text_col, lambda: lambda texts: [[write(padded(t)) for t in texts]], fields("media binary"))
 
 
@@ -202,6 +202,7 @@ def media_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Every text written as a stream, the stream read back, and what was read: sizes, digests, duration, offsets.
 
     One pass, no shuffle; payload and stream do not leave the task. Null is the empty text, whose payload is 64 zeros.
+    Repeated rows and ids are rows of their own; equal texts have equal values.
     The feature holds frames, duration as samples/rate, CRC errors, skipped bytes and a digest of the frame offsets.
     """
     def setup():

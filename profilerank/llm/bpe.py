@@ -174,7 +174,7 @@ def _coder(shared) -> BytePairCoder:
 
 
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, token_ids array<int>) of every whole text."""
+    """(id, token_ids array<int>) of every whole text. Null texts have no tokens; repeated rows and ids are rows of their own."""
     shared = _shared(docs, tokenizer)
 
     def setup():
@@ -185,7 +185,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
 
 
 def decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
-    """(id, text) of every list of token ids; null lists are empty texts."""
+    """(id, text) of every list of token ids; null lists are empty texts, repeated rows are rows of their own."""
     import pyarrow as pa
     from pyspark.sql import functions as F, types as T
 
@@ -205,6 +205,7 @@ def decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col:
 def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): every text encoded, and decoded again from its ids.
 
+    Null is the empty text; repeated rows and ids are rows of their own.
     One pass without a shuffle; the ids themselves, several times the size of a text, do not leave the task.
     """
     shared = _shared(docs, tokenizer)

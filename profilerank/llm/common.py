@@ -2,12 +2,16 @@
 
 Python code runs in Arrow batches inside tasks; partitioning, shuffles and state are Spark's. The package is
 pickled by value, so that executors need no copy of it.
+
+What all operators do: an empty table gives an empty table with the result's columns; columns they do not name are
+ignored, or handed on where whole documents are returned, whatever their names; texts are taken whole.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -23,7 +27,9 @@ SLICE_ROWS = 128
 BATCH_ROWS = 1_000
 _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
-_STORED: list[tuple[str, str]] = []
+# Application, path and owner of each stored table that may still be there, and the owner of those stored now.
+_STORED: list[tuple[str, str, str | None]] = []
+_OWNER: list[str | None] = [None]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +41,7 @@ def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     out = materialize(df, name)
     if not keep:
         for path in out.inputFiles()[:1]:
-            _STORED.append((df.sparkSession.sparkContext.applicationId, path.rpartition("/")[0]))
+            _STORED.append((df.sparkSession.sparkContext.applicationId, path.rpartition("/")[0], _OWNER[-1]))
     return out
 
 
@@ -52,14 +58,27 @@ def drop_stored(df: DataFrame) -> None:
             _STORED.remove(entry)
 
 
-def release(spark: SparkSession) -> int:
-    """Deletes the tables stored by operators whose results are no longer needed. Returns their number."""
+@contextmanager
+def owned(owner: str) -> Iterator[None]:
+    """Tables that are stored inside belong to this owner."""
+    _OWNER.append(owner)
+    try:
+        yield
+    finally:
+        _OWNER.pop()
+
+
+def release(spark: SparkSession, owner: str | None = None) -> int:
+    """Deletes the stored tables of an owner whose results have been written, or those of all. Returns their number.
+
+    With an owner, tables that others have stored stay: a result that was not read yet may need them.
+    """
     app, gone = spark.sparkContext.applicationId, 0
-    for owner, path in list(_STORED):
-        if owner == app:
-            _delete(spark, path)
+    for entry in [e for e in _STORED if owner in (None, e[2])]:
+        if entry[0] == app:
+            _delete(spark, entry[1])
             gone += 1
-        _STORED.remove((owner, path))
+        _STORED.remove(entry)
     return gone
 
 

@@ -249,9 +249,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     rows = found.groupBy("c0", "tx").agg(F.first("label").alias("label"), F.count("*").alias("times"))
     # A null id sorts last, so it stays only where its group has no other.
     first = rows.groupBy("label").agg(F.min(F.struct(F.col("c0").isNull().alias("none"), "c0", "tx")).alias("f")).select("label", "f")
-    judged = rows.alias("r").join(first.alias("g"), F.expr("r.label = g.label"))
-    stays = F.expr("r.c0 <=> g.f.c0 and r.tx = g.f.tx")
-    decided = stored(judged.select("r.c0", "r.tx", stays.alias("stays"), "r.times").where("not stays or times > 1"), "grouped_decisions")
+    # Rows and those that stay meet by id and text: the label of a large group would be one key.
+    best = first.select("f.c0", "f.tx", F.lit(True).alias("stays"))
+    judged = rows.alias("r").join(best.alias("g"), _same("r", "g"), "left").select("r.c0", "r.tx", F.coalesce("g.stays", F.lit(False)).alias("stays"), "r.times")
+    decided = stored(judged.where("not stays or times > 1"), "grouped_decisions")
     columns = docs.columns
     renamed = with_row(docs, [id_col, text_col, *columns])
     source = renamed.withColumn("tx", F.xxhash64(F.col("c1").cast("binary"))).drop("c1")

@@ -55,7 +55,7 @@ def words_of(text: bytes | None) -> list[str]:
 
 
 def gram_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, gram, n): how often each n-gram occurs per language, in all rows with a language and a text."""
+    """(lang, gram, n): how often each n-gram occurs per language, in all rows with a language and a text; repeated rows count again."""
     source = with_row(docs, [text_col, lang_col]).where("c0 is not null and c1 is not null")
     source = source.select("c0", F.col("c1").cast("string").alias("c1"))
 
@@ -112,7 +112,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFIL
             text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) of every whole text.
 
-    The score is one minus the distance over the largest possible distance. Null texts, texts without a letter, and all
+    Repeated rows and ids are rows of their own. The score is one minus the distance over the largest possible distance. Null texts, texts without a letter, and all
     texts if there is no profile, are ``und`` with score 0. Ties go to the first language by name.
     """
     names = sorted(profiles)

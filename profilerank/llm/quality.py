@@ -224,8 +224,8 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "do
           quality_col: str = "quality", rows_per_class: int = ROWS_PER_CLASS) -> QualityModel | None:
     """A model from the labelled documents for which ``allowed`` (a condition on the labels) holds.
 
-    Null labels and labels other than 0 and 1 are left out; of contradicting labels of one id the lower holds. None if
-    there is no labelled document of both classes.
+    Null labels and labels other than 0 and 1 are left out; of contradicting labels of one id the lower holds; a repeated
+    document counts as often as it is there. None if there is no labelled document of both classes.
     """
     known = (labels.where(allowed).where(F.col(quality_col).isin(0, 1)).groupBy(F.col(id_col).alias("k"))
              .agg(F.min(quality_col).cast("int").alias("y")).where("k is not null"))
@@ -262,7 +262,8 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "do
 
 
 def predict(docs: DataFrame, model: QualityModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score, predicted) of every whole text; null texts count as empty. Without a model every score is 0.5."""
+    """(id, score, predicted) of every whole text; null texts count as empty, repeated rows and ids are rows of their own.
+    Without a model every score is 0.5."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def setup():
@@ -278,7 +279,8 @@ def predict(docs: DataFrame, model: QualityModel | None, id_col: str = "doc_id",
 
 
 def keep_good(docs: DataFrame, model: QualityModel | None, text_col: str = "text") -> DataFrame:
-    """The documents, with all their columns, that the model predicts to be good: one pass, no shuffle."""
+    """The documents, with all their columns, that the model predicts to be good: one pass, no shuffle. Repeated rows all
+    stay or all go; without a model all stay."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")

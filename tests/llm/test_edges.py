@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from profilerank.llm import anchors, audio, bpe, contamination, html, infill, jaccard, language, quality, repeats, sharding, urls
+from profilerank.llm import anchors, audio, bpe, common, contamination, html, infill, jaccard, language, quality, repeats, sharding, urls
 from profilerank.llm.queries import URL_RULES
 
 #: Names that operators use for their results or on the way.
@@ -99,3 +99,36 @@ def test_stages_keep_columns(spark, stage, monkeypatch):
         wanted = [(i, t) for i, t in ROWS if "cat" not in (t or "")]
     assert rows == sorted(wanted, key=repr)
     assert all(f(spark, _docs(spark, []), "").count() == 0 for _, f in corpus_pipeline.STAGES[stage:stage + 1])
+
+
+def test_first_and_last_stage(spark, monkeypatch):
+    docs = _docs(spark, ROWS)
+    monkeypatch.setattr(corpus_pipeline, "table", lambda s, d, n: _labels(s))
+    good, tokens = corpus_pipeline.STAGES[0][1], corpus_pipeline.STAGES[4][1]
+    kept = good(spark, docs, "")
+    model = quality.learn(docs, _labels(spark), ~language.held_out("doc_id", 3, 1))
+    wanted = [t for _, t in ROWS if model is None or model.score([None if t is None else t.encode()])[0] >= 0.5]
+    assert kept.columns == docs.columns and sorted((r["text"] for r in kept.collect()), key=repr) == sorted(wanted, key=repr)
+    found = [(r["doc_id"], r["n_tokens"] > 0) for r in tokens(spark, docs, "").collect()]
+    assert sorted(found, key=repr) == sorted(((i, bool(t)) for i, t in ROWS), key=repr)
+    assert good(spark, _docs(spark, []), "").count() == tokens(spark, _docs(spark, []), "").count() == 0
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(out.columns)
+    # Without labels every document is good, and without a benchmark none is contaminated.
+    docs.where("doc_id < 3").write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 3
+
+
+def test_release_leaves_the_tables_of_others(spark):
+    own = common.stored(spark.range(3).toDF("a"), "own")
+    with common.owned("a stage"):
+        made = common.stored(spark.range(4).toDF("a"), "made")
+    assert common.release(spark, "a stage") == 1 and own.count() == 3
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|FileNotFound|does not exist"):
+        made.count()
