@@ -10,8 +10,8 @@ The order is by fingerprint, not alphabetical: equal stretches are neighbours ei
 order, and a shuffle by fingerprint needs no sample of the text and has no hot range.
 
 Strings without a trigger (a few in a thousand, and periodic text) are rows of their own; a text's own repetitions among
-them are settled in the task. Fingerprints have 64 bits: the chance that a string is taken for repeated wrongly is the
-number of rows over 2**64.
+them are settled in the task. What counts as equal agrees in two independent fingerprints: rows in 128 bits, single
+strings in 96. For 3e12 strings (100 TB) fewer than 1e-4 are expected to be taken for repeated wrongly.
 
 Nulls are empty. Texts below ``size`` bytes have no such strings and are kept whole, copies included. Matches never
 cross documents. Repeated rows, also with the same id, repeat each other. Texts are worked on in blocks.
@@ -103,7 +103,7 @@ def entries(texts: list[bytes | None], size: int = SIZE, span: int = SPAN, step:
             t, lo, hi = at[m], lo[m], hi[m]
             # The bytes that all strings of a row share, whatever lo and hi are elsewhere.
             key = prints.of(t - span * b, np.maximum(t - span * b - span + 1 + size, t + GRAM)) ^ np.uint64(b)
-            entry = prints.of(lo, hi + size) ^ mix((t - lo).astype(np.uint64))
+            entry = prints.second(lo, hi + size) ^ mix((t - lo).astype(np.uint64))
             s = seg[m]
             yield owner[s], key, entry, lo + shift[s], hi + shift[s], np.ones(len(m), dtype=np.int32)
         # Strings without a trigger: up to the last that starts too early for the next one, and after the last one.
@@ -126,15 +126,15 @@ def _free(prints: Prints, lo, hi, seg, owner, shift, size, step):
         place, seg = place[real], seg[real]
         if not len(place):
             return
-    number = prints.of(place, place + size)
-    order = np.lexsort((number, seg))
-    number, place, seg = number[order], place[order], seg[order]
-    start = np.flatnonzero(np.concatenate([[True], (number[1:] != number[:-1]) | (seg[1:] != seg[:-1])]))
+    number, second = prints.of(place, place + size), prints.second(place, place + size)
+    order = np.lexsort((second, number, seg))
+    number, second, place, seg = number[order], second[order], place[order], seg[order]
+    start = np.flatnonzero(np.concatenate([[True], (number[1:] != number[:-1]) | (second[1:] != second[:-1]) | (seg[1:] != seg[:-1])]))
     times = np.diff(np.concatenate([start, [len(number)]]))
     single = times == 1
     at = place[start] + shift[seg[start]]
     lo_out = np.where(single, at, -1)
-    yield owner[seg[start]], number[start], number[start], lo_out, lo_out, np.minimum(times, 2).astype(np.int32)
+    yield owner[seg[start]], number[start], second[start], lo_out, lo_out, np.minimum(times, 2).astype(np.int32)
     many = np.repeat(~single, times)
     if many.any():
         p, s = place[many], seg[many]
@@ -167,8 +167,9 @@ def _parse(source: DataFrame, size: int, words: bool) -> DataFrame:
 
 
 def _strings(wanted: DataFrame, size: int, words: bool) -> DataFrame:
-    """(c0, tx, number, at, weight) of every string of the wanted rows (c0, tx, raw, rows)."""
-    schema = T.StructType([wanted.schema["c0"], wanted.schema["tx"], *fields("number bigint, at int, weight int")])
+    """(c0, tx, number, other, at, weight) of every string of the wanted rows (c0, tx, raw, rows): ``other`` is half of the
+    second fingerprint."""
+    schema = T.StructType([wanted.schema["c0"], wanted.schema["tx"], *fields("number bigint, other int, at int, weight int")])
 
     def setup():
         def work(part):
@@ -190,8 +191,9 @@ def _strings(wanted: DataFrame, size: int, words: bool) -> DataFrame:
                         # A passage starts where a word does.
                         place, weight = place[place % CODE == 0], weight[place % CODE == 0]
                     number = prints.of(place - base, place - base + size).view(np.int64)
+                    other = (prints.second(place - base, place - base + size) >> np.uint64(32)).astype(np.uint32).view(np.int32)
                     take = pa.array(np.full(len(place), i))
-                    yield part.column(0).take(take), part.column(1).take(take), number, pa.array(place, pa.int32()), weight
+                    yield part.column(0).take(take), part.column(1).take(take), number, other, pa.array(place, pa.int32()), weight
                     at = end
 
         return work
@@ -248,8 +250,8 @@ def repeated_starts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = near.alias("a").join(per_doc.alias("b"), _same("a", "b")).select("a.c0", "a.tx", "a.raw", "b.rows")
     strings = stored(_strings(wanted, size, words is not None), "strings")
     _settle(spark)
-    numbers = strings.groupBy("number").agg(F.sum("weight").alias("n")).where("n > 1").select("number")
-    single = strings.where("weight = 1").join(numbers, "number").select("c0", "tx", F.col("at").alias("lo"), F.col("at").alias("hi"))
+    numbers = strings.groupBy("number", "other").agg(F.sum("weight").alias("n")).where("n > 1").select("number", "other")
+    single = strings.where("weight = 1").join(numbers, ["number", "other"]).select("c0", "tx", F.col("at").alias("lo"), F.col("at").alias("hi"))
     everything = whole.unionByName(known).unionByName(single)
     out = stored(everything.groupBy("c0", "tx").agg(F.collect_set(F.struct("lo", "hi")).alias("s"))
                  .select("c0", "tx", F.col("s.lo").alias("lo"), F.col("s.hi").alias("hi")), "starts")
