@@ -10,13 +10,16 @@ each class is compared with one pivot per shared prefix shingle, the class with
 classes that share a prefix shingle are still in different groups, all pairs of different groups that pass the filters.
 A pair inside a group cannot change the groups, so no link between different texts is lost.
 
-The order by rarity uses counts, over all documents, of shingles that a task meets at least twice, added up in a table
-of fixed size; the order is the same for every task, so the result does not depend on it. Classes are told apart by a
-64-bit fingerprint of the set.
+The order by rarity uses counts of every shingle of every document in tables of fixed size: a count is the least of
+two slots that hashes choose, so a common shingle is never taken for a rare one. The order is the same for every task,
+and the result does not depend on it. Classes that share a prefix shingle are joined by size bands as well, so a shingle
+that many groups share is not one key. Classes are told apart by a 64-bit fingerprint of the set.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -30,10 +33,12 @@ from .words import Words, byte_table, mix, shingle_numbers
 SHINGLE, PERCENT = 3, 90
 #: Parts of the hash space that the suffix filter counts.
 PARTS = 64
-#: Entries of the table of frequencies that is sent to the executors.
-FREQUENCIES = 1 << 18
+#: Slots of each of the two tables of frequencies; what is sent to the executors has two bytes a slot.
+FREQUENCIES = 1 << 21
+#: Slots that go through a shuffle together.
+STRETCH = 1 << 16
 #: Shingles a task holds before it adds them up.
-HELD = 2_000_000
+HELD = 500_000
 # Bytes that separate words, as ranges of hexadecimal numbers.
 SEPARATORS = "09-0D 20-20"
 _TABLE = byte_table(SEPARATORS)
@@ -71,23 +76,58 @@ def _need(a: str, b: str, percent: int) -> str:
     return f"(({percent} * ({a} + {b}) + {99 + percent}) div {100 + percent})"
 
 
+def _slots(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slots of each shingle, in the first table and in the second, which follows it."""
+    low = np.uint64(FREQUENCIES - 1)
+    return (shingles & low).astype(np.int64), ((shingles >> np.uint64(32)) & low).astype(np.int64) + FREQUENCIES
+
+
+class Counts:
+    """How often shingles occur: two tables, handed on in stretches of slots."""
+
+    def __init__(self):
+        self.tables = np.zeros(2 * FREQUENCIES, dtype=np.int64)
+
+    def add(self, shingles: np.ndarray) -> None:
+        for slots in _slots(shingles):
+            np.add.at(self.tables, slots, 1)
+
+    def merge(self, place: int, counts: bytes) -> None:
+        data = zlib.decompress(counts)
+        self.tables[place * STRETCH:(place + 1) * STRETCH] += np.frombuffer(data, dtype=f"u{len(data) // STRETCH}").astype(np.int64)
+
+    def stretches(self) -> tuple[list[int], list[bytes]]:
+        """(places, counts) of the stretches that are not all zero, as the narrowest numbers that hold them."""
+        rows = self.tables.reshape(-1, STRETCH)
+        most = rows.max(axis=1)
+        places = np.flatnonzero(most).tolist()
+        return places, [zlib.compress(rows[i].astype(np.min_scalar_type(most[i].astype(np.uint64))).tobytes(), 1) for i in places]
+
+    def logarithms(self) -> np.ndarray:
+        """The counts on a scale that orders them and needs two bytes: 1/1024 of a doubling is one step."""
+        return np.round(np.log2(1.0 + self.tables) * 1024).astype(np.uint16)
+
+
+def commonness(shingles: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """The least that the two tables have for each shingle: never less than its own count."""
+    one, two = _slots(shingles)
+    return np.minimum(scale[one], scale[two])
+
+
 def _summaries(source: DataFrame, n: int) -> DataFrame:
-    """(c0, tx, n, cid, parts) of every document, and rows (part, seen) of the table of frequencies."""
-    schema = T.StructType([T.StructField("c0", source.schema["c0"].dataType), *fields("tx bigint, n bigint, cid bigint, parts binary, slot int, seen bigint")])
+    """(c0, tx, n, cid, parts) of every document, and rows (slot, seen): stretches of each task's counts."""
+    schema = T.StructType([T.StructField("c0", source.schema["c0"].dataType), *fields("tx bigint, n bigint, cid bigint, parts binary, slot int, seen binary")])
 
     def setup():
         held: list[np.ndarray] = []
         state = {"size": 0}
+        counts = Counts()
 
-        def counts():
-            value, times = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            held.clear()
-            state["size"] = 0
-            often = times > 1
-            table = np.bincount((value[often] % np.uint64(FREQUENCIES)).astype(np.int64), weights=times[often], minlength=1)
-            slot = np.flatnonzero(table)
-            none = [None] * len(slot)
-            return none, none, none, none, none, slot.astype(np.int32), table[slot].astype(np.int64)
+        def settle():
+            if held:
+                counts.add(np.concatenate(held))
+                held.clear()
+                state["size"] = 0
 
         def work(part):
             sets = shingle_sets(part.column(2).to_pylist(), n)
@@ -97,27 +137,50 @@ def _summaries(source: DataFrame, n: int) -> DataFrame:
             none = [None] * len(sets)
             yield part.column(0), part.column(1), [len(s) for s in sets], [class_of(s) if len(s) else None for s in sets], parts, none, none
             if state["size"] > HELD:
-                made = counts()
-                size = len(made[0])
-                yield (pa.nulls(size, part.column(0).type), pa.nulls(size, part.column(1).type), *made[2:])
+                settle()
 
-        work.finish = lambda: [counts()]
+        def finish():
+            settle()
+            places, seen = counts.stretches()
+            none = [None] * len(places)
+            return [(none, none, none, none, none, places, seen)]
+
+        work.finish = finish
         return work
 
     return flat_map_texts(source.select("c0", "tx", "raw"), setup, schema)
 
 
+def _frequencies(summaries: DataFrame) -> np.ndarray:
+    """The scale of all tasks' counts. Tasks add up what they read, then each place's stretches meet; the driver gets one
+    row per place."""
+    def add_up(batches):
+        counts = Counts()
+        for batch in batches:
+            for place, seen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts.merge(place, seen)
+        places, seen = counts.stretches()
+        yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array(seen, pa.binary())], ["slot", "seen"])
+
+    rows = summaries.where("slot is not null").select("slot", "seen").mapInArrow(add_up, "slot int, seen binary")
+    met = rows.repartition("slot").mapInArrow(add_up, "slot int, seen binary").toArrow()
+    total = Counts()
+    for place, seen in zip(met["slot"].to_pylist(), met["seen"].to_pylist()):
+        total.merge(place, seen)
+    return total.logarithms()
+
+
 def _prefixes(source: DataFrame, n: int, percent: int, table) -> DataFrame:
     """(token, cid, n, pos) of the prefix of every document's set."""
     def setup():
-        seen = table.value
+        scale = table.value
 
         def work(part):
             out = []
             for s in shingle_sets(part.column(0).to_pylist(), n):
                 if len(s):
                     size = prefix_size(len(s), percent)
-                    order = np.lexsort((s, seen[(s % np.uint64(FREQUENCIES)).astype(np.int64)]))[:size]
+                    order = np.lexsort((s, commonness(s, scale)))[:size]
                     out.append((s[order].view(np.int64), np.full(size, class_of(s)), np.full(size, len(s)), np.arange(size)))
             if out:
                 token, cid, length, place = (np.concatenate(x) for x in zip(*out))
@@ -174,22 +237,24 @@ def _can_match(x: str, y: str, percent: int) -> Column:
     return F.expr(f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n) and {rest} >= {_need(f'{x}.n', f'{y}.n', percent)}")
 
 
+def _band(n: str, percent: int) -> str:
+    """The band of a size: sizes that the length filter lets meet are in one band or in the next."""
+    return f"cast(floor(ln({n}) / ln(100.0D / {min(percent, 99)})) as int)"
+
+
 def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
     """(c0, tx, n, component_id, label) of every document, tx a hash of its text. The label tells groups apart, also those
     whose smallest ids are equal or null; it is null without words."""
     spark = docs.sparkSession
     source = _keyed(docs, id_col, text_col)
     summaries = stored(_summaries(source, shingle), "shingle_sets")
-    seen = np.zeros(FREQUENCIES, dtype=np.int64)
-    # At most FREQUENCIES rows.
-    counted = summaries.where("slot is not null").groupBy("slot").agg(F.sum("seen").alias("n")).toArrow()
-    seen[counted["slot"].to_numpy()] = counted["n"].to_numpy()
+    scale = _frequencies(summaries)
     rows = summaries.where("slot is null").select("c0", "tx", "n", "cid", "parts")
     classes = stored(rows.where("n > 0").groupBy("cid").agg(
         F.first("n").cast("int").alias("n"), F.first("parts").alias("parts"), F.min("c0").alias("least"),
         F.min(F.struct("tx", "c0")).alias("first")), "set_classes")
 
-    prefixes = stored(_prefixes(source, shingle, percent, spark.sparkContext.broadcast(seen)), "prefixes")
+    prefixes = stored(_prefixes(source, shingle, percent, spark.sparkContext.broadcast(scale)), "prefixes")
     tokens = stored(prefixes.groupBy("token").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low <> high").select("token"), "tokens")
     _settle(spark)
     met = stored(prefixes.join(tokens, "token").distinct(), "prefixes_met")
@@ -211,9 +276,11 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     open_tokens = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
     rest = stored(labelled.join(open_tokens, "token", "left_semi"), "prefixes_open")
     # The smaller set of a pair has its first shared shingle in a prefix for sets of its own size.
-    index = rest.where(F.expr(f"pos <= n - {_need('n', 'n', percent)}"))
-    pairs = index.alias("x").join(rest.alias("y"), F.expr(
-        "x.token = y.token and x.label <> y.label and (x.n < y.n or x.n = y.n and x.cid < y.cid)") & _can_match("x", "y", percent))
+    index = rest.where(F.expr(f"pos <= n - {_need('n', 'n', percent)}")).withColumn("band", F.expr(
+        f"explode(sequence({_band('n', percent)}, {_band(f'100L * n div {percent}', percent)}))"))
+    banded = rest.withColumn("band", F.expr(_band("n", percent)))
+    pairs = index.alias("x").join(banded.alias("y"), F.expr(
+        "x.token = y.token and x.band = y.band and x.label <> y.label and (x.n < y.n or x.n = y.n and x.cid < y.cid)") & _can_match("x", "y", percent))
     pairs = pairs.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
     others = stored(_suffix_filter(pairs.join(tried, ["a", "b"], "left_anti"), classes, percent), "other_pairs")
     more = _links(others, classes, source, shingle, percent)

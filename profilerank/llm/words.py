@@ -1,17 +1,21 @@
 """Words and word shingles of whole texts as 64-bit numbers, for many texts at once.
 
-A word's number is a polynomial of its bytes modulo 2**64 with a random-looking value per byte, mixed at the end; a
-shingle's is a mixed sum of its words' numbers with a factor per place. The same words give the same numbers in every
+A word's number is a polynomial of its bytes modulo 2**64 with a random-looking value per byte, mixed at the end (a long
+word's is a digest, because such polynomials collide on some texts of a thousand bytes); a shingle's is a mixed sum of its words' numbers with a factor per place. The same words give the same numbers in every
 task and session.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 #: Bytes that are hashed at a time.
 BLOCK_BYTES = 1 << 20
+#: Words of more bytes are numbered by a digest.
+LONG_WORD = 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -80,6 +84,9 @@ class Words:
             terms = values[data[low:high]] * factor[np.minimum(place, len(factor) - 1)]
             out[at:end] = mix(np.add.reduceat(terms, begin) + size.astype(np.uint64) * _GOLD)
             at = end
+        for i in np.flatnonzero(self.ends - self.starts > LONG_WORD).tolist():
+            digest = hashlib.blake2b(memoryview(self.data)[self.starts[i]:self.ends[i]], digest_size=8).digest()
+            out[i] = int.from_bytes(digest, "little")
         return out
 
     def shingles(self, n: int) -> np.ndarray:
