@@ -1090,7 +1090,7 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
     out, checkpoint = new_path(spark, "stream-out"), new_path(spark, "stream-state")
     schema = table(spark, sf, "documents").schema
     for _ in range(2):
-        source = streams.read_stream(spark, sf, schema, pattern="documents.parquet")
+        source = streams.read_table_stream(spark, f"{sf.rstrip('/')}/documents.parquet", schema)
         streams.stream_score(source, scored, out, checkpoint, key="doc_id").awaitTermination()
     return spark.read.parquet(out).select(ID, *_STREAM_HITS)
 
@@ -1114,7 +1114,7 @@ def stream_score_repeated(spark: SparkSession, sf: str) -> DataFrame:
 def stream_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Daily counts per event type as a stream."""
     schema = table(spark, sf, "events").schema
-    source = streams.read_stream(spark, sf, schema, pattern="events.parquet")
+    source = streams.read_table_stream(spark, f"{sf.rstrip('/')}/events.parquet", schema)
     rows = source.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("rule"), (F.col("value") > 90).alias("flagged"))
     out = new_path(spark, "counts-out")
     streams.stream_rule_counts(rows, out, new_path(spark, "counts-state"), delay="60 days").awaitTermination()

@@ -29,6 +29,15 @@ def read_stream(
     )
 
 
+def read_table_stream(spark: SparkSession, path: str, schema: T.StructType, form: str = "parquet", files_per_batch: int = 100) -> DataFrame:
+    """The files of one table as a stream, whether the table is a file or a folder of part files.
+
+    A stream takes a folder or a pattern but no single file, so the path is given as a pattern that fits itself only.
+    """
+    path = path.rstrip("/")
+    return read_stream(spark, f"{path[:-1]}[{path[-1]}]", schema, form, files_per_batch)
+
+
 def _least(key: str, first: list[str]):
     """Of every key in an Arrow batch the least row, so that a key with very many copies moves a few rows only."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

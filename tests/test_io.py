@@ -1,5 +1,6 @@
 """Files, streams and whole jobs."""
 
+import datetime
 import gzip
 import json
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from profilerank.operators import calibrate, checks, integrity, model, ranking, responses, rules
-from profilerank.plans import fixture, runs
+from profilerank.plans import fixture, queries_tables, runs
 from profilerank.schema import ID
 from profilerank.session import new_path
 from profilerank.sources import readers, writers
@@ -102,6 +103,24 @@ def test_stream_resumes(spark, tmp_path):
     assert run() == [("a", 2), ("b", 4), ("c", 6)]
 
 
+@pytest.mark.parametrize("parts", [0, 3])
+def test_streams_of_tables_that_are_folders(spark, tmp_path, parts):
+    """A table is one file, or a folder of part files (with names of their own)."""
+    docs = spark.createDataFrame([(i, f"the number {i} der", 10) for i in range(7)], "doc_id long, text string, n_chars long")
+    events = spark.createDataFrame([(i, datetime.datetime(2024, 1, 1 + i % 2), "view", 91.0 * (i % 2)) for i in range(6)],
+                                   "event_id long, ts timestamp, event_type string, value double")
+    for name, rows in (("documents", docs), ("events", events)):
+        place = tmp_path / f"{name}.parquet"
+        if parts:
+            rows.repartition(parts).write.parquet(str(place))
+        else:
+            rows.toPandas().to_parquet(place, coerce_timestamps="us")
+    found = {r[ID]: (r["english"], r["german"], r["number"]) for r in queries_tables.stream_score(spark, str(tmp_path)).collect()}
+    assert found == {f"CAND_{i:07d}": (1, 1, 1) for i in range(7)}
+    counts = sorted((r["day"], r["rows"], r["flagged"]) for r in queries_tables.stream_rule_counts(spark, str(tmp_path)).collect())
+    assert counts == [("2024-01-01 00:00:00", 3, 0), ("2024-01-02 00:00:00", 3, 3)]
+
+
 def test_stream_append(spark, tmp_path):
     spark.range(5).write.parquet(str(tmp_path / "in"))
     stream = streams.read_stream(spark, str(tmp_path / "in"), spark.range(1).schema, pattern="*.parquet")
