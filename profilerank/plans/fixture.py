@@ -3,8 +3,8 @@
 One record per customer key, and all rows of the tables take part. Forty orders with consecutive
 keys are the roles of four records, which get 1, 7, 12 and 20 of them; keys are unique, so a record
 holds at most 20 roles whatever the data look like. A skill sums up the lines of an order whose
-numbers agree modulo four, by an aggregate that combines before the shuffle, so a record holds at most
-80 skills. Texts come from ``documents``, activity from ``events``.
+numbers agree modulo four, so a record holds at most 80 skills. Orders and lines are dealt to their
+record once, as keys and numbers, and joined there. Texts come from ``documents``, activity from ``events``.
 """
 
 from __future__ import annotations
@@ -98,15 +98,18 @@ def _place(key: str) -> tuple[Column, Column]:
     return F.expr(f"{key} div 40") * 4 + number, at - first
 
 
-def _roles(orders: DataFrame) -> DataFrame:
+def _roles(orders: DataFrame, parts: int) -> DataFrame:
+    """The roles of a record. Only keys and dates move; the texts of a role are made where its record is."""
     o = F.col("o_orderkey")
     record, slot = _place("o_orderkey")
+    orders = orders.filter(o.isNotNull()).select(record.alias("record"), o, F.col("o_orderdate").cast("date").alias("day")).repartition(parts, "record")
+    record = F.col("record")
     limit = F.lit("2024-02-15").cast("date")
     current = (slot == 0) | ((slot == 1) & (record % 17 == 0))
-    start = F.add_months(F.col("o_orderdate").cast("date"), 264)
+    start = F.add_months("day", 264)
     stop = F.when(current, limit).otherwise(F.least(F.add_months(start, (1 + (o * 7) % 30).cast("int")), limit))
     dated = orders.select(
-        record.alias("record"), slot.alias("slot"), o, current.alias("current"),
+        record, slot.alias("slot"), o, current.alias("current"),
         start.alias("start"), stop.alias("stop"),
     )
     months = months_cal(F.col("start"), F.col("stop")) + F.when(o % 19 == 0, 6).otherwise(0)
@@ -128,8 +131,11 @@ def _roles(orders: DataFrame) -> DataFrame:
     )
 
 
-def _skills(lineitem: DataFrame) -> DataFrame:
-    lines = lineitem.groupBy("l_orderkey", (F.col("l_linenumber") % 4).alias("slot")).agg(
+def _skills(lineitem: DataFrame, parts: int) -> DataFrame:
+    """The skills of a record. The lines move once, to their record; a skill is summed up and its texts are made there."""
+    placed = lineitem.filter(F.col("l_orderkey").isNotNull()).select(
+        _place("l_orderkey")[0].alias("record"), "l_orderkey", (F.col("l_linenumber") % 4).alias("slot"), "l_partkey", "l_suppkey", "l_quantity")
+    lines = placed.repartition(parts, "record").groupBy("record", "l_orderkey", "slot").agg(
         F.min("l_partkey").alias("part"), F.max("l_suppkey").alias("supp"), F.max("l_quantity").alias("quantity"),
         F.count("*").alias("lines"))
     part, supp = F.col("part"), F.col("supp")
@@ -139,7 +145,7 @@ def _skills(lineitem: DataFrame) -> DataFrame:
         duration_months=F.when(supp % 41 != 0, months), endorsements=supp % 60 + F.col("lines"),
     )
     return (
-        lines.groupBy(_place("l_orderkey")[0].alias("record"))
+        lines.groupBy("record")
         .agg(F.array_sort(F.collect_list(F.struct("l_orderkey", "slot", skill.alias("skill")))).alias("x"))
         .select("record", F.transform("x", lambda e: e["skill"]).alias("skills"))
     )
@@ -160,17 +166,17 @@ def _activity(events: DataFrame) -> DataFrame:
 
 
 def build_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nested pool, one row per customer."""
+    """The nested pool, one row per customer. All tables are dealt to the same parts, so that no join moves rows again."""
     k = F.col("c_custkey")
-    parts = partitions_for(*[table(spark, sf_dir, t) for t in ("orders", "lineitem", "documents")])
+    parts = partitions_for(*[table(spark, sf_dir, t) for t in ("orders", "lineitem", "documents")], target_bytes=32 << 20)
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal").repartition(parts, "c_custkey")
-    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record"), "text")
+    documents = table(spark, sf_dir, "documents").filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("record"), "text")
     joined = (
         customers.withColumn("record", k)
-        .join(_roles(table(spark, sf_dir, "orders")), "record", "left")
-        .join(_skills(table(spark, sf_dir, "lineitem")), "record", "left")
-        .join(_activity(table(spark, sf_dir, "events")), "record", "left")
-        .join(documents, "record", "left")
+        .join(_roles(table(spark, sf_dir, "orders"), parts), "record", "left")
+        .join(_skills(table(spark, sf_dir, "lineitem"), parts), "record", "left")
+        .join(_activity(table(spark, sf_dir, "events")).repartition(parts, "record"), "record", "left")
+        .join(documents.repartition(parts, "record"), "record", "left")
     )
     empty = F.lit(None)
     profile = _struct(
@@ -234,7 +240,7 @@ def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pool as a stored table, built once per session and data folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _POOLS:
-        _POOLS[key] = materialize(build_pool(spark, sf_dir), "pool", keep=True)
+        _POOLS[key] = materialize(build_pool(spark, sf_dir), "pool", keep=True, compression="zstd")
     return _POOLS[key]
 
 

@@ -60,11 +60,11 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         del _LIVE[before:]
 
 
-def materialize(df: DataFrame, name: str = "step", keep: bool = False) -> DataFrame:
-    """Write ``df`` once and return the written table."""
+def materialize(df: DataFrame, name: str = "step", keep: bool = False, compression: str = "snappy") -> DataFrame:
+    """Write ``df`` once and return the written table. Long texts take much less room as ``zstd``."""
     spark = df.sparkSession
     path = new_path(spark, name, keep)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
