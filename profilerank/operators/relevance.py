@@ -8,11 +8,15 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..session import materialize
 
@@ -149,8 +153,10 @@ class VectorIndex:
     sizes: DataFrame
 
 
-#: Rows that centres are fitted on, at most, and rows that one part of a cell is made for.
-SAMPLE_ROWS, PART_ROWS = 20_000, 50_000
+#: Rows that centres are fitted on, at most, rows that one part of a cell is made for, and query vectors that a part meets at once.
+SAMPLE_ROWS, PART_ROWS, ASK_ROWS = 20_000, 50_000, 20_000
+#: Cosines that differ by less may change places by the order of their sums or by rounding to nine digits.
+_NEAR = 1e-8
 
 
 def _unit(vector_col: str) -> Column:
@@ -174,6 +180,42 @@ def vector_index(vectors: DataFrame, cells: int = 64, id_col: str = "vec_id", ve
     return VectorIndex(rows.drop("parts"), [c.tolist() for c in model.clusterCenters()], sizes)
 
 
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    values = pc.list_flatten(column).to_numpy()
+    return values.reshape(len(column), len(values) // max(len(column), 1))
+
+
+def _nearest_in_part(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Of one part of a cell and the query vectors that ask for it: whatever may be among the k best of a query, with its cosine.
+
+    Matrix products say which rows come into question; their cosines are then summed up in the order of the elements, so that
+    equal vectors have equal ones. Of equal cosines the k least ids are kept, however many rows there are.
+    """
+    def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        rows = rows.sort_by("id")
+        ids, names, found = rows["id"].to_numpy(), asked["q"].to_numpy(), []
+        vectors, targets = _matrix(rows["v"]), _matrix(asked["u"])
+        for start in range(0, len(names) if len(ids) else 0, 64):
+            for at, products in enumerate((vectors @ targets[start:start + 64].T).T, start):
+                others = np.flatnonzero(ids != names[at])
+                if len(others) > k:
+                    products = products[others]
+                    least = np.partition(products, -k)[-k] - _NEAR
+                    others = others[~(products < least)]
+                score = np.zeros(len(others))
+                for x, y in zip(vectors[others].T, targets[at]):
+                    score += x * y
+                order = np.argsort(-score, kind="stable")  # equal ones stay in the order of their ids
+                others, score = others[order], score[order]
+                first = np.searchsorted(-score, -score)  # where the run of equal ones begins
+                kept = np.arange(len(score)) - first < k
+                found.append((np.full(kept.sum(), at), others[kept], score[kept]))
+        at, places, scores = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, t) for i, t in enumerate((int, int, float)))
+        return pa.table({"q": asked["q"].take(pa.array(at)), "id": rows["id"].take(pa.array(places)), "score": scores})
+
+    return run
+
+
 def nearest(index: VectorIndex, queries: DataFrame, k: int, probes: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query, id, score, pos): the k rows with the greatest cosine per query vector, equal ones by id; not the query's own row.
 
@@ -184,13 +226,17 @@ def nearest(index: VectorIndex, queries: DataFrame, k: int, probes: int | None =
     def dot(a: Column, b: Column) -> Column:
         return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
-    asked = queries.filter(F.col(vector_col).isNotNull()).select(F.col(id_col).alias("q"), _unit(vector_col).alias("u"))
+    asked = queries.filter(F.col(vector_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("q"), _unit(vector_col).alias("u"))
+    blocks = max(1, -(-asked.count() // ASK_ROWS))
     ranked = F.array_sort(F.transform(centres, lambda c, i: F.struct((-dot(c, F.col("u"))).alias("minus"), i.cast("int").alias("cell"))))
     cells = F.slice(ranked, 1, probes) if probes else ranked
-    wanted = asked.select("q", "u", F.explode(F.transform(cells, lambda c: c["cell"])).alias("cell"))
+    wanted = asked.withColumn("block", F.pmod(F.xxhash64("q"), F.lit(blocks))).select("q", "u", "block", F.explode(F.transform(cells, lambda c: c["cell"])).alias("cell"))
     wanted = wanted.join(F.broadcast(index.sizes), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    met = index.rows.join(wanted.select("q", "u", "cell", "part"), ["cell", "part"]).filter(F.col("id") != F.col("q"))
-    return _best(met.select("q", "id", F.round(dot(F.col("v"), F.col("u")), 9).alias("score")), k).withColumnRenamed("q", "query")
+    rows = index.rows.filter("id IS NOT NULL").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    result = T.StructType([asked.schema["q"], rows.schema["id"], T.StructField("score", T.DoubleType())])
+    group = ["cell", "part", "block"]
+    met = rows.groupBy(group).cogroup(wanted.groupBy(group)).applyInArrow(_nearest_in_part(k), result)
+    return _best(met.select("q", "id", F.round("score", 9).alias("score")), k).withColumnRenamed("q", "query")
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

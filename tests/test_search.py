@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from profilerank.operators import integrity, relevance
@@ -90,3 +91,20 @@ def test_interval_pairs(spark, bucket):
             by[k].append((s, p, e))
     wanted = [(k, i, j, float(min(e1, e2) - s2)) for k, own in by.items() for s1, i, e1 in own for s2, j, e2 in own if (s1, i) < (s2, j) and s2 < e1]
     assert Counter(map(tuple, found)) == Counter(wanted)
+
+
+def test_a_part_hands_on_few_rows():
+    """Of very many copies of a vector only the k least ids leave the part, and their cosines are equal to the last digit."""
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(400, 7))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    rows[100:] = rows[7]
+    ids = rng.permutation(400)
+    table = pa.table({"id": ids, "v": [list(v) for v in rows]})
+    asked = pa.table({"q": [int(ids[7]), -1], "u": [list(rows[7]), list(rows[0])]})
+    found = relevance._nearest_in_part(3)(table, asked).to_pylist()
+    own = [r for r in found if r["q"] == ids[7]]
+    assert sorted(r["id"] for r in own) == sorted(int(i) for i in ids[100:])[:3] and len({r["score"] for r in own}) == 1
+    scores = {int(i): sum(x * y for x, y in zip(v, rows[0])) for i, v in zip(ids, rows)}
+    other = sorted(((-r["score"], r["id"]) for r in found if r["q"] == -1))[:3]
+    assert len(found) < 20 and other == sorted((-s, i) for i, s in scores.items())[:3]
