@@ -76,14 +76,15 @@ def _words(text: str) -> Column:
 def inverted_index(docs: DataFrame, words: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """((word, id, impact), (word, n, bound)): what each of the words adds to the BM25 score of each document that has it.
 
-    ``words`` (word) says which words are looked for. ``n`` is the number of documents with the word, ``bound`` the greatest
+    ``words`` (word) says which words are looked for; no other word moves, unless the list is too long to be sent to all tasks. ``n`` is the number of documents with the word, ``bound`` the greatest
     impact. Words are counted per document before they move; a word that very many documents have is one key of a join
     whose other side is one row, which adaptive execution splits.
     """
     split = docs.select(F.col(id_col).alias("id"), _words(text_col).alias("w"))
     total, mean = split.agg(F.count("*"), F.avg(F.size("w"))).first()
-    counted = split.select("id", F.size("w").alias("length"), F.explode("w").alias("word")).groupBy("id", "length", "word").agg(F.count("*").alias("tf"))
-    postings = materialize(counted.join(words, "word", "left_semi"), "postings")
+    looked_for = materialize(words, "words")  # once stored, its size is known
+    every = split.select("id", F.size("w").alias("length"), F.explode("w").alias("word")).join(looked_for, "word", "left_semi")
+    postings = materialize(every.groupBy("id", "length", "word").agg(F.count("*").alias("tf")).select("word", "id", "length", "tf"), "postings")
     part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(mean or 1.0)))
     found = postings.groupBy("word").agg(F.count("*").alias("n"), F.max(part).alias("part"))
     weight = F.log(1 + (F.lit(total) - F.col("n") + 0.5) / (F.col("n") + 0.5))

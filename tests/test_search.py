@@ -108,3 +108,22 @@ def test_a_part_hands_on_few_rows():
     scores = {int(i): sum(x * y for x, y in zip(v, rows[0])) for i, v in zip(ids, rows)}
     other = sorted(((-r["score"], r["id"]) for r in found if r["q"] == -1))[:3]
     assert len(found) < 20 and other == sorted((-s, i) for i, s in scores.items())[:3]
+
+
+def test_words_that_no_query_has_do_not_move(spark):
+    """The list of words is looked up before words are counted, so a shuffle only sees words of the list."""
+    docs = spark.createDataFrame([(i, "seldom " + " ".join(f"x{i}y{j}" for j in range(50))) for i in range(100)], "doc_id int, text string")
+    seen = []
+    write = relevance.materialize
+
+    def noted(df, name="step", *args, **options):
+        if name == "postings":
+            seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name, *args, **options)
+
+    relevance.materialize = noted
+    try:
+        index, _ = relevance.inverted_index(docs, spark.createDataFrame([("seldom",)], "word string"), "doc_id", "text")
+    finally:
+        relevance.materialize = write
+    assert index.count() == 100 and seen[0].index("Aggregate [") < seen[0].index("Join LeftSemi")
