@@ -1097,15 +1097,15 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("stream_score_repeated", f"""SELECT {DOC_ID} AS candidate_id, doc_id % 3 AS first_file, n_chars FROM documents""")
 def stream_score_repeated(spark: SparkSession, sf: str) -> DataFrame:
-    """Three files, one run each; the second and third repeat ids of earlier ones, and one repeats ids within itself."""
+    """Three sets of files, one run and batch each; the second and third repeat ids of earlier ones, and each repeats ids within itself."""
     docs, folder = documents(spark, sf, "n_chars"), new_path(spark, "stream-in")
     out, checkpoint = new_path(spark, "stream-out"), new_path(spark, "stream-state")
     for number in range(3):
         part = docs.filter(F.col("doc_id") % 3 <= number).withColumn("n_chars", F.when(F.col("doc_id") % 3 == number, F.col("n_chars")).otherwise(-1))
         part = part.withColumn("copy", F.lit(0)).unionByName(part.withColumn("n_chars", F.lit(-2).cast("bigint")).withColumn("copy", F.lit(1)))
-        part.withColumn("number", F.lit(number)).coalesce(1).write.mode("append").parquet(folder)
+        part.withColumn("number", F.lit(number)).write.mode("append").parquet(folder)
         schema = spark.read.parquet(folder).schema
-        source = streams.read_stream(spark, folder, schema, files_per_batch=1)
+        source = streams.read_stream(spark, folder, schema, files_per_batch=2**31 - 1)
         streams.stream_score(source, lambda batch: batch.select(ID, "n_chars", "number"), out, checkpoint, order=["copy"]).awaitTermination()
     return spark.read.parquet(out).select(ID, F.col("number").cast("bigint").alias("first_file"), "n_chars")
 

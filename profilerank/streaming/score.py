@@ -10,14 +10,18 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..schema import ID
 from ..session import make_folder
 
+# Rows that a task gathers before it keeps the least of each key.
+_HELD_ROWS = 10_000
+
 
 def read_stream(
     spark: SparkSession, folder: str, schema: T.StructType, form: str = "parquet", files_per_batch: int = 100, pattern: str = "*",
@@ -38,29 +42,39 @@ def read_table_stream(spark: SparkSession, path: str, schema: T.StructType, form
     return read_stream(spark, f"{path[:-1]}[{path[-1]}]", schema, form, files_per_batch)
 
 
+def _least_rows(batches: list[pa.RecordBatch], key: str, first: list[str]) -> pa.Table:
+    """Of every key the least row by ``first``; missing values come before all others."""
+    table = pa.Table.from_batches(batches)
+    order = pc.sort_indices(table, sort_keys=[(c, "ascending") for c in first], null_placement="at_start").to_numpy() if first else np.arange(table.num_rows)
+    codes = np.concatenate([c.indices.to_numpy() for c in table.column(key).dictionary_encode("encode").chunks])
+    best = np.zeros(table.num_rows, dtype=bool)
+    best[order[np.unique(codes[order], return_index=True)[1]]] = True
+    return table.filter(pa.array(best))
+
+
 def _least(key: str, first: list[str]):
     """Of every key in an Arrow batch the least row, so that a key with very many copies moves a few rows only."""
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.sort_values(first, kind="stable", na_position="first").drop_duplicates(key)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield from _least_rows([batch], key, first).to_batches()
 
     return run
 
 
-def _unseen(key: str, first: list[str]):
-    """The least row of a key that has no state yet; the state is that it came."""
-    def run(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            for _ in frames:
-                pass
-            return
-        best = None
-        for frame in frames:
-            rows = frame if best is None else pd.concat([best, frame])
-            best = rows.sort_values(first, kind="stable", na_position="first").head(1)
-        state.update((True,))
-        if best is not None:
-            yield best
+def _least_of_part(key: str, first: list[str]):
+    """Of every key in a partition the least row. Holds the keys of the partition, and at most as many rows again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, limit = [], 0, _HELD_ROWS
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held, rows = [*held, batch], rows + batch.num_rows
+            if rows >= limit:
+                least = _least_rows(held, key, first)
+                held, rows, limit = least.to_batches(), least.num_rows, max(_HELD_ROWS, 2 * least.num_rows)
+        if held:
+            yield from _least_rows(held, key, first).to_batches()
 
     return run
 
@@ -68,13 +82,14 @@ def _unseen(key: str, first: list[str]):
 def new_rows(source: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """Of every key the row in its earliest batch, and of that batch the least by ``order``, then by the other columns.
 
-    Which keys have come is in Spark's state store: one entry per key, kept on the executors, divided by the shuffle
-    partitions and saved with the stream's checkpoint (use the RocksDB provider for more keys than fit in memory). A batch
-    looks up its own keys only. Columns must be comparable.
+    Rows are dealt by key and the least ones chosen in Arrow batches, so no key costs a call of its own. Which keys have
+    come is known to ``dropDuplicates``, in Spark's state store: one entry per key, kept on the executors, divided by the
+    shuffle partitions and saved with the stream's checkpoint (use the RocksDB provider for more keys than fit in memory).
+    A batch looks up its own keys only; a task holds its share of a batch's keys. Columns must be comparable.
     """
     first = [*(order or []), *[c for c in source.columns if c != key and c not in (order or [])]]
-    fewer = source.mapInPandas(_least(key, first), source.schema)
-    return fewer.groupBy(key).applyInPandasWithState(_unseen(key, first), source.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    dealt = source.mapInArrow(_least(key, first), source.schema).repartition(F.col(f"`{key}`"))
+    return dealt.mapInArrow(_least_of_part(key, first), source.schema).dropDuplicates([key])
 
 
 def stream_score(

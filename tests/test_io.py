@@ -4,6 +4,7 @@ import datetime
 import gzip
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -253,6 +254,35 @@ def test_stream_keeps_the_least_of_the_first_batch(spark, tmp_path):
     assert {r[ID]: (r["file"], r["n"]) for r in found} == wanted and len(found) == len(wanted)
 
 
+def test_stream_keys_cost_no_call_of_their_own(spark, tmp_path):
+    """Keys are told apart by Spark's own deduplication; large numbers next to missing ones stay what they are."""
+    big = 2**53 + 1
+    rows = [(i % 50, None if i % 3 else big + i) for i in range(200)] + [(None, big)]
+    spark.createDataFrame(rows, "k long, v long").repartition(3).write.parquet(f"{tmp_path}/in")
+    source = streams.read_stream(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema)
+    plan = streams.new_rows(source, "k", ["v"])._jdf.queryExecution().analyzed().toString()
+    assert "Deduplicate" in plan and "WithState" not in plan
+    streams.stream_score(source.filter("v IS NOT NULL OR k = 1"), lambda b: b, f"{tmp_path}/out", f"{tmp_path}/state", key="k", order=["v"]).awaitTermination()
+    found = {r["k"]: r["v"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    wanted = {}
+    for k, v in rows:
+        if v is not None and k != 1:
+            wanted[k] = min(v, wanted.get(k, v))
+    assert found == {**wanted, 1: None}
+
+
+def test_least_of_part_over_many_batches(monkeypatch):
+    """What a task holds is cut back to the least row per key as rows come in."""
+    monkeypatch.setattr(streams, "_HELD_ROWS", 4)
+    rows = [(i % 5 or None, (i * 7) % 31, f"t{i}") for i in range(60)]
+    batches = [pa.RecordBatch.from_pydict({"k": [r[0] for r in part], "v": [r[1] for r in part], "t": [r[2] for r in part]},
+                                          schema=pa.schema([("k", pa.int64()), ("v", pa.int64()), ("t", pa.string())]))
+               for part in ([], *[rows[a:a + 3] for a in range(0, 60, 3)])]
+    found = [r for b in streams._least_of_part("k", ["v", "t"])(iter(batches)) for r in b.to_pylist()]
+    wanted = {k: min(r[1:] for r in rows if r[0] == k) for k in {r[0] for r in rows}}
+    assert {r["k"]: (r["v"], r["t"]) for r in found} == wanted and len(found) == 5
+
+
 def test_late_rows_are_kept(spark, tmp_path):
     folder, out, late, state = (f"{tmp_path}/{n}" for n in ("in", "out", "late", "state"))
     files = [["2024-01-01 10:00", "2024-01-05 00:00"], ["2024-01-02 09:00", "2024-01-03 09:00", "2024-01-04 09:00", None], ["2024-01-09 00:00", "2024-01-04 10:00"]]
