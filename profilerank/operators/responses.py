@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import responses as R
@@ -38,13 +38,16 @@ def with_score(raw: DataFrame, column: str = "raw") -> DataFrame:
 
 
 def _call(scorer: Scorer, text: str, batch: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            answers: list[str] = []
-            texts = frame[text].tolist()
-            for start in range(0, len(texts), batch):
-                answers += scorer(texts[start:start + batch])
-            yield pd.DataFrame({ID: frame[ID], "raw": pd.Series(answers, index=frame.index, dtype="object")})
+    """Answers batch by batch. Only the texts of one call are Python objects, those of the Arrow batch stay in its buffers."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            ids, texts = rows.column(ID), rows.column(text)
+            for start in range(0, rows.num_rows, batch):
+                asked = texts.slice(start, batch).to_pylist()
+                answers = scorer(asked)
+                if len(answers) != len(asked):
+                    raise ValueError(f"{len(answers)} answers to {len(asked)} texts")
+                yield pa.RecordBatch.from_arrays([ids.slice(start, batch), pa.array(answers, pa.string(), from_pandas=True)], [ID, "raw"])
 
     return run
 
@@ -68,7 +71,7 @@ def _waves(
     """``pointwise_apply`` to rows that are stored."""
     todo, waves = texts, []
     for attempt in range(max_retries + 1):
-        raw = todo.mapInPandas(_call(scorer, text, batch), f"{ID} string, raw string")
+        raw = todo.mapInArrow(_call(scorer, text, batch), f"{ID} string, raw string")
         wave = materialize(validated(raw).withColumn("attempt", F.lit(attempt)), "wave")
         good = wave.filter("result IS NOT NULL")
         if attempt == max_retries:

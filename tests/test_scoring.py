@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,3 +219,20 @@ def test_result_ties_and_counts(spark):
     assert [tuple(r) for r in checks.result_validate(result(spark, rows)).collect()] == [("tie_order", "5")]
     assert {r["rule"] for r in checks.result_validate(result(spark, good_rows()[:99])).collect()} == {"row_count", "rank_missing"}
     assert checks.result_validate(result(spark, good_rows())).count() == 0
+
+
+def test_a_call_holds_its_own_texts_only():
+    """The texts of an Arrow batch become Python objects call by call, and answers leave before the next call."""
+    asked = []
+
+    def scorer(texts):
+        asked.append(texts)
+        return [None if t is None else t.upper() for t in texts]
+
+    batch = pa.RecordBatch.from_pydict({ID: list("abcde"), "t": ["x", None, "y", "z", ""]})
+    run = responses._call(scorer, "t", 2)(iter([batch]))
+    first = next(run)
+    assert asked == [["x", None]] and first.to_pylist() == [{ID: "a", "raw": "X"}, {ID: "b", "raw": None}]
+    assert [r["raw"] for b in run for r in b.to_pylist()] == ["Y", "Z", ""] and len(asked) == 3
+    with pytest.raises(ValueError):
+        list(responses._call(lambda texts: [], "t", 2)(iter([batch])))
