@@ -54,6 +54,13 @@ def _string_leaves(column: Column, dtype: T.DataType) -> Column | None:
     if isinstance(dtype, T.MapType):
         return _string_leaves(F.map_values(column), T.ArrayType(dtype.valueType))
     if isinstance(dtype, T.ArrayType):
+        none = F.array().cast("array<string>")
+        if isinstance(dtype.elementType, T.StringType):
+            return F.coalesce(column, none)
+        fields = dtype.elementType.fields if isinstance(dtype.elementType, T.StructType) else []
+        flat = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
+        if flat and all(isinstance(f.dataType, T.AtomicType) for f in fields):  # a field of all entries is an array already
+            return F.concat(*[F.coalesce(column[n], none) for n in flat])
         probe = _string_leaves(F.lit(None).cast(dtype.elementType), dtype.elementType)
         if probe is None:
             return None
@@ -65,7 +72,9 @@ def _string_leaves(column: Column, dtype: T.DataType) -> Column | None:
 def ref_date_any_string(df: DataFrame) -> DataFrame:
     """One row, ``reference_date``: the latest date any string of any record starts with."""
     leaves = [x for f in df.schema.fields if (x := _string_leaves(F.col(f.name), f.dataType)) is not None]
-    return df.agg(F.max(F.array_max(F.transform(F.concat(*leaves), date_parse_prefix))).alias("reference_date"))
+    # Few strings start with a digit; no other can start with a date.
+    numbers = F.filter(F.concat(*leaves), lambda x: (x >= "0") & (x < ":"))
+    return df.agg(F.max(F.array_max(F.transform(numbers, date_parse_prefix))).alias("reference_date"))
 
 
 def reference_date(pool: DataFrame, any_string: bool = True, override: str | None = None) -> str:

@@ -159,7 +159,7 @@ def dated_roles(history: Column) -> Column:
         date_parse_prefix(h["start_date"]).alias("s"), i.alias("pos"),
         _or(h["duration_months"], 0).alias("months"), O.seniority_level(F.lower(plain(h["title"]))).alias("level"),
         F.concat(F.lower(plain(h["description"])), F.lit(" "), F.lower(plain(h["title"]))).alias("text")))
-    return F.array_sort(F.filter(dated, lambda r: r["s"].isNotNull()))
+    return F.sort_array(F.filter(dated, lambda r: r["s"].isNotNull()))
 
 
 def title_jumps(dated: Column, reference: Column) -> Column:

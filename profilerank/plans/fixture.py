@@ -126,8 +126,8 @@ def _roles(orders: DataFrame, parts: int) -> DataFrame:
         industry=_pick(F.floor(o / 7), INDUSTRIES), company_size=_pick(F.floor(o / 11), SIZES),
         description=_pick(F.floor(o / 5), DESCRIPTIONS),
     )
-    return dated.groupBy("record").agg(F.array_sort(F.collect_list(F.struct("slot", role.alias("role")))).alias("x")).select(
-        "record", F.transform("x", lambda e: e["role"]).alias("career_history")
+    return dated.groupBy("record").agg(F.sort_array(F.collect_list(F.struct("slot", role.alias("role")))).alias("x")).select(
+        "record", F.col("x.role").alias("career_history")
     )
 
 
@@ -146,8 +146,8 @@ def _skills(lineitem: DataFrame, parts: int) -> DataFrame:
     )
     return (
         lines.groupBy("record")
-        .agg(F.array_sort(F.collect_list(F.struct("l_orderkey", "slot", skill.alias("skill")))).alias("x"))
-        .select("record", F.transform("x", lambda e: e["skill"]).alias("skills"))
+        .agg(F.sort_array(F.collect_list(F.struct("l_orderkey", "slot", skill.alias("skill")))).alias("x"))
+        .select("record", F.col("x.skill").alias("skills"))
     )
 
 

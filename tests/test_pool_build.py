@@ -4,6 +4,7 @@ import datetime
 
 import pytest
 
+from profilerank.operators import calibrate
 from profilerank.plans import fixture
 
 
@@ -48,3 +49,26 @@ def test_every_table_moves_once(spark, tables):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("Exchange ") == 5  # customer, orders, lineitem, events, documents
+
+
+def test_lists_are_made_without_lambdas(spark, tables):
+    """Roles and skills are sorted and unpacked by expressions that need no call per comparison."""
+    plan = fixture.build_pool(spark, tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array(" in plan and "array_sort(" not in plan and "transform(x" not in plan
+
+
+def test_reference_date_of_any_string(spark):
+    """Only strings that start with a digit are parsed; the latest valid date wins wherever it stands."""
+    schema = "a string, b array<string>, c array<struct<d: string, n: long>>, m map<string, string>, e array<struct<f: array<string>>>"
+    empty = (None, None, None, None, None)
+    rows = [
+        ("2024-02-30", ["", "x2030-01-01", None, " 2031-01-01"], [None, ("2001-05-06 and more", 1)], {"2032-01-01": "9"}, [(["2002-01-01", ":"],), (None,), None]),
+        empty, ("no date", [], [], {}, []),
+    ]
+    frame = spark.createDataFrame(rows, schema)
+    plan = calibrate.ref_date_any_string(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" in plan
+    assert str(calibrate.ref_date_any_string(frame).first()[0]) == "2002-01-01"
+    later = spark.createDataFrame([("2003-03-03T10:00", None, [("2004-04-04x", 2)], {"k": "2005-05-05"}, None)], schema)
+    assert str(calibrate.ref_date_any_string(frame.union(later)).first()[0]) == "2005-05-05"
+    assert calibrate.ref_date_any_string(spark.createDataFrame([empty], schema)).first()[0] is None
