@@ -102,7 +102,9 @@ def _roles(orders: DataFrame, parts: int) -> DataFrame:
     """The roles of a record. Only keys and dates move; the texts of a role are made where its record is."""
     o = F.col("o_orderkey")
     record, slot = _place("o_orderkey")
-    orders = orders.filter(o.isNotNull()).select(record.alias("record"), o, F.col("o_orderdate").cast("date").alias("day")).repartition(parts, "record")
+    # The record follows from the order's key, so it is made again where the order has moved to.
+    moved = orders.filter(o.isNotNull()).select(F.col("o_orderdate").cast("date").alias("day"), o).repartition(parts, record)
+    orders = moved.select(record.alias("record"), o, "day")
     record = F.col("record")
     limit = F.lit("2024-02-15").cast("date")
     current = (slot == 0) | ((slot == 1) & (record % 17 == 0))
@@ -133,9 +135,11 @@ def _roles(orders: DataFrame, parts: int) -> DataFrame:
 
 def _skills(lineitem: DataFrame, parts: int) -> DataFrame:
     """The skills of a record. The lines move once, to their record; a skill is summed up and its texts are made there."""
-    placed = lineitem.filter(F.col("l_orderkey").isNotNull()).select(
-        _place("l_orderkey")[0].alias("record"), "l_orderkey", (F.col("l_linenumber") % 4).alias("slot"), "l_partkey", "l_suppkey", "l_quantity")
-    lines = placed.repartition(parts, "record").groupBy("record", "l_orderkey", "slot").agg(
+    record = _place("l_orderkey")[0]
+    # Like an order, a line moves without its record; the narrower columns stand side by side, which compresses better.
+    moved = lineitem.filter(F.col("l_orderkey").isNotNull()).select(
+        "l_quantity", "l_suppkey", (F.col("l_linenumber") % 4).alias("slot"), "l_partkey", "l_orderkey").repartition(parts, record)
+    lines = moved.withColumn("record", record).groupBy("record", "l_orderkey", "slot").agg(
         F.min("l_partkey").alias("part"), F.max("l_suppkey").alias("supp"), F.max("l_quantity").alias("quantity"),
         F.count("*").alias("lines"))
     part, supp = F.col("part"), F.col("supp")

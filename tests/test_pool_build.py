@@ -51,6 +51,18 @@ def test_every_table_moves_once(spark, tables):
     assert plan.count("Exchange ") == 5  # customer, orders, lineitem, events, documents
 
 
+def test_records_are_made_where_rows_have_moved(spark, tables):
+    """Orders and lines are dealt by their record but do not carry it, and no join or group deals them again."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fixture.build_pool(spark, tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 5 and sum("orderkey" in line for line in dealt) == 2
+
+
 def test_lists_are_made_without_lambdas(spark, tables):
     """Roles and skills are sorted and unpacked by expressions that need no call per comparison."""
     plan = fixture.build_pool(spark, tables)._jdf.queryExecution().optimizedPlan().toString()
