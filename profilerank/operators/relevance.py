@@ -70,26 +70,33 @@ def relevance_score(docs: DataFrame, query: str, id_col: str = "candidate_id", t
 
 
 def _words(text: str) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), TOKEN_SPLIT), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), TOKEN_SPLIT), "")
+
+
+#: The word that every document has once, in the counts only.
+_EVERY = ""
 
 
 def inverted_index(docs: DataFrame, words: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """((word, id, impact), (word, n, bound)): what each of the words adds to the BM25 score of each document that has it.
+    """((word, term, id, impact), (word, term, n, bound)): what each of the words adds to the BM25 score of each document that has it.
 
     ``words`` (word) says which words are looked for; no other word moves, unless the list is too long to be sent to all tasks. ``n`` is the number of documents with the word, ``bound`` the greatest
-    impact. Words are counted per document before they move; a word that very many documents have is one key of a join
-    whose other side is one row, which adaptive execution splits.
+    impact, ``term`` a number of its own. Words are counted per document before they move. Texts are read once: an empty word that
+    is counted with the others stands for the document itself, so that the number of documents and their mean length come from the counts.
     """
     split = docs.select(F.col(id_col).alias("id"), _words(text_col).alias("w"))
-    total, mean = split.agg(F.count("*"), F.avg(F.size("w"))).first()
-    looked_for = materialize(words, "words")  # once stored, its size is known
-    every = split.select("id", F.size("w").alias("length"), F.explode("w").alias("word")).join(looked_for, "word", "left_semi")
-    postings = materialize(every.groupBy("id", "length", "word").agg(F.count("*").alias("tf")).select("word", "id", "length", "tf"), "postings")
+    spark = docs.sparkSession
+    looked_for = materialize(words.select("word").unionByName(spark.range(1).select(F.lit(_EVERY).alias("word"))), "words")  # once stored, its size is known
+    every = split.select("id", F.size("w").alias("length"), F.explode(F.concat(F.array(F.lit(_EVERY)), "w")).alias("word")).join(looked_for, "word", "left_semi")
+    counted = materialize(every.groupBy("id", "length", "word").agg(F.count("*").alias("tf")).select("word", "id", "length", "tf"), "postings")
+    total, mean = counted.filter(F.col("word") == _EVERY).agg(F.coalesce(F.sum("tf"), F.lit(0)), F.try_divide(F.sum(F.col("tf") * F.col("length")), F.sum("tf"))).first()
+    postings = counted.filter(F.col("word") != _EVERY)
     part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(mean or 1.0)))
     found = postings.groupBy("word").agg(F.count("*").alias("n"), F.max(part).alias("part"))
     weight = F.log(1 + (F.lit(total) - F.col("n") + 0.5) / (F.col("n") + 0.5))
-    bounds = materialize(found.select("word", "n", weight.alias("weight"), (weight * F.col("part")).alias("bound")), "word_bounds")
-    index = materialize(postings.join(bounds.select("word", "weight"), "word").select("word", "id", (F.col("weight") * part).alias("impact")), "impacts")
+    known = found.select("word", F.monotonically_increasing_id().alias("term"), "n", weight.alias("weight"), (weight * F.col("part")).alias("bound"))
+    bounds = materialize(known, "word_bounds")
+    index = postings.join(bounds.select("word", "term", "weight"), "word").select("word", "term", "id", (F.col("weight") * part).alias("impact"))
     return index, bounds
 
 
@@ -99,8 +106,53 @@ def _best(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("pos", F.row_number().over(order)).filter(F.col("pos") <= k)
 
 
-#: Scores that differ by less may differ by the order of their sums only.
-_SLACK = 1e-6
+#: Rows of the index that one part of the documents is made for.
+PART_POSTINGS = 500_000
+#: Query texts or vectors that a part meets at once.
+ASK_ROWS = 20_000
+#: Scores that differ by less may change places by the order of their sums or by rounding to nine digits.
+_NEAR = 1e-8
+
+
+def _first_of_equals(score: np.ndarray, k: int) -> np.ndarray:
+    """Of falling scores: the first k of every run of equal ones."""
+    return np.arange(len(score)) - np.searchsorted(-score, -score) < k
+
+
+def _best_in_part(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Of the index rows of one part of the documents and the queries' terms: whatever may be among the k best of a query, with its score.
+
+    The rows of a term stand together, and a query adds up those of its terms. Of equal scores the k least ids are kept,
+    however many documents there are.
+    """
+    def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        ids = rows["id"].unique()
+        ids = ids.take(pc.array_sort_indices(ids, null_placement="at_start"))
+        place, term, impact = pc.index_in(rows["id"], value_set=ids).to_numpy(), rows["term"].to_numpy(), rows["impact"].to_numpy()
+        order = np.lexsort((place, term))
+        place, term, impact = place[order], term[order], impact[order]
+        own = np.flatnonzero(np.diff(term, prepend=-1) | np.diff(place, prepend=-1))  # an id may come with several texts
+        place, term, impact = place[own], term[own], np.add.reduceat(impact, own) if len(own) else impact
+        terms = pc.list_flatten(asked["terms"]).to_numpy()
+        starts, ends = np.searchsorted(term, terms), np.searchsorted(term, terms, side="right")
+        upto, found = np.cumsum(pc.list_value_length(asked["terms"]).to_numpy()), []
+        for at, (low, high) in enumerate(zip([0, *upto[:-1]], upto) if len(ids) else ()):
+            score = np.zeros(len(ids))
+            for x, y in zip(starts[low:high], ends[low:high]):
+                score[place[x:y]] += impact[x:y]
+            hit = np.flatnonzero(score)
+            score = score[hit]
+            if len(hit) > k:
+                near = score >= np.partition(score, -k)[-k] - _NEAR
+                hit, score = hit[near], score[near]
+            order = np.argsort(-score, kind="stable")  # equal ones stay in the order of their ids
+            hit, score = hit[order], score[order]
+            kept = _first_of_equals(score, k)
+            found.append((np.full(kept.sum(), at), hit[kept], score[kept]))
+        at, places, scores = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, t) for i, t in enumerate((int, int, float)))
+        return pa.table({"q": asked["q"].take(pa.array(at)), "id": ids.take(pa.array(places)), "score": scores})
+
+    return run
 
 
 def relevance_topk(
@@ -110,30 +162,25 @@ def relevance_topk(
 
     Documents without a word of a query are not in its list; equal scores (to nine digits) go by document id.
 
-    An inverted index with a bound per word makes the search exact without looking at all that common words point to. The
-    rarest words of a query, enough for some multiple of k documents, give k documents and so a score that the result must
-    reach. Its weakest words, as long as their bounds together stay below that score, cannot bring a document into the
-    result by themselves: only documents with one of the other words are scored, and of these only the ones that could
-    still reach the score with all weak words are completed.
+    The rows of an inverted index are dealt into parts by document, about ``PART_POSTINGS`` each, and every part meets all queries,
+    ``ASK_ROWS`` at a time. A part adds up whole scores and hands on the best of each query, so that no row per query and
+    document moves. The search is exact: all documents with a word of a query are scored.
     """
-    asked = queries.select(F.col(query_id).alias("q"), F.explode(F.array_distinct(_words(query_text))).alias("word")).distinct()
+    asked = queries.select(F.col(query_id).alias("q"), F.explode(F.array_distinct(_words(query_text))).alias("word")).filter("q IS NOT NULL").distinct()
     index, bounds = inverted_index(docs, asked.select("word").distinct(), id_col, text_col)
-    own = Window.partitionBy("q")  # the words of one query text
-    rare, weak = own.orderBy("n", "word"), own.orderBy("bound", "word")
-    terms = materialize(asked.join(bounds, "word").withColumns({
-        "documents_before": F.sum("n").over(rare) - F.col("n"), "bound_upto": F.sum("bound").over(weak)}), "query_terms")
+    terms = materialize(asked.join(bounds, "word").groupBy("q").agg(F.sort_array(F.collect_list("term")).alias("terms")), "query_terms")
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-(bounds.agg(F.sum("n")).first()[0] or 0) // PART_POSTINGS))
+    blocks = max(1, -(-terms.count() // ASK_ROWS))
 
-    first = terms.filter(F.col("documents_before") < 4 * k).select("q", "word").join(index, "word").groupBy("q", "id").agg(F.sum("impact").alias("score"))
-    reached = _best(first, k).filter(F.col("pos") == k).select("q", (F.col("score") - _SLACK).alias("reach"))
-    marked = terms.join(reached, "q", "left").withColumn("weak", F.coalesce(F.col("bound_upto") < F.col("reach"), F.lit(False)))
-    marked = materialize(marked.select("q", "word", "weak", "bound", "reach"), "marked_terms")
-    rest = marked.groupBy("q").agg(F.coalesce(F.sum(F.when(F.col("weak"), F.col("bound"))), F.lit(0.0)).alias("rest"), F.first("reach").alias("reach"))
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    strong = marked.filter(~F.col("weak")).select("q", "word").join(index, "word").groupBy("q", "id").agg(F.sum("impact").alias("score"))
-    possible = materialize(strong.join(rest, "q").filter(F.col("reach").isNull() | (F.col("score") + F.col("rest") >= F.col("reach"))).select("q", "id", "score"), "possible")
-    more = possible.join(marked.filter("weak").select("q", "word"), "q").join(index, ["word", "id"]).select("q", "id", F.col("impact").alias("score"))
-    scored = possible.unionByName(more).groupBy("q", "id").agg(F.round(F.sum("score"), 9).alias("score"))
-    return _best(scored, k).select(F.col("q").alias(query_id), F.col("id").alias(id_col), "score", "pos")
+    rows = index.select(F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), each(blocks).alias("block"), "id", "term", "impact")
+    wanted = terms.select(each(parts).alias("part"), F.pmod(F.xxhash64("q"), F.lit(blocks)).cast("int").alias("block"), "q", "terms")
+    result = T.StructType([terms.schema["q"], index.schema["id"], T.StructField("score", T.DoubleType())])
+    group = ["part", "block"]
+    met = rows.groupBy(group).cogroup(wanted.groupBy(group)).applyInArrow(_best_in_part(k), result)
+    return _best(met.select("q", "id", F.round("score", 9).alias("score")), k).select(F.col("q").alias(query_id), F.col("id").alias(id_col), "score", "pos")
 
 
 def cosine_score(vectors: DataFrame, query: list[float], id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -154,10 +201,8 @@ class VectorIndex:
     sizes: DataFrame
 
 
-#: Rows that centres are fitted on, at most, rows that one part of a cell is made for, and query vectors that a part meets at once.
-SAMPLE_ROWS, PART_ROWS, ASK_ROWS = 20_000, 50_000, 20_000
-#: Cosines that differ by less may change places by the order of their sums or by rounding to nine digits.
-_NEAR = 1e-8
+#: Rows that centres are fitted on, at most, and rows that one part of a cell is made for.
+SAMPLE_ROWS, PART_ROWS = 20_000, 50_000
 
 
 def _unit(vector_col: str) -> Column:
@@ -208,8 +253,7 @@ def _nearest_in_part(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                     score += x * y
                 order = np.argsort(-score, kind="stable")  # equal ones stay in the order of their ids
                 others, score = others[order], score[order]
-                first = np.searchsorted(-score, -score)  # where the run of equal ones begins
-                kept = np.arange(len(score)) - first < k
+                kept = _first_of_equals(score, k)
                 found.append((np.full(kept.sum(), at), others[kept], score[kept]))
         at, places, scores = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, t) for i, t in enumerate((int, int, float)))
         return pa.table({"q": asked["q"].take(pa.array(at)), "id": rows["id"].take(pa.array(places)), "score": scores})

@@ -5,11 +5,14 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from profilerank.operators import integrity, relevance
+from profilerank.operators import evaluate, integrity, relevance
+from profilerank.plans import catalog
 
 
 def _plain_topk(docs, queries, k):
@@ -127,3 +130,44 @@ def test_words_that_no_query_has_do_not_move(spark):
     finally:
         relevance.materialize = write
     assert index.count() == 100 and seen[0].index("Aggregate [") < seen[0].index("Join LeftSemi")
+
+
+def test_topk_reads_texts_once(spark):
+    """The number of documents and their mean length come with the counts of words, not from another pass over the texts."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(text):
+        seen.add(1)
+        return text
+
+    docs = spark.createDataFrame([(i, f"some common words x{i % 7}" + " more" * (i % 4)) for i in range(50)], "doc_id int, text string")
+    queries = spark.createDataFrame([(0, "common x3 more")], "item_id int, text string")
+    found = relevance.relevance_topk(docs.withColumn("text", F.udf(noted)("text")), queries, 5).collect()
+    wanted = _plain_topk([tuple(r) for r in docs.collect()], [(0, "common x3 more")], 5)
+    assert sorted((r["item_id"], r["doc_id"], round(r["score"], 6), r["pos"]) for r in found) == wanted and seen.value == 50
+
+
+def test_a_part_of_documents_hands_on_few_rows():
+    """Of very many documents of one score only the k least ids leave the part; a term that an id has twice counts twice."""
+    held = [(i, 5, 1.0) for i in (9, 3, 7, None, 1)] + [(20, 5, 0.5), (20, 5, 0.75), (21, 8, 0.25), (3, 8, 0.25)]
+    rows = pa.table({"id": pa.array([h[0] for h in held], pa.int64()), "term": [h[1] for h in held], "impact": [h[2] for h in held]})
+    asked = pa.table({"q": ["both", "none", "five"], "terms": [[5, 8], [6], [5]]})
+    found = [tuple(r.values()) for r in relevance._best_in_part(3)(rows, asked).to_pylist()]
+    assert found == [("both", 3, 1.25), ("both", 20, 1.25), ("both", None, 1.0), ("both", 1, 1.0), ("both", 7, 1.0), ("five", 20, 1.25), ("five", None, 1.0), ("five", 1, 1.0), ("five", 3, 1.0)]
+    assert relevance._best_in_part(3)(rows.slice(0, 0), asked).num_rows == 0 == relevance._best_in_part(3)(rows, asked.slice(0, 0)).num_rows
+
+
+def test_metrics_of_a_search_search_once(spark, tmp_path, monkeypatch):
+    """The lists are stored before they are measured, which reads them more than once."""
+    duck, seen, measure = duckdb.connect(), [], evaluate.metric_by_query
+    for name, sql in {
+        "documents": "SELECT i AS doc_id, 'word' || i % 5 || ' word' || i % 11 || repeat(' more', i::INT % 3) AS text FROM range(90) t(i)",
+        "benchmark": "SELECT i AS item_id, 'word' || i || ' more' AS text FROM range(4) t(i)",
+        "labels": "SELECT i AS doc_id, (i % 2)::INT AS quality, (i % 7 = 0)::INT AS toxic FROM range(0, 90, 2) t(i)",
+    }.items():
+        duck.execute(f"COPY ({sql}) TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    monkeypatch.setattr(evaluate, "metric_by_query", lambda ranked, *a, **b: seen.append(ranked._jdf.queryExecution().optimizedPlan().toString()) or measure(ranked, *a, **b))
+    found = catalog.QUERIES["metric_by_query"](spark, str(tmp_path))
+    wanted = duck.sql(catalog.SQL["metric_by_query"])
+    assert sorted(map(tuple, found.select(*wanted.columns).collect())) == sorted(wanted.fetchall()) and len(seen) == 1 and "Join" not in seen[0]
